@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from corpusflow.catalog.registry import query
 from corpusflow.functions import ccode
+from corpusflow.functions.rows import with_once
 from corpusflow.operators import matching, tokens
 from corpusflow.plans import match_run
 
@@ -67,8 +68,7 @@ with {_TRIPLES}
 select sha, line_pos, regexp_extract(a, '{_VAR}', 1) as id, regexp_extract(a, '{_VAR}', 2) as decompiled, regexp_extract(a, '{_VAR}', 3) as original
 from (select sha, line_pos, unnest(ms) as a from x where not conflict)""")
 def _(v):
-    triples = _decompiled(v).withColumn("triples", ccode.variables(F.col("raw_code")))
-    return triples.filter(~ccode.conflicting(F.col("triples"))).select("sha", "line_pos", F.inline("triples"))
+    return matching.variable_rows(_decompiled(v)).drop("func_name")
 
 
 @query("txt05_conflicting_functions", f"with {_TRIPLES} select sha, line_pos, 'conflicting_names' as reason from x where conflict")
@@ -82,8 +82,7 @@ _PREFIX = "(select *, 'v' || substr(translate(md5(raw_code), '0123456789abcdef',
 @query("txt06_plain_variables", rf"""
 select sha, line_pos, prefix, replace(regexp_replace(raw_code, '{_VAR}', '~~_\1', 'g'), '~~', prefix) as code from {_PREFIX}""")
 def _(v):
-    prefix = ccode.safe_prefix(F.col("raw_code"))
-    rows = _decompiled(v).withColumn("prefix", prefix)
+    rows = with_once(_decompiled(v), prefix=ccode.safe_prefix(F.col("raw_code")))
     return rows.select("sha", "line_pos", "prefix", ccode.with_plain_variables(F.col("raw_code"), F.col("prefix")).alias("code"))
 
 
@@ -121,8 +120,16 @@ def _(v):
     return v("part").select("p_partkey", ccode.normalised(F.expr(_DIALECT)).alias("code"))
 
 
+def _files(v):
+    return v("c_source").select("file_id", ccode.without_line_controls(F.col("code")).alias("code"))
+
+
 def _tokens(v):
-    return tokens.tokens(v("c_source").withColumn("code", ccode.without_line_controls(F.col("code"))), "file_id")
+    return tokens.tokens(_files(v), "file_id")
+
+
+def _items(v):
+    return tokens.top_level_items(_files(v), "file_id")
 
 
 @query("txt14_token_values", f"with {TOKENS} select file_id, pos, value, offs as \"offset\" from tok")
@@ -144,34 +151,28 @@ def _(v):
 
 @query("txt16_functions", f"with {FUNCTIONS} select file_id, func_name, first, last, body from fn")
 def _(v):
-    return tokens.functions(tokens.top_level_items(_tokens(v), "file_id"), "file_id").select("file_id", "func_name", "first", "last", "body")
+    return tokens.functions(_items(v), "file_id").select("file_id", "func_name", "first", "last", "body")
 
 
 @query("txt16_rejected_items", f"with {FUNCTIONS} select file_id, body from h where body = first or (bb = ')' and func_name is null)")
 def _(v):
-    return tokens.rejected_items(tokens.top_level_items(_tokens(v), "file_id"), "file_id").select("file_id", "body")
+    return tokens.rejected_items(_items(v), "file_id").select("file_id", "body")
 
 
 @query("txt17_function_tokens", f"""
 with {FUNCTIONS}
 select file_id, func_name, lft as "left", string_agg(value, ' ' order by pos) as tokens from fn join tok using (file_id) where pos between lft and last group by all""")
 def _(v):
-    from corpusflow.session import settle
-
-    rows = settle(_tokens(v))
-    found = tokens.functions(tokens.top_level_items(rows, "file_id"), "file_id")
-    return tokens.function_tokens(rows, found, "file_id").withColumn("tokens", F.array_join("tokens", " "))
+    found = tokens.functions(_items(v), "file_id")
+    return found.select("file_id", "func_name", "left", F.array_join("tokens", " ").alias("tokens"))
 
 
 @query("win04_matching_braces", f"""
 with {FUNCTIONS}
 select fn.file_id, fn.body as start, fn.last as "right" from fn where func_name like 'pick%'""")
 def _(v):
-    from corpusflow.session import settle
-
-    rows = settle(_tokens(v))
-    found = tokens.functions(tokens.top_level_items(rows, "file_id"), "file_id").filter("func_name like 'pick%'")
-    return tokens.matching_brace(rows, found.select("file_id", F.col("body").alias("start")), "file_id")
+    found = tokens.functions(_items(v), "file_id").filter("func_name like 'pick%'")
+    return tokens.matching_brace(_tokens(v), found.select("file_id", F.col("body").alias("start")), "file_id")
 
 
 @query("jn10_token_positions", f"""
@@ -192,8 +193,8 @@ _NEW_CODE = "'int ' || func_name || '(void) { return ' || cast(file_id as string
 
 
 def _spliced(v):
-    files = v("c_source").select("file_id", F.concat(ccode.without_line_controls(F.col("code")), F.lit("")).alias("code"))
-    found = tokens.functions(tokens.top_level_items(tokens.tokens(files, "file_id"), "file_id"), "file_id")
+    files = _files(v)
+    found = tokens.functions(tokens.top_level_items(files, "file_id"), "file_id")
     new = found.filter("func_name not like 'pick%'").select("file_id", "func_name", F.expr(_NEW_CODE).alias("replacement"))
     return tokens.spliced(files, found, new, "file_id")
 

@@ -182,11 +182,23 @@ def _for_spark(sql: str, prefix: str) -> str:
     return _NAME.sub(lambda m: prefix + m.group(1), sql)
 
 
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given table. One small file is one scan task, so its rows are spread over the cores first;
+    tables of many files are read as they are."""
+    frame = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{name}.parquet")
+    status = path.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(path)
+    cores = spark.sparkContext.defaultParallelism
+    if status.isFile() and 65536 < status.getLen() < 128 * 1024 * 1024:
+        frame = frame.repartition(cores)
+    return frame
+
+
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The view as a DataFrame; its inputs are registered as temporary views of this folder."""
     prefix = _prefix(sf_dir)
     if name in TABLES:
-        frame = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        frame = table(spark, sf_dir, name)
     else:
         for needed in _NAME.findall(VIEWS[name]):
             view(spark, sf_dir, needed).createOrReplaceTempView(prefix + needed)

@@ -100,8 +100,8 @@ def conflicting(triples: Column) -> Column:
 def safe_prefix(code: Column) -> Column:
     """Identifier prefix that the code does not contain: ``v`` and three to ten letters; null when all occur."""
     letters = F.translate(F.md5(code), "0123456789abcdef", "ghijklmnopqrstuv")
-    tries = F.array(*[F.concat(F.lit("v"), F.substring(letters, 1, n)) for n in range(3, 11)])
-    return F.get(F.filter(tries, lambda p: ~F.contains(code, p)), F.lit(0))
+    tries = [F.concat(F.lit("v"), F.substring(letters, 1, n)) for n in range(3, 11)]
+    return F.coalesce(*[F.when(~F.contains(code, p), p) for p in tries])
 
 
 def with_plain_variables(code: Column, prefix: Column) -> Column:

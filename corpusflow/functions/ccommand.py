@@ -1,82 +1,62 @@
-"""Compiler and pkg-config command lines."""
+"""Compiler and pkg-config command lines.
+
+A command is first rewritten so that every flag holds its own value; after that each question is one regular
+expression over the text.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Flags that take the next word, flags that are dropped, and flags that are appended.
-TAKES_NEXT = ["-o", "-l", "-mabi", "-march", "-mtune"]
-DROPPED = ["-Wall", "-Werror", "-Wextra", "-flto", "-mlittle-endian", "-mapcs", "-mno-sched-prolog"]
-DROPPED_PREFIXES = ["-mabi", "-march", "-mtune", "-ggdb"]
-APPENDED = ["-O0", "-g"]
-
-
-def words(command: Column) -> Column:
-    return F.split(F.trim(command), r"\s+")
+from corpusflow.functions.rows import with_once
 
+# Flags that are dropped, flags dropped with their value, and flags that are appended.
+DROPPED = ["-c", "-Wall", "-Werror", "-Wextra", "-flto", "-mlittle-endian", "-mapcs", "-mno-sched-prolog"]
+DROPPED_WITH_VALUE = ["-mabi", "-march", "-mtune"]
+DROPPED_PREFIXES = ["-o", "-l", "-O", "-ggdb"]
+APPENDED = ["-O0", "-g"]
 
-def _arguments(command: Column) -> Column:
-    """Arguments as structs (arg, prev): prev is the word before, the program name is left out."""
-    parts = words(command)
-    count = F.greatest(F.size(parts) - 1, F.lit(0))
-    return F.zip_with(
-        F.slice(parts, F.lit(2), count), F.slice(parts, F.lit(1), count),
-        lambda arg, prev: F.struct(arg.alias("arg"), prev.alias("prev")),
-    )
+_END = r"(?=\s|$)"
+_DROP = (
+    r"\s(?:" + "|".join(DROPPED) + ")" + _END
+    + r"|\s(?:" + "|".join(DROPPED_WITH_VALUE) + r")(?:=\S*)?" + _END
+    + r"|\s(?:" + "|".join(DROPPED_PREFIXES) + r")\S*"
+)
 
 
-def _is_value(x: Column) -> Column:
-    """Whether the word is the value of the flag before it."""
-    flag = x["prev"].isin([*TAKES_NEXT, "-O"])
-    return flag & ~F.startswith(x["arg"], F.lit("-"))
+def arguments(command: Column) -> Column:
+    """The command without its program, each argument after a space and each flag joined to its value."""
+    text = F.regexp_replace(F.trim(command), r"^\S+", "")
+    text = F.regexp_replace(text, r"(?<=\s)(-[olO])\s+(?=[^\s-])", "$1")
+    return F.regexp_replace(text, r"(?<=\s)(-m(?:abi|arch|tune))\s+(?=[^\s-])", "$1=")
 
 
-def _attached(args: Column, flag: str) -> Column:
-    """Values of a one-letter flag, attached to it or in the next word, in order."""
-    chosen = F.filter(
-        args,
-        lambda x: (_is_value(x) & (x["prev"] == flag))
-        | (~_is_value(x) & F.startswith(x["arg"], F.lit(flag)) & (F.length(x["arg"]) > len(flag))),
-    )
-    return F.transform(
-        chosen, lambda x: F.when(_is_value(x), x["arg"]).otherwise(F.substring(x["arg"], len(flag) + 1, 1 << 20))
-    )
+def _values(args: Column, flag: str) -> Column:
+    return F.regexp_extract_all(args, F.lit(rf"\s{flag}(\S+)"), F.lit(1))
 
 
 def libraries(command: Column) -> Column:
-    return _attached(_arguments(command), "-l")
-
-
-def _kept(args: Column) -> Column:
-    """Arguments that go through unchanged."""
-    def unknown(x: Column) -> Column:
-        arg = x["arg"]
-        known = arg.isin([*DROPPED, "-c"])
-        for prefix in [*DROPPED_PREFIXES, "-o", "-l", "-O"]:
-            known = known | F.startswith(arg, F.lit(prefix))
-        return ~_is_value(x) & ~known
-
-    return F.transform(F.filter(args, unknown), lambda x: x["arg"])
+    return _values(arguments(command), "-l")
 
 
 def parsed(commands: DataFrame, command: str = "cmd", override_flags: str = "") -> DataFrame:
     """Libraries, source files, object file and effective argument list of each compiler call."""
-    staged = commands.withColumn("_args", _arguments(F.col(command)))
-    staged = staged.withColumn("libs", _attached(F.col("_args"), "-l")).withColumn("_kept", _kept(F.col("_args")))
-    compile_only = F.exists("_args", lambda x: x["arg"] == "-c")
-    sources = F.filter("_kept", lambda a: F.endswith(a, F.lit(".c")) | F.endswith(a, F.lit(".h")))
-    explicit = F.try_element_at(_attached(F.col("_args"), "-o"), F.lit(-1))
-    last_c = F.try_element_at(F.filter("_kept", lambda a: F.endswith(a, F.lit(".c"))), F.lit(-1))
-    derived = F.when(compile_only, F.regexp_replace(last_c, r"\.c$", ".o"))
-    staged = staged.withColumn("sources", sources).withColumn("object", F.coalesce(explicit, derived, F.lit("a.out")))
-    flags = [F.lit(f) for f in [*APPENDED, *override_flags.split()]]
-    effective = F.concat(
-        F.array(F.lit("gcc")), F.when(compile_only, F.array(F.lit("-c"))).otherwise(F.array().cast("array<string>")),
-        F.col("_kept"), F.array(F.lit("-o"), F.col("object"), *flags),
-        F.transform("libs", lambda lib: F.concat(F.lit("-l"), lib)),
+    staged = with_once(commands, _args=arguments(F.col(command)))
+    kept = F.ltrim(F.regexp_replace(F.regexp_replace("_args", _DROP, ""), r"\s+", " "))
+    staged = with_once(
+        staged, libs=_values(F.col("_args"), "-l"), _kept=kept, _objects=_values(F.col("_args"), "-o"),
+        _compile=F.col("_args").rlike(r"\s-c" + _END),
+    )
+    staged = with_once(staged, sources=F.regexp_extract_all("_kept", F.lit(r"(?:^|\s)(\S+\.[ch])" + _END), F.lit(1)))
+    last_c = F.try_element_at(F.filter("sources", lambda s: F.endswith(s, F.lit(".c"))), F.lit(-1))
+    derived = F.when(F.col("_compile"), F.regexp_replace(last_c, r"\.c$", ".o"))
+    staged = with_once(staged, object=F.coalesce(F.try_element_at("_objects", F.lit(-1)), derived, F.lit("a.out")))
+    effective = F.concat_ws(
+        " ", F.lit("gcc"), F.when(F.col("_compile"), "-c"), F.nullif(F.col("_kept"), F.lit("")), F.lit("-o"), F.col("object"),
+        F.lit(" ".join([*APPENDED, *override_flags.split()])), F.transform("libs", lambda lib: F.concat(F.lit("-l"), lib)),
     )
-    return staged.withColumn("effective", F.array_join(effective, " ")).drop("_args", "_kept")
+    return staged.withColumn("effective", effective).drop("_args", "_kept", "_objects", "_compile")
 
 
 def failed_libraries(commands: DataFrame, keys: list[str], command: str = "cmd") -> DataFrame:
@@ -87,7 +67,6 @@ def failed_libraries(commands: DataFrame, keys: list[str], command: str = "cmd")
 
 def failed_packages(commands: DataFrame, keys: list[str], command: str = "cmd") -> DataFrame:
     """Arguments without a dash of pkg-config calls that failed."""
-    parts = words(F.col(command))
-    arguments = F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 1, F.lit(0)))
-    named = F.filter(arguments, lambda a: ~F.startswith(a, F.lit("-")))
+    text = F.regexp_replace(F.trim(F.col(command)), r"^\S+", "")
+    named = F.regexp_extract_all(text, F.lit(r"\s([^\s-]\S*)"), F.lit(1))
     return commands.filter("rc <> 0").select(*keys, F.explode(named).alias("library"))

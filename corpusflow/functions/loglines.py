@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusflow.functions.rows import with_present
+
 # The log formats. Order of the groups: see the fields.
 STAMP = r"([0-9-]{10} [0-9:]{8}),\d{3} \w+: "
 WORKER = r"\(Worker \s*\d+\) "
@@ -24,11 +26,12 @@ def groups(line: Column, pattern: str, count: int) -> Column:
     around = "(?s)^.*?" + pattern + ".*$"
     joined = F.regexp_replace(line, around, _MARK.join(["", *[f"${i + 1}" for i in range(count)]]))
     parts = F.split(joined, _MARK)
-    return F.when(F.size(parts) == count + 1, F.slice(parts, 2, count))
+    whole = F.filter(F.array(parts), lambda p: F.size(p) == count + 1)  # one evaluation of the parts
+    return F.slice(F.get(whole, F.lit(0)), 2, count)
 
 
 def _parse(log: DataFrame, pattern: str, fields: list[str]) -> DataFrame:
-    found = log.select("line_no", groups(F.col("line"), pattern, len(fields)).alias("g")).filter("g is not null")
+    found = with_present(log.select("line_no", "line"), "g", groups(F.col("line"), pattern, len(fields)))
     columns = [
         F.get("g", F.lit(i)).cast("bigint" if f.startswith("n_") else "string").alias(f) for i, f in enumerate(fields)
     ]

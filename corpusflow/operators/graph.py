@@ -27,12 +27,12 @@ def address_sets(uses: DataFrame, keep_auto: bool = False) -> DataFrame:
     if not keep_auto:
         rows = rows.filter(~F.col("name").rlike(AUTO_NAME))
     pages = rows.groupBy(*VARIABLE, F.floor(F.col("ea") / PAGE).alias("page")).agg(
-        F.array_sort(F.collect_set("ea")).alias("addresses")
+        F.sort_array(F.collect_set("ea")).alias("addresses")
     )
     digests = pages.select(
         *VARIABLE, "page", F.size("addresses").cast("bigint").alias("n"), F.sha2(F.array_join("addresses", ","), 256).alias("digest")
     )
-    joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("page", "digest"))), lambda x: x["digest"]), ",")
+    joined = F.array_join(F.sort_array(F.collect_list(F.struct("page", "digest")))["digest"], ",")
     return digests.groupBy(*VARIABLE).agg(F.sum("n").alias("n_addresses"), F.sha2(joined, 256).alias("addr_key"))
 
 
@@ -106,5 +106,5 @@ def degrees(nodes: DataFrame, edges: DataFrame, keys: list[str]) -> DataFrame:
 def adjacency(edges: DataFrame, keys: list[str], near: str, far: str, chunk: int = 1024) -> DataFrame:
     """Neighbour lists in pieces: one list holds the neighbours of one range of ``chunk`` node numbers."""
     piece = F.floor(F.col(far) / chunk).alias("piece")
-    grouped = edges.groupBy(*keys, F.col(near).alias("node_id"), piece).agg(F.array_sort(F.collect_set(far)).alias("neighbours"))
+    grouped = edges.groupBy(*keys, F.col(near).alias("node_id"), piece).agg(F.sort_array(F.collect_set(far)).alias("neighbours"))
     return grouped

@@ -3,9 +3,9 @@
 Five name patterns of a library are tried in order of priority; inside a pattern the package with the
 fewest characters outside the match wins, then the smallest name. Testing every pattern on
 every package would be a cross join. Instead each package offers its substrings, and a library
-finds them by equality: in a library name ``_`` stands for ``-`` or ``_`` and ``.`` for any character, so a
-name always matches text of its own length, and blotting out those places on both sides makes the
-match an equi-join.
+finds them by equality. In a library name ``_`` stands for ``-`` or ``_`` and ``.`` for any character, so a
+name always matches text of its own length: with dashes folded into underscores and the places of dots
+blotted out, the match is an equi-join, and what it finds is checked against the exact rule.
 """
 
 from __future__ import annotations
@@ -25,17 +25,37 @@ def irregular(libs: DataFrame) -> DataFrame:
     return libs.filter(~F.col("lib").rlike(REGULAR)).select("lib").distinct()
 
 
-def _mask(lib: Column) -> Column:
-    return F.regexp_replace(lib, r"[^_.]", "x")
+def _fold(text: Column) -> Column:
+    return F.translate(text, "-", "_")
 
 
 def _blot(text: Column, mask: Column) -> Column:
-    """Text with the places of the mask replaced as in the library name that the mask was made from."""
-    chars = F.zip_with(
-        F.split(text, ""), F.split(mask, ""),
-        lambda c, m: F.when(m == ".", ".").when((m == "_") & c.isin("-", "_"), "_").otherwise(c),
+    """Text with a dot wherever the mask has one."""
+    at = F.instr(mask, ".")
+    one = F.concat(text.substr(F.lit(1), at - 1), F.lit("."), text.substr(at + 1, F.length(text)))
+    chars = F.zip_with(F.split(text, ""), F.split(mask, ""), lambda c, m: F.when(m == ".", ".").otherwise(c))
+    single = F.length(mask) - F.length(F.replace(mask, F.lit("."), F.lit(""))) == 1
+    return F.when(single, one).otherwise(F.array_join(chars, ""))
+
+
+def _holds(lib: Column, part: Column) -> Column:
+    """Whether each dash of the library name is a dash in the text; only folded names need the check."""
+    same = F.zip_with(F.split(lib, ""), F.split(part, ""), lambda c, p: (c != "-") | (p == "-"))
+    return ~(F.contains(lib, F.lit("-")) & F.contains(part, F.lit("_"))) | F.forall(same, lambda x: x)
+
+
+def _found(wanted: DataFrame, parts: DataFrame) -> DataFrame:
+    """Substrings of packages that a library name matches."""
+    plain = wanted.filter(~F.contains("lib", F.lit("."))).withColumn("key", _fold(F.col("lib")))
+    direct = parts.withColumn("key", _fold(F.col("part"))).join(plain, "key")
+    dotted = wanted.filter(F.contains("lib", F.lit("."))).select(
+        "lib", F.regexp_replace("lib", r"[^.]", "x").alias("mask"), F.length("lib").alias("len"), _fold(F.col("lib")).alias("key")
     )
-    return F.when(F.contains(mask, F.lit("_")) | F.contains(mask, F.lit(".")), F.array_join(chars, "")).otherwise(text)
+    masked = parts.join(dotted.select("mask", "len").distinct(), "len").withColumn(
+        "key", _blot(_fold(F.col("part")), F.col("mask"))
+    )
+    blotted = masked.join(dotted.drop("len"), ["key", "mask"]).drop("mask")
+    return direct.unionByName(blotted).filter(_holds(F.col("lib"), F.col("part"))).drop("key")
 
 
 def _substrings(packages: DataFrame) -> DataFrame:
@@ -57,10 +77,7 @@ def _substrings(packages: DataFrame) -> DataFrame:
 def candidates(libs: DataFrame, packages: DataFrame) -> DataFrame:
     """Best package per library and pattern: (lib, priority, outside, pkg)."""
     wanted = libs.filter(F.col("lib").rlike(REGULAR)).select("lib").distinct()
-    masked = wanted.select("lib", _mask(F.col("lib")).alias("mask"), F.length("lib").alias("len"))
-    parts = _substrings(packages.select("pkg").distinct())
-    keyed = parts.join(masked.select("mask", "len").distinct(), "len").withColumn("key", _blot(F.col("part"), F.col("mask")))
-    found = keyed.join(masked.select(F.col("lib").alias("key"), "mask", "lib"), ["key", "mask"])
+    found = _found(wanted, _substrings(packages.select("pkg").distinct()))
 
     before, name = F.col("lib_before"), F.col("len")
 

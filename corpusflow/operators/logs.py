@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusflow.functions import loglines
+from corpusflow.functions.rows import with_once
 from corpusflow.operators.ordered import latest, position_in_key
 
 SNAPSHOT_TAGS = ["n_success", "n_total"]
@@ -17,7 +18,7 @@ def snapshot(log: DataFrame) -> DataFrame:
     """Counts of each repository by its last line; a line without Makefiles sets them to zero."""
     summary = loglines.groups(F.col("line"), loglines.SUMMARY, len(loglines.SUMMARY_FIELDS))
     nothing = loglines.groups(F.col("line"), loglines.NO_MAKEFILES, len(loglines.NO_MAKEFILES_FIELDS))
-    parsed = log.select("line_no", summary.alias("s"), nothing.alias("n")).filter("s is not null or n is not null")
+    parsed = with_once(log.select("line_no", "line"), s=summary, n=nothing).filter("s is not null or n is not null")
 
     def field(name: str):
         return F.get("s", F.lit(loglines.SUMMARY_FIELDS.index(name)))

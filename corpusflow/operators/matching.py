@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusflow.functions import ccode
+from corpusflow.functions.rows import with_once
 from corpusflow.operators.ordered import latest
 
 
@@ -28,21 +29,24 @@ def lines_of_known_functions(lines: DataFrame, known: DataFrame, spread: int = 8
 
 def decoded_lines(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(decoded rows, rejected lines)."""
-    parsed = lines.withColumn("_j", ccode.decoded(F.col("line")))
+    parsed = lines.select("*", F.inline(F.array(ccode.decoded(F.col("line")))))
     kept = [c for c in lines.columns if c != "line"]
-    good = parsed.filter("_j._corrupt is null and _j.raw_code is not null")
-    bad = parsed.filter("_j._corrupt is not null or _j.raw_code is null")
-    return (
-        good.select(*kept, F.col("_j.raw_code").alias("raw_code"), F.col("_j.ast").alias("ast")),
-        bad.select(*kept, "line"),
-    )
+    good = parsed.filter("_corrupt is null and raw_code is not null")
+    bad = parsed.filter("_corrupt is not null or raw_code is null")
+    return good.select(*kept, "raw_code", "ast"), bad.select(*kept, "line")
+
+
+def variable_rows(rows: DataFrame) -> DataFrame:
+    """One row per variable of each function; functions in which one id has different names are left out."""
+    found = with_once(rows, triples=ccode.variables(F.col("raw_code"))).filter(~ccode.conflicting(F.col("triples")))
+    return found.select(*[c for c in rows.columns if c != "raw_code"], F.inline("triples"))
 
 
 def cleaned_functions(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(cleaned functions, quarantined ones). A function is put aside when one variable id has
     different names or no free prefix is found."""
     raw = F.col("raw_code")
-    prepared = rows.withColumn("triples", ccode.variables(raw)).withColumn("prefix", ccode.safe_prefix(raw))
+    prepared = with_once(rows, triples=ccode.variables(raw), prefix=ccode.safe_prefix(raw))
     reason = F.when(ccode.conflicting(F.col("triples")), "conflicting_names").when(F.col("prefix").isNull(), "no_prefix")
     checked = prepared.withColumn("reason", reason)
     code = ccode.cleaned(raw, F.col("prefix"), F.col("func_name"))

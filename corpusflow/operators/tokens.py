@@ -11,16 +11,25 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusflow.functions import ccode
+from corpusflow.functions.rows import with_once
+from corpusflow.operators.ordered import latest
 
 
-def tokens(files: DataFrame, key: str, code: str = "code", clustered: bool = False) -> DataFrame:
-    """(key, pos, value, type, line, col, offset) of all tokens; line and column count from one.
+def by_file(files: DataFrame, key: str) -> DataFrame:
+    """Files spread by their key over twice the configured number of partitions.
 
-    ``clustered`` says that the rows are already partitioned by the key.
+    The number is given, as adaptive execution would size partitions by the compressed text, of which
+    the token rows are a large multiple.
     """
-    placed = files.select(key, code)
-    if not clustered:
-        placed = placed.repartition(key)
+    return files.repartition(2 * int(files.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
+
+
+def tokens(files: DataFrame, key: str, code: str = "code") -> DataFrame:
+    """(key, piece, pos, value, type, line, col, offset) of all tokens; line and column count from one.
+
+    ``piece`` also counts the spaces; it orders the tokens like ``pos``, and rows come sorted by it.
+    """
+    placed = by_file(files.select(key, code), key)
     exploded = placed.select(key, F.posexplode(ccode.pieces(F.col(code))).alias("i", "value"))
     order = Window.partitionBy(key).orderBy("i")
     before = order.rowsBetween(Window.unboundedPreceding, -1)
@@ -40,8 +49,8 @@ def tokens(files: DataFrame, key: str, code: str = "code", clustered: bool = Fal
         (F.coalesce(F.sum("newlines").over(before), zero) + 1).alias("line"),
         (F.col("offset") - F.coalesce(F.last(newline_at, ignorenulls=True).over(before), F.lit(-1))).alias("col"),
     )
-    kept = located.filter("not space")
-    return kept.select(key, "pos", "value", ccode.token_type(F.col("value")).alias("type"), "line", "col", "offset")
+    kept = located.filter("not space").withColumnRenamed("i", "piece")
+    return kept.select(key, "piece", "pos", "value", ccode.token_type(F.col("value")).alias("type"), "line", "col", "offset")
 
 
 def token_at(token_rows: DataFrame, probes: DataFrame, key: str, probe_id: str) -> DataFrame:
@@ -76,52 +85,70 @@ def spans(token_rows: DataFrame, key: str) -> DataFrame:
 
     An item ends with a semicolon outside braces or with the brace that closes it.
     """
-    order = Window.partitionBy(key).orderBy("pos")
+    order = Window.partitionBy(key).orderBy("piece")
     before = order.rowsBetween(Window.unboundedPreceding, -1)
     change = F.when(F.col("value") == "{", 1).when(F.col("value") == "}", -1).otherwise(0)
     zero = F.lit(0).cast("bigint")
-    deep = token_rows.withColumn("depth", F.coalesce(F.sum(change).over(before), zero)).select(
-        "*", F.lag("value").over(order).alias("before1"), F.lead("value").over(order).alias("after1"),
-        F.lead("value", 2).over(order).alias("after2"),
+    deep = token_rows.select(
+        key, "piece", "pos", "value", "offset", F.coalesce(F.sum(change).over(before), zero).alias("depth"),
+        F.lead("value").over(order).alias("after1"), F.lead("value", 2).over(order).alias("after2"),
     )
     ends = ((F.col("depth") <= 0) & (F.col("value") == ";")) | ((F.col("depth") == 1) & (F.col("value") == "}"))
     return deep.withColumn("item", F.coalesce(F.sum(F.when(ends, 1).otherwise(0)).over(before), zero))
 
 
-def top_level_items(token_rows: DataFrame, key: str) -> DataFrame:
-    """One row per top-level item that opens a brace, with what tells a function definition."""
-    rows = spans(token_rows, key)
-    value, depth = F.col("value"), F.col("depth")
-    opens = (depth == 0) & (value == "{")
+def item_ranges(token_rows: DataFrame, key: str) -> DataFrame:
+    """Positions that describe each top-level item with a brace; whole numbers only, so that the aggregate stays flat."""
+    value, pos = F.col("value"), F.col("pos")
+    outside = F.col("depth") == 0
     named = (
-        (depth == 0) & (F.col("type") == "id") & ~value.isin(ccode.NOT_A_NAME)
-        & (F.col("after1") == "(") & (F.coalesce("after2", F.lit("")) != "*")
+        ccode.is_identifier(value) & ~value.isin(ccode.NOT_A_NAME) & (F.col("after1") == "(")
+        & (F.coalesce("after2", F.lit("")) != "*")
     )
-    typed = (depth == 0) & ~value.isin(ccode.SPECIFIERS)
-    declared = (depth == 0) & ((value == "*") | named) & (F.col("pos") > 0)
-    items = rows.groupBy(key, "item").agg(
-        F.min("pos").alias("first"), F.max("pos").alias("last"), F.min("offset").alias("begin_at"),
-        (F.max("offset") + 1).alias("end_at"),
-        F.min_by("before1", F.when(opens, F.col("pos"))).alias("before_body"),
-        F.min(F.when(opens, F.col("pos"))).alias("body"),
-        F.min_by("value", F.when(named, F.col("pos"))).alias("func_name"),
-        F.min(F.when(typed, F.col("pos"))).alias("type_pos"), F.min(F.when(declared, F.col("pos"))).alias("declarator_pos"),
-        F.max_by("value", "pos").alias("closing"),
+    typed = ~value.isin(ccode.SPECIFIERS)
+    declared = ((value == "*") | named) & (pos > 0)
+    items = spans(token_rows, key).groupBy(key, "item").agg(
+        F.min(pos).alias("first"), F.max(pos).alias("last"), F.min("offset").alias("begin_at"),
+        (F.max("offset") + 1).alias("end_at"), F.min(F.when(outside & (value == "{"), pos)).alias("body"),
+        F.min(F.when(outside & named, pos)).alias("name_pos"), F.min(F.when(outside & typed, pos)).alias("type_pos"),
+        F.min(F.when(outside & declared, pos)).alias("declarator_pos"),
     )
-    return items.filter("body is not null and closing = '}'")
+    return items.filter("body is not null")
 
 
-def functions(items: DataFrame, key: str) -> DataFrame:
-    """Function definitions: name, token range, body and text range; the last definition of a name counts.
+def top_level_items(files: DataFrame, key: str, code: str = "code") -> DataFrame:
+    """Top-level items that hold a brace, with their tokens.
 
-    ``left`` is the first token of the type. Position zero counts as missing, then the declarator is taken.
+    Positions come from the token rows; the tokens are cut from the token list of the file itself, so token rows
+    are never collected. ``left`` is the first token of the type; position zero counts as missing, then the
+    declarator is taken.
     """
-    defined = items.filter("before_body = ')' and func_name is not null and body > first")
+    placed = by_file(files.select(key, code), key)
+    ranges = item_ranges(tokens(files, key, code), key)
+    per_file = ranges.groupBy(key).agg(
+        F.collect_list(F.struct(*[c for c in ranges.columns if c != key])).alias("items")
+    )
+    joined = with_once(placed.join(per_file, key), values=ccode.token_values(F.col(code)))
+    exploded = joined.select(key, "values", F.inline("items"))
     left = F.when(F.col("type_pos") > 0, F.col("type_pos")).otherwise(F.col("declarator_pos"))
-    columns = ["first", "last", "body", "begin_at", "end_at"]
-    place = F.max(F.struct("item", *columns, left.alias("left"))).alias("p")
-    return defined.groupBy(key, "func_name").agg(place).select(
-        key, "func_name", *[F.col(f"p.{c}").alias(c) for c in columns], F.col("p.left").alias("left")
+
+    def token(at):
+        return F.get("values", at.cast("int"))
+
+    cut = F.slice("values", (left + 1).cast("int"), (F.col("last") - left + 1).cast("int"))
+    found = exploded.select(
+        key, "item", "first", "last", "begin_at", "end_at", "body", left.alias("left"),
+        token(F.col("body") - 1).alias("before_body"), token(F.col("name_pos")).alias("func_name"),
+        token(F.col("last")).alias("closing"), F.when(left.isNotNull(), cut).alias("tokens"),
+    )
+    return found.filter("closing = '}'")
+
+
+def functions(items: DataFrame, key: str) -> DataFrame:
+    """Function definitions: name, token range, body, text range and tokens; the last definition of a name counts."""
+    defined = items.filter("before_body = ')' and func_name is not null and body > first")
+    return latest(
+        defined, [key, "func_name"], F.col("item"), ["first", "last", "body", "begin_at", "end_at", "left", "tokens"]
     )
 
 
@@ -133,20 +160,12 @@ def rejected_items(items: DataFrame, key: str) -> DataFrame:
     )
 
 
-def function_tokens(token_rows: DataFrame, found: DataFrame, key: str) -> DataFrame:
-    """Tokens of each function in order, from the left boundary to the closing brace."""
-    ranges = found.select(key, "func_name", "left", "last")
-    rows = token_rows.select(key, "pos", "value").join(ranges, key).filter("pos between left and last")
-    listed = F.transform(F.array_sort(F.collect_list(F.struct("pos", "value"))), lambda t: t["value"])
-    return rows.groupBy(key, "func_name", "left").agg(listed.alias("tokens"))
-
-
 def spliced(files: DataFrame, found: DataFrame, replacements: DataFrame, key: str) -> DataFrame:
     """File text with functions replaced by marked code; the rest of the text stays as it is."""
     pieces = found.join(replacements, [key, "func_name"]).select(
         key, F.struct("begin_at", "end_at", ccode.marked(F.col("func_name"), F.col("replacement")).alias("text")).alias("piece")
     )
-    per_file = pieces.groupBy(key).agg(F.array_sort(F.collect_list("piece")).alias("pieces"))
+    per_file = pieces.groupBy(key).agg(F.sort_array(F.collect_list("piece")).alias("pieces"))
     joined = files.join(per_file, key, "left")
 
     def assembled(text, parts):

@@ -129,7 +129,7 @@ def to_json(node_rows: DataFrame, keys: list[str]) -> DataFrame:
     events = node_rows.select(*keys, F.explode(F.array(
         event(F.col("pre"), 0, F.lit(0), opening), event(F.col("last"), 1, -F.col("depth"), closing)
     )).alias("e"))
-    text = F.array_join(F.transform(F.array_sort(F.collect_list("e")), lambda e: e["text"]), "")
+    text = F.array_join(F.sort_array(F.collect_list("e"))["text"], "")
     return events.groupBy(*keys).agg(text.alias("ast"))
 
 

@@ -19,29 +19,8 @@ def distinct_sources(sources: DataFrame) -> DataFrame:
 def original_functions(sources: DataFrame) -> DataFrame:
     """(sha, func_name, original_tokens) of all functions defined in the sources, which are unique on the hash."""
     plain = sources.withColumn("code", ccode.without_line_controls(F.col("code")))
-    rows = tokens.tokens(plain, "sha")
-    spanned = tokens.spans(rows, "sha")
-    typed = ~F.col("value").isin(ccode.SPECIFIERS)
-    named = (
-        (F.col("type") == "id") & ~F.col("value").isin(ccode.NOT_A_NAME) & (F.col("after1") == "(")
-        & (F.coalesce("after2", F.lit("")) != "*")
-    )
-    outside = F.col("depth") == 0
-    # All of an item is gathered in one aggregate, so the tokens need no second pass to be sliced.
-    items = spanned.groupBy("sha", "item").agg(
-        F.array_sort(F.collect_list(F.struct("pos", "value"))).alias("t"),
-        F.min("pos").alias("first"), F.max("pos").alias("last"),
-        F.min(F.when(outside & (F.col("value") == "{"), F.struct("pos", "before1"))).alias("body"),
-        F.min(F.when(outside & named, F.struct("pos", "value"))).alias("name"),
-        F.min(F.when(outside & typed, F.col("pos"))).alias("type_pos"),
-        F.min(F.when(outside & ((F.col("value") == "*") | named) & (F.col("pos") > 0), F.col("pos"))).alias("declarator_pos"),
-    )
-    defined = items.filter("body.before1 = ')' and name is not null and element_at(t, -1).value = '}'")
-    left = F.when(F.col("type_pos") > 0, F.col("type_pos")).otherwise(F.col("declarator_pos"))
-    values = F.transform(F.filter("t", lambda x: x["pos"] >= left), lambda x: x["value"])
-    rows = defined.select("sha", F.col("name.value").alias("func_name"), "item", values.alias("original_tokens"))
-    last = rows.groupBy("sha", "func_name").agg(F.max_by("original_tokens", "item").alias("original_tokens"))
-    return last
+    found = tokens.functions(tokens.top_level_items(plain, "sha"), "sha")
+    return found.select("sha", "func_name", F.col("tokens").alias("original_tokens"))
 
 
 def decompiled_functions(lines: DataFrame, known: DataFrame) -> DataFrame:
