@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusflow.functions import ccode
-from corpusflow.functions.rows import with_once
 from corpusflow.operators.ordered import latest
 
 
@@ -97,8 +96,12 @@ def spans(token_rows: DataFrame, key: str) -> DataFrame:
     return deep.withColumn("item", F.coalesce(F.sum(F.when(ends, 1).otherwise(0)).over(before), zero))
 
 
-def item_ranges(token_rows: DataFrame, key: str) -> DataFrame:
-    """Positions that describe each top-level item with a brace; whole numbers only, so that the aggregate stays flat."""
+def top_level_items(files: DataFrame, key: str, code: str = "code") -> DataFrame:
+    """Top-level items that hold a brace, with their tokens and the positions that describe them.
+
+    ``left`` is the first token of the type; position zero counts as missing, then the declarator is
+    taken. An item is part of one file, so its token list is bounded by an input row.
+    """
     value, pos = F.col("value"), F.col("pos")
     outside = F.col("depth") == 0
     named = (
@@ -107,39 +110,25 @@ def item_ranges(token_rows: DataFrame, key: str) -> DataFrame:
     )
     typed = ~value.isin(ccode.SPECIFIERS)
     declared = ((value == "*") | named) & (pos > 0)
-    items = spans(token_rows, key).groupBy(key, "item").agg(
+    items = spans(tokens(files, key, code), key).groupBy(key, "item").agg(
+        F.sort_array(F.collect_list(F.struct("pos", "value")))["value"].alias("values"),
         F.min(pos).alias("first"), F.max(pos).alias("last"), F.min("offset").alias("begin_at"),
         (F.max("offset") + 1).alias("end_at"), F.min(F.when(outside & (value == "{"), pos)).alias("body"),
         F.min(F.when(outside & named, pos)).alias("name_pos"), F.min(F.when(outside & typed, pos)).alias("type_pos"),
         F.min(F.when(outside & declared, pos)).alias("declarator_pos"),
     )
-    return items.filter("body is not null")
-
-
-def top_level_items(files: DataFrame, key: str, code: str = "code") -> DataFrame:
-    """Top-level items that hold a brace, with their tokens.
-
-    Positions come from the token rows; the tokens are cut from the token list of the file itself, so token rows
-    are never collected. ``left`` is the first token of the type; position zero counts as missing, then the
-    declarator is taken.
-    """
-    placed = by_file(files.select(key, code), key)
-    ranges = item_ranges(tokens(files, key, code), key)
-    per_file = ranges.groupBy(key).agg(
-        F.collect_list(F.struct(*[c for c in ranges.columns if c != key])).alias("items")
-    )
-    joined = with_once(placed.join(per_file, key), values=ccode.token_values(F.col(code)))
-    exploded = joined.select(key, "values", F.inline("items"))
     left = F.when(F.col("type_pos") > 0, F.col("type_pos")).otherwise(F.col("declarator_pos"))
 
     def token(at):
-        return F.get("values", at.cast("int"))
+        return F.get("values", (at - F.col("first")).cast("int"))
 
-    cut = F.slice("values", (left + 1).cast("int"), (F.col("last") - left + 1).cast("int"))
-    found = exploded.select(
+    # Positions inside an item are consecutive, so a token is found by its distance from the first one.
+    cut = F.slice("values", (left - F.col("first") + 1).cast("int"), (F.col("last") - left + 1).cast("int"))
+    found = items.filter("body is not null").select(
         key, "item", "first", "last", "begin_at", "end_at", "body", left.alias("left"),
-        token(F.col("body") - 1).alias("before_body"), token(F.col("name_pos")).alias("func_name"),
-        token(F.col("last")).alias("closing"), F.when(left.isNotNull(), cut).alias("tokens"),
+        F.when(F.col("body") > F.col("first"), token(F.col("body") - 1)).alias("before_body"),
+        token(F.col("name_pos")).alias("func_name"), token(F.col("last")).alias("closing"),
+        F.when(left.isNotNull(), cut).alias("tokens"),
     )
     return found.filter("closing = '}'")
 

@@ -49,8 +49,11 @@ def working_path(spark: SparkSession, name: str) -> str:
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint, so that every later use sees the same rows."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(working_root(df.sparkSession))
-    return df.checkpoint(eager=True)
+    """Cut the lineage: write the rows once as a table in the shared folder and read them from there.
+
+    Every later use sees the same rows, reads only the columns it needs and knows the size of the table.
+    """
+    spark = df.sparkSession
+    path = working_path(spark, "settled")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
