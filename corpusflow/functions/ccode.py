@@ -115,7 +115,7 @@ def without_registers(code: Column) -> Column:
 def with_full_name(code: Column, name: Column) -> Column:
     """Put back the underscore that the decompiler takes off function names."""
     short = F.concat(F.lit(r"(?<![a-zA-Z0-9_])\Q"), F.substring(name, 2, 1 << 20), F.lit(r"\E(?![a-zA-Z0-9_])"))
-    full = F.regexp_replace(name, r"\$", r"\\\\\\$")
+    full = F.replace(name, F.lit("$"), F.lit("\\$"))
     repaired = F.regexp_replace(code, short, full)
     return F.when(F.startswith(name, F.lit("_")) & (F.length(name) > 1), repaired).otherwise(code)
 

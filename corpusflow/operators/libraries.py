@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusflow.operators.ordered import spread_by
+
 # The endings after a library name in the patterns.
 VERSION = r"(?:-?[0-9.]+)?"
 DEV = "-dev"
@@ -77,7 +79,7 @@ def _substrings(packages: DataFrame) -> DataFrame:
 def candidates(libs: DataFrame, packages: DataFrame) -> DataFrame:
     """Best package per library and pattern: (lib, priority, outside, pkg)."""
     wanted = libs.filter(F.col("lib").rlike(REGULAR)).select("lib").distinct()
-    found = _found(wanted, _substrings(packages.select("pkg").distinct()))
+    found = _found(wanted, _substrings(spread_by(packages.select("pkg").distinct(), "pkg")))
 
     before, name = F.col("lib_before"), F.col("len")
 

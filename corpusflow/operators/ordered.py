@@ -16,6 +16,15 @@ BLOCK = 1 << 18
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row number in the low 33 bits
 
 
+def spread_by(df: DataFrame, key: str) -> DataFrame:
+    """Rows spread by a key over twice the configured number of partitions, before they are exploded.
+
+    The number is given, as adaptive execution would size partitions by the compact rows, of which the
+    exploded ones are a large multiple.
+    """
+    return df.repartition(2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
+
+
 def running_total(
     df: DataFrame,
     keys: list[str],

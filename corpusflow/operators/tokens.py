@@ -11,16 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusflow.functions import ccode
-from corpusflow.operators.ordered import latest
-
-
-def by_file(files: DataFrame, key: str) -> DataFrame:
-    """Files spread by their key over twice the configured number of partitions.
-
-    The number is given, as adaptive execution would size partitions by the compressed text, of which
-    the token rows are a large multiple.
-    """
-    return files.repartition(2 * int(files.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
+from corpusflow.operators.ordered import latest, spread_by
 
 
 def tokens(files: DataFrame, key: str, code: str = "code") -> DataFrame:
@@ -28,7 +19,7 @@ def tokens(files: DataFrame, key: str, code: str = "code") -> DataFrame:
 
     ``piece`` also counts the spaces; it orders the tokens like ``pos``, and rows come sorted by it.
     """
-    placed = by_file(files.select(key, code), key)
+    placed = spread_by(files.select(key, code), key)
     exploded = placed.select(key, F.posexplode(ccode.pieces(F.col(code))).alias("i", "value"))
     order = Window.partitionBy(key).orderBy("i")
     before = order.rowsBetween(Window.unboundedPreceding, -1)

@@ -64,8 +64,16 @@ def _walk(root: dict) -> list[tuple]:
     return rows
 
 
-def nodes(trees: DataFrame, keys: list[str], ast: str) -> DataFrame:
-    """One row per node of each tree; trees that are not valid JSON give none (see ``undecodable``)."""
+def _parsed(text: str) -> dict | None:
+    try:
+        tree = json.loads(text)
+    except (ValueError, TypeError, RecursionError):
+        return None
+    return tree if isinstance(tree, dict) else None
+
+
+def _exploded(trees: DataFrame, keys: list[str], ast: str) -> DataFrame:
+    """Node rows; a tree that cannot be decoded gives one row with a negative ``pre``."""
     names = [c.split()[0] for c in NODE_COLUMNS.split(", ")]
     key_types = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in trees.select(*keys).schema)
     whole = {"pre", "last", "parent", "depth", "ordinal", "list_size", "child_index", "token_pos"}
@@ -76,16 +84,23 @@ def nodes(trees: DataFrame, keys: list[str], ast: str) -> DataFrame:
             for start in range(0, len(batch), 256):
                 out = []
                 for row in batch.iloc[start:start + 256].itertuples(index=False):
-                    out += [[*row[:-1], *node] for node in _walk(json.loads(row[-1]))]
+                    tree = _parsed(row[-1])
+                    found = _walk(tree) if tree is not None else [[-1, *[None] * (len(names) - 1)]]
+                    out += [[*row[:-1], *node] for node in found]
                 frame = pd.DataFrame(out, columns=[*keys, *names])
                 yield frame.astype({c: "Int64" for c in whole})
 
-    valid = trees.filter(F.try_parse_json(ast).isNotNull()).select(*keys, ast)
-    return valid.mapInPandas(explode, f"{key_types}, {NODE_COLUMNS}")
+    return trees.select(*keys, ast).mapInPandas(explode, f"{key_types}, {NODE_COLUMNS}")
+
+
+def nodes(trees: DataFrame, keys: list[str], ast: str) -> DataFrame:
+    """One row per node of each tree; trees that are not valid JSON give none."""
+    return _exploded(trees, keys, ast).filter("pre >= 0")
 
 
-def undecodable(trees: DataFrame, ast: str) -> DataFrame:
-    return trees.filter(F.try_parse_json(ast).isNull())
+def undecodable(trees: DataFrame, keys: list[str], ast: str) -> DataFrame:
+    """Keys of the trees that are not valid JSON."""
+    return _exploded(trees, keys, ast).filter("pre < 0").select(*keys)
 
 
 def fold(node_rows: DataFrame, keys: list[str], results: dict[str, Column]) -> DataFrame:
