@@ -135,7 +135,7 @@ def _(v):
         F.concat(F.lit("c"), F.substring("sha", 1, 1)).alias("repo_owner"),
         F.concat(F.lit("r"), F.substring("sha", 1, 2)).alias("repo_name"), "*",
     )
-    writers.matched_functions(owned.repartition("repo_owner", "repo_name"), path)
+    writers.matched_functions(owned, path, spread=2)
     back = v.spark.read.schema("repo_owner string, repo_name string, sha string, func_name string, line_pos bigint").json(path)
     return back.groupBy("repo_owner", "repo_name", "sha").agg(F.count("*").alias("n"))
 
@@ -148,7 +148,7 @@ def _(v):
         F.concat(F.lit("o"), F.substring("sha", 1, 1)).alias("repo_owner"), F.col("file_id").cast("string").alias("repo_name"),
         "sha", ccode.without_header(F.col("code")).alias("code"),
     )
-    writers.source_corpus(owned.repartition("repo_owner"), path)
+    writers.source_corpus(owned, path)
     return v.spark.read.parquet(path).select("repo_owner", "sha", F.md5("code").alias("digest"))
 
 

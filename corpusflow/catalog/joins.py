@@ -56,6 +56,14 @@ def _(v):
     return joins.first_claims(v("makefile_binary")).select(*REPO_KEY, "sha", "directory", "path")
 
 
+@query("win02_work_items", """
+with c as (select repo_owner, repo_name, sha, min(makefile_pos * 100000000000 + binary_pos) as place, min_by(directory, makefile_pos * 100000000000 + binary_pos) as directory
+    from $makefile_binary m where exists (select 1 from $binaries b where b.repo_owner = m.repo_owner and b.repo_name = m.repo_name and b.sha = m.sha and b.success) group by all)
+select repo_owner, repo_name, sha, directory from c""")
+def _(v):
+    return joins.work_items(v("makefile_binary"), v("binaries")).select(*REPO_KEY, "sha", "directory")
+
+
 @query("jn05_sources_with_output", """
 select file_id, sha from $c_source where sha in (select sha from $decompiled)""")
 def _(v):

@@ -8,15 +8,22 @@ from pyspark.sql import functions as F
 REPORT_HEADER = ["Repo", "Makefile", "Status", "Failed Reason?"]
 
 
-def matched_functions(matched: DataFrame, path: str) -> None:
+def _spread_out(df: DataFrame, keys: list[str], within: list[str], spread: int) -> DataFrame:
+    """Rows gathered by the folder they go to; a folder is cut into up to ``spread`` files, so
+    that one with very many rows is not written by one task."""
+    return df.repartition(*keys, F.pmod(F.xxhash64(*within), F.lit(spread)))
+
+
+def matched_functions(matched: DataFrame, path: str, spread: int = 1) -> None:
     """Matched functions as JSON lines below owner and name."""
-    matched.write.mode("overwrite").partitionBy("repo_owner", "repo_name").json(path)
+    keys = ["repo_owner", "repo_name"]
+    _spread_out(matched, keys, ["sha", "func_name"], spread).write.mode("overwrite").partitionBy(*keys).json(path)
 
 
-def source_corpus(sources: DataFrame, path: str) -> None:
+def source_corpus(sources: DataFrame, path: str, spread: int = 8) -> None:
     """One record per hash below its owner."""
     kept = sources.select("repo_owner", "repo_name", "sha", "code")
-    kept.write.mode("overwrite").partitionBy("repo_owner").parquet(path)
+    _spread_out(kept, ["repo_owner"], ["sha"], spread).write.mode("overwrite").partitionBy("repo_owner").parquet(path)
 
 
 def makefile_report(report: DataFrame, path: str) -> None:
@@ -32,11 +39,6 @@ def libraries(names: DataFrame, path: str) -> None:
 
 
 def decompiled_functions(functions: DataFrame, path: str, spread: int = 1) -> None:
-    """JSON lines of each binary below a folder of its hash.
-
-    ``spread`` cuts the rows of one hash into as many files, so that a hash with very many functions is not
-    written by one task.
-    """
-    salt = F.pmod(F.xxhash64("function", "raw_code"), F.lit(spread))
-    spread_out = functions.select("sha", "function", "ast", "raw_code").repartition("sha", salt)
-    spread_out.write.mode("overwrite").partitionBy("sha").json(path)
+    """JSON lines of each binary below a folder of its hash."""
+    kept = functions.select("sha", "function", "ast", "raw_code")
+    _spread_out(kept, ["sha"], ["function", "raw_code"], spread).write.mode("overwrite").partitionBy("sha").json(path)
