@@ -7,6 +7,7 @@ from corpusflow.functions import ccode
 from corpusflow.functions.rows import with_once
 from corpusflow.operators import matching, tokens
 from corpusflow.plans import match_run
+from corpusflow.session import settle
 
 RE = ccode.token_pattern(own="").replace("'", "''")
 _VAR = r"@@VAR_(\d+)@@([^@]+)@@([_a-zA-Z0-9]+)"
@@ -194,7 +195,7 @@ _NEW_CODE = "'int ' || func_name || '(void) { return ' || cast(file_id as string
 
 def _spliced(v):
     files = _files(v)
-    found = tokens.functions(tokens.top_level_items(files, "file_id"), "file_id")
+    found = settle(tokens.functions(tokens.top_level_items(files, "file_id"), "file_id").drop("tokens"))
     new = found.filter("func_name not like 'pick%'").select("file_id", "func_name", F.expr(_NEW_CODE).alias("replacement"))
     return tokens.spliced(files, found, new, "file_id")
 

@@ -17,23 +17,29 @@ VARIABLE = ["binary_id", "func_id", "name"]
 PAGE = 1 << 16  # addresses per partial set
 
 
-def address_sets(uses: DataFrame, keep_auto: bool = False) -> DataFrame:
-    """Address set of each variable, as its size and an order-free digest.
-
-    Sets are collected per page of addresses, so that a list never exceeds a page, and the digests of
-    the pages make the digest of the set. Equal digests are equal sets, as with content hashes.
-    """
-    rows = uses.filter("ea is not null")
-    if not keep_auto:
-        rows = rows.filter(~F.col("name").rlike(AUTO_NAME))
+def _sets(rows: DataFrame, visit: str | None = None) -> DataFrame:
+    """Address set per variable; ``visit`` also gives its earliest visit. Without addresses the key is null."""
+    first = [] if visit is None else [F.min(visit).alias("first_visit")]
     pages = rows.groupBy(*VARIABLE, F.floor(F.col("ea") / PAGE).alias("page")).agg(
-        F.sort_array(F.collect_set("ea")).alias("addresses")
+        F.sort_array(F.collect_set("ea")).alias("addresses"), *first
     )
     digests = pages.select(
-        *VARIABLE, "page", F.size("addresses").cast("bigint").alias("n"), F.sha2(F.array_join("addresses", ","), 256).alias("digest")
+        *VARIABLE, *["first_visit" for _ in first], F.size("addresses").cast("bigint").alias("n"),
+        F.when(F.col("page").isNotNull(), F.struct("page", F.sha2(F.array_join("addresses", ","), 256).alias("digest"))).alias("part"),
     )
-    joined = F.array_join(F.sort_array(F.collect_list(F.struct("page", "digest")))["digest"], ",")
-    return digests.groupBy(*VARIABLE).agg(F.sum("n").alias("n_addresses"), F.sha2(joined, 256).alias("addr_key"))
+    parts = F.sort_array(F.collect_list("part"))
+    key = F.when(F.size(parts) > 0, F.sha2(F.array_join(parts["digest"], ","), 256))
+    again = [F.min("first_visit").alias("first_visit") for _ in first]
+    return digests.groupBy(*VARIABLE).agg(F.sum("n").alias("n_addresses"), key.alias("addr_key"), *again)
+
+
+def address_sets(uses: DataFrame) -> DataFrame:
+    """Address set of each variable that the decompiler did not name itself, as its size and an order-free digest.
+
+    Sets are collected per page of addresses, so that a list never exceeds a page, and the digests of
+    the pages make the digest of the set. Equal digests are equal sets, as with content hashes.
+    """
+    return _sets(uses.filter("ea is not null").filter(~F.col("name").rlike(AUTO_NAME)))
 
 
 def address_names(uses: DataFrame) -> DataFrame:
@@ -46,11 +52,9 @@ def address_names(uses: DataFrame) -> DataFrame:
 
 def rename_variables(uses: DataFrame, names: DataFrame) -> DataFrame:
     """New name of each variable by its address set, else its own; ``first_visit`` is its earliest use."""
-    todo = uses.filter(~F.col("name").rlike(RENAMED))
-    visits = todo.groupBy(*VARIABLE).agg(F.min("visit").alias("first_visit"))
-    sets = address_sets(todo, keep_auto=True)
+    sets = _sets(uses.filter(~F.col("name").rlike(RENAMED)), visit="visit")
     usable = names.filter(F.col("new_name") != AMBIGUOUS)
-    found = visits.join(sets, VARIABLE, "left").join(usable, ["binary_id", "addr_key"], "left")
+    found = sets.join(usable, ["binary_id", "addr_key"], "left")
     return found.select(*VARIABLE, "first_visit", F.coalesce("new_name", "name").alias("new_name"))
 
 
