@@ -7,7 +7,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_LOCAL_ROOT: dict[str, str] = {}
+_LOCAL_ROOT: dict[str, tempfile.TemporaryDirectory] = {}  # removed when the program ends
 
 
 def build_session(master: str | None = None, app: str = "corpusflow", **conf: str) -> SparkSession:
@@ -28,19 +28,19 @@ def build_session(master: str | None = None, app: str = "corpusflow", **conf: st
 
 
 def working_root(spark: SparkSession) -> str:
-    """Folder shared by all executors, taken from ``spark.checkpoint.dir``.
+    """Folder shared by all executors: ``spark.checkpoint.dir`` or the checkpoint folder of the context.
 
     Only a local master may fall back to a temporary folder of the machine.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
     app_id = spark.sparkContext.applicationId
     if app_id not in _LOCAL_ROOT:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        _LOCAL_ROOT[app_id] = tempfile.mkdtemp(prefix="corpusflow-")
-    return _LOCAL_ROOT[app_id]
+        _LOCAL_ROOT[app_id] = tempfile.TemporaryDirectory(prefix="corpusflow-", ignore_cleanup_errors=True)
+    return _LOCAL_ROOT[app_id].name
 
 
 def working_path(spark: SparkSession, name: str) -> str:

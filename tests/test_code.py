@@ -9,6 +9,7 @@ from corpusflow.functions import ccode
 from corpusflow.operators import matching, tokens, trees
 from corpusflow.plans import match_run
 
+# Nested declarators and the positions of their type tokens.
 DECLARATORS = """
 typedef int some_type;
 
