@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusflow.llm import mixing
+from corpusflow.llm import html_text, mixing, secrets, url_filter
 from corpusflow.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -69,3 +69,26 @@ def mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
     rows = mixed.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))))
     return rows.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+
+
+@query("op2_url_filter")
+def filter_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on the URL of every page; a page is labelled by the quality of the document whose number its URL ends with."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    number = F.expr("try_cast(nullif(regexp_extract(url, '/([0-9]{1,18})(?:[./?#]|$)', 1), '') as bigint)")
+    labels = table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.min("quality").alias("quality"))
+    labelled = pages.withColumn("doc_id", number).join(labels, "doc_id").select("url", (1 - F.col("quality")).alias("bad"))
+    return url_filter.judge(pages, labelled)
+
+
+@query("op5_scan_secrets")
+def scan_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document, by fixed patterns and by the models trained on what these find."""
+    docs = table(spark, sf_dir, "documents")
+    return secrets.scan(docs, secrets.train(docs))
+
+
+@query("op9_extract_html")
+def extract_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html_text.main_text(table(spark, sf_dir, "pages"))

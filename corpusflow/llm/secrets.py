@@ -1,0 +1,167 @@
+"""Secret scan: fixed patterns, and character Markov models of random strings and of ordinary identifiers.
+
+Fixed patterns find assignments, access keys and long hexadecimal runs. Further tokens are scored by two first-order Markov models over
+bytes, one of random strings and one of ordinary words; a token whose log-likelihood ratio is above a limit is a secret too. Both models are
+trained on labelled samples: values that the fixed patterns found are random, words outside of them are ordinary. The models are two tables of byte
+pairs, so their size is fixed; the counts cover all documents.
+
+Defined results: a null text is an empty one; repeated rows each get a result; very long texts and tokens are scanned whole; without any labelled
+sample of random strings the method adds nothing; an empty table gives an empty table. Only doc_id and text are read.
+"""
+
+from __future__ import annotations
+
+import hashlib
+import re
+from collections import Counter
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from corpusflow.llm.common import encoded, map_parts, map_texts
+
+# Fixed patterns: (kind, pattern, group that is measured, least length). ASCII only; letters of the names in either case.
+_ASSIGN = re.compile(
+    r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII | re.IGNORECASE
+)
+_ACCESS = re.compile(r"AKIA[A-Z0-9]+")
+_HEX = re.compile(r"[0-9a-f]{24,}")  # runs are maximal, so shorter ones need no look
+_PATTERNS = (("assign", _ASSIGN, 2, 6), ("access", _ACCESS, 0, 20), ("hex", _HEX, 0, 24))
+KINDS = ("assign", "access", "hex", "model")
+
+#: Tokens the models look at: at least this long, of the characters of keys, with a digit or both cases inside.
+_TOKEN = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
+#: The ratio must be above this for the token as a whole, and above PER_CHAR for each of its characters.
+LIMIT = 20.0
+PER_CHAR = 0.9
+SMOOTHING = 0.5
+_BASE = 128
+
+
+def base_spans(text: str) -> list[tuple[str, int, int]]:
+    """Spans of the fixed patterns, kind by kind: leftmost, non-overlapping, then those too short dropped."""
+    return [
+        (kind, m.start(), m.end())
+        for kind, pattern, group, least in _PATTERNS
+        for m in pattern.finditer(text)
+        if m.end(group) - m.start(group) >= least
+    ]
+
+
+def joined(spans: list[tuple[str, int, int]]) -> str:
+    return ",".join(f"{k}:{a}:{b}" for k, a, b in sorted(spans, key=lambda s: (s[1], KINDS.index(s[0]), s[2])))
+
+
+def _pairs(strings: bytes) -> np.ndarray:
+    """Counts of adjacent byte pairs of strings that byte 0 sets apart; bytes of other scripts count as one."""
+    codes = np.frombuffer(b"\0" + strings, np.uint8).astype(np.int32)
+    np.minimum(codes, _BASE - 1, out=codes)
+    pairs = codes[:-1] * _BASE + codes[1:]
+    return np.bincount(pairs[codes[1:] != 0], minlength=_BASE * _BASE)
+
+
+def _samples(texts: Iterator[str | None]) -> Iterator[dict[str, list]]:
+    """Byte pairs of the values that the fixed patterns find and of the words outside of them."""
+    sums = {label: np.zeros(_BASE * _BASE, np.int64) for label in ("random", "ordinary")}
+    for text in texts:
+        if not text:
+            continue
+        kept, at = [], 0
+        for kind, a, b in sorted(base_spans(text), key=lambda s: s[1]):
+            value = re.split("[:=]", text[a:b], maxsplit=1)[1].lstrip(" \"'") if kind == "assign" else text[a:b]
+            sums["random"] += _pairs(encoded(value))
+            kept.append(text[at:a])
+            at = max(at, b)
+        words = " ".join([*kept, text[at:]]) if kept else text
+        sums["ordinary"] += _pairs(b"\0".join(encoded(words).split()))
+    for label, counts in sums.items():
+        pairs = np.flatnonzero(counts)
+        yield {"label": [label] * len(pairs), "pair": pairs, "n": counts[pairs]}
+
+
+def train(docs: DataFrame) -> np.ndarray | None:
+    """Log-likelihood ratio, random to ordinary, for each byte pair; None without samples of random strings."""
+    parts = map_parts(docs, "text", _samples, {"label": "string", "pair": "int", "n": "long"})
+    rows = parts.groupBy("label", "pair").agg(F.sum("n").alias("n")).toPandas()  # at most 2 * 128 * 128 rows
+    tables = {}
+    for label in ("random", "ordinary"):
+        own = rows[rows["label"] == label]
+        if own.empty:
+            return None
+        table = np.zeros(_BASE * _BASE)
+        table[own["pair"].to_numpy()] = own["n"].to_numpy()
+        table = table.reshape(_BASE, _BASE)
+        shares = table.sum(axis=0) + SMOOTHING
+        shares /= shares.sum()
+        weight = SMOOTHING * _BASE  # an unseen pair backs off to the share of its second byte
+        tables[label] = np.log((table + weight * shares) / (table.sum(axis=1, keepdims=True) + weight))
+    return (tables["random"] - tables["ordinary"]).astype(np.float32)
+
+
+def ratio(model: np.ndarray, token: str) -> float:
+    codes = np.minimum(np.frombuffer(b"\0" + encoded(token), np.uint8), _BASE - 1)
+    return float(model[codes[:-1], codes[1:]].sum())
+
+
+def model_spans(text: str, base: list[tuple[str, int, int]], model: np.ndarray | None, limit: float, per_char: float):
+    if model is None:
+        return []
+    found, taken = [], sorted((a, b) for _, a, b in base)
+    at = 0
+    for m in _TOKEN.finditer(text):
+        a, b = m.span()
+        while at < len(taken) and taken[at][1] <= a:
+            at += 1
+        if any(x < b and y > a for x, y in taken[at : at + 3]):
+            continue
+        token = m.group()
+        varied = any(c.isdigit() for c in token) or (token[1:] != token[1:].lower() and token != token.upper())
+        if varied and (score := ratio(model, token)) > limit and score > per_char * len(token):
+            found.append(("model", a, b))
+    return found
+
+
+def scan(docs: DataFrame, model: np.ndarray | None, limit: float = LIMIT, per_char: float = PER_CHAR) -> DataFrame:
+    """(doc_id, n_assign, n_access, n_hex, n_model, base_sha256, spans) of each row of ``docs`` (doc_id, text)."""
+
+    def each(text: str | None) -> tuple:
+        text = text or ""
+        base = base_spans(text)
+        more = model_spans(text, base, model, limit, per_char)
+        n = Counter(k for k, _, _ in base)
+        return n["assign"], n["access"], n["hex"], len(more), hashlib.sha256(joined(base).encode()).hexdigest(), joined(base + more)
+
+    fields = {"n_assign": "long", "n_access": "long", "n_hex": "long", "n_model": "long", "base_sha256": "string", "spans": "string"}
+    return map_texts(docs, ["doc_id"], "text", each, fields)
+
+
+def redact(docs: DataFrame, model: np.ndarray | None, mask: str = "[secret]", limit: float = LIMIT, per_char: float = PER_CHAR) -> DataFrame:
+    """The same rows with each secret replaced in ``text`` and, where there is one, ``n_chars`` set anew; a null text stays."""
+
+    @F.pandas_udf("string")
+    def cleaned(texts: pd.Series) -> pd.Series:
+        def one(text):
+            if not text:
+                return text
+            base = base_spans(text)
+            spans = sorted((a, b) for _, a, b in base + model_spans(text, base, model, limit, per_char))
+            if not spans:
+                return text
+            parts, at = [], 0
+            for a, b in spans:
+                if b <= at:
+                    continue
+                if a >= at:
+                    parts += [text[at:a], mask]
+                at = b
+            return "".join([*parts, text[at:]])
+
+        return texts.map(one, na_action="ignore").astype(object)
+
+    out = docs.withColumn("text", cleaned(F.col("text")))
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return out.select(*docs.columns)
