@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusflow.llm import html_text, mixing, secrets, url_filter
+from corpusflow.llm import decontaminate, html_text, mixing, quality_rules, secrets, simhash, url_filter
 from corpusflow.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -92,3 +92,66 @@ def scan_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 def extract_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     return html_text.main_text(table(spark, sf_dir, "pages"))
+
+
+@query("op3_decontaminate")
+def decontaminate_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which items of the benchmark every document holds."""
+    return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op10_near_duplicates")
+def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component of every document over fingerprints that differ in at most four bits."""
+    found = simhash.grouped(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.hex("fp")).alias("fingerprint"), F.col("rep.doc_id").alias("component_id"))
+
+
+def _risk_sql() -> str:
+    """The text of op8: the rules and grids are those of the operator."""
+    scores = {
+        "symbols": "n_symbols / greatest(n_words, 1)", "dup_lines": "10 * n_dup_lines / greatest(n_words, 1)",
+        "repeats": "n_repeat_words / greatest(n_words, 1)", "upper": "n_upper / greatest(word_chars, 1)",
+        "long_words": "word_chars / greatest(n_words, 1)",
+    }
+    share = quality_rules.RISK / len(quality_rules.GRIDS)
+    grid = ", ".join(f"('{r}', {c})" for r, cuts in quality_rules.GRIDS for c in cuts)
+    score = " ".join(f"when '{r}' then {e}" for r, e in scores.items())
+    return rf"""
+with texts as (select row_number() over () as row, doc_id, coalesce(lang, '') as stratum, coalesce(text, '') as t from documents),
+split as (select *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') as w, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) as l from texts),
+windows as (
+  select row, unnest(range(1, len(w) - 3)) as i, unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(list_slice(w, i, i + 4), ' '))) as g
+  from split where len(w) >= 5),
+twins as (select row, i, count(*) over (partition by row, g) as n from windows),
+covered as (select row, count(distinct i + k) as n from twins, range(5) r(k) where n > 1 group by row),
+found as (
+  select row, doc_id, stratum, cast(len(w) as bigint) as n_words, cast(length(array_to_string(w, '')) as bigint) as word_chars,
+    cast(len(regexp_extract_all(t, '[#*$%&|<>]')) as bigint) as n_symbols, cast(len(regexp_extract_all(t, '[A-Z]')) as bigint) as n_upper,
+    cast(len(l) - len(list_distinct(l)) as bigint) as n_dup_lines, cast(coalesce(c.n, 0) as bigint) as n_repeat_words
+  from split left join covered c using (row)),
+based as (select *, n_words < 10 or 100 * n_repeat_words > 20 * n_words as base_failed from found),
+good as (select f.* from based f join (select doc_id, max(quality) as good from labels where quality is not null group by doc_id) k using (doc_id)
+  where k.good = 1 and not base_failed),
+grid(rule, cut) as (values {grid}),
+sizes as (select stratum, count(*) as n from good group by stratum),
+counts as (
+  select g.stratum, rule, cut, count(*) filter (where case rule {score} end > cut) as k from good g, grid group by all),
+tested as (
+  select c.stratum, rule, cut, case when k > n * {share!r} then 1.0 else
+    (select sum(exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({share!r}) + (n - i) * ln(1 - {share!r}))) from range(k + 1) r(i)) end as p
+  from counts c join sizes using (stratum)),
+cuts as (
+  select stratum, rule, min(cut) as cut from tested
+  where p <= {quality_rules.LEVEL!r} / ((select count(*) from sizes) * {len(quality_rules.GRIDS)}) group by stratum, rule),
+failing as (select distinct b.row from based b join cuts c using (stratum) where case rule {score} end > cut)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  not base_failed and f.row is null as kept from based left join failing f using (row)
+"""
+
+
+@query("op8_quality_rules", _risk_sql())
+def quality_rules_with_risk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule counts of every document and whether it stays, at thresholds controlled on the labelled ones."""
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("good"))
+    return quality_rules.judge(table(spark, sf_dir, "documents"), labels).drop("failed")
