@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusflow.llm import decontaminate, html_text, mixing, quality_rules, secrets, simhash, url_filter
+from corpusflow.llm import (
+    decontaminate, html_text, language_id, mixing, quality_model, quality_rules, secrets, simhash, token_count, url_filter,
+)
 from corpusflow.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -155,3 +157,26 @@ def quality_rules_with_risk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rule counts of every document and whether it stays, at thresholds controlled on the labelled ones."""
     labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("good"))
     return quality_rules.judge(table(spark, sf_dir, "documents"), labels).drop("failed")
+
+
+VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
+
+
+@query("op4_count_tokens")
+def count_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document under the pieces and scores of a public vocabulary."""
+    return token_count.token_counts(table(spark, sf_dir, "documents"), token_count.read_vocabulary(VOCABULARY))
+
+
+@query("op6_quality_classifier")
+def classify_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Perplexity of every document and whether it stays."""
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("good"))
+    return quality_model.classify(table(spark, sf_dir, "documents"), labels)
+
+
+@query("op7_identify_language")
+def identify_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from those that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    return language_id.predict(docs, language_id.train(docs))
