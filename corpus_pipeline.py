@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusflow.llm import decontaminate, mixing, quality_model, secrets, simhash
+from corpusflow.llm import decontaminate, mixing, quality_model, secret_scan, simhash
 from corpusflow.llm.common import table
 from corpusflow.session import settle
 
@@ -31,7 +31,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return secrets.redact(docs, secrets.train(docs))
+    return secret_scan.redact(docs, secret_scan.train(docs))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from corpusflow.llm.common import encoded, running_sums
+from corpusflow.llm.common import encoded, map_texts, running_sums
 from corpusflow.session import settle
 
 ERROR_RATE = 0.05
@@ -123,8 +123,8 @@ def find_items(
 ) -> DataFrame:
     """(doc_id, text_hash, item_id, distance) of each item found in a text; rows of the same doc_id and text come once."""
     spark = docs.sparkSession
-    normalised = F.udf(normal, "string")  # one row per test item
-    wanted = settle(items.select("item_id", normalised(F.col("text")).alias("text")).filter(F.length("text") >= least_chars))
+    wanted = map_texts(items, ["item_id"], "text", lambda t: (normal(t),), {"normal": "string"}).withColumnRenamed("normal", "text")
+    wanted = settle(wanted.filter(F.length("text") >= least_chars))
     placed = settle(running_sums(wanted, [], ["text", "item_id"], {"before": F.length("text")}).withColumn(
         "block", F.floor(F.col("before") / F.lit(block_chars))
     ))

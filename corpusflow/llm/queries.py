@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusflow.llm import (
-    decontaminate, html_text, language_id, mixing, quality_model, quality_rules, secrets, simhash, token_count, url_filter,
+    decontaminate, html_text, language_id, mixing, quality_model, quality_rules, secret_scan, simhash, token_count, url_filter,
 )
 from corpusflow.llm.common import table
 
@@ -87,7 +87,7 @@ def filter_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 def scan_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in every document, by fixed patterns and by the models trained on what these find."""
     docs = table(spark, sf_dir, "documents")
-    return secrets.scan(docs, secrets.train(docs))
+    return secret_scan.scan(docs, secret_scan.train(docs))
 
 
 @query("op9_extract_html")
