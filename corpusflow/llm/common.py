@@ -30,6 +30,16 @@ def let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def packed(df: DataFrame, **columns: Column) -> DataFrame:
+    """Whole rows as one column ``_row`` beside the given columns, so that no name of theirs can clash with an operator's own."""
+    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"), *[c.alias(n) for n, c in columns.items()])
+
+
+def unpacked(names: list[str]) -> list[Column]:
+    """The columns of the rows that ``packed`` put away."""
+    return [F.col("_row").getField(n).alias(n) for n in names]
+
+
 def encoded(text: str | None) -> bytes:
     """UTF-8 bytes of a text; unpaired surrogates, which Arrow never delivers, would be replaced."""
     return (text or "").encode("utf-8", "replace")

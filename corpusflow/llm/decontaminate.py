@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from corpusflow.llm.common import encoded, map_texts, running_sums
+from corpusflow.llm.common import encoded, map_texts, packed, running_sums, unpacked
 from corpusflow.session import settle
 
 ERROR_RATE = 0.05
@@ -181,5 +181,6 @@ def contamination(docs: DataFrame, items: DataFrame, **settings) -> DataFrame:
 def clean_documents(docs: DataFrame, items: DataFrame, **settings) -> DataFrame:
     """The rows of ``docs`` that hold no item."""
     hits = settle(find_items(docs, items, **settings)).select(F.col("doc_id").alias("_doc_id"), F.col("text_hash").alias("_hash")).distinct()
-    same = F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.xxhash64("text") == F.col("_hash"))
-    return docs.join(hits, same, "left_anti")
+    rows = packed(docs, id=F.col("doc_id"), hash=F.xxhash64("text"))
+    same = F.col("id").eqNullSafe(F.col("_doc_id")) & (F.col("hash") == F.col("_hash"))
+    return rows.join(hits, same, "left_anti").select(*unpacked(docs.columns))

@@ -40,6 +40,7 @@ _BOILERPLATE = re.compile(
     r"(?:$|[-_\s\d])", re.IGNORECASE,
 )
 _HEADER = re.compile(r"(?:^|[-_\s])(?:site|page|global|top|main)?[-_]?header(?:$|[-_\s\d])", re.IGNORECASE)
+_CUT = re.compile(r"<[/!?]?[A-Za-z][^<>]*\Z")  # a tag that the end of the page cuts off
 _SPACE = re.compile(r"\s+")
 #: Elements whose end tag may be left out, and what ends them.
 _ENDS = {"p": BLOCK, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"}, "option": {"option"}}
@@ -141,7 +142,7 @@ def threshold(values: np.ndarray) -> float:
 
 def extract(html: str | None, sigma: float = SIGMA) -> str:
     page = Lines()
-    page.feed(html or "")
+    page.feed(_CUT.sub("", html or ""))
     page.close()
     if not page.lines:
         return ""

@@ -22,7 +22,7 @@ from corpusflow.session import settle
 BUCKETS = 1 << 15
 FIT, CALIBRATE = 3200, 800
 EPOCHS = 3
-ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.02, 0.001
+ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.05, 0.001
 UNKNOWN = "und"
 _MULTIPLIERS = ((0x9E3779B97F4A7C15,), (0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9), (0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB))
 

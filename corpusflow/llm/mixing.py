@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusflow.llm.common import WORD, running_sums
+from corpusflow.llm.common import WORD, packed, running_sums, unpacked
 from corpusflow.session import settle
 
 WEIGHTS = (1, 2, 3)
@@ -113,9 +113,7 @@ def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_rep
     decided = mix(docs, weights, max_repeats).filter("copies > 0").select(
         F.col("doc_id").alias("_doc_id"), F.col("source").alias("_source"), F.col("size").alias("_size"), F.col("copies").alias("_copies")
     )
-    same = (
-        F.col("doc_id").eqNullSafe(F.col("_doc_id")) & F.col("source").eqNullSafe(F.col("_source"))
-        & (word_count(F.col("text")) == F.col("_size"))
-    )
+    rows = packed(docs, id=F.col("doc_id"), from_=F.col("source"), words=word_count(F.col("text")))
+    same = F.col("id").eqNullSafe(F.col("_doc_id")) & F.col("from_").eqNullSafe(F.col("_source")) & (F.col("words") == F.col("_size"))
     columns = [c for c in docs.columns if c != "copies"]
-    return docs.join(decided, same).select(*columns, F.col("_copies").alias("copies"))
+    return rows.join(decided, same).select(*unpacked(columns), F.col("_copies").alias("copies"))

@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusflow.llm.common import encoded, map_parts, map_texts
+from corpusflow.llm.common import encoded, map_parts, map_texts, packed, unpacked
 from corpusflow.session import settle
 
 ORDER = 4
@@ -221,6 +221,6 @@ def good_documents(docs: DataFrame, labels: DataFrame, quantile: float = QUANTIL
         return pd.Series([(s + mean * PRIOR) / (n + PRIOR) if n else math.inf for n, s in rows], dtype=float)
 
     few = F.broadcast(limits) if limits.count() <= 10_000 else limits
-    few = few.withColumnRenamed("threshold", "_threshold")
-    judged = docs.withColumn("_nll", smoothed(F.col("text"))).join(few, _stratum() == F.col("_stratum"), "left")
-    return judged.filter(F.col("_nll") <= F.coalesce("_threshold", F.lit(1e300))).select(*docs.columns)
+    rows = packed(docs, stratum=_stratum(), nll=smoothed(F.col("text")))
+    judged = rows.join(few, F.col("stratum") == F.col("_stratum"), "left")
+    return judged.filter(F.col("nll") <= F.coalesce("threshold", F.lit(1e300))).select(*unpacked(docs.columns))

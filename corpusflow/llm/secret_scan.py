@@ -2,7 +2,7 @@
 
 Fixed patterns find assignments, access keys and long hexadecimal runs. Further tokens are scored by two first-order Markov models over
 bytes, one of random strings and one of ordinary words; a token whose log-likelihood ratio is above a limit is a secret too. Both models are
-trained on labelled samples: values that the fixed patterns found are random, words outside of them are ordinary. The models are two tables of byte
+trained on labelled samples: values that the fixed patterns found are random, words outside of them and shorter than a token are ordinary. The models are two tables of byte
 pairs, so their size is fixed; the counts cover all documents.
 
 Defined results: a null text is an empty one; repeated rows each get a result; very long texts and tokens are scanned whole; without any labelled
@@ -75,7 +75,8 @@ def _samples(texts: Iterator[str | None]) -> Iterator[dict[str, list]]:
             sums["random"] += _pairs(encoded(value))
             kept.append(text[at:a])
             at = max(at, b)
-        words = " ".join([*kept, text[at:]]) if kept else text
+        # Tokens that the models will judge are no labelled sample: secrets among them would count as ordinary.
+        words = _TOKEN.sub(" ", " ".join([*kept, text[at:]]))
         sums["ordinary"] += _pairs(b"\0".join(encoded(words).split()))
     for label, counts in sums.items():
         pairs = np.flatnonzero(counts)

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusflow.llm.common import lowered, map_texts
+from corpusflow.llm.common import lowered, map_texts, packed, unpacked
 from corpusflow.session import settle
 
 SEED = 42
@@ -334,7 +334,8 @@ STAGE = {"radius": 166, "shingle": 5, "words": 16, "ratio": 0.8, "coarse": (4, 6
 
 def one_of_each(docs: DataFrame, **settings) -> DataFrame:
     """The rows of ``docs``, a stored table, without those of which a near copy with a smaller (doc_id, place) is there."""
-    numbered = docs.withColumn("_near_row", F.monotonically_increasing_id())
-    groups = grouped(numbered, tie=F.col("_near_row"), **(STAGE | settings))
+    numbered = packed(docs, doc_id=F.col("doc_id"), text=F.col("text"), place=F.monotonically_increasing_id())
+    groups = grouped(numbered, tie=F.col("place"), **(STAGE | settings))
     gone = settle(groups.filter(F.col("tie") != F.col("rep.tie")).select(F.col("tie").alias("_gone")))
-    return numbered.join(gone, F.col("_near_row") == F.col("_gone"), "left_anti").select(*docs.columns)
+    rows = packed(docs, place=F.monotonically_increasing_id())
+    return rows.join(gone, F.col("place") == F.col("_gone"), "left_anti").select(*unpacked(docs.columns))
