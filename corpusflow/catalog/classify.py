@@ -35,7 +35,7 @@ def _(v):
 with t as (select w.idx, r.repo_owner is not null as known, coalesce(r.clone_successful, false) as cloned,
     coalesce(r.compiled, false) as compiled, w.idx % 5 = 0 as archived, w.idx % 4 = 0 as folder
     from (select idx, 'c' || cast(idx % 1000 as string) as o, 'r' || cast(idx as string) as n from $repo_list where trim(line) <> '') w
-    left join $repos r on r.repo_owner = w.o and r.repo_name = w.n),
+    left join $repos_before r on r.repo_owner = w.o and r.repo_name = w.n),
 p as (select *, case when known and cloned and compiled then 'skip' when archived then 'extract'
     when not known or (cloned and not compiled and not folder) then 'clone' when not cloned then 'dummy' else 'reuse' end as source from t)
 select idx, source, source not in ('skip', 'dummy') and (not known or not compiled) as needs_compile from p""")
@@ -43,7 +43,7 @@ def _(v):
     from corpusflow.plans.build_run import plan_work
 
     inventory = F.col("idx") % 5 == 0, F.col("idx") % 4 == 0
-    return plan_work(v("repo_list"), v("repos"), *inventory).select("idx", "source", "needs_compile")
+    return plan_work(v("repo_list"), v("repos_before"), *inventory).select("idx", "source", "needs_compile")
 
 
 @query("prj04_paths_in_repo", """
@@ -164,7 +164,7 @@ def _(v):
 
 
 @query("cls03_decompile_outcome", """
-with d as (select distinct sha from $decompiled where func_name = '_f7')
+with d as (select distinct sha from $decompiled)
 select b.sha, case when d.sha is not null then 'Success' when b.success is null then 'TimedOut'
     when b.repo_owner is null then 'NoVariables' when not b.success then 'UnknownError' else 'Success' end as status
 from $binaries b left join d using (sha)""")
@@ -175,7 +175,7 @@ def _(v):
         "sha", F.col("success").isNull().alias("timed_out"),
         F.when(F.col("repo_owner").isNull(), 0).otherwise(3).alias("variables"), (~F.col("success")).alias("failed"),
     )
-    present = v("decompiled").filter("func_name = '_f7'").select("sha")
+    present = v("decompiled").select("sha")
     return classify_attempts(attempts, present).select("sha", "status")
 
 

@@ -170,9 +170,9 @@ def _(v):
 
 @query("win04_matching_braces", f"""
 with {FUNCTIONS}
-select fn.file_id, fn.body as start, fn.last as "right" from fn where func_name like 'pick%'""")
+select fn.file_id, fn.body as start, fn.last as "right" from fn""")
 def _(v):
-    found = tokens.functions(_items(v), "file_id").filter("func_name like 'pick%'")
+    found = tokens.functions(_items(v), "file_id")
     return tokens.matching_brace(_tokens(v), found.select("file_id", F.col("body").alias("start")), "file_id")
 
 

@@ -36,7 +36,7 @@ def _page():
 
 @query("src01_repo_list", "select idx, line from $repo_list")
 def _(v):
-    listed = v("repo_list").coalesce(1).sortWithinPartitions("idx").select("line")
+    listed = v("repo_list").repartitionByRange("idx").sortWithinPartitions("idx").select("line")
     return readers.repo_list(v.spark, staged_text(v, "repos", listed))
 
 
@@ -44,7 +44,7 @@ def _(v):
 def _(v):
     from corpusflow.plans.build_run import named_repos
 
-    listed = v("repo_list").coalesce(1).sortWithinPartitions("idx").select("line")
+    listed = v("repo_list").repartitionByRange("idx").sortWithinPartitions("idx").select("line")
     return named_repos(readers.repo_list(v.spark, staged_text(v, "repos", listed)))[1]
 
 
@@ -83,7 +83,7 @@ def _(v):
     path = working_path(v.spark, "decompiled")
     rows = v("lineitem").select(F.md5(F.col("l_suppkey").cast("string")).alias("sha"), F.expr(_SUPPLIER_LINE).alias("value"))
     blank = rows.select("sha").distinct().withColumn("value", F.lit(""))
-    rows.unionByName(blank).repartition("sha").write.partitionBy("sha").text(path)
+    rows.unionByName(blank).repartition("sha", F.pmod(F.xxhash64("value"), F.lit(8))).write.partitionBy("sha").text(path)
     return readers.decompiled_lines(v.spark, path).groupBy("sha", "line").agg(F.count("*").alias("n"))
 
 
@@ -187,7 +187,7 @@ def _(v):
 @query("stm01_streamed_state", """
 with n as (select r.*, s.repo_owner as so, coalesce(s.compiled, false) as sc, coalesce(s.num_makefiles, 0) as sm, coalesce(s.num_binaries, 0) as sb,
     s.repo_size as ss, s.clone_successful as sk, r.clone_success is not null or s.repo_owner is null as added
-    from $results r left join $repos s using (repo_owner, repo_name))
+    from $results r left join $repos_before s using (repo_owner, repo_name))
 select repo_owner, repo_name, case when added then coalesce(nullif(repo_size, 0), -1) else ss end as repo_size,
     case when added then coalesce(clone_success, true) else sk end as clone_successful, has_makefiles or sc as compiled,
     case when has_makefiles then num_makefiles else sm end as num_makefiles, case when has_makefiles then num_binaries else sb end as num_binaries from n""")
@@ -209,7 +209,7 @@ def _streamed(v):
     base = working_path(v.spark, "stream")
     results = v("results")
     results.repartitionByRange(3, "seq").write.parquet(f"{base}/in")
-    fold = ResultFold(v.spark, base, v("repos"))
+    fold = ResultFold(v.spark, base, v("repos_before"))
     source = v.spark.readStream.schema(results.schema).option("maxFilesPerTrigger", "1").parquet(f"{base}/in")
     start(source, fold).awaitTermination()
     return fold

@@ -85,8 +85,9 @@ def _(v):
 
 
 @query("js07_renamed_parts", r"""
-select sha, line_pos, regexp_extract(raw_code, '@@(VAR_\d+)@@', 1) as var_id, 'a1' as old_name, regexp_extract(raw_code, '@@a1@@(n\d+)', 1) as new_name from $decompiled""")
+with p as (select sha, line_pos, unnest(regexp_extract_all(raw_code, '@@VAR_\d+@@[^@]+@@\w+')) as name from $decompiled)
+select sha, line_pos, split_part(name, '@@', 2) as var_id, split_part(name, '@@', 3) as old_name, split_part(name, '@@', 4) as new_name from p""")
 def _(v):
-    name = F.regexp_extract("raw_code", r"@@VAR_\d+@@[^@]+@@\w+", 0)
-    var_id, old, new = renamed_parts(name)
-    return v("decompiled").select("sha", "line_pos", var_id.alias("var_id"), old.alias("old_name"), new.alias("new_name"))
+    names = F.regexp_extract_all("raw_code", F.lit(r"@@VAR_\d+@@[^@]+@@\w+"), F.lit(0))
+    var_id, old, new = renamed_parts(F.col("name"))
+    return v("decompiled").select("sha", "line_pos", F.explode(names).alias("name")).select("sha", "line_pos", var_id.alias("var_id"), old.alias("old_name"), new.alias("new_name"))

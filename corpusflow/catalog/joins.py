@@ -15,30 +15,30 @@ _NAMED = """(select idx, 'c' || cast(idx % 1000 as string) as repo_owner, 'r' ||
 
 @query("jn01_requests", f"""
 select w.idx, w.repo_owner, w.repo_name, s.repo_name is not null as known, s.clone_successful, s.compiled
-from {_NAMED} w left join $repos s using (repo_owner, repo_name)""")
+from {_NAMED} w left join $repos_before s using (repo_owner, repo_name)""")
 def _(v):
-    joined = build_run.requests(v("repo_list"), v("repos"))
+    joined = build_run.requests(v("repo_list"), v("repos_before"))
     return joined.select("idx", *REPO_KEY, "known", "clone_successful", "compiled")
 
 
 @query("jn02_unprocessed_repos", """
-select repo_owner, repo_name from $repos r where not exists (select 1 from $match_func m
+select repo_owner, repo_name from $repos r where not exists (select 1 from $match_func_before m
     where m.repo_owner = r.repo_owner and m.repo_name = r.repo_name and m.funcs_matched_without_ast = 0)""")
 def _(v):
-    return joins.unprocessed(v("repos"), v("match_func")).select(*REPO_KEY)
+    return joins.unprocessed(v("repos"), v("match_func_before")).select(*REPO_KEY)
 
 
 @query("jn03_binary_actions", _MAPPING + """
 select m.sha, case when b.sha is null then 'process' when b.repo_owner is null then 'migrate' else 'skip' end as action
-from m left join $binaries b on b.sha = m.sha""")
+from m left join $binaries_before b on b.sha = m.sha""")
 def _(v):
-    return decompile_run.binary_actions(rollups.binary_mapping(v("makefile_binary")), v("binaries")).select("sha", "action")
+    return decompile_run.binary_actions(rollups.binary_mapping(v("makefile_binary")), v("binaries_before")).select("sha", "action")
 
 
 @query("jn03_pending_binaries", """
-select distinct sha from $makefile_binary where sha not in (select sha from $binaries)""")
+select distinct sha from $makefile_binary where sha not in (select sha from $binaries_before)""")
 def _(v):
-    return decompile_run.pending(v("makefile_binary"), v("binaries")).select("sha")
+    return decompile_run.pending(v("makefile_binary"), v("binaries_before")).select("sha")
 
 
 @query("jn04_decompiled_for_repo", """
@@ -57,9 +57,13 @@ def _(v):
 
 
 @query("win02_work_items", """
-with c as (select repo_owner, repo_name, sha, min(makefile_pos * 100000000000 + binary_pos) as place, min_by(directory, makefile_pos * 100000000000 + binary_pos) as directory
-    from $makefile_binary m where exists (select 1 from $binaries b where b.repo_owner = m.repo_owner and b.repo_name = m.repo_name and b.sha = m.sha and b.success) group by all)
-select repo_owner, repo_name, sha, directory from c""")
+with c as (select repo_owner, repo_name, sha, min(makefile_pos * 100000000000 + binary_pos) as place, min_by(directory, makefile_pos * 100000000000 + binary_pos) as directory,
+    min_by(path, makefile_pos * 100000000000 + binary_pos) as path
+    from $makefile_binary m where exists (select 1 from $binaries b where b.repo_owner = m.repo_owner and b.repo_name = m.repo_name and b.sha = m.sha and b.success) group by all),
+d as (select *, floor(place / 100000000000) as makefile_pos from c),
+l as (select repo_owner, repo_name, directory, max(makefile_pos) as makefile_pos from d group by all)
+select repo_owner, repo_name, directory, max_by(sha, place) as sha from d semi join l using (repo_owner, repo_name, directory, makefile_pos)
+group by repo_owner, repo_name, directory, makefile_pos, path""")
 def _(v):
     return joins.work_items(v("makefile_binary"), v("binaries")).select(*REPO_KEY, "sha", "directory")
 
@@ -71,13 +75,13 @@ def _(v):
 
 
 @query("jn13_listed_products", """
-with listed as (select repo_name, directory, path, min(sha) as sha from $makefile_binary where success group by all)
+with listed as (select repo_name, directory, path, max_by(sha, binary_pos) as sha from $makefile_binary where success group by all)
 select m.repo_name, m.directory, m.path, l.sha, count(*) as n from $makefile_binary m join listed l using (repo_name, directory, path) group by all""")
 def _(v):
     keys = ["repo_name", "directory", "path"]
     produced = v("makefile_binary").select(*keys)
-    listed = v("makefile_binary").filter("success").select(*keys, "sha")
-    return joins.listed_products(produced, listed, keys).groupBy(*keys, "sha").agg(F.count("*").alias("n"))
+    listed = v("makefile_binary").filter("success").select(*keys, "sha", "binary_pos")
+    return joins.listed_products(produced, listed, keys, F.col("binary_pos")).groupBy(*keys, "sha").agg(F.count("*").alias("n"))
 
 
 _RANKED = r"""
@@ -105,13 +109,13 @@ def _(v):
 
 
 @query("src06_library_words", """
-select distinct 'R' || cast(l_suppkey as string) as library from lineitem where l_returnflag = 'R'""")
+select distinct l_returnflag || cast(l_suppkey as string) as library from lineitem""")
 def _(v):
     from corpusflow.catalog.files import staged_text
     from corpusflow.sources import readers
 
-    words = F.concat(F.lit("  R"), F.col("l_suppkey").cast("string"), F.lit(" \t "))
-    path = staged_text(v, "libraries", v("lineitem").filter("l_returnflag = 'R'").select(words.alias("value")))
+    words = F.concat(F.lit("  "), "l_returnflag", F.col("l_suppkey").cast("string"), F.lit(" \t "))
+    path = staged_text(v, "libraries", v("lineitem").select(words.alias("value")))
     return readers.library_log(v.spark, path)
 
 

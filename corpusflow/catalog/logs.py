@@ -38,7 +38,7 @@ def _(v):
     from corpusflow.sources.readers import lines
 
     log = v("compile_log").select("line_no", "line")
-    path = staged_text(v, "log", log.coalesce(1).sortWithinPartitions("line_no").select("line"))
+    path = staged_text(v, "log", log.repartitionByRange("line_no").sortWithinPartitions("line_no").select("line"))
     return lines(v.spark, path).select(F.col("idx").alias("line_no"), F.col("value").alias("line"))
 
 

@@ -28,7 +28,7 @@ def _(v):
     from corpusflow.functions.outcomes import eligible
 
     wanted = eligible(F.col("clone_successful"), F.col("compiled"), F.col("num_makefiles"), F.col("num_binaries"))
-    repos = v("repos").filter(wanted).withColumn("n", F.substring("repo_name", 2, 20).cast("bigint"))
+    repos = v("repos").filter(wanted).withColumn("n", F.substr("repo_name", F.lit(2)).cast("bigint"))
     return build_run.first_pending(repos, "n", 100).select("index", *REPO_KEY)
 
 

@@ -69,8 +69,7 @@ select *, case when n_success = n_total then 'success' else 'warning' end as lev
 from k""")
 def _(v):
     made = rollups.makefile_outcomes(v("makefile_binary"), REPO_KEY)
-    totals = made.groupBy(*REPO_KEY).agg(F.count("*").alias("n_total"))
-    return rollups.compile_summary(made.filter("success or n_binaries > 2"), REPO_KEY, totals)
+    return rollups.compile_summary(made, REPO_KEY, F.expr("success or n_binaries > 2"))
 
 
 @query("agg07_libraries_per_repo", r"""

@@ -30,10 +30,10 @@ select coalesce(s.repo_owner, u.repo_owner) as repo_owner, coalesce(s.repo_name,
     case when n then u.repo_size else s.repo_size end as repo_size,
     case when n then u.clone_successful else s.clone_successful end as clone_successful, coalesce(s.compiled, false) as compiled,
     coalesce(s.num_makefiles, 0) as num_makefiles, coalesce(s.num_binaries, 0) as num_binaries
-from $repos s full join u on s.repo_owner = u.repo_owner and s.repo_name = u.repo_name""")
+from $repos_before s full join u on s.repo_owner = u.repo_owner and s.repo_name = u.repo_name""")
 def _(v):
     updates = v("results").withColumn("clone_successful", F.coalesce("clone_success", F.lit(True)))
-    return state.add_repos(v("repos"), updates)
+    return state.add_repos(v("repos_before"), updates)
 
 
 @query("ups01_last_update_wins", """
@@ -45,7 +45,7 @@ def _(v):
         F.concat(F.lit("g"), (F.col("repo_size") % 10).cast("string")).alias("repo_owner"), F.lit("all").alias("repo_name"),
         F.col("clone_success").isNotNull().alias("clone_successful"), F.col("seq").alias("repo_size"), "seq",
     )
-    nothing = v("repos").filter(F.lit(False))
+    nothing = v("repos_before").filter(F.lit(False))
     return state.add_repos(nothing, many)
 
 
@@ -94,31 +94,31 @@ with u as (select sha, min_by(repo_owner, k) as repo_owner, min_by(repo_name, k)
 select coalesce(s.sha, u.sha) as sha, case when s.sha is not null then s.repo_owner else u.repo_owner end as repo_owner,
     case when s.sha is not null then s.repo_name else u.repo_name end as repo_name,
     case when u.sha is not null then u.success else s.success end as success
-from $binaries s full join u on s.sha = u.sha""")
+from $binaries_before s full join u on s.sha = u.sha""")
 def _(v):
-    seq = F.substring("repo_name", 2, 20).cast("bigint") * 8 + F.col("makefile_pos")
-    return state.add_binaries(v("binaries"), v("makefile_binary").withColumn("seq", seq))
+    seq = F.substr("repo_name", F.lit(2)).cast("bigint") * 8 + F.col("makefile_pos")
+    return state.add_binaries(v("binaries_before"), v("makefile_binary").withColumn("seq", seq))
 
 
 @query("ups04_add_match_results", """
 with u as (select repo_owner, repo_name, num_makefiles as a, num_makefiles + 3 as b, funcs_matched as c, without_ast as d from $results)
 select coalesce(s.repo_owner, u.repo_owner) as repo_owner, coalesce(s.repo_name, u.repo_name) as repo_name, coalesce(a, files_found) as files_found,
     coalesce(b, funcs_found) as funcs_found, coalesce(c, s.funcs_matched) as funcs_matched, coalesce(d, funcs_matched_without_ast) as funcs_matched_without_ast
-from $match_func s full join u on s.repo_owner = u.repo_owner and s.repo_name = u.repo_name""")
+from $match_func_before s full join u on s.repo_owner = u.repo_owner and s.repo_name = u.repo_name""")
 def _(v):
     updates = v("results").select(
         "repo_owner", "repo_name", "seq", F.col("num_makefiles").alias("files_found"),
         (F.col("num_makefiles") + 3).alias("funcs_found"), "funcs_matched", F.col("without_ast").alias("funcs_matched_without_ast"),
     )
-    return state.add_match_results(v("match_func"), updates)
+    return state.add_match_results(v("match_func_before"), updates)
 
 
 @query("ups05_result_decisions", """
 select r.seq, r.clone_success is not null or s.repo_owner is null as add_repo, coalesce(r.clone_success, true) as clone_successful,
     coalesce(nullif(r.repo_size, 0), -1) as stored_size, r.has_makefiles
-from $results r left join $repos s on s.repo_owner = r.repo_owner and s.repo_name = r.repo_name""")
+from $results r left join $repos_before s on s.repo_owner = r.repo_owner and s.repo_name = r.repo_name""")
 def _(v):
-    decided = state.repo_updates(v("results"), v("repos"))
+    decided = state.repo_updates(v("results"), v("repos_before"))
     return decided.select("seq", "add_repo", "clone_successful", "stored_size", "has_makefiles")
 
 
@@ -164,9 +164,9 @@ _LIBS = "select distinct lib as library from $lib_req"
 
 
 @query("set01_library_union", """
-select 'R' || cast(l_suppkey as string) as library from lineitem where l_returnflag = 'R' union select lib from $lib_req""")
+select l_returnflag || cast(l_suppkey as string) as library from lineitem union select lib from $lib_req""")
 def _(v):
-    log = v("lineitem").filter("l_returnflag = 'R'").select(F.concat(F.lit("R"), F.col("l_suppkey").cast("string")).alias("value"))
+    log = v("lineitem").select(F.concat("l_returnflag", F.col("l_suppkey").cast("string")).alias("value"))
     earlier = rollups.library_words(v("lib_req").withColumnRenamed("lib", "value"))
     return earlier.union(rollups.library_words(log)).distinct()
 

@@ -32,8 +32,7 @@ select a.func_id, a.path, count(*) as n_nodes, min(d.token_pos) as min_pos from
 @query("js03_subtree_folds", _FOLD)
 def _(v):
     rows = trees.nodes(v("c_ast"), ["func_id"], "ast")
-    own = F.max(F.when(F.col("pre") == F.col("root"), F.col("path")))
-    folded = trees.fold(rows, ["func_id"], {"path": own, "n_nodes": F.count("*"), "min_pos": F.min("token_pos")})
+    folded = trees.fold(rows, ["func_id"], {"n_nodes": ("sum", F.lit(1)), "min_pos": ("min", F.col("token_pos"))})
     return folded.drop("root")
 
 
@@ -43,8 +42,7 @@ select a.func_id, a.path, count(*) filter (where d.node_type = 'ID') as n_ids fr
     and (d.path = a.path or starts_with(d.path, a.path || '.')) group by all""")
 def _(v):
     rows = trees.nodes(v("c_ast"), ["func_id"], "ast")
-    own = F.max(F.when(F.col("pre") == F.col("root"), F.col("path")))
-    return trees.fold(rows, ["func_id"], {"path": own, "n_ids": F.count_if(F.col("node_type") == "ID")}).drop("root")
+    return trees.fold(rows, ["func_id"], {"n_ids": ("sum", (F.col("node_type") == "ID").cast("bigint"))}).drop("root")
 
 
 @query("js04_rebuilt_trees", r"""

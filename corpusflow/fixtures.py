@@ -1,8 +1,8 @@
 """Views over the given tables in the shape of the corpus tables.
 
 Each view is one SQL text that reads the same in Spark and DuckDB; ``$name`` stands for a
-table or another view. No view drops rows to make a check cheap: where a view keeps part of a table
-it is a snapshot before a date.
+table or another view. No view drops rows to make a check cheap: only the views named ``_before``, older states that
+a query brings up to date, keep the rows before a date.
 """
 
 from __future__ import annotations
@@ -11,13 +11,31 @@ import re
 import zlib
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 TABLES = [
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
     "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
 ]
 
+_REPOS = """
+select 'c' || cast(o_orderkey % 1000 as string) as repo_owner, 'r' || cast(o_orderkey as string) as repo_name,
+    cast(floor(o_totalprice * 1000) as bigint) as repo_size, o_orderpriority <> '5-LOW' as clone_successful,
+    o_orderstatus <> 'P' as compiled, o_orderkey % 8 as num_makefiles, o_custkey % 5 as num_binaries
+from $orders"""
+_BINARIES = """
+select sha256('p' || cast(l_partkey as string)) as sha,
+    case when l_partkey % 4 <> 0 then 'c' || cast(min(l_orderkey) % 1000 as string) end as repo_owner,
+    case when l_partkey % 4 <> 0 then 'r' || cast(min(l_orderkey) as string) end as repo_name,
+    l_partkey % 3 <> 0 as success
+from $lineitem group by l_partkey"""
+_MATCH_FUNC = """
+select 'c' || cast(o_orderkey % 1000 as string) as repo_owner, 'r' || cast(o_orderkey as string) as repo_name,
+    o_orderkey % 11 as files_found, o_orderkey % 97 + 20 as funcs_found, o_orderkey % 20 as funcs_matched,
+    case when o_orderkey % 3 = 0 then 0 else o_orderkey % 4 end as funcs_matched_without_ast
+from $orders"""
+# A state as of a date, for queries that bring it up to date: later orders are not in it yet.
+_ORDERED_BEFORE = " where o_orderdate < timestamp '1999-09-01 00:00:00'"
+
 VIEWS: dict[str, str] = {
     # One line of a repository list per order; one in six lines is blank.
     "repo_list": """
@@ -36,12 +54,8 @@ select 'c' || cast(l_orderkey % 1000 as string) as repo_owner, 'r' || cast(l_ord
     'obj/p' || cast(l_partkey as string) || '_s' || cast(l_suppkey as string) || '.o' as path,
     sha256('p' || cast(l_partkey as string)) as sha, (l_orderkey * 7 + l_linenumber * 3) % 5 <> 0 as success, l_shipdate as built
 from $lineitem""",
-    # State as of a date: later orders are not in it yet.
-    "repos": """
-select 'c' || cast(o_orderkey % 1000 as string) as repo_owner, 'r' || cast(o_orderkey as string) as repo_name,
-    cast(floor(o_totalprice * 1000) as bigint) as repo_size, o_orderpriority <> '5-LOW' as clone_successful,
-    o_orderstatus <> 'P' as compiled, o_orderkey % 8 as num_makefiles, o_custkey % 5 as num_binaries
-from $orders where o_orderdate < timestamp '1999-09-01 00:00:00'""",
+    "repos": _REPOS,
+    "repos_before": _REPOS + _ORDERED_BEFORE,
     # Outcome of processing each repository; null means that the stage did not run.
     "results": """
 select o_orderkey as seq, 'c' || cast(o_orderkey % 1000 as string) as repo_owner, 'r' || cast(o_orderkey as string) as repo_name,
@@ -50,17 +64,10 @@ select o_orderkey as seq, 'c' || cast(o_orderkey % 1000 as string) as repo_owner
     o_orderstatus <> 'O' as has_makefiles, o_custkey % 9 as num_makefiles, o_custkey % 4 as num_binaries,
     o_custkey % 3 as funcs_matched, o_custkey % 2 as without_ast
 from $orders""",
-    "binaries": """
-select sha256('p' || cast(l_partkey as string)) as sha,
-    case when l_partkey % 4 <> 0 then 'c' || cast(min(l_orderkey) % 1000 as string) end as repo_owner,
-    case when l_partkey % 4 <> 0 then 'r' || cast(min(l_orderkey) as string) end as repo_name,
-    l_partkey % 3 <> 0 as success
-from $lineitem group by l_partkey having min(l_shipdate) < timestamp '1995-06-01 00:00:00'""",
-    "match_func": """
-select 'c' || cast(o_orderkey % 1000 as string) as repo_owner, 'r' || cast(o_orderkey as string) as repo_name,
-    o_orderkey % 11 as files_found, o_orderkey % 97 + 20 as funcs_found, o_orderkey % 20 as funcs_matched,
-    case when o_orderkey % 3 = 0 then 0 else o_orderkey % 4 end as funcs_matched_without_ast
-from $orders where o_orderdate < timestamp '1999-09-01 00:00:00'""",
+    "binaries": _BINARIES,
+    "binaries_before": _BINARIES + " having min(l_shipdate) < timestamp '1995-06-01 00:00:00'",
+    "match_func": _MATCH_FUNC,
+    "match_func_before": _MATCH_FUNC + _ORDERED_BEFORE,
     "compile_log": """
 select event_id as line_no, ts, case
     when event_type = 'error' then cast(date_trunc('second', ts) as string) || ',123 WARNING: (Worker '
@@ -184,17 +191,7 @@ def _for_spark(sql: str, prefix: str) -> str:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table. One small file is one scan task, so its rows are spread over the cores first;
-    tables of many files are read as they are."""
-    frame = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{name}.parquet")
-    status = path.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(path)
-    cores = spark.sparkContext.defaultParallelism
-    if status.isFile() and 65536 < status.getLen() < 128 * 1024 * 1024:
-        # The row number keeps filters on derived columns from being moved back into the one scan task.
-        frame = frame.repartition(cores).withColumn("_spread", F.monotonically_increasing_id())
-        frame = frame.filter("_spread >= 0").drop("_spread")
-    return frame
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -15,7 +15,9 @@ HEADER_END = "typedef int __end_of_fake_libc__;"
 MARKER = "typedef int __func__"
 MARKER_BEGIN = "__begin;"
 MARKER_END = "__end;"
-JSON_SCHEMA = "function string, raw_code string, ast variant, _corrupt string"
+JSON_SCHEMA = "function string, raw_code string, _corrupt string"
+# Limits of the JSON reader, set out of reach: lines may nest and names may be as long as they like.
+JSON_OPTIONS = {"maxNestingDepth": str((1 << 31) - 1), "maxStringLen": str((1 << 31) - 1), "maxNumLen": str((1 << 31) - 1)}
 
 # Words of the C language.
 KEYWORDS = [
@@ -41,9 +43,6 @@ REPLACED_WORDS = {
     "__restrict__": "restrict", "__restrict": "restrict", "__volatile__": "volatile", "__volatile": "volatile",
 }
 DROPPED_CALLS = ["__asm__", "__asm", "volatile", "__volatile__", "__volatile", "__attribute__", "__attribute"]
-PSEUDO_TYPES = [
-    "_QWORD", "_DWORD", "_WORD", "_BYTE", "_BOOL8", "_BOOL4", "WCHAR", "gcc_va_list", "__compar_fn_t", "__asm__", "__asm",
-]
 
 def token_pattern(own: str = "+") -> str:
     """One alternation whose matches tile any text: strings, characters, numbers, words, operators, spaces, the rest.
@@ -65,7 +64,7 @@ def token_pattern(own: str = "+") -> str:
 
 TOKEN = token_pattern()
 _PARENS = r"[^()]*+"
-for _ in range(5):  # argument lists nested up to six deep
+for _ in range(63):  # the language need not support expressions nested deeper than 63
     _PARENS = rf"(?:[^()]++|\({_PARENS}\))*+"
 CALL = "(?:" + "|".join(DROPPED_CALLS) + rf")\s*+\({_PARENS}\)"
 
@@ -76,8 +75,19 @@ def function_name(json_line: Column) -> Column:
 
 
 def decoded(json_line: Column) -> Column:
-    """The line as a struct; ``_corrupt`` is set when it cannot be decoded."""
-    return F.from_json(json_line, JSON_SCHEMA, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
+    """The line as a struct without its tree; ``_corrupt`` is set when it cannot be decoded."""
+    return F.from_json(json_line, JSON_SCHEMA, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt", **JSON_OPTIONS})
+
+
+def tree_of(json_line: Column) -> Column:
+    """JSON text of the tree of a line that can be decoded.
+
+    The writer behind ``from_json`` stops at 1000 levels; a deeper tree is cut out of the line, where quotes inside of strings are
+    escaped, so that the names of the fields around it mark its ends.
+    """
+    read = F.from_json(json_line, "ast string", JSON_OPTIONS)["ast"]
+    cut = F.regexp_extract(json_line, r'(?s)"ast":\s*(\{.*\})\s*(?:,\s*"(?:function|raw_code)":|\}\s*$)', 1)
+    return F.coalesce(read, F.nullif(cut, F.lit("")))
 
 
 def variables(code: Column) -> Column:
@@ -85,7 +95,7 @@ def variables(code: Column) -> Column:
     def fields(match: Column) -> Column:
         parts = F.split(match, "@@")
         return F.struct(
-            F.substring(F.get(parts, F.lit(1)), 5, 1 << 20).alias("id"), F.get(parts, F.lit(2)).alias("decompiled"),
+            F.substr(F.get(parts, F.lit(1)), F.lit(5)).alias("id"), F.get(parts, F.lit(2)).alias("decompiled"),
             F.get(parts, F.lit(3)).alias("original"),
         )
 
@@ -98,10 +108,13 @@ def conflicting(triples: Column) -> Column:
 
 
 def safe_prefix(code: Column) -> Column:
-    """Identifier prefix that the code does not contain: ``v`` and three to ten letters; null when all occur."""
-    letters = F.translate(F.md5(code), "0123456789abcdef", "ghijklmnopqrstuv")
-    tries = [F.concat(F.lit("v"), F.substring(letters, 1, n)) for n in range(3, 11)]
-    return F.coalesce(*[F.when(~F.contains(code, p), p) for p in tries])
+    """Identifier prefix that the code does not contain: ``v`` and three to ten letters of its digest.
+
+    A code that contains all of these gets a longer digest whole, which a text cannot contain but by inverting the digest.
+    """
+    letters = lambda digest: F.translate(digest, "0123456789abcdef", "ghijklmnopqrstuv")
+    tries = [F.concat(F.lit("v"), F.substring(letters(F.md5(code)), 1, n)) for n in range(3, 11)]
+    return F.coalesce(*[F.when(~F.contains(code, p), p) for p in tries], F.concat(F.lit("v"), letters(F.sha2(code, 256))))
 
 
 def with_plain_variables(code: Column, prefix: Column) -> Column:
@@ -114,7 +127,7 @@ def without_registers(code: Column) -> Column:
 
 def with_full_name(code: Column, name: Column) -> Column:
     """Put back the underscore that the decompiler takes off function names."""
-    short = F.concat(F.lit(r"(?<![a-zA-Z0-9_])\Q"), F.substring(name, 2, 1 << 20), F.lit(r"\E(?![a-zA-Z0-9_])"))
+    short = F.concat(F.lit(r"(?<![a-zA-Z0-9_])\Q"), F.substr(name, F.lit(2)), F.lit(r"\E(?![a-zA-Z0-9_])"))
     full = F.replace(name, F.lit("$"), F.lit("\\$"))
     repaired = F.regexp_replace(code, short, full)
     return F.when(F.startswith(name, F.lit("_")) & (F.length(name) > 1), repaired).otherwise(code)
@@ -215,16 +228,25 @@ def marked_functions(code: Column) -> Column:
         name = line.substr(F.lit(len(MARKER) + 1), size)
         return F.when(is_marker, F.struct(name.alias("name"), (~ends).alias("begin"), index.alias("at")))
 
-    markers = F.array_compact(F.transform(lines, marker))
-    known = F.array_distinct(F.transform(markers, lambda m: m["name"]))
+    def let(value: Column, body) -> Column:
+        return F.transform(F.array(value), body)[0]
+
+    def functions(lasts: Column) -> Column:
+        """Ends sort before beginnings of the same name, so a function is two neighbours."""
+
+        def function(m: Column, i: Column) -> Column:
+            end = F.when(i > 0, F.get(lasts, i - 1))
+            text = F.array_join(F.slice(lines, m["at"] + 2, F.greatest(end["at"] - m["at"] - 1, F.lit(0))), "\n")
+            return F.when(m["begin"] & (end["name"] == m["name"]), F.struct(m["name"].alias("name"), text.alias("text")))
+
+        return F.array_compact(F.transform(lasts, function))
 
-    def last(name: Column, begin: bool) -> Column:
-        hits = F.filter(markers, lambda m: (m["name"] == name) & (m["begin"] == F.lit(begin)))
-        return F.array_max(F.transform(hits, lambda m: m["at"]))
+    def last_of_kind(markers: Column) -> Column:
+        def last(m: Column, i: Column) -> Column:
+            after = F.get(markers, i + 1)
+            return F.coalesce((after["name"] != m["name"]) | (after["begin"] != m["begin"]), F.lit(True))
 
-    def function(name: Column) -> Column:
-        begin, end = last(name, True), last(name, False)
-        text = F.array_join(F.slice(lines, begin + 2, F.greatest(end - begin - 1, F.lit(0))), "\n")
-        return F.when(begin.isNotNull() & end.isNotNull(), F.struct(name.alias("name"), text.alias("text")))
+        return F.filter(markers, last)
 
-    return F.array_compact(F.transform(known, function))
+    markers = F.array_sort(F.array_compact(F.transform(lines, marker)))  # by name, kind and place
+    return let(let(markers, last_of_kind), functions)

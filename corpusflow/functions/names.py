@@ -43,7 +43,7 @@ def archive_path(folder: str, owner: Column, name: Column, compression: Column)
 
 
 def without_prefix(text: Column, prefix: str) -> Column:
-    return F.when(F.startswith(text, F.lit(prefix)), F.substring(text, len(prefix) + 1, 1 << 30)).otherwise(text)
+    return F.when(F.startswith(text, F.lit(prefix)), F.substr(text, F.lit(len(prefix) + 1))).otherwise(text)
 
 
 def path_in_repo(owner: Column, name: Column, directory: Column, path: Column) -> Column:

@@ -75,13 +75,16 @@ def nearest_addresses(nodes: DataFrame, keys: list[str]) -> DataFrame:
     """Address of the nearest ancestor that has one: (keys, node_id, pred_ea), null when there is none.
 
     ``nodes`` has node_id, parent_id (null unless there is one predecessor) and ea. Each round doubles the distance a
-    pointer spans, so a chain of depth d takes log2(d) rounds.
+    pointer spans, so a chain of depth d takes log2(d) rounds. Nodes that only lead into a cycle without an address have none: after
+    log2(nodes) + 1 rounds every pointer that is still open runs in a cycle.
     """
     own = nodes.select(*keys, F.col("node_id").alias("ptr"), F.col("ea").alias("pred_ea"))
     state = nodes.select(*keys, "node_id", F.col("parent_id").alias("ptr")).join(own, [*keys, "ptr"], "left")
     state = settle(state.select(*keys, "node_id", "ptr", "pred_ea"))
     open_rows = "pred_ea is null and ptr is not null"
-    while state.filter(open_rows).take(1):
+    for _ in range(state.count().bit_length() + 1):
+        if not state.filter(open_rows).take(1):
+            break
         done = state.filter(f"not ({open_rows})")
         target = state.select(
             *keys, F.col("node_id").alias("ptr"), F.col("ptr").alias("next_ptr"), F.col("pred_ea").alias("next_ea")

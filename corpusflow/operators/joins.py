@@ -37,10 +37,12 @@ def first_claims(makefile_binary: DataFrame) -> DataFrame:
 
 
 def work_items(makefile_binary: DataFrame, binaries: DataFrame) -> DataFrame:
-    """Files to match: claimed once per repository; of a repeated directory only the last Makefile counts."""
+    """Files to match: claimed once per repository; of a repeated directory only the last Makefile counts, and of a path
+    that comes twice in a Makefile only the last hash."""
     claimed = first_claims(decompiled_for_repo(makefile_binary, binaries))
     last = claimed.groupBy(*REPO_KEY, "directory").agg(F.max("makefile_pos").alias("makefile_pos"))
-    return claimed.join(last, [*REPO_KEY, "directory", "makefile_pos"], "left_semi")
+    kept = claimed.join(last, [*REPO_KEY, "directory", "makefile_pos"], "left_semi")
+    return latest(kept, [*REPO_KEY, "directory", "makefile_pos", "path"], F.col("binary_pos"), ["sha", "binary_pos"])
 
 
 def present_in(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
@@ -48,9 +50,9 @@ def present_in(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     return left.join(right.select(*keys).distinct(), keys, "left_semi")
 
 
-def listed_products(produced: DataFrame, listed: DataFrame, keys: list[str]) -> DataFrame:
-    """Produced files that are listed for their directory, with their recorded hash."""
-    return produced.join(listed.groupBy(*keys).agg(F.min("sha").alias("sha")), keys)
+def listed_products(produced: DataFrame, listed: DataFrame, keys: list[str], order: Column) -> DataFrame:
+    """Produced files that are listed for their directory, with the hash recorded last by ``order``."""
+    return produced.join(latest(listed, keys, order, ["sha"]), keys)
 
 
 def keep_files(
@@ -62,8 +64,3 @@ def keep_files(
     """
     directory, path = F.col("directory"), F.col("path")
     return files.filter(predicate(directory, path)).withColumn("sha", hash_of(directory, path))
-
-
-def last_per_function(rows: DataFrame, order: Column, columns: list[str]) -> DataFrame:
-    """One row per (hash, function): the last one of the file."""
-    return latest(rows, ["sha", "func_name"], order, columns)

@@ -5,7 +5,8 @@ fewest characters outside the match wins, then the smallest name. Testing every
 every package would be a cross join. Instead each package offers its substrings, and a library
 finds them by equality. In a library name ``_`` stands for ``-`` or ``_`` and ``.`` for any character, so a
 name always matches text of its own length: with dashes folded into underscores and the places of dots
-blotted out, the match is an equi-join, and what it finds is checked against the exact rule.
+blotted out, the match is an equi-join, and what it finds is checked against the exact rule. All other characters
+of a name stand for themselves.
 """
 
 from __future__ import annotations
@@ -19,12 +20,6 @@ from corpusflow.operators.ordered import spread_by
 VERSION = r"(?:-?[0-9.]+)?"
 DEV = "-dev"
 MAX_NEW_INSTALLS = 50
-REGULAR = r"^[A-Za-z0-9_+.\-]+$"
-
-
-def irregular(libs: DataFrame) -> DataFrame:
-    """Libraries with other pattern characters in their name, which are not resolved."""
-    return libs.filter(~F.col("lib").rlike(REGULAR)).select("lib").distinct()
 
 
 def _fold(text: Column) -> Column:
@@ -78,7 +73,7 @@ def _substrings(packages: DataFrame) -> DataFrame:
 
 def candidates(libs: DataFrame, packages: DataFrame) -> DataFrame:
     """Best package per library and pattern: (lib, priority, outside, pkg)."""
-    wanted = libs.filter(F.col("lib").rlike(REGULAR)).select("lib").distinct()
+    wanted = libs.select("lib").distinct()
     found = _found(wanted, _substrings(spread_by(packages.select("pkg").distinct(), "pkg")))
 
     before, name = F.col("lib_before"), F.col("len")

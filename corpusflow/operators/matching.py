@@ -27,13 +27,13 @@ def lines_of_known_functions(lines: DataFrame, known: DataFrame, spread: int = 8
     return salted.join(repeated, keys, "left_semi").drop("_salt")
 
 
-def decoded_lines(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(decoded rows, rejected lines)."""
+def decoded_lines(lines: DataFrame, with_ast: bool = True) -> tuple[DataFrame, DataFrame]:
+    """(decoded rows, rejected lines). The tree stays JSON text, of any depth, and is left out if it is not wanted."""
     parsed = lines.select("*", F.inline(F.array(ccode.decoded(F.col("line")))))
     kept = [c for c in lines.columns if c != "line"]
     good = parsed.filter("_corrupt is null and raw_code is not null")
     bad = parsed.filter("_corrupt is not null or raw_code is null")
-    return good.select(*kept, "raw_code", "ast"), bad.select(*kept, "line")
+    return good.select(*kept, "raw_code", *[ccode.tree_of(F.col("line")).alias("ast")] * with_ast), bad.select(*kept, "line")
 
 
 def variable_rows(rows: DataFrame) -> DataFrame:
@@ -44,10 +44,10 @@ def variable_rows(rows: DataFrame) -> DataFrame:
 
 def cleaned_functions(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(cleaned functions, quarantined ones). A function is put aside when one variable id has
-    different names or no free prefix is found."""
+    different names."""
     raw = F.col("raw_code")
     prepared = with_once(rows, triples=ccode.variables(raw), prefix=ccode.safe_prefix(raw))
-    reason = F.when(ccode.conflicting(F.col("triples")), "conflicting_names").when(F.col("prefix").isNull(), "no_prefix")
+    reason = F.when(ccode.conflicting(F.col("triples")), "conflicting_names")
     checked = prepared.withColumn("reason", reason)
     code = ccode.cleaned(raw, F.col("prefix"), F.col("func_name"))
     names = F.map_from_entries(

@@ -1,8 +1,7 @@
 """Ordered computations that hold when one key owns a large share of the rows.
 
-A window over such a key would put the key into one task. Here the order is cut into
-blocks: a window runs inside each block, block totals are summed up over the small table of
-blocks, and the two are added.
+A window over such a key would put the key into one task. Here the rows are dealt by ranges of key and order and
+written once: a window runs inside each range, range totals are summed up over the small table of ranges, and the two are added.
 """
 
 from __future__ import annotations
@@ -12,7 +11,6 @@ from pyspark.sql import functions as F
 
 from corpusflow.session import settle
 
-BLOCK = 1 << 18
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row number in the low 33 bits
 
 
@@ -25,37 +23,43 @@ def spread_by(df: DataFrame, key: str) -> DataFrame:
     return df.repartition(2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
 
 
-def running_total(
-    df: DataFrame,
-    keys: list[str],
-    order: str,
-    value: Column,
-    name: str,
-    inclusive: bool = False,
-    block: int = BLOCK,
+def running_totals(
+    df: DataFrame, keys: list[str], order: str, sums: dict[str, Column], inclusive: bool = False, parts: int | None = None
 ) -> DataFrame:
-    """Running sum of ``value`` within ``keys`` by the whole-number column ``order``.
+    """Add for each name the running sum within ``keys`` by ``order``, which is unique within the keys.
 
-    ``order`` must be unique within the keys, so that a block holds at most ``block`` rows.
+    The input is read once. Ranges hold about the same number of rows whatever the values of ``order``, so a hot key is spread
+    over many; ``parts`` sets their number.
     """
-    tagged = df.withColumn("_block", F.floor(F.col(order) / F.lit(block))).withColumn("_value", value)
-    totals = tagged.groupBy(*keys, "_block").agg(F.sum("_value").alias("_total"))
-    before = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    carry = totals.select(*keys, "_block", F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_carry"))
-    upto = 0 if inclusive else -1
-    inside = (
-        Window.partitionBy(*keys, "_block").orderBy(order).rowsBetween(Window.unboundedPreceding, upto)
-    )
-    local = tagged.withColumn("_local", F.coalesce(F.sum("_value").over(inside), F.lit(0)))
-    joined = local.join(carry, [*keys, "_block"])
-    return joined.withColumn(name, F.col("_local") + F.col("_carry")).drop(
-        "_block", "_value", "_local", "_carry"
+    values = {f"_value{i}": c for i, c in enumerate(sums.values())}
+    valued = df.withColumns(values)
+    ranged = valued.repartitionByRange(parts, *keys, order) if parts else valued.repartitionByRange(*keys, order)
+    ranged = settle(ranged.withColumn("_part", F.spark_partition_id()))
+    totals = ranged.groupBy(*keys, "_part").agg(*[F.sum(v).alias(v) for v in values])
+    before = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    carry = totals.select(
+        *[F.col(k).alias(f"_key_{k}") for k in keys], F.col("_part").alias("_key_part"),
+        *[F.coalesce(F.sum(v).over(before), F.lit(0)).alias(f"_carry{v}") for v in values],
     )
+    inside = Window.partitionBy(*keys, "_part").orderBy(order).rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
+    local = ranged.withColumns({f"_local{v}": F.coalesce(F.sum(v).over(inside), F.lit(0)) for v in values})
+    same = F.col("_part") == F.col("_key_part")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_key_{k}"))
+    added = [(F.col(f"_local{v}") + F.col(f"_carry{v}")).alias(n) for n, v in zip(sums, values, strict=True)]
+    return local.join(carry, same).select(*df.columns, *added)
+
+
+def running_total(
+    df: DataFrame, keys: list[str], order: str, value: Column, name: str, inclusive: bool = False, parts: int | None = None
+) -> DataFrame:
+    """Running sum of ``value`` within ``keys`` by ``order``."""
+    return running_totals(df, keys, order, {name: value}, inclusive, parts)
 
 
-def position_in_key(df: DataFrame, keys: list[str], order: str, name: str, block: int = BLOCK) -> DataFrame:
-    """Zero-based position of each row within its key, by a whole-number column unique in the key."""
-    return running_total(df, keys, order, F.lit(1).cast("bigint"), name, block=block)
+def position_in_key(df: DataFrame, keys: list[str], order: str, name: str) -> DataFrame:
+    """Zero-based position of each row within its key, by a column unique in the key."""
+    return running_total(df, keys, order, F.lit(1).cast("bigint"), name)
 
 
 def global_index(df: DataFrame, order_by: list[str], name: str) -> DataFrame:
@@ -109,7 +113,6 @@ def progress(df: DataFrame, order: str, every: int, sums: dict[str, Column]) ->
     totals = df.groupBy(block).agg(
         F.count("*").alias("results"), *[F.sum(c).cast("bigint").alias(n) for n, c in sums.items()]
     )
-    done = totals
-    for name in ["results", *sums]:
-        done = running_total(done, [], "block", F.col(name), f"_{name}", inclusive=True)
-    return done.select("block", *[F.col(f"_{n}").alias(n) for n in ["results", *sums]])
+    names = ["results", *sums]
+    done = running_totals(totals, [], "block", {f"_{n}": F.col(n) for n in names}, inclusive=True)
+    return done.select("block", *[F.col(f"_{n}").alias(n) for n in names])

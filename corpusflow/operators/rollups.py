@@ -94,19 +94,22 @@ def makefile_outcomes(makefile_binary: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def compile_summary(outcomes: DataFrame, keys: list[str], totals: DataFrame) -> DataFrame:
-    """Counts per repository, the level of its log line and the line; ``totals`` has n_total directories."""
+def compile_summary(outcomes: DataFrame, keys: list[str], recorded: Column) -> DataFrame:
+    """Counts per repository over all its Makefile directories, the level of its log line and the line, in one aggregate.
+
+    ``recorded`` tells which Makefiles succeeded or yielded enough to be kept.
+    """
     full = names.full_name(*[F.col(k) for k in REPO_KEY])
     counts = outcomes.groupBy(*keys).agg(
-        F.count_if("success").alias("n_success"), F.count("*").alias("n_partial"), F.sum("n_binaries").alias("n_binaries")
+        F.count_if(F.col("success") & recorded).alias("n_success"), F.count_if(recorded).alias("n_partial"), F.count("*").alias("n_total"),
+        F.coalesce(F.sum(F.when(recorded, F.col("n_binaries"))), F.lit(0)).alias("n_binaries"),
     )
-    joined = totals.join(counts, keys, "left").na.fill(0, ["n_success", "n_partial", "n_binaries"])
     line = F.format_string(
         "%d (%d) out of %d Makefile(s) in %s compiled (partially), yielding %d binaries",
         "n_success", "n_partial", "n_total", full, "n_binaries",
     )
     level = F.when(F.col("n_success") == F.col("n_total"), "success").otherwise("warning")
-    return joined.select(*keys, "n_success", "n_partial", "n_total", "n_binaries", level.alias("level"), line.alias("line"))
+    return counts.select(*keys, "n_success", "n_partial", "n_total", "n_binaries", level.alias("level"), line.alias("line"))
 
 
 def corpus_rollup(results: DataFrame, new_makefiles: DataFrame, old_makefiles: DataFrame) -> DataFrame:

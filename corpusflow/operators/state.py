@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusflow.operators.ordered import earliest, latest
-from corpusflow.session import working_path
 
 REPO_KEY = ["repo_owner", "repo_name"]
 MATCH_COUNTERS = ["files_found", "funcs_found", "funcs_matched", "funcs_matched_without_ast"]
@@ -93,15 +92,16 @@ def update_makefiles(
 
 
 def update_makefile_counts(state: DataFrame, updates: DataFrame, seq: str = "seq") -> DataFrame:
-    """The same update when Makefiles are kept as rows of their own and only the counts are stored here."""
+    """The same update when Makefiles are kept as rows of their own: only the counts change, all other columns stay."""
     new = latest(updates, REPO_KEY, F.col(seq), ["num_makefiles", "num_binaries"]).withColumn("_new", F.lit(True))
     joined = state.alias("s").join(new.alias("u"), REPO_KEY, "left")
-    return joined.select(
-        *REPO_KEY, F.col("s.repo_size").alias("repo_size"), F.col("s.clone_successful").alias("clone_successful"),
-        F.coalesce(F.col("_new"), F.col("s.compiled")).alias("compiled"),
-        F.coalesce("u.num_makefiles", "s.num_makefiles").alias("num_makefiles"),
-        F.coalesce("u.num_binaries", "s.num_binaries").alias("num_binaries"),
-    )
+    changed = {
+        "compiled": F.coalesce(F.col("_new"), F.col("s.compiled")),
+        "num_makefiles": F.coalesce("u.num_makefiles", "s.num_makefiles"),
+        "num_binaries": F.coalesce("u.num_binaries", "s.num_binaries"),
+    }
+    rest = [c for c in state.columns if c not in REPO_KEY]
+    return joined.select(*REPO_KEY, *[changed.get(c, F.col(f"s.{c}")).alias(c) for c in rest])
 
 
 def add_binaries(state: DataFrame, updates: DataFrame, seq: str = "seq") -> DataFrame:
@@ -172,8 +172,3 @@ def write_snapshot(df: DataFrame, base: str, version: int) -> str:
     path = f"{base}/v={version:012d}"
     df.write.mode("overwrite").parquet(path)
     return path
-
-
-def snapshot_path(df: DataFrame, name: str) -> str:
-    """Base folder for the snapshots of a state in the shared working folder."""
-    return working_path(df.sparkSession, name)

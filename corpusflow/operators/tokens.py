@@ -57,17 +57,24 @@ def token_at(token_rows: DataFrame, probes: DataFrame, key: str, probe_id: str)
 
 
 def matching_brace(token_rows: DataFrame, starts: DataFrame, key: str) -> DataFrame:
-    """Position of the brace that closes the first one at or after the start; null when none does.
+    """Position of the brace that closes the first one at or after each start; null when none does.
 
-    ``starts`` has one ``start`` per file.
+    The balance of braces is summed up once per file. An opening brace is closed by the next closing one after which the balance is what
+    it was before the opening; both ends of a pair thus follow each other among the braces of the same depth.
     """
     change = F.when(F.col("value") == "{", 1).when(F.col("value") == "}", -1)
-    running = Window.partitionBy(key).orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
-    inside = token_rows.join(starts.select(key, "start"), key).filter("pos >= start")
-    balance = inside.withColumn("balance", F.sum(change).over(running))
-    closes = (F.col("value") == "}") & (F.col("balance") == 0)
-    found = balance.groupBy(key).agg(F.min(F.when(closes, F.col("pos"))).alias("right"))
-    return starts.select(key, "start").join(found, key, "left")
+    order = Window.partitionBy(key).orderBy("pos")
+    braces = token_rows.select(key, "pos", change.alias("change")).filter("change is not null")
+    deep = braces.withColumn("depth", F.sum("change").over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.greatest("change", F.lit(0)))
+    after = F.lead(F.struct("pos", "change")).over(Window.partitionBy(key, "depth").orderBy("pos"))
+    pairs = deep.select(key, "pos", "change", F.when(after["change"] == -1, after["pos"]).alias("close")).filter("change = 1")
+    asked = starts.select(key, F.col("start").alias("pos"), F.lit(1).alias("asks"))
+    placed = pairs.select(key, "pos", F.lit(0).alias("asks"), F.struct("close").alias("pair")).unionByName(
+        asked.distinct(), allowMissingColumns=True
+    )
+    ahead = Window.partitionBy(key).orderBy(F.col("pos").desc(), "asks").rowsBetween(Window.unboundedPreceding, 0)
+    found = placed.withColumn("pair", F.last("pair", ignorenulls=True).over(ahead)).filter("asks = 1")
+    return found.select(key, F.col("pos").alias("start"), F.col("pair.close").alias("right"))
 
 
 def spans(token_rows: DataFrame, key: str) -> DataFrame:

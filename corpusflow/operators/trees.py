@@ -7,7 +7,7 @@ a small helper walks the trees of each Arrow batch; everything after that works
 from __future__ import annotations
 
 import json
-import sys
+import re
 from collections.abc import Iterator
 
 import pandas as pd
@@ -17,12 +17,11 @@ from pyspark.sql import functions as F
 # Keys of the two formats.
 TYPE_KEY, CHILDREN_KEY, POSITION_KEY = "_t", "_c", "_p"
 CHILD_SLOTS = ["children", "x", "y", "z"]
-MAX_DEPTH = 10000
-
 NODE_COLUMNS = (
     "pre int, last int, parent int, depth int, slot string, ordinal int, list_size int, child_index int, path string, "
-    "node_type string, token_pos bigint, attrs string, null_slots array<string>, ancestors array<int>"
+    "node_type string, token_pos bigint, attrs string, null_slots array<string>"
 )
+_JSON_TOKEN = re.compile(r'[ \t\n\r]*+(?:([{}\[\]:,])|("(?:[^"\\]|\\.)*+")|([^\s{}\[\]:,"]++))', re.DOTALL)
 
 
 def _children(node: dict) -> tuple[list, list, dict]:
@@ -41,6 +40,61 @@ def _children(node: dict) -> tuple[list, list, dict]:
     return children, empty, {k: v for k, v in node.items() if k not in hidden}
 
 
+def _decoded(text: str):
+    """JSON of any depth, kept on a stack of its own; the standard decoder recurses and gives up on deep trees."""
+    stack: list = [[]]  # the containers that are open; the value itself is the only item of the first
+    keys: list = [None]
+    at, wants, after = 0, True, False  # whether a value may come now, and whether one has just ended
+    end = len(text.rstrip(" \t\n\r"))
+    while at < end:
+        found = _JSON_TOKEN.match(text, at)
+        if not found:
+            raise ValueError(f"no JSON at {at}")
+        at = found.end()
+        mark, string, word = found.groups()
+        top = stack[-1]
+        if mark == ",":
+            if not after or len(stack) == 1:
+                raise ValueError("a comma out of place")
+            wants, after = True, False
+            continue
+        if mark == ":":
+            if not isinstance(top, dict) or keys[-1] is None or wants:
+                raise ValueError("a colon out of place")
+            wants = True
+            continue
+        if mark in ("}", "]"):
+            closes = dict if mark == "}" else list
+            if len(stack) == 1 or type(top) is not closes or not (after or (wants and not top and keys[-1] is None)):
+                raise ValueError("a bracket out of place")
+            stack.pop()
+            keys.pop()
+            wants, after = False, True
+            continue
+        if not wants:
+            raise ValueError("a value out of place")
+        if isinstance(top, dict) and keys[-1] is None:
+            if string is None:
+                raise ValueError("a name is missing")
+            keys[-1], wants = json.loads(string), False
+            continue
+        value = {} if mark == "{" else [] if mark == "[" else json.loads(string or word)
+        if isinstance(top, dict):
+            top[keys[-1]] = value
+            keys[-1] = None
+        else:
+            top.append(value)
+        if mark:
+            stack.append(value)
+            keys.append(None)
+            wants, after = True, False
+        else:
+            wants, after = False, True
+    if len(stack) > 1 or len(stack[0]) != 1:
+        raise ValueError("the text ends too early")
+    return stack[0][0]
+
+
 def _walk(root: dict) -> list[tuple]:
     """Nodes in depth-first order."""
     inner = f".{CHILDREN_KEY}" if TYPE_KEY in root else ""
@@ -49,11 +103,11 @@ def _walk(root: dict) -> list[tuple]:
     while stack:
         node, parent, slot, ordinal, size, index, path = stack.pop()
         pre = len(rows)
-        above = rows[parent][-1] if parent is not None else []
+        depth = rows[parent][3] + 1 if parent is not None else 0
         children, empty, attrs = _children(node)
         rows.append([
-            pre, pre, parent, len(above), slot, ordinal, size, index, path, node.get(TYPE_KEY, node.get("node_type")),
-            node.get(POSITION_KEY), json.dumps(attrs, separators=(",", ":"), ensure_ascii=False), empty, [*above, pre],
+            pre, pre, parent, depth, slot, ordinal, size, index, path, node.get(TYPE_KEY, node.get("node_type")),
+            node.get(POSITION_KEY), json.dumps(attrs, separators=(",", ":"), ensure_ascii=False), empty,
         ])
         for i, (name, place, length, child) in reversed(list(enumerate(children))):
             suffix = f"{inner}.{name}" + (f"[{place}]" if place is not None else "")
@@ -67,7 +121,12 @@ def _walk(root: dict) -> list[tuple]:
 def _parsed(text: str) -> dict | None:
     try:
         tree = json.loads(text)
-    except (ValueError, TypeError, RecursionError):
+    except RecursionError:
+        try:
+            tree = _decoded(text)
+        except ValueError:
+            return None
+    except (ValueError, TypeError):
         return None
     return tree if isinstance(tree, dict) else None
 
@@ -79,7 +138,6 @@ def _exploded(trees: DataFrame, keys: list[str], ast: str) -> DataFrame:
     whole = {"pre", "last", "parent", "depth", "ordinal", "list_size", "child_index", "token_pos"}
 
     def explode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        sys.setrecursionlimit(MAX_DEPTH)
         for batch in batches:
             for start in range(0, len(batch), 256):
                 out = []
@@ -103,13 +161,31 @@ def undecodable(trees: DataFrame, keys: list[str], ast: str) -> DataFrame:
     return _exploded(trees, keys, ast).filter("pre < 0").select(*keys)
 
 
-def fold(node_rows: DataFrame, keys: list[str], results: dict[str, Column]) -> DataFrame:
-    """Fold each subtree bottom-up with aggregates over its nodes, such as count, minimum position or depth.
+def fold(node_rows: DataFrame, keys: list[str], results: dict[str, tuple[str, Column]]) -> DataFrame:
+    """Fold each subtree with sums, minima or maxima of values of its nodes: (keys, root, path, results by name).
 
-    Any associative function fits; every node adds to its ancestors and partial sums are made before the shuffle.
+    ``results`` gives ("sum", "min" or "max", value of a node). A subtree is a range of depth-first numbers. Values are first
+    gathered in blocks of 1, 2, 4 ... numbers; a range is made up of at most two blocks of each size, so the rows grow with
+    n log n, also on a tree that is one long chain.
     """
-    spread = node_rows.withColumn("root", F.explode("ancestors"))
-    return spread.groupBy(*keys, "root").agg(*[c.alias(n) for n, c in results.items()])
+    kinds = {"sum": F.sum, "min": F.min, "max": F.max}
+    values = {f"_value{i}": value for i, (_, value) in enumerate(results.values())}
+    merged = [kinds[kind](v).alias(v) for v, (kind, _) in zip(values, results.values(), strict=True)]
+    sizes = range((node_rows.agg(F.max("pre")).first()[0] or 0).bit_length() + 1)
+    block = lambda size, at: F.struct(F.lit(size).alias("size"), at.alias("at"))
+
+    def pieces(size: int) -> list[Column]:
+        low = F.shiftright(F.col("pre") + ((1 << size) - 1), size)
+        high = F.shiftright(F.col("last") + 1, size)
+        odd = lambda x: x.bitwiseAND(F.lit(1)) == 1
+        return [F.when((low < high) & odd(low), block(size, low)), F.when((low < high) & odd(high), block(size, high - 1))]
+
+    within = F.explode(F.array(*[block(size, F.shiftright("pre", size)) for size in sizes])).alias("block")
+    sums = node_rows.withColumns(values).select(*keys, *values, within).groupBy(*keys, "block").agg(*merged)
+    ranges = F.array_compact(F.array(*[p for size in sizes for p in pieces(size)]))
+    roots = node_rows.select(*keys, F.col("pre").alias("root"), "path", F.explode(ranges).alias("block"))
+    done = roots.join(sums, [*keys, "block"]).groupBy(*keys, "root", "path").agg(*merged)
+    return done.select(*keys, "root", "path", *[F.col(v).alias(n) for v, n in zip(values, results, strict=True)])
 
 
 def rebased(node_rows: DataFrame, left: Column) -> DataFrame:

@@ -12,8 +12,8 @@ from corpusflow.session import settle
 
 
 def distinct_sources(sources: DataFrame) -> DataFrame:
-    """One text per hash: copies are dropped before the expensive work."""
-    return sources.groupBy("sha").agg(F.any_value("code").alias("code"))
+    """One text per hash, of several the first in order: copies are dropped before the expensive work."""
+    return sources.groupBy("sha").agg(F.min("code").alias("code"))
 
 
 def original_functions(sources: DataFrame) -> DataFrame:
@@ -26,8 +26,8 @@ def original_functions(sources: DataFrame) -> DataFrame:
 def decompiled_functions(lines: DataFrame, known: DataFrame) -> DataFrame:
     """(sha, func_name, variable_names, decompiled_tokens, has_ast) of the functions that the sources define."""
     wanted = matching.lines_of_known_functions(matching.named_lines(lines), known)
-    rows, _undecodable = matching.decoded_lines(wanted)
-    good, _quarantined = matching.cleaned_functions(rows.drop("ast"))
+    rows, _undecodable = matching.decoded_lines(wanted, with_ast=False)
+    good, _quarantined = matching.cleaned_functions(rows)
     last = matching.last_of_each(good, "line_pos", ["code", "variable_names"])
     values = ccode.token_values(ccode.normalised(F.col("code")))
     return last.select("sha", "func_name", "variable_names", values.alias("decompiled_tokens"))

@@ -14,7 +14,7 @@ def _spread_out(df: DataFrame, keys: list[str], within: list[str], spread: int)
     return df.repartition(*keys, F.pmod(F.xxhash64(*within), F.lit(spread)))
 
 
-def matched_functions(matched: DataFrame, path: str, spread: int = 1) -> None:
+def matched_functions(matched: DataFrame, path: str, spread: int = 8) -> None:
     """Matched functions as JSON lines below owner and name."""
     keys = ["repo_owner", "repo_name"]
     _spread_out(matched, keys, ["sha", "func_name"], spread).write.mode("overwrite").partitionBy(*keys).json(path)
@@ -38,7 +38,7 @@ def libraries(names: DataFrame, path: str) -> None:
     names.select(F.col("library").alias("value")).distinct().write.mode("overwrite").text(path)
 
 
-def decompiled_functions(functions: DataFrame, path: str, spread: int = 1) -> None:
+def decompiled_functions(functions: DataFrame, path: str, spread: int = 8) -> None:
     """JSON lines of each binary below a folder of its hash."""
     kept = functions.select("sha", "function", "ast", "raw_code")
     _spread_out(kept, ["sha"], ["function", "raw_code"], spread).write.mode("overwrite").partitionBy("sha").json(path)

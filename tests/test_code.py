@@ -134,7 +134,7 @@ def test_prefix_is_not_in_the_code(spark):
     assert first.startswith("v") and len(first) == 4
     code = "x" + "".join(value(spark, ccode.safe_prefix(F.lit("x")), raw="x"))
     other = value(spark, ccode.safe_prefix(F.col("raw")), raw=code)
-    assert other not in code
+    assert other is not None and other not in code
 
 
 def test_conflicting_variables_are_put_aside(spark):
@@ -193,5 +193,39 @@ def test_tree_round_trip_and_depth(spark):
                 for k, v in node.items() if k != "_p"}
 
     assert back == bare(deep)
-    size = trees.fold(rows, ["k"], {"n": F.count("*"), "low": F.min("token_pos"), "deep": F.max("depth")}).filter("root = 0").first()
+    size = trees.fold(rows, ["k"], {"n": ("sum", F.lit(1)), "low": ("min", F.col("token_pos")), "deep": ("max", F.col("depth"))}).filter("root = 0").first()
     assert (size.n, size.low, size.deep) == (801, 0, 400)
+
+
+def test_trees_deeper_than_any_decoder_recurses(spark):
+    depth = 20_000
+    text = '{"_t":"L","_p":1,"_c":{"x":' * depth + '{"_t":"E","_p":7,"_c":{}}' + "}}" * depth
+    frame = spark.createDataFrame([(1, text), (2, text[:-1]), (3, text + "]")], "k bigint, ast string")
+    rows = trees.nodes(frame, ["k"], "ast").select("k", "pre", "last", "depth", "token_pos", F.lit("$").alias("path"))
+    assert {r.k for r in trees.undecodable(frame, ["k"], "ast").collect()} == {2, 3}
+    found = {r.root: (r.n, r.low) for r in trees.fold(rows, ["k"], {"n": ("sum", F.lit(1)), "low": ("min", F.col("token_pos"))}).collect()}
+    assert found == {i: (depth + 1 - i, 1 if i < depth else 7) for i in range(depth + 1)}
+
+
+@pytest.mark.parametrize("text", [
+    "[]", '{"a":[1,-2.5e3,"x\\\"]}",null,true,{}],"b":{"c":{}}}', ' [ 1 , { "k" : [ ] } ] ', '"s"', "[1,]", "[1 2]", '{"a"}', '{"a":}', '{"a":1,}',
+    '{"a" 1}', "[", "]", "[1}", "", "1 2", '{1:2}', "[,1]", "{,}", "nul", '{"a"::1}',
+])
+def test_decoding_on_a_stack(text):
+    try:
+        expected = json.loads(text)
+    except ValueError:
+        with pytest.raises(ValueError):
+            trees._decoded(text)
+    else:
+        assert trees._decoded(text) == expected
+
+
+def test_lines_may_nest_as_deep_as_they_like(spark):
+    deep = lambda n: '{"a":' * n + "1" + "}" * n
+    lines = [(n, '{"function": "_f", "raw_code": "c", "ast": ' + deep(n) + "}") for n in (10, 1500, 5000)]
+    frame = spark.createDataFrame(lines, "n bigint, line string")
+    for with_ast in (True, False):
+        good, bad = matching.decoded_lines(frame, with_ast)
+        assert sorted(r.n for r in good.collect()) == [10, 1500, 5000] and bad.count() == 0
+    assert {r.n: len(r.ast) for r in matching.decoded_lines(frame)[0].collect()} == {n: len(deep(n)) for n, _ in lines}

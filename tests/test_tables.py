@@ -97,7 +97,7 @@ def test_budget_is_tested_before_each_makefile(spark):
 def test_running_totals_across_blocks(spark):
     rows = spark.range(1000).select((F.col("id") % 3).alias("k"), F.col("id").alias("pos"))
     for inclusive in (True, False):
-        found = ordered.running_total(rows, ["k"], "pos", F.col("pos"), "t", inclusive=inclusive, block=7).collect()
+        found = ordered.running_total(rows, ["k"], "pos", F.col("pos"), "t", inclusive=inclusive, parts=7).collect()
         for r in found:
             assert r.t == sum(p for p in range(r.k, r.pos + (1 if inclusive else 0), 3))
 
@@ -157,6 +157,29 @@ def test_nearest_address_stops_at_joins(spark):
     assert (found[1], found[2], found[3], found[4], found[200]) == (99, 99, None, None, 7)
 
 
+def test_nearest_address_ends_on_cycles(spark):
+    parents = {1: 2, 2: 1, 3: 1, 4: 4, 5: 6, 6: 7, 7: 5, 8: 9, 9: None}
+    nodes = spark.createDataFrame([(n, p, 70 if n in (7, 9) else None) for n, p in parents.items()], "node_id bigint, parent_id bigint, ea bigint")
+    found = {r.node_id: r.pred_ea for r in graph.nearest_addresses(nodes, []).collect()}
+    assert found == {1: None, 2: None, 3: None, 4: None, 5: 70, 6: 70, 7: 70, 8: 70, 9: None}
+
+
+def test_results_keep_the_nested_makefiles(spark):
+    from corpusflow.schemas import REPO_STATE
+
+    made = [("d", True, ["p"], ["h"])]
+    old = spark.createDataFrame([("o", "a", 5, True, True, 1, 1, made), ("o", "b", 6, True, False, 0, 0, [])], REPO_STATE)
+    results = spark.createDataFrame(
+        [(1, "o", "a", None, None, False, 0, 0), (2, "o", "b", True, 9, True, 3, 4), (3, "o", "c", True, 0, False, 0, 0)],
+        "seq bigint, repo_owner string, repo_name string, clone_success boolean, repo_size bigint, has_makefiles boolean, num_makefiles bigint, num_binaries bigint",
+    )
+    new = build_run.apply_results(old, results)
+    assert set(new.columns) == set(old.columns)
+    rows = {r.repo_name: r for r in new.collect()}
+    assert [tuple(m) for m in rows["a"].makefiles] == made and rows["c"].makefiles == []
+    assert (rows["b"].compiled, rows["b"].num_makefiles, rows["b"].num_binaries, rows["b"].repo_size) == (True, 3, 4, 9)
+
+
 @pytest.mark.parametrize("lib,packages,expected", [
     ("foo", ["libfoo-dev", "libfoo2-dev", "foo"], (1, 0, "libfoo-dev")),
     ("foo", ["libfoo-1.2-dev", "libfoo", "foo-dev"], (2, 0, "libfoo-1.2-dev")),
@@ -181,7 +204,9 @@ def test_packages_that_install_too_much_fall_back(spark):
     installs = spark.createDataFrame([("libfoo-dev", 51)], "pkg string, new_installs int")
     # The third pattern also finds libfoo-dev; only the plain name finds another package.
     assert libraries.best_packages(libs, catalogue, installs).first().pkg == "foo"
-    assert [r.lib for r in libraries.irregular(libs).collect()] == ["a*"]
+    # Pattern characters in a name stand for themselves.
+    literal = libraries.best_packages(libs, catalogue.union(spark.createDataFrame([("liba*-dev",), ("liba-dev",)], "pkg string")))
+    assert {r.lib: r.pkg for r in literal.collect()} == {"foo": "libfoo-dev", "a*": "liba*-dev"}
 
 
 def test_library_log_of_a_failing_command(spark):
