@@ -5,12 +5,12 @@ from pyspark.sql import functions as F
 from corpusflow.catalog.registry import query
 from corpusflow.functions import ccode
 from corpusflow.functions.rows import with_once
-from corpusflow.operators import matching, tokens
+from corpusflow.operators import matching, state, tokens
 from corpusflow.plans import match_run
 from corpusflow.session import settle
 
 RE = ccode.token_pattern(own="").replace("'", "''")
-_VAR = r"@@VAR_(\d+)@@([^@]+)@@([_a-zA-Z0-9]+)"
+_VAR = ccode.VARIABLE
 
 
 def _plain(code):
@@ -274,17 +274,64 @@ def _(v):
     )
 
 
-@query("js06_match_records", _MATCH + f"""
-select sha, func_name, cast(len(string_split(original_tokens, ' ')) as bigint) as n_original, cast(len({_plain('code')}) as bigint) as n_decompiled from org join cl using (sha, func_name)""")
+# The whole run in SQL: claimed files, original and decompiled functions, their records and the counts per repository.
+RUN = _MATCH + rf""",
+c as (select repo_owner, repo_name, sha, min(makefile_pos * 100000000000 + binary_pos) as place, min_by(directory, makefile_pos * 100000000000 + binary_pos) as directory,
+    min_by(path, makefile_pos * 100000000000 + binary_pos) as path
+    from $makefile_binary m where exists (select 1 from $binaries b where b.repo_owner = m.repo_owner and b.repo_name = m.repo_name and b.sha = m.sha and b.success) group by all),
+md as (select *, floor(place / 100000000000) as makefile_pos from c),
+lm as (select repo_owner, repo_name, directory, max(makefile_pos) as makefile_pos from md group by all),
+items as (select repo_owner, repo_name, repo_owner || '/' || repo_name || '/' || replace(directory, '/usr/src/repo/', '') || '/' || path as file_path, max_by(sha, place) as sha
+    from md semi join lm using (repo_owner, repo_name, directory, makefile_pos) group by repo_owner, repo_name, directory, makefile_pos, path),
+rec as (select repo_owner, repo_name, file_path, sha, func_name, original_tokens, array_to_string({_plain('code')}, ' ') as decompiled_tokens,
+    array_to_string(list_sort(list_distinct(list_transform(regexp_extract_all(raw_code, '{_VAR}'),
+        lambda x: substr(split_part(x, '@@', 2), 5) || ':' || split_part(x, '@@', 3) || ':' || split_part(x, '@@', 4)))), ',') as variables,
+    '{{"node_id":0}}' as tree from items join org using (sha) join cl using (sha, func_name) join lst using (sha, func_name)),
+sums as (select repo_owner, repo_name, count(*) as total_files, count(*) filter (where i.sha in (select sha from $c_source) and i.sha in (select sha from $decompiled)) as files_found
+    from items i group by all),
+funs as (select repo_owner, repo_name, count(*) as funcs_found, count(*) filter (where (i.sha, o.func_name) in (select sha, func_name from cl)) as funcs_matched
+    from items i join org o using (sha) where i.sha in (select sha from $decompiled) group by all),
+tot as (select repo_owner, repo_name, total_files, files_found, coalesce(funcs_found, 0) as funcs_found, coalesce(funcs_matched, 0) as funcs_matched,
+    cast(0 as bigint) as funcs_matched_without_ast from sums left join funs using (repo_owner, repo_name))"""
+
+
+def match_run_of(v):
+    return match_run.match_repositories(v("makefile_binary"), v("binaries"), v("c_source"), v("decompiled_line"))
+
+
+RECORD_FIELDS = (
+    "file_path string, binary_hash string, func_name string, variable_names map<string, struct<decompiled: string, original: string>>, "
+    "original_tokens array<string>, decompiled_tokens array<string>, original_ast_json string, decompiled_ast_json string"
+)
+
+
+def record_columns(record):
+    """The fields of a record in the form of the SQL text."""
+    names = F.transform(F.map_entries(record["variable_names"]), lambda e: F.concat_ws(
+        ":", F.substring_index(e["key"], "_", -1), e["value"]["decompiled"], e["value"]["original"]
+    ))
+    return [
+        record["file_path"].alias("file_path"), record["binary_hash"].alias("sha"), record["func_name"].alias("func_name"),
+        F.array_join(record["original_tokens"], " ").alias("original_tokens"), F.array_join(record["decompiled_tokens"], " ").alias("decompiled_tokens"),
+        F.array_join(F.array_sort(names), ",").alias("variables"), record["decompiled_ast_json"].alias("tree"),
+    ]
+
+
+@query("js06_match_records", RUN + " select * from rec")
 def _(v):
-    found = match_run.matched_functions(v("c_source"), v("decompiled_line"))
-    owned = found.select(
-        F.lit("o").alias("repo_owner"), F.lit("r").alias("repo_name"), F.concat(F.lit("src/"), "sha").alias("file_path"), "*",
-        F.lit(None).cast("string").alias("original_ast_json"), F.lit(None).cast("string").alias("decompiled_ast_json"),
-    )
-    record = F.from_json("record", "original_tokens array<string>, decompiled_tokens array<string>")
-    sizes = matching.records(owned).select("sha", "func_name", record.alias("r"))
-    return sizes.select(
-        "sha", "func_name", F.size("r.original_tokens").cast("bigint").alias("n_original"),
-        F.size("r.decompiled_tokens").cast("bigint").alias("n_decompiled"),
-    )
+    rows = match_run_of(v)[0].select("repo_owner", "repo_name", F.from_json("record", RECORD_FIELDS).alias("r"))
+    return rows.select("repo_owner", "repo_name", *record_columns(F.col("r")))
+
+
+@query("agg11_match_summary", RUN + " select * from tot")
+def _(v):
+    return match_run_of(v)[1]
+
+
+@query("ups04_after_match_run", RUN + """
+select coalesce(s.repo_owner, t.repo_owner) as repo_owner, coalesce(s.repo_name, t.repo_name) as repo_name, coalesce(t.files_found, s.files_found) as files_found,
+    coalesce(t.funcs_found, s.funcs_found) as funcs_found, coalesce(t.funcs_matched, s.funcs_matched) as funcs_matched,
+    coalesce(t.funcs_matched_without_ast, s.funcs_matched_without_ast) as funcs_matched_without_ast
+from $match_func_before s full join tot t on s.repo_owner = t.repo_owner and s.repo_name = t.repo_name""")
+def _(v):
+    return state.add_match_results(v("match_func_before"), match_run_of(v)[1].withColumn("seq", F.lit(0)))

@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from corpusflow.catalog.code import RECORD_FIELDS, RUN, match_run_of, record_columns
 from corpusflow.catalog.registry import query
 from corpusflow.catalog.state import nested_state
 from corpusflow.functions import ccode, names
@@ -123,21 +124,13 @@ def _(v):
     return readers.untracked(v("documents"), ["doc_id"], output)
 
 
-_MATCHES = """select sha, func_name, max(line_pos) as line_pos from $decompiled group by all"""
-
-
-@query("snk01_matched_functions", """
-select repo_owner, repo_name, sha, count(*) as n from (select 'c' || substr(sha, 1, 1) as repo_owner, 'r' || substr(sha, 1, 2) as repo_name, sha from (""" + _MATCHES + """)) group by all""")
+@query("snk01_matched_functions", RUN + " select * from rec")
 def _(v):
     path = working_path(v.spark, "matched")
-    last = v("decompiled").groupBy("sha", "func_name").agg(F.max("line_pos").alias("line_pos"))
-    owned = last.select(
-        F.concat(F.lit("c"), F.substring("sha", 1, 1)).alias("repo_owner"),
-        F.concat(F.lit("r"), F.substring("sha", 1, 2)).alias("repo_name"), "*",
-    )
-    writers.matched_functions(owned, path, spread=2)
-    back = v.spark.read.schema("repo_owner string, repo_name string, sha string, func_name string, line_pos bigint").json(path)
-    return back.groupBy("repo_owner", "repo_name", "sha").agg(F.count("*").alias("n"))
+    rows = match_run_of(v)[0]
+    writers.matched_functions(rows.select("repo_owner", "repo_name", F.from_json("record", RECORD_FIELDS).alias("r")).select("repo_owner", "repo_name", "r.*"), path)
+    back = v.spark.read.schema(f"repo_owner string, repo_name string, {RECORD_FIELDS}").json(path)
+    return back.select("repo_owner", "repo_name", *record_columns(F.struct(*[c for c in back.columns if c not in ("repo_owner", "repo_name")])))
 
 
 @query("snk02_source_corpus", """
@@ -192,8 +185,7 @@ select repo_owner, repo_name, case when added then coalesce(nullif(repo_size, 0)
     case when added then coalesce(clone_success, true) else sk end as clone_successful, has_makefiles or sc as compiled,
     case when has_makefiles then num_makefiles else sm end as num_makefiles, case when has_makefiles then num_binaries else sb end as num_binaries from n""")
 def _(v):
-    fold = _streamed(v)
-    return fold.state(fold.latest_version())
+    return _streamed(v).latest()
 
 
 @query("stm01_streamed_totals", """
@@ -202,14 +194,45 @@ def _(v):
     return _streamed(v).totals()
 
 
+@query("stm01_streamed_binaries", """
+with u as (select sha256('p' || cast(seq % 997 as string)) as sha, min_by(repo_owner, seq) as o, min_by(repo_name, seq) as n, max_by(funcs_matched > 0, seq) as s
+    from $results where has_makefiles group by all)
+select coalesce(b.sha, u.sha) as sha, case when b.sha is not null then b.repo_owner else u.o end as repo_owner,
+    case when b.sha is not null then b.repo_name else u.n end as repo_name, coalesce(u.s, b.success) as success
+from $binaries_before b full join u on b.sha = u.sha""")
+def _(v):
+    return _streamed(v).latest("binaries")
+
+
+@query("stm01_streamed_matches", """
+select coalesce(s.repo_owner, r.repo_owner) as repo_owner, coalesce(s.repo_name, r.repo_name) as repo_name,
+    coalesce(r.num_makefiles, s.files_found) as files_found, coalesce(r.num_binaries, s.funcs_found) as funcs_found,
+    coalesce(r.funcs_matched, s.funcs_matched) as funcs_matched, coalesce(r.without_ast, s.funcs_matched_without_ast) as funcs_matched_without_ast
+from $match_func_before s full join (select * from $results where has_makefiles) r on s.repo_owner = r.repo_owner and s.repo_name = r.repo_name""")
+def _(v):
+    return _streamed(v).latest("matches")
+
+
+@query("stm01_streamed_libraries", "select distinct 'l' || cast(num_makefiles as string) as library from $results where has_makefiles")
+def _(v):
+    return _streamed(v).libraries()
+
+
 def _streamed(v):
-    """Results staged as three files that arrive one after the other."""
+    """Results that arrive in three parts, one run of the stream for each; their order decides which owner and outcome stays."""
     from corpusflow.streaming.results import ResultFold, start
 
     base = working_path(v.spark, "stream")
-    results = v("results")
-    results.repartitionByRange(3, "seq").write.parquet(f"{base}/in")
-    fold = ResultFold(v.spark, base, v("repos_before"))
-    source = v.spark.readStream.schema(results.schema).option("maxFilesPerTrigger", "1").parquet(f"{base}/in")
-    start(source, fold).awaitTermination()
+    made = F.col("has_makefiles")
+    results = v("results").withColumns({
+        "sha": F.when(made, F.sha2(F.concat(F.lit("p"), (F.col("seq") % 997).cast("string")), 256)), "success": F.col("funcs_matched") > 0,
+        "files_found": F.when(made, F.col("num_makefiles")), "funcs_found": F.col("num_binaries"), "funcs_matched_without_ast": F.col("without_ast"),
+        "library": F.when(made, F.concat(F.lit("l"), F.col("num_makefiles").cast("string"))),
+    })
+    last = results.agg(F.max("seq")).first()[0]
+    fold = ResultFold(v.spark, base, v("repos_before"), v("binaries_before"), v("match_func_before"))
+    for part in range(3):
+        results.filter(F.floor(F.col("seq") * 3 / (last + 1)) == part).write.mode("append").parquet(f"{base}/in")
+        source = v.spark.readStream.schema(results.schema).parquet(f"{base}/in")
+        start(source, fold).awaitTermination()
     return fold

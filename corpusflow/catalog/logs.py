@@ -6,13 +6,7 @@ from corpusflow.catalog.registry import query
 from corpusflow.functions import loglines
 from corpusflow.operators import logs
 
-_TS = r"([0-9-]{10} [0-9:]{8}),\d{3} \w+: "
-_W = r"\(Worker \s*\d+\) "
-_C = r"(\d+) \((\d+)\) out of (\d+) Makefile\(s\) in "
-_Y = r" compiled \(partially\), yielding (\d+) binaries"
-FULL = _TS + _W + _C + r"(\S+?)/(\S+?)" + _Y
-PLAIN = _TS + _C + r"(\w+)/(\w+)" + _Y
-NONE = _TS + _W + r"No Makefiles found in (\S+?)/(\S+?), repository deleted"
+FULL, PLAIN, NONE = loglines.SUMMARY, loglines.SUMMARY_PLAIN, loglines.NO_MAKEFILES
 
 
 def _fields(pattern, fields):

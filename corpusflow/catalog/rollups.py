@@ -120,18 +120,6 @@ def _(v):
     return rollups.match_totals(v("match_func"))
 
 
-@query("agg11_match_summary", """
-with f as (select repo_name, sha, bool_or(success) as found from $makefile_binary group by all),
-a as (select repo_name, count(*) as total_files, count(*) filter (where found) as files_found from f group by all),
-b as (select repo_name, count(*) as funcs_found, count(*) filter (where success) as funcs_matched, count(*) filter (where success and not path like '%1.o') as w from $makefile_binary group by all)
-select a.*, funcs_found, funcs_matched, w as funcs_matched_without_ast from a join b using (repo_name)""")
-def _(v):
-    rows = v("makefile_binary")
-    files = rows.groupBy("repo_name", "sha").agg(F.bool_or("success").alias("found"))
-    functions = rows.select("repo_name", F.col("success").alias("matched"), F.col("path").endswith("1.o").alias("has_ast"))
-    return rollups.match_summary(files, functions, ["repo_name"])
-
-
 @query("agg17_files_per_repo", "select repo_owner, repo_name, count(*) as total_files from $makefile_binary group by all")
 def _(v):
     return v("makefile_binary").groupBy(*REPO_KEY).agg(F.count("*").alias("total_files"))

@@ -17,7 +17,7 @@ def _spread_out(df: DataFrame, keys: list[str], within: list[str], spread: int)
 def matched_functions(matched: DataFrame, path: str, spread: int = 8) -> None:
     """Matched functions as JSON lines below owner and name."""
     keys = ["repo_owner", "repo_name"]
-    _spread_out(matched, keys, ["sha", "func_name"], spread).write.mode("overwrite").partitionBy(*keys).json(path)
+    _spread_out(matched, keys, ["binary_hash", "func_name"], spread).write.mode("overwrite").partitionBy(*keys).json(path)
 
 
 def source_corpus(sources: DataFrame, path: str, spread: int = 8) -> None:

@@ -1,43 +1,65 @@
-"""Processing results as they arrive: state, running totals and libraries kept up to date by micro-batches."""
+"""Processing results as they arrive: states, running totals and libraries kept up to date by micro-batches."""
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from corpusflow.operators.state import write_snapshot
+from corpusflow.operators.state import MATCH_COUNTERS, REPO_KEY, add_binaries, add_match_results, write_snapshot
 from corpusflow.plans.build_run import apply_results
 
 TOTALS = ["results", "funcs_matched", "without_ast"]
+REPOS, BINARIES, MATCHES = "state", "binaries", "matches"
+KEPT_VERSIONS = 3
 
 
 class ResultFold:
-    """Folds batches of results into versions of a state below ``base``.
+    """Folds batches of results into versions of the states below ``base``: repositories and, if given, binaries and matches.
 
     Version n+1 is made from version n and batch n. A batch that runs again after a failure reads the
-    same version and replaces the same folder, so the fold is idempotent.
+    same version and replaces the same folder, so the fold is idempotent. The last few versions stay.
     """
 
-    def __init__(self, spark: SparkSession, base: str, initial: DataFrame) -> None:
+    def __init__(self, spark: SparkSession, base: str, initial: DataFrame, binaries: DataFrame | None = None, matches: DataFrame | None = None) -> None:
         self.spark = spark
         self.base = base
-        if not self._exists(f"{base}/state/v={0:012d}/_SUCCESS"):
-            write_snapshot(initial, f"{base}/state", 0)
+        self.kinds = {k: s for k, s in {REPOS: initial, BINARIES: binaries, MATCHES: matches}.items() if s is not None}
+        for kind, state in self.kinds.items():
+            if not self._exists(f"{base}/{kind}/v={0:012d}/_SUCCESS") and not self._versions(kind):
+                write_snapshot(state, f"{base}/{kind}", 0)
 
-    def _exists(self, path: str) -> bool:
+    def _files(self, path: str):
         hadoop = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        return hadoop.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(hadoop)
+        return hadoop, hadoop.getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def _exists(self, path: str) -> bool:
+        hadoop, files = self._files(path)
+        return files.exists(hadoop)
+
+    def _versions(self, kind: str) -> list[int]:
+        """The versions that were written completely."""
+        if not self._exists(f"{self.base}/{kind}"):
+            return []
+        hadoop, files = self._files(f"{self.base}/{kind}")
+        names = [f.getPath().toString() for f in files.listStatus(hadoop)]
+        return sorted(int(n.rsplit("v=", 1)[1]) for n in names if self._exists(n + "/_SUCCESS"))
+
+    def latest_version(self, kind: str = REPOS) -> int:
+        return self._versions(kind)[-1]
+
+    def state(self, version: int, kind: str = REPOS) -> DataFrame:
+        return self.spark.read.parquet(f"{self.base}/{kind}/v={version:012d}")
 
-    def latest_version(self) -> int:
-        """The newest version that was written completely."""
-        hadoop = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.base}/state")
-        folders = hadoop.getFileSystem(self.spark._jsc.hadoopConfiguration()).listStatus(hadoop)
-        names = [f.getPath().toString() for f in folders]
-        return max(int(n.rsplit("v=", 1)[1]) for n in names if self._exists(n + "/_SUCCESS"))
+    def latest(self, kind: str = REPOS) -> DataFrame:
+        return self.state(self.latest_version(kind), kind)
 
-    def state(self, version: int) -> DataFrame:
-        return self.spark.read.parquet(f"{self.base}/state/v={version:012d}")
+    def _forget(self, kind: str, before: int) -> None:
+        for version in self._versions(kind):
+            if version < before:
+                hadoop, files = self._files(f"{self.base}/{kind}/v={version:012d}")
+                files.delete(hadoop, True)
 
     def totals(self) -> DataFrame:
         """Running totals over the batches; one row per batch was written."""
@@ -49,12 +71,27 @@ class ResultFold:
         return self.spark.read.parquet(f"{self.base}/libraries").select("library").distinct()
 
     def apply(self, batch: DataFrame, batch_id: int) -> None:
-        write_snapshot(apply_results(self.state(batch_id), batch), f"{self.base}/state", batch_id + 1)
-        sums = [F.coalesce(F.sum(c), F.lit(0)).cast("bigint").alias(c) for c in TOTALS[1:]]
-        write_snapshot(batch.agg(F.count("*").alias("results"), *sums), f"{self.base}/totals", batch_id)
-        if "library" in batch.columns:
-            named = batch.select("library").filter("library is not null").distinct()
-            write_snapshot(named, f"{self.base}/libraries", batch_id)
+        """Bring all states up to date with one batch, which is read once."""
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            for kind in self.kinds:
+                write_snapshot(self._updated(kind, batch, batch_id), f"{self.base}/{kind}", batch_id + 1)
+                self._forget(kind, batch_id + 2 - KEPT_VERSIONS)
+            sums = [F.coalesce(F.sum(c), F.lit(0)).cast("bigint").alias(c) for c in TOTALS[1:]]
+            write_snapshot(batch.agg(F.count("*").alias("results"), *sums), f"{self.base}/totals", batch_id)
+            if "library" in batch.columns:
+                named = batch.select("library").filter("library is not null").distinct()
+                write_snapshot(named, f"{self.base}/libraries", batch_id)
+        finally:
+            batch.unpersist()
+
+    def _updated(self, kind: str, batch: DataFrame, version: int) -> DataFrame:
+        state = self.state(version, kind)
+        if kind == BINARIES:
+            return add_binaries(state, batch.filter("sha is not null").select(*REPO_KEY, "sha", "success", "seq"))
+        if kind == MATCHES:
+            return add_match_results(state, batch.filter("files_found is not null").select(*REPO_KEY, *MATCH_COUNTERS, "seq"))
+        return apply_results(state, batch)
 
 
 def start(source: DataFrame, fold: ResultFold, available_now: bool = True) -> StreamingQuery:
