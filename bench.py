@@ -10,10 +10,11 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 from corpusflow.catalog import QUERIES
-from corpusflow.session import build_session
+from corpusflow.session import build_session, release
 
 HEADLINE = [
     "agg01_binary_mapping", "agg06_compile_summary", "agg07_libraries_per_repo", "agg08_corpus_rollup", "agg12_address_sets",
@@ -33,8 +34,10 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     chosen = os.environ.get("BENCH_QUERIES", "")
     names = list(QUERIES) if chosen == "all" else [n for n in chosen.split(",") if n] or HEADLINE
+    shared = tempfile.TemporaryDirectory(prefix="bench-", ignore_cleanup_errors=True)
     spark = build_session(
         f"local[{cpus}]", "bench",
+        **{"spark.checkpoint.dir": f"file://{shared.name}"},
         **{"spark.sql.shuffle.partitions": cpus, "spark.driver.memory": "20g", "spark.ui.showConsoleProgress": "false"},
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -44,6 +47,7 @@ def main() -> None:
         begin = time.perf_counter()
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         seconds[name] = round(time.perf_counter() - begin, 3)
+        release(spark)
         if os.environ.get("BENCH_VERBOSE"):
             print(name, seconds[name], file=sys.stderr, flush=True)
     scale = float(os.path.basename(sf_dir.rstrip("/")).removeprefix("sf") or 0)

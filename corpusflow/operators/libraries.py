@@ -4,8 +4,8 @@ Five name patterns of a library are tried in order of priority; inside a pattern
 fewest characters outside the match wins, then the smallest name. Testing every pattern on
 every package would be a cross join. Instead each package offers its substrings, and a library
 finds them by equality. In a library name ``_`` stands for ``-`` or ``_`` and ``.`` for any character, so a
-name always matches text of its own length: with dashes folded into underscores and the places of dots
-blotted out, the match is an equi-join, and what it finds is checked against the exact rule. All other characters
+name always matches text of its own length: with dashes folded into underscores, the name or its longest part
+between dots is looked up by equality, and what it finds is checked against the exact rule. All other characters
 of a name stand for themselves.
 """
 
@@ -41,40 +41,60 @@ def _holds(lib: Column, part: Column) -> Column:
     return ~(F.contains(lib, F.lit("-")) & F.contains(part, F.lit("_"))) | F.forall(same, lambda x: x)
 
 
-def _found(wanted: DataFrame, parts: DataFrame) -> DataFrame:
-    """Substrings of packages that a library name matches."""
-    plain = wanted.filter(~F.contains("lib", F.lit("."))).withColumn("key", _fold(F.col("lib")))
-    direct = parts.withColumn("key", _fold(F.col("part"))).join(plain, "key")
-    dotted = wanted.filter(F.contains("lib", F.lit("."))).select(
-        "lib", F.regexp_replace("lib", r"[^.]", "x").alias("mask"), F.length("lib").alias("len"), _fold(F.col("lib")).alias("key")
-    )
-    masked = parts.join(dotted.select("mask", "len").distinct(), "len").withColumn(
-        "key", _blot(_fold(F.col("part")), F.col("mask"))
+def _substrings(packages: DataFrame) -> DataFrame:
+    """All substrings of each package name with their folded text."""
+    length = F.length("pkg")
+    ends = packages.select("pkg", F.explode(F.sequence(F.lit(1), length)).alias("end"))
+    parts = ends.select("pkg", "end", F.explode(F.sequence(F.lit(1), F.col("end"))).alias("start"))
+    return parts.select("pkg", "start", "end", _fold(F.expr("substring(pkg, start, end - start + 1)")).alias("key"))
+
+
+def _longest_run(lib: Column) -> Column:
+    """The longest part of a name between dots, as (size, -place, run, letters before it)."""
+    runs = F.split(lib, r"\.")
+    sized = F.transform(runs, lambda r, i: F.struct(F.length(r).alias("size"), (-i).alias("place"), r.alias("run")))
+    best = F.array_max(sized)
+    before = F.aggregate(
+        F.slice(runs, 1, -best["place"]), F.lit(0), lambda n, r: n + F.length(r) + 1
     )
-    blotted = masked.join(dotted.drop("len"), ["key", "mask"]).drop("mask")
-    return direct.unionByName(blotted).filter(_holds(F.col("lib"), F.col("part"))).drop("key")
+    return F.struct(best["run"].alias("run"), before.alias("before"))
 
 
-def _substrings(packages: DataFrame) -> DataFrame:
-    """All substrings of each package name with what stands around them."""
-    ends = packages.select("pkg", F.explode(F.sequence(F.lit(1), F.length("pkg"))).alias("end"))
-    rest = F.expr("substring(pkg, end + 1)")
-    ends = ends.select(
-        "pkg", "end", F.startswith(rest, F.lit(DEV)).alias("dev"),
-        F.length(F.regexp_extract(rest, "^" + VERSION + DEV, 0)).alias("tail_dev"),
-        F.length(F.regexp_extract(rest, "^" + VERSION, 0)).alias("tail"),
-    )
-    parts = ends.select("*", F.explode(F.sequence(F.lit(1), F.col("end"))).alias("start"))
-    return parts.select(
-        "*", F.expr("substring(pkg, start, end - start + 1)").alias("part"), (F.col("end") - F.col("start") + 1).alias("len"),
-        F.expr("start > 3 and substring(pkg, start - 3, 3) = 'lib'").alias("lib_before"),
-    )
+def _found(wanted: DataFrame, parts: DataFrame) -> DataFrame:
+    """Places (lib, pkg, start, end) of packages that a library name matches.
+
+    A name without dots equals the folded text there. Of a name with dots the longest run of letters is looked up, and the text around it
+    is compared. A name of dots alone matches any text of its length; of those there are as many as a package name is long.
+    """
+    has_dot = F.contains("lib", F.lit("."))
+    plain = wanted.filter(~has_dot).withColumn("key", _fold(F.col("lib")))
+    direct = parts.join(plain, "key").select("lib", "pkg", "start", "end")
+
+    dotted = wanted.filter(has_dot).select("lib", F.length("lib").alias("len"), _longest_run(F.col("lib")).alias("r"))
+    runs = dotted.filter("r.run <> ''").select("lib", "len", _fold(F.col("r.run")).alias("key"), F.col("r.before").alias("before"))
+    around = parts.join(runs, "key").select("lib", "pkg", (F.col("start") - F.col("before")).alias("start"), "len")
+    around = around.filter("start > 0 and start + len - 1 <= length(pkg)")
+    around = around.select("lib", "pkg", "start", (F.col("start") + F.col("len") - 1).alias("end"))
+    mask = F.regexp_replace("lib", r"[^.]", "x")
+    around = around.filter(_blot(_fold(F.expr("substring(pkg, start, end - start + 1)")), mask) == _fold(F.col("lib")))
+
+    dots = dotted.filter("r.run = ''").select("lib", "len")
+    anything = parts.withColumn("len", F.col("end") - F.col("start") + 1).join(dots, "len").select("lib", "pkg", "start", "end")
+    found = direct.unionByName(around).unionByName(anything)
+    return found.filter(_holds(F.col("lib"), F.expr("substring(pkg, start, end - start + 1)")))
 
 
 def candidates(libs: DataFrame, packages: DataFrame) -> DataFrame:
     """Best package per library and pattern: (lib, priority, outside, pkg)."""
     wanted = libs.select("lib").distinct()
     found = _found(wanted, _substrings(spread_by(packages.select("pkg").distinct(), "pkg")))
+    rest = F.expr("substring(pkg, end + 1)")
+    found = found.select(
+        "*", (F.col("end") - F.col("start") + 1).alias("len"), F.startswith(rest, F.lit(DEV)).alias("dev"),
+        F.length(F.regexp_extract(rest, "^" + VERSION + DEV, 0)).alias("tail_dev"),
+        F.length(F.regexp_extract(rest, "^" + VERSION, 0)).alias("tail"),
+        F.expr("start > 3 and substring(pkg, start - 3, 3) = 'lib'").alias("lib_before"),
+    )
 
     before, name = F.col("lib_before"), F.col("len")
 

@@ -7,6 +7,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_WRITTEN: dict[str, list[str]] = {}
 _LOCAL_ROOT: dict[str, tempfile.TemporaryDirectory] = {}  # removed when the program ends
 
 
@@ -45,7 +46,21 @@ def working_root(spark: SparkSession) -> str:
 
 def working_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder."""
-    return f"{working_root(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{working_root(spark)}/{name}-{uuid.uuid4().hex}"
+    _WRITTEN.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def release(spark: SparkSession) -> int:
+    """Delete what this application has written below the shared folder so far, and return the number of paths.
+
+    To be called when the results made from these tables have been written or are not needed any more.
+    """
+    paths = _WRITTEN.pop(spark.sparkContext.applicationId, [])
+    for path in paths:
+        hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+        hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
+    return len(paths)
 
 
 def settle(df: DataFrame) -> DataFrame:

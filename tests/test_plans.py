@@ -40,3 +40,35 @@ def test_no_query_uses_a_cross_product(spark):
     for name in ["jn11_package_candidates", "win03_best_packages", "jn10_token_positions", "jn08_run_comparison", "jn12_renamed_variables"]:
         text = plan(QUERIES[name](spark, SF_DIR))
         assert "CartesianProduct" not in text and "NestedLoop" not in text, name
+
+
+def test_filters_reach_the_scan_at_any_size(spark):
+    from corpusflow.catalog import QUERIES
+
+    for name in ["fil03_archive_size", "fil05_eligible_repos"]:
+        for folder in [SF_DIR, "/root/testdata/sf0.1"]:
+            text = plan(QUERIES[name](spark, folder))
+            assert "PushedFilters: [Is" in text and "Exchange" not in text, (name, folder)
+
+
+def test_running_totals_read_their_input_once(spark):
+    from corpusflow.catalog import QUERIES
+
+    for name in ["ord03_running_totals", "win01_time_budget", "win05_variable_ids"]:
+        text = plan(QUERIES[name](spark, SF_DIR))
+        assert text.count("FileScan parquet") <= 4 and "lineitem" not in text and "orders" not in text, name  # the dealt rows, for sums and totals
+
+
+def test_summary_is_one_aggregate(spark):
+    from corpusflow.catalog import QUERIES
+
+    text = plan(QUERIES["agg06_compile_summary"](spark, SF_DIR))
+    assert "Join" not in text.split("== Initial Plan ==")[-1] and text.split("== Initial Plan ==")[-1].count("FileScan") == 1
+
+
+def test_trees_are_folded_without_pairs_of_ancestors(spark):
+    from corpusflow.operators import trees
+
+    rows = trees.nodes(view(spark, SF_DIR, "c_ast"), ["func_id"], "ast")
+    folded = plan(trees.fold(rows, ["func_id"], {"n": ("sum", F.lit(1))}))
+    assert "CartesianProduct" not in folded and "NestedLoop" not in folded

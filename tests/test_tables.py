@@ -306,3 +306,12 @@ def test_stream_restarts_without_counting_twice(spark):
     assert rows == {"a": (5, True, 1), "b": (10, True, 4), "c": (-1, False, 0)}
     assert tuple(fold.totals().first()) == (3, 5, 1)
     assert {r.library for r in fold.libraries().collect()} == {"m", "z"}
+
+
+def test_written_tables_can_be_released(spark):
+    from corpusflow.session import release, settle
+
+    kept = settle(spark.range(5))
+    assert kept.count() == 5 and release(spark) >= 1 and release(spark) == 0
+    with pytest.raises(Exception, match="(?i)exist|missing|not find"):
+        kept.collect()
