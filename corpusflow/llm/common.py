@@ -81,16 +81,23 @@ def running_sums(df: DataFrame, keys: list[str], order: list[str | Column], sums
 _ARROW = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "boolean": pa.bool_(), "string": pa.string(), "binary": pa.binary()}
 
 
+def texts_of(column: pa.Array, size: int = 256) -> Iterator[str | None]:
+    """The texts of a column one after the other; only a slice of them is held as Python strings."""
+    for begin in range(0, len(column), size):
+        yield from column.slice(begin, size).to_pylist()
+
+
 def map_texts(df: DataFrame, keep: list[str], text: str, each: Callable[[str | None], tuple], fields: dict[str, str]) -> DataFrame:
     """The columns ``keep`` as they are and the ``fields`` (name: type) that ``each`` makes of one text, batch by batch."""
 
     def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [each(t) for t in batch.column(text).to_pylist()]
+            rows = [each(t) for t in texts_of(batch.column(text))]
             made = [pa.array(list(v), type=_ARROW[t]) for v, t in zip(zip(*rows, strict=True), fields.values(), strict=True)] if rows else [
                 pa.array([], type=_ARROW[t]) for t in fields.values()
             ]
             yield pa.RecordBatch.from_arrays([*[batch.column(k) for k in keep], *made], [*keep, *fields])
+        pa.default_memory_pool().release_unused()
 
     kinds = [f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keep] + [f"`{n}` {t}" for n, t in fields.items()]
     return df.select(*dict.fromkeys([*keep, text])).mapInArrow(mapped, ", ".join(kinds))
@@ -100,8 +107,9 @@ def map_parts(df: DataFrame, text: str, gather: Callable[[Iterator[str | None]],
     """Rows that ``gather`` makes of all texts of a partition, such as sums; it yields columns by name."""
 
     def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        texts = (t for batch in batches for t in batch.column(text).to_pylist())
+        texts = (t for batch in batches for t in texts_of(batch.column(text)))
         for columns in gather(texts):
             yield pa.RecordBatch.from_arrays([pa.array(columns[n], type=_ARROW[t]) for n, t in fields.items()], list(fields))
+        pa.default_memory_pool().release_unused()
 
     return df.select(text).mapInArrow(mapped, ", ".join(f"`{n}` {t}" for n, t in fields.items()))

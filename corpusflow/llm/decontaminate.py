@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from corpusflow.llm.common import encoded, map_texts, packed, running_sums, unpacked
+from corpusflow.llm.common import encoded, map_texts, packed, running_sums, texts_of, unpacked
 from corpusflow.session import settle
 
 ERROR_RATE = 0.05
@@ -142,7 +142,7 @@ def find_items(
             for batch in batches:
                 hits = [
                     (i, item_id, distance)
-                    for i, text in enumerate(batch.column("text").to_pylist())
+                    for i, text in enumerate(texts_of(batch.column("text")))
                     for item_id, distance in matcher.hits(normal(text))
                 ]
                 at = pa.array([h[0] for h in hits], type=pa.int64())

@@ -116,4 +116,5 @@ def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_rep
     rows = packed(docs, id=F.col("doc_id"), from_=F.col("source"), words=word_count(F.col("text")))
     same = F.col("id").eqNullSafe(F.col("_doc_id")) & F.col("from_").eqNullSafe(F.col("_source")) & (F.col("words") == F.col("_size"))
     columns = [c for c in docs.columns if c != "copies"]
-    return rows.join(decided, same).select(*unpacked(columns), F.col("_copies").alias("copies"))
+    # Decisions are small and unique on the key: they are hashed, and the texts are not sorted.
+    return rows.join(decided.hint("shuffle_hash"), same).select(*unpacked(columns), F.col("_copies").alias("copies"))

@@ -17,11 +17,11 @@ from __future__ import annotations
 import math
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusflow.llm.common import encoded, map_parts, map_texts, packed, unpacked
+from corpusflow.llm.common import encoded, map_parts, map_texts, packed, texts_of, unpacked
 from corpusflow.session import settle
 
 ORDER = 4
@@ -30,7 +30,9 @@ PRIOR = 100
 #: Trusted ids are broadcast up to this number; beyond it, documents and ids are joined by a shuffle.
 BROADCAST_IDS = 2_000_000
 _BITS, _SYMBOLS = 6, 64
-_FLUSH = 1 << 22
+_FLUSH = 1 << 20
+_SCALE = 2000  # the table holds negative logarithms in whole steps of 1 / _SCALE, in 16 bits
+_LEAST = 1e-12
 
 
 def _symbols() -> np.ndarray:
@@ -75,9 +77,8 @@ def count_grams(texts: DataFrame) -> DataFrame:
             yield sums(held)
 
     def sums(held):
-        found = np.bincount(np.concatenate(held), minlength=1)
-        at = np.flatnonzero(found)
-        return {"g": at, "n": found[at]}
+        found, n = np.unique(np.concatenate(held), return_counts=True)
+        return {"g": found, "n": n}
 
     return map_parts(texts, "text", counted, {"g": "int", "n": "long"}).groupBy("g").agg(F.sum("n").alias("n"))
 
@@ -117,20 +118,30 @@ def kneser_ney(counts: DataFrame) -> list[tuple[DataFrame, DataFrame]]:
     return out
 
 
-def logs(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]) -> np.ndarray:
-    """Natural logarithm of the probability of each of the 2 ** 24 n-grams, seen or not."""
-    lower = np.full(1, 1 / _SYMBOLS, np.float32)
+def costs(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]) -> np.ndarray:
+    """Negative logarithm of the probability of each of the 2 ** 24 n-grams, seen or not, in steps of 1 / _SCALE."""
+    lower = np.full(1, 1 / _SYMBOLS)
+    out = np.empty(_SYMBOLS**ORDER, np.uint16)
     for k, (g, p, c, w) in enumerate(parts, 1):
-        weights = np.ones(_SYMBOLS ** (k - 1), np.float32)  # an unseen context leaves all to the order below
+        weights = np.ones(_SYMBOLS ** (k - 1))  # an unseen context leaves all to the order below
         weights[c] = w
-        # p(d | a b c) of n-grams not seen: weight(a b c) * p(d | b c)
-        if k == 1:
-            dense = np.full(_SYMBOLS, weights[0] * lower[0], np.float32)
-        else:
-            dense = (weights.reshape(_SYMBOLS, -1, 1) * lower.reshape(1, -1, _SYMBOLS)).ravel()
-        dense[g] = p
-        lower = dense
-    return np.log(np.maximum(lower, np.float32(1e-12)))
+        order = np.argsort(g)
+        g, p = g[order], p[order]
+        rows = []
+        for a in range(_SYMBOLS if k > 1 else 1):  # n-grams that begin with the same symbol
+            # p(d | a b c) of n-grams not seen: weight(a b c) * p(d | b c)
+            dense = weights * lower[0] if k == 1 else (weights.reshape(_SYMBOLS, -1)[a][:, None] * lower.reshape(-1, _SYMBOLS)).ravel()
+            if k == 1:
+                dense = np.full(_SYMBOLS, dense[0])
+            begin, size = a * len(dense), len(dense)
+            i, j = np.searchsorted(g, [begin, begin + size])
+            dense[g[i:j] - begin] = p[i:j]
+            if k < ORDER:
+                rows.append(dense)
+            else:
+                out[begin : begin + size] = np.rint(-np.log(np.maximum(dense, _LEAST)) * _SCALE)
+        lower = np.concatenate(rows) if rows else lower
+    return out
 
 
 def trusted_texts(docs: DataFrame, trusted: DataFrame) -> DataFrame:
@@ -162,9 +173,9 @@ def _scorer(spark, model: list[tuple] | None):
         if not text or sent.value is None:
             return len(encoded(text)), 0.0
         if not made:
-            made.append(logs(sent.value))
+            made.append(costs(sent.value))
         ids = grams(text, of)
-        return len(ids), -float(made[0][ids].sum(dtype=np.float64))
+        return len(ids), int(made[0][ids].sum(dtype=np.int64)) / _SCALE
 
     return score
 
@@ -215,11 +226,11 @@ def good_documents(docs: DataFrame, labels: DataFrame, quantile: float = QUANTIL
     mean, limits = thresholds(scored(known, model), trusted, quantile)
     score = _scorer(docs.sparkSession, model)
 
-    @F.pandas_udf("double")
-    def smoothed(texts: pd.Series) -> pd.Series:
-        rows = [score(t) for t in texts]
-        return pd.Series([(s + mean * PRIOR) / (n + PRIOR) if n else math.inf for n, s in rows], dtype=float)
+    @F.arrow_udf("double")
+    def smoothed(texts: pa.Array) -> pa.Array:
+        return pa.array([(s + mean * PRIOR) / (n + PRIOR) if n else math.inf for n, s in map(score, texts_of(texts))], pa.float64())
 
+    smoothed = smoothed.asNondeterministic()  # else the optimizer runs it once more for a filter of its own before the join
     few = F.broadcast(limits) if limits.count() <= 10_000 else limits
     rows = packed(docs, stratum=_stratum(), nll=smoothed(F.col("text")))
     judged = rows.join(few, F.col("stratum") == F.col("_stratum"), "left")

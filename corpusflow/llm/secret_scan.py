@@ -17,11 +17,11 @@ from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusflow.llm.common import encoded, map_parts, map_texts
+from corpusflow.llm.common import encoded, map_parts, map_texts, texts_of
 
 # Fixed patterns: (kind, pattern, group that is measured, least length). ASCII only; letters of the names in either case.
 _ASSIGN = re.compile(
@@ -142,27 +142,23 @@ def scan(docs: DataFrame, model: np.ndarray | None, limit: float = LIMIT, per_ch
 def redact(docs: DataFrame, model: np.ndarray | None, mask: str = "[secret]", limit: float = LIMIT, per_char: float = PER_CHAR) -> DataFrame:
     """The same rows with each secret replaced in ``text`` and, where there is one, ``n_chars`` set anew; a null text stays."""
 
-    @F.pandas_udf("string")
-    def cleaned(texts: pd.Series) -> pd.Series:
-        def one(text):
-            if not text:
-                return text
-            base = base_spans(text)
-            spans = sorted((a, b) for _, a, b in base + model_spans(text, base, model, limit, per_char))
-            if not spans:
-                return text
-            parts, at = [], 0
-            for a, b in spans:
-                if b <= at:
-                    continue
-                if a >= at:
-                    parts += [text[at:a], mask]
-                at = b
-            return "".join([*parts, text[at:]])
-
-        return texts.map(one, na_action="ignore").astype(object)
-
-    out = docs.withColumn("text", cleaned(F.col("text")))
+    def cleaned(text: str | None) -> str | None:
+        if not text:
+            return text
+        base = base_spans(text)
+        spans = sorted((a, b) for _, a, b in base + model_spans(text, base, model, limit, per_char))
+        parts, at = [], 0
+        for a, b in spans:
+            if a >= at:
+                parts += [text[at:a], mask]
+            at = max(at, b)
+        return "".join([*parts, text[at:]]) if spans else text
+
+    @F.arrow_udf("string")
+    def clean(texts: pa.Array) -> pa.Array:
+        return pa.array(map(cleaned, texts_of(texts)), pa.string())
+
+    out = docs.withColumn("text", clean.asNondeterministic()(F.col("text")))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return out.select(*docs.columns)

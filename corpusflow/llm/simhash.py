@@ -86,8 +86,16 @@ def fingerprints(docs: DataFrame, keep: list[str], shingle: int = 4, words: int
 
 def _matrix(fps: pa.Array | list[bytes], words: int) -> np.ndarray:
     """Fingerprints as rows of 64-bit numbers."""
-    data = b"".join(fps if isinstance(fps, list) else fps.to_pylist())
-    return np.frombuffer(data, ">u8").astype(np.uint64).reshape(-1, words)
+    if isinstance(fps, list):
+        data = np.frombuffer(b"".join(fps), np.uint8)
+    elif not len(fps):
+        data = np.empty(0, np.uint8)
+    else:  # the bytes of an Arrow column lie one after the other
+        width = np.int64 if pa.types.is_large_binary(fps.type) else np.int32
+        _, offsets, values = fps.buffers()
+        ends = np.frombuffer(offsets, width)[fps.offset : fps.offset + len(fps) + 1]
+        data = np.frombuffer(values, np.uint8)[ends[0] : ends[-1]]
+    return data.view(">u8").astype(np.uint64).reshape(-1, words)
 
 
 def _distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -188,12 +196,19 @@ class Local:
                 near = d <= self.first
                 if np.count_nonzero(near) > len(qs) + len(ps):
                     near &= self.root[qs][:, None] != self.root[ps][None, :]
-                x, y = np.nonzero(near)
-                if self.words < rows.shape[1]:
-                    close = _distance(rows[x], columns[y]) <= self.radius
-                    x, y = x[close], y[close]
-                if len(x):
-                    self._union(qs[x], ps[y])
+                self._link(qs, ps, *np.nonzero(near))
+
+    def _link(self, qs: np.ndarray, ps: np.ndarray, x: np.ndarray, y: np.ndarray) -> None:
+        """Join the pairs that are near on all words, a part at a time; pairs that are joined already need no look."""
+        for begin in range(0, len(x), 1 << 15):
+            a, b = qs[x[begin : begin + (1 << 15)]], ps[y[begin : begin + (1 << 15)]]
+            if self.words < self.fps.shape[1]:
+                apart = self.root[a] != self.root[b]
+                a, b = a[apart], b[apart]
+                close = _distance(self.fps[a], self.fps[b]) <= self.radius
+                a, b = a[close], b[close]
+            if len(a):
+                self._union(a, b)
 
     def _union(self, a: np.ndarray, b: np.ndarray) -> None:
         root = self.root
@@ -275,6 +290,7 @@ def links(
         fps = group.column("fp").combine_chunks().take(pa.array(order))
         root = Local(_matrix(fps, words), int(point.sum()), radius, coarse).root
         linked = np.flatnonzero(root != np.arange(len(root)))
+        pa.default_memory_pool().release_unused()
         return pa.table({"a": fps.take(pa.array(linked)).cast(pa.binary()), "b": fps.take(pa.array(root[linked])).cast(pa.binary())})
 
     sent = banded.mapInArrow(dealt, "unit long, part long, point boolean, fp binary")

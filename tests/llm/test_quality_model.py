@@ -66,10 +66,11 @@ def test_scores_are_those_of_the_definition(spark):
     model = qm.train(docs, trusted)
     ids = {i for i, g in labels if g == 1} - {3, None}
     plain = plain_model([t for i, t, _, _ in rows if i in ids])
-    assert abs(float(np.exp(qm.logs(model)).reshape(-1, 64).sum(axis=1).max()) - 1) < 1e-3  # each context's probabilities sum to 1
+    table = qm.costs(model).astype(np.float32)
+    assert np.allclose(np.exp(-table / qm._SCALE).reshape(-1, 64).sum(axis=1), 1, atol=2e-3)  # each context's probabilities sum to 1
     got = {r["doc_id"]: r for r in qm.scored(docs, model).collect()}
     for i, text, _, _ in rows:
-        assert got[i]["n"] == len(text.encode()) and got[i]["nll"] == pytest.approx(plain(text), rel=1e-4)
+        assert got[i]["n"] == len(text.encode()) and got[i]["nll"] == pytest.approx(plain(text), rel=5e-4)
 
 
 def test_thresholds_and_decisions(spark):
