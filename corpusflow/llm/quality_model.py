@@ -1,11 +1,12 @@
-"""Quality classifier: an interpolated modified Kneser-Ney model of symbol n-grams trained on trusted text.
+"""Quality classifier: interpolated modified Kneser-Ney models trained on trusted text.
 
-Bytes of a text are mapped to 64 symbols by a fixed rule, so that a model of order 4 has at most 2 ** 24 entries, a bound that no corpus exceeds.
-The n-grams of all trusted texts are counted in shards by n-gram; continuation counts, discounts and interpolated probabilities of each order are
-joins and sums over these sharded tables. The finished table is sent to the tasks, where each document's perplexity is summed up in its place, and no
-text is moved. A document is rejected if its perplexity is above the quantile ``QUANTILE`` of the trusted documents of its language.
+Texts are judged by the word trigrams of ``word_model``, whose tables grow with the trusted text. Below its unigrams lies a model of spelling, which
+is trained here: bytes are mapped to 64 symbols by a fixed rule, so that a model of order 4 has at most 2 ** 24 entries. Its n-grams
+are counted in shards by n-gram; continuation counts, discounts and interpolated probabilities of each order are joins and sums over these sharded
+tables, and the finished table is sent to the tasks. A document is rejected if its perplexity by byte is above the quantile ``QUANTILE`` of the trusted
+documents of its language.
 
-Short texts vary much, so perplexity is that of the text with ``PRIOR`` symbols of average trusted text added.
+Short texts vary much, so perplexity is that of the text with ``PRIOR`` bytes of average trusted text added.
 
 Defined results: null and empty texts have no perplexity and are rejected, as nothing can be judged; a language without trusted documents rejects
 nothing else, and neither does a corpus without any; a null language is a language of its own; a document with several labels is trusted if all say
@@ -17,11 +18,11 @@ from __future__ import annotations
 import math
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusflow.llm.common import encoded, map_parts, map_texts, packed, texts_of, unpacked
+from corpusflow.llm import word_model
+from corpusflow.llm.common import encoded, map_parts, map_texts, packed, unpacked
 from corpusflow.session import settle
 
 ORDER = 4
@@ -85,7 +86,10 @@ def count_grams(texts: DataFrame) -> DataFrame:
 
 def _discounts(rows: DataFrame) -> list[float]:
     """The three discounts of an order from its counts of counts; where these do not give any, half a count."""
-    n1, n2, n3, n4 = rows.agg(*[F.count_if(F.col("n") == i) for i in (1, 2, 3, 4)]).first()
+    return _discounts_of(*rows.agg(*[F.count_if(F.col("n") == i) for i in (1, 2, 3, 4)]).first())
+
+
+def _discounts_of(n1: int, n2: int, n3: int, n4: int) -> list[float]:
     if not (n1 and n2 and n3):
         return [0.5, 0.5, 0.5]
     y = n1 / (n1 + 2 * n2)
@@ -207,31 +211,43 @@ def trusted_ids(labels: DataFrame) -> DataFrame:
     return labels.filter("good is not null and doc_id is not null").groupBy("doc_id").agg(F.min("good").alias("good")).filter("good = 1").select("doc_id")
 
 
-def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE) -> DataFrame:
-    """(doc_id, n_symbols, perplexity, threshold, kept) of each row of ``docs``; ``labels`` has (doc_id, good)."""
+def judged(docs: DataFrame, labels: DataFrame, quantile: float) -> tuple[float, DataFrame]:
+    """Mean of trusted text, and the scores (doc_id, stratum, who, more, n, nll) of each row with the threshold of its stratum."""
     trusted = settle(trusted_ids(labels))
-    scores = scored(docs, train(docs, trusted))
+    symbols = train(docs, trusted)
+    score = _scorer(docs.sparkSession, symbols)
+
+    def coder() -> word_model.Coder:
+        return word_model.Coder(lambda text: score(text)[1])
+
+    marked = docs.select("doc_id", _stratum().alias("stratum"), "text", word_model.half(F.col("doc_id")).alias("half"), *identity())
+    counts = settle(word_model.count_grams(trusted_texts(marked, trusted), coder))
+    model, left = word_model.table(counts, _discounts_of)
+    scores = settle(word_model.scored(marked, model, left, coder, ["doc_id", "stratum", "who", "more"]))
     mean, limits = thresholds(scores, trusted, quantile)
-    out = scores.join(limits, F.col("stratum") == F.col("_stratum"), "left")
+    return mean, scores.join(limits, F.col("stratum") == F.col("_stratum"), "left")
+
+
+def identity() -> list[Column]:
+    """A row by its contents, in 128 bits: rows that are equal in them get equal results."""
+    return [F.xxhash64(F.lit(i), "doc_id", _stratum(), "text").alias(n) for i, n in enumerate(("who", "more"))]
+
+
+def _kept(mean: float) -> Column:
+    return F.coalesce((F.col("n") > 0) & (_smoothed(mean) <= F.coalesce("threshold", F.lit(math.inf))), F.lit(False))
+
+
+def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE) -> DataFrame:
+    """(doc_id, n_symbols, perplexity, threshold, kept) of each row of ``docs``; ``labels`` has (doc_id, good)."""
+    mean, out = judged(docs, labels, quantile)
     mean_nll = F.when(F.col("n") > 0, _smoothed(mean))
-    kept = F.coalesce(mean_nll <= F.coalesce("threshold", F.lit(math.inf)), F.lit(False))
-    return out.select("doc_id", F.col("n").alias("n_symbols"), F.exp(mean_nll).alias("perplexity"), F.exp("threshold").alias("threshold"), kept.alias("kept"))
+    return out.select("doc_id", F.col("n").alias("n_symbols"), F.exp(mean_nll).alias("perplexity"), F.exp("threshold").alias("threshold"), _kept(mean).alias("kept"))
 
 
 def good_documents(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE) -> DataFrame:
     """The rows of ``docs`` that the classifier keeps."""
-    trusted = settle(trusted_ids(labels))
-    model = train(docs, trusted)
-    known = trusted_texts(docs.select("doc_id", "lang", "text"), trusted)
-    mean, limits = thresholds(scored(known, model), trusted, quantile)
-    score = _scorer(docs.sparkSession, model)
-
-    @F.arrow_udf("double")
-    def smoothed(texts: pa.Array) -> pa.Array:
-        return pa.array([(s + mean * PRIOR) / (n + PRIOR) if n else math.inf for n, s in map(score, texts_of(texts))], pa.float64())
-
-    smoothed = smoothed.asNondeterministic()  # else the optimizer runs it once more for a filter of its own before the join
-    few = F.broadcast(limits) if limits.count() <= 10_000 else limits
-    rows = packed(docs, stratum=_stratum(), nll=smoothed(F.col("text")))
-    judged = rows.join(few, F.col("stratum") == F.col("_stratum"), "left")
-    return judged.filter(F.col("nll") <= F.coalesce("threshold", F.lit(1e300))).select(*unpacked(docs.columns))
+    mean, rows = judged(docs, labels, quantile)
+    gone = settle(rows.filter(~_kept(mean)).select(F.col("who").alias("_who"), F.col("more").alias("_more")).distinct())
+    who, more = identity()
+    same = (F.col("who") == F.col("_who")) & (F.col("more") == F.col("_more"))
+    return packed(docs, who=who, more=more).join(gone, same, "left_anti").select(*unpacked(docs.columns))
