@@ -349,9 +349,12 @@ STAGE = {"radius": 166, "shingle": 5, "words": 16, "ratio": 0.8, "coarse": (4, 6
 
 
 def one_of_each(docs: DataFrame, **settings) -> DataFrame:
-    """The rows of ``docs``, a stored table, without those of which a near copy with a smaller (doc_id, place) is there."""
-    numbered = packed(docs, doc_id=F.col("doc_id"), text=F.col("text"), place=F.monotonically_increasing_id())
+    """The rows of ``docs`` without those of which a near copy with a smaller (doc_id, place) is there.
+
+    Places are written once with the rows, so that those judged are those removed, however the scans are split.
+    """
+    rows = settle(packed(docs, place=F.monotonically_increasing_id()))
+    numbered = rows.select(F.col("_row.doc_id").alias("doc_id"), F.col("_row.text").alias("text"), "place")
     groups = grouped(numbered, tie=F.col("place"), **(STAGE | settings))
     gone = settle(groups.filter(F.col("tie") != F.col("rep.tie")).select(F.col("tie").alias("_gone")))
-    rows = packed(docs, place=F.monotonically_increasing_id())
     return rows.join(gone, F.col("place") == F.col("_gone"), "left_anti").select(*unpacked(docs.columns))

@@ -105,3 +105,22 @@ def test_one_of_each_keeps_the_first(spark, tmp_path):
     documents(spark, []).write.parquet(f"{tmp_path}/none")
     assert simhash.one_of_each(spark.read.parquet(f"{tmp_path}/none")).count() == 0
     assert simhash.grouped(documents(spark, [])).count() == 0
+
+
+def test_one_of_each_holds_when_splits_change(spark, tmp_path, monkeypatch):
+    rows = [(i, prose(i // 2, 40), "en", None) for i in range(200)]
+    documents(spark, rows).repartition(8).write.parquet(f"{tmp_path}/docs")
+    whole, size = simhash.grouped, "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(size)
+
+    def other_splits(*args, **settings):
+        groups = simhash.settle(whole(*args, **settings))
+        spark.conf.set(size, "1k")  # as if executors had joined or been lost since the first scan
+        return groups
+
+    monkeypatch.setattr(simhash, "grouped", other_splits)
+    try:
+        kept = [r["doc_id"] for r in simhash.one_of_each(spark.read.parquet(f"{tmp_path}/docs")).collect()]
+    finally:
+        spark.conf.set(size, before)
+    assert sorted(kept) == list(range(0, 200, 2))
