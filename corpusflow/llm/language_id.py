@@ -1,8 +1,8 @@
 """Language identification by sparse multinomial logistic regression on TF-IDF character n-grams.
 
 Features are the one- to three-grams of a text's lower-cased characters, hashed into ``BUCKETS`` places; document frequencies cover all documents to
-learn from. The regression is fitted on at most ``FIT`` of these documents in all, spread evenly over the languages and chosen by the hash of
-doc_id, by follow-the-regularised-leader with an elastic net, which leaves most weights at zero. A temperature, fitted on at most ``CALIBRATE`` other
+learn from. The regression is fitted on at most ``FIT`` of these documents in all, spread evenly over the languages and chosen by a hash of
+doc_id and text among the distinct texts of each language, by follow-the-regularised-leader with an elastic net, which leaves most weights at zero. A temperature, fitted on at most ``CALIBRATE`` other
 documents, turns scores into calibrated probabilities.
 
 Defined results: null texts and texts without a letter are ``und`` with score 0; so is everything if there is nothing to learn from; ties go to
@@ -13,7 +13,8 @@ empty table. Only doc_id, text and lang are read, and lang only to learn.
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusflow.llm.common import map_parts, map_texts
@@ -105,12 +106,28 @@ def train(docs: DataFrame) -> dict | None:
     idf = np.full(BUCKETS, np.log(1 + total))
     idf[list(df)] = np.log((1 + total) / (1 + np.array(list(df.values())))) + 1e-3
 
-    by_lang = settle(learn.groupBy("lang").agg(F.count("*").alias("n")))
-    per_lang = max(1, (FIT + CALIBRATE) // by_lang.count())
-    chance = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / F.lit(1 << 30)
-    shares = by_lang.select(F.col("lang").alias("_lang"), (F.lit(1.3 * per_lang + 10) / F.col("n")).alias("_share"))
-    chosen = learn.withColumn("_chance", chance).join(F.broadcast(shares.orderBy(F.desc("_share")).limit(FIT)), F.col("lang") == F.col("_lang"))
-    chosen = chosen.filter(F.col("_chance") < F.col("_share"))
+    # each text once in its language, then the least chances in two bounded steps: at most FIT + CALIBRATE rows ever come to the driver
+    known = [F.xxhash64("text").alias("_hash"), F.xxhash64("doc_id", F.col("doc_id").isNull(), "text").alias("_chance")]
+    distinct = settle(learn.select("lang", *known).groupBy("lang", "_hash").agg(F.min("_chance").alias("_chance")))
+    langs = settle(distinct.groupBy("lang").agg(F.count("*").alias("n")).orderBy("n", "lang").limit(FIT).select("lang"))
+    per_lang = max(1, (FIT + CALIBRATE) // max(1, langs.count()))
+    least = distinct.join(F.broadcast(langs), "lang").withColumn("_part", F.pmod("_hash", F.lit(64)))
+    for keys in (["lang", "_part"], ["lang"]):
+        least = least.withColumn("_at", F.row_number().over(Window.partitionBy(*keys).orderBy("_chance", "_hash"))).filter(F.col("_at") <= per_lang)
+    taken = settle(least.select(F.col("lang").alias("_l"), F.col("_hash").alias("_h"), F.col("_chance").alias("_c")))
+    here = (F.col("lang") == F.col("_l")) & (F.col("_hash") == F.col("_h")) & (F.col("_chance") == F.col("_c"))
+    repeated = learn.select("lang", "text", *known).join(F.broadcast(taken), here).select("lang", "text", "_hash", "_chance")
+
+    def once(batches):
+        seen = set()  # at most as many as are taken
+        for batch in batches:
+            new = []
+            for key in zip(*(batch.column(k).to_pylist() for k in ("lang", "_hash")), strict=True):
+                new.append(key not in seen)
+                seen.add(key)
+            yield batch.filter(pa.array(new, pa.bool_()))
+
+    chosen = repeated.mapInArrow(once, repeated.schema).groupBy("lang", "_hash", "_chance").agg(F.first("text").alias("text"))
 
     def sparse(text):
         counts = gram_counts(text)

@@ -5,7 +5,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from corpusflow.llm import language_id as li
-from tests.llm.cases import documents, odd_rows
+from tests.llm.cases import documents, odd_rows, prose
 
 
 def test_accuracy_on_held_out_documents(spark):
@@ -61,3 +61,19 @@ def test_odd_rows_and_no_rows(spark):
     assert {(r["lang_pred"], r["score"]) for r in li.predict(unlabelled, li.train(unlabelled)).collect()} == {("und", 0.0)}
     none = documents(spark, [])
     assert li.predict(none, li.train(none)).count() == 0
+
+
+def test_rows_that_share_an_id_take_one_place_for_each_text(spark, monkeypatch):
+    monkeypatch.setattr(li, "FIT", 40)
+    monkeypatch.setattr(li, "CALIBRATE", 10)
+    rows = [(None, "one text under no id, again and again", "en", None)] * 300
+    rows += [(i, prose(i, 20), ["en", "de"][i % 2], None) for i in range(400)]
+    fitted, whole = [], li.fit
+
+    def seen(examples, *args, **settings):
+        fitted.extend(examples)
+        return whole(examples, *args, **settings)
+
+    monkeypatch.setattr(li, "fit", seen)
+    li.train(documents(spark, rows))
+    assert len(fitted) == 40 and len({(at.tobytes(), x.tobytes()) for at, x, _ in fitted}) == 40
