@@ -5,7 +5,8 @@ the number of tags since the line before it, and its region, the nearest enclosi
 a page's lines are smoothed with a Gaussian kernel; a line is content if its smoothed ratio is above a threshold that lies
 between the means of the two clusters of ratios. A region with a content line is a content region, and all of its lines are kept in page order.
 Elements that never hold an article's text (menus, headers and footers of the page, sidebars, forms, scripts, adverts, comments) are skipped
-as the events go by, by tag, role or words of class and id.
+as the events go by, by tag, role or a whole class or id. A form or a class does not skip an article or main inside it, and forms that hold most
+of the text of a page without an article are kept.
 
 Defined results: null or empty html and pages without text give an empty text; unclosed and misplaced tags are taken as they come;
 repeated rows each get a result; very long pages are read whole; an empty table gives an empty table. Only page_id, url and html are read.
@@ -33,13 +34,20 @@ SKIPPED = frozenset(
     "audio video map datalist search title".split()
 )
 SKIPPED_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alertdialog alert menu menubar toolbar status".split())
-_BOILERPLATE = re.compile(
-    r"(?:^|[-_\s])(?:ads?|adverts?|advertisements?|advertising|adsense|sponsor(?:ed)?|promo(?:tion)?s?|banner|cookies?|consent|gdpr|notices?|"
+#: Parts that make up a class or id of boilerplate, and parts that may stand beside them; any other part, as in has-sidebar or nav-open, says something else.
+_PARTS = (
+    r"(?:ads?|adverts?|advertisements?|advertising|adsense|sponsor(?:ed)?|promo(?:tion)?s?|banner|cookies?|consent|gdpr|notices?|"
     r"alerts?|popup|modal|overlay|sidebar|side-bar|widgets?|menus?|nav|navbar|navigation|breadcrumbs?|footer|masthead|topbar|toolbar|"
     r"comments?|comment-?list|respond|disqus|replies|share|sharing|social|related|recommended|newsletter|subscribe|signup|login|skip|pagination|pager)"
-    r"(?:$|[-_\s\d])", re.IGNORECASE,
 )
-_HEADER = re.compile(r"(?:^|[-_\s])(?:site|page|global|top|main)?[-_]?header(?:$|[-_\s\d])", re.IGNORECASE)
+_BESIDE = (
+    r"(?:site|page|global|main|top|bottom|left|right|primary|secondary|mobile|sticky|post|posts|article|articles|entry|user|news|list|items?|links?|buttons?|icons?|"
+    r"media|box|bar|area|block|section|container|wrapper|wrap|inner|form|unit|slot|message|policy|text|link|google|the|\d+)"
+)
+_BOILERPLATE = re.compile(rf"(?:{_BESIDE}[-_])*{_PARTS}\d*(?:[-_](?:{_PARTS}|{_BESIDE})\d*)*", re.IGNORECASE)
+_HEADER = re.compile(r"(?:site|page|global|top|main)?[-_]?header(?:[-_]?\d+)?", re.IGNORECASE)
+#: How an element is skipped: a form only if the page has more besides, a class not where an article or main is inside, and all else always.
+_FORM, _CLASS, _ALWAYS = 1, 2, 3
 _CUT = re.compile(r"<[/!?]?[A-Za-z][^<>]*\Z")  # a tag that the end of the page cuts off
 _SPACE = re.compile(r"\s+")
 #: Elements whose end tag may be left out, and what ends them.
@@ -54,19 +62,23 @@ class Lines(HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.lines: list[tuple[str, int, int]] = []
-        self.open: list[tuple[str, bool, int]] = []  # tag, skipped, region
+        self.formed: list[bool] = []  # lines that stand in a form
+        self.article = False  # a line stands in an article or main
+        self.open: list[tuple[str, int, int]] = []  # tag, skipped, region
         self.parts: list[str] = []
         self.tags = 0
         self.regions = 0
 
-    def _top(self) -> tuple[str, bool, int]:
-        return self.open[-1] if self.open else ("", False, 0)
+    def _top(self) -> tuple[str, int, int]:
+        return self.open[-1] if self.open else ("", 0, 0)
 
     def _break(self) -> None:
         text = _SPACE.sub(" ", "".join(self.parts)).strip()
         self.parts.clear()
         if text:
             self.lines.append((text, self.tags, self._top()[2]))
+            self.formed.append(self._top()[1] == _FORM)
+            self.article = self.article or any(t in ("article", "main") for t, _, _ in self.open)
             self.tags = 0
 
     def handle_starttag(self, tag, attrs) -> None:
@@ -80,21 +92,39 @@ class Lines(HTMLParser):
         while self.open and tag in _ENDS.get(self.open[-1][0], ()):
             self.open.pop()
         _, skipped, region = self._top()
-        skipped = skipped or tag in SKIPPED or self._boilerplate(tag, dict(attrs))
+        if tag in ("article", "main") and skipped < _ALWAYS:
+            skipped = 0
+        own = _FORM if tag == "form" else _ALWAYS if tag in SKIPPED else 0
+        skipped = max(skipped, own, self._boilerplate(tag, dict(attrs)))
         if tag in SECTIONS and not any(t in ("article", "main") for t, _, _ in self.open):
             self.regions += 1
             region = self.regions
         self.open.append((tag, skipped, region))
 
-    def _boilerplate(self, tag: str, attrs: dict) -> bool:
+    def _boilerplate(self, tag: str, attrs: dict) -> int:
         if tag in ("html", "body", "main", "article"):
-            return bool(tag == "article" and re.search(r"comment", f"{attrs.get('class')} {attrs.get('id')}", re.IGNORECASE))
+            return _ALWAYS * bool(tag == "article" and re.search(r"comment", f"{attrs.get('class')} {attrs.get('id')}", re.IGNORECASE))
         if tag == "header":
-            return not any(t in ("article", "main") for t, _, _ in self.open)
+            return _ALWAYS * (not any(t in ("article", "main") for t, _, _ in self.open))
         if (attrs.get("role") or "").lower() in SKIPPED_ROLES or "hidden" in attrs or attrs.get("aria-hidden") == "true":
-            return True
-        names = f"{attrs.get('class') or ''} {attrs.get('id') or ''}"
-        return bool(_BOILERPLATE.search(names) or (_HEADER.search(names) and not any(t == "article" for t, _, _ in self.open)))
+            return _ALWAYS
+        names = f"{attrs.get('class') or ''} {attrs.get('id') or ''}".split()
+        if any(map(_BOILERPLATE.fullmatch, names)):
+            return _CLASS
+        return _CLASS * (any(map(_HEADER.fullmatch, names)) and not any(t == "article" for t, _, _ in self.open))
+
+    def without_forms(self) -> list[tuple[str, int, int]]:
+        """The lines without those in forms, unless the page has no article and most of its text is in forms."""
+        inside = sum(len(t) for (t, _, _), f in zip(self.lines, self.formed, strict=True) if f)
+        if not self.article and 2 * inside > sum(len(t) for t, _, _ in self.lines):
+            return self.lines
+        out, tags = [], 0
+        for (text, own, region), formed in zip(self.lines, self.formed, strict=True):
+            tags += own
+            if not formed:
+                out.append((text, tags, region))
+                tags = 0
+        return out
 
     def handle_startendtag(self, tag, attrs) -> None:
         self.handle_starttag(tag, attrs)
@@ -110,7 +140,7 @@ class Lines(HTMLParser):
             del self.open[at:]
 
     def handle_data(self, data) -> None:
-        if not self._top()[1]:
+        if self._top()[1] <= _FORM:
             self.parts.append(data)
 
     def close(self) -> None:
@@ -144,12 +174,13 @@ def extract(html: str | None, sigma: float = SIGMA) -> str:
     page = Lines()
     page.feed(_CUT.sub("", html or ""))
     page.close()
-    if not page.lines:
+    lines = page.without_forms()
+    if not lines:
         return ""
-    ratios = smoothed(np.array([len(t) / max(1, tags) for t, tags, _ in page.lines]), sigma)
+    ratios = smoothed(np.array([len(t) / max(1, tags) for t, tags, _ in lines]), sigma)
     content = ratios >= threshold(ratios)
-    regions = {r for (_, _, r), c in zip(page.lines, content, strict=True) if c}
-    return "\n".join(t for t, _, r in page.lines if r in regions)
+    regions = {r for (_, _, r), c in zip(lines, content, strict=True) if c}
+    return "\n".join(t for t, _, r in lines if r in regions)
 
 
 def main_text(pages: DataFrame, sigma: float = SIGMA) -> DataFrame:

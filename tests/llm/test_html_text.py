@@ -51,3 +51,13 @@ def test_rows(spark):
     rows = html_text.main_text(frame.selectExpr("*", *[f"1 as `{c}`" for c in CLASHING])).collect()
     assert sorted(map(str, map(tuple, rows))) == ["(1, 'u', 'Some text', 9)", "(1, 'u', 'Some text', 9)", "(None, None, '', 0)"]
     assert html_text.main_text(frame.limit(0)).count() == 0
+
+
+def test_layout_classes_and_forms_skip_no_article():
+    paragraphs = "".join(f"<p>{p}</p>" for p in PARAGRAPHS)
+    for name in ("content has-sidebar", "no-sidebar", "page with-ads", "post has-comments", "container modal-open", "site-wrapper nav-open", "sidebar"):
+        assert html_text.extract(page(f"<div class='{name}'><article>{paragraphs}</article></div>")) == TEXT, name
+        if name != "sidebar":
+            assert html_text.extract(page(f"<div class='{name}'>{paragraphs}</div>")) == TEXT, name
+    for inner in (f"<article>{paragraphs}</article>", f"<div>{paragraphs}</div>"):
+        assert html_text.extract(f"<body><form action=/><nav>Menu</nav>{inner}<div class=sidebar>Other</div></form></body>") == TEXT
