@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusflow.llm import (
-    decontaminate, html_text, language_id, mixing, quality_model, quality_rules, secret_scan, simhash, token_count, url_filter,
+    decontaminate, fill_middle, html_text, language_id, mixing, quality_model, quality_rules, secret_scan, simhash, token_count, url_filter,
 )
 from corpusflow.llm.common import table
 
@@ -180,3 +180,33 @@ def identify_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learned from those that are not held out."""
     docs = table(spark, sf_dir, "documents")
     return language_id.predict(docs, language_id.train(docs))
+
+
+FILL_SQL = r"""
+with hashed as (select doc_id, coalesce(text, '') as t, sha256('1:' || coalesce(cast(doc_id as varchar), '')) as h from documents),
+drawn as (
+  select doc_id, t, regexp_extract_all(t, '[A-Za-z]+|[^A-Za-z]') as w, cast('0x' || substr(h, 1, 8) as bigint) as h1, cast('0x' || substr(h, 9, 8) as bigint) as h2,
+    cast('0x' || substr(h, 17, 8) as bigint) as h3, cast('0x' || substr(h, 25, 8) as bigint) as h4 from hashed),
+cut as (
+  select *, len(w) as n, least(h1 % (len(w) + 1), h2 % (len(w) + 1)) as a, greatest(h1 % (len(w) + 1), h2 % (len(w) + 1)) as b,
+    case when t = '' or contains(t, '<P>') or contains(t, '<S>') or contains(t, '<M>') or h3 % 100 >= 90 then 'plain'
+      when h4 % 100 < 20 then 'spm' else 'psm' end as form from drawn),
+parts as (
+  select *, coalesce(array_to_string(w[1:a], ''), '') as p, coalesce(array_to_string(w[a + 1:b], ''), '') as m,
+    coalesce(array_to_string(w[b + 1:], ''), '') as s from cut)
+select doc_id, cast(n as bigint) as n, form, case when form <> 'plain' then cast(length(p) as bigint) end as prefix_chars,
+  case when form <> 'plain' then cast(length(m) as bigint) end as middle_chars,
+  sha256(case form when 'plain' then t when 'psm' then '<P>' || p || '<S>' || s || '<M>' || m else '<S>' || s || '<P>' || p || '<M>' || m end) as output_sha256,
+  sha256(t) as restored_sha256
+from parts
+"""
+
+
+@query("op13_fill_middle", FILL_SQL)
+def fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document rearranged for filling in the middle, with digests of the output and of the text taken back from it."""
+    made = fill_middle.transform(table(spark, sf_dir, "documents"))
+    return made.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(fill_middle.restored(F.col("form"), F.col("output")), 256).alias("restored_sha256"),
+    )
