@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusflow.llm import (
-    decontaminate, fill_middle, html_text, language_id, mixing, quality_model, quality_rules, secret_scan, simhash, token_count, url_filter,
+    decontaminate, fill_middle, html_text, language_id, lexical_search, mixing, quality_model, quality_rules, secret_scan, simhash, token_count, url_filter,
 )
 from corpusflow.llm.common import table
 
@@ -210,3 +210,29 @@ def fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
         F.sha2(fill_middle.restored(F.col("form"), F.col("output")), 256).alias("restored_sha256"),
     )
+
+
+SEARCH_SQL = r"""
+with words as (
+  select doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term from documents),
+asked as (
+  select item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term from benchmark),
+tf as (select doc_id, term, count(*) as tf from words group by all),
+lengths as (select doc_id, cast(sum(tf) as bigint) as n from tf group by doc_id),
+whole as (select count(*) as big_n, cast(sum(n) as bigint) as l from lengths),
+weights as (select term, cast(floor(1000 * ln((2 * max(big_n) + 2) / (2 * count(*) + 1))) as bigint) as w from tf, whole group by term),
+asked_n as (select item_id, term, count(*) as times from asked group by all),
+scores as (
+  select item_id, doc_id, cast(sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * n * big_n) // l)))) as bigint) as score
+  from asked_n join weights using (term) join tf using (term) join lengths using (doc_id), whole group by all),
+ranked as (select *, row_number() over (partition by item_id order by score desc, doc_id) as rank from scores where score > 0)
+select item_id, cast(rank as int) as rank, doc_id, score from ranked where rank <= 20
+"""
+
+
+@query("op11_lexical_search", SEARCH_SQL)
+def rank_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The twenty best documents for every item of the benchmark."""
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
