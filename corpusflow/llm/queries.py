@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusflow.llm import (
-    decontaminate, fill_middle, html_text, language_id, lexical_search, mixing, quality_model, quality_rules, secret_scan, simhash, token_count, url_filter,
+    decontaminate, fill_middle, html_text, language_id, lexical_search, mixing, quality_model, quality_rules, secret_scan, simhash, token_count, toxicity,
+    url_filter,
 )
 from corpusflow.llm.common import table
 
@@ -236,3 +237,10 @@ select item_id, cast(rank as int) as rank, doc_id, score from ranked where rank
 def rank_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The twenty best documents for every item of the benchmark."""
     return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op12_toxicity")
+def score_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned from the labels of those that are not held out."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return toxicity.predict(docs, toxicity.train(docs, labels))
