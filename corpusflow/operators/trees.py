@@ -1,191 +1,201 @@
 """Syntax trees as node tables, for both tree formats: ``_t``/``_c``/``_p`` and node_id/children/x/y/z.
 
-A tree is one input row. Catalyst cannot explode nested JSON to an unknown depth in one pass, so
-a small helper walks the trees of each Arrow batch; everything after that works on the node rows.
+A tree is one input row, and its keys name it. Its text is cut at the brackets outside strings; running sums over the pieces give depths and depth-first numbers,
+so a tree may be of any depth. Put together, the pieces that belong to one node are the JSON of the node with ``{}`` for each child, which the
+JSON functions of Spark read and check. Values of attributes are scalars or lists.
 """
 
 from __future__ import annotations
 
-import json
-import re
-from collections.abc import Iterator
+from collections.abc import Callable
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from corpusflow.functions.rows import with_once
+
 # Keys of the two formats.
 TYPE_KEY, CHILDREN_KEY, POSITION_KEY = "_t", "_c", "_p"
 CHILD_SLOTS = ["children", "x", "y", "z"]
-NODE_COLUMNS = (
-    "pre int, last int, parent int, depth int, slot string, ordinal int, list_size int, child_index int, path string, "
-    "node_type string, token_pos bigint, attrs string, null_slots array<string>"
-)
-_JSON_TOKEN = re.compile(r'[ \t\n\r]*+(?:([{}\[\]:,])|("(?:[^"\\]|\\.)*+")|([^\s{}\[\]:,"]++))', re.DOTALL)
-
-
-def _children(node: dict) -> tuple[list, list, dict]:
-    """([(slot, ordinal, list size, child)], slots that are null, scalar attributes) of one node."""
-    listed = TYPE_KEY in node
-    slots = node.get(CHILDREN_KEY, {}) if listed else {k: node[k] for k in CHILD_SLOTS if k in node}
-    children, empty = [], []
-    for slot, child in slots.items():
-        if child is None:
-            empty.append(slot)
-        elif isinstance(child, list):
-            children += [(slot, i, len(child), c) for i, c in enumerate(child)]
-        else:
-            children.append((slot, None, None, child))
-    hidden = {TYPE_KEY, CHILDREN_KEY, POSITION_KEY} if listed else {*CHILD_SLOTS, "node_type"}
-    return children, empty, {k: v for k, v in node.items() if k not in hidden}
-
-
-def _decoded(text: str):
-    """JSON of any depth, kept on a stack of its own; the standard decoder recurses and gives up on deep trees."""
-    stack: list = [[]]  # the containers that are open; the value itself is the only item of the first
-    keys: list = [None]
-    at, wants, after = 0, True, False  # whether a value may come now, and whether one has just ended
-    end = len(text.rstrip(" \t\n\r"))
-    while at < end:
-        found = _JSON_TOKEN.match(text, at)
-        if not found:
-            raise ValueError(f"no JSON at {at}")
-        at = found.end()
-        mark, string, word = found.groups()
-        top = stack[-1]
-        if mark == ",":
-            if not after or len(stack) == 1:
-                raise ValueError("a comma out of place")
-            wants, after = True, False
-            continue
-        if mark == ":":
-            if not isinstance(top, dict) or keys[-1] is None or wants:
-                raise ValueError("a colon out of place")
-            wants = True
-            continue
-        if mark in ("}", "]"):
-            closes = dict if mark == "}" else list
-            if len(stack) == 1 or type(top) is not closes or not (after or (wants and not top and keys[-1] is None)):
-                raise ValueError("a bracket out of place")
-            stack.pop()
-            keys.pop()
-            wants, after = False, True
-            continue
-        if not wants:
-            raise ValueError("a value out of place")
-        if isinstance(top, dict) and keys[-1] is None:
-            if string is None:
-                raise ValueError("a name is missing")
-            keys[-1], wants = json.loads(string), False
-            continue
-        value = {} if mark == "{" else [] if mark == "[" else json.loads(string or word)
-        if isinstance(top, dict):
-            top[keys[-1]] = value
-            keys[-1] = None
-        else:
-            top.append(value)
-        if mark:
-            stack.append(value)
-            keys.append(None)
-            wants, after = True, False
-        else:
-            wants, after = False, True
-    if len(stack) > 1 or len(stack[0]) != 1:
-        raise ValueError("the text ends too early")
-    return stack[0][0]
-
-
-def _walk(root: dict) -> list[tuple]:
-    """Nodes in depth-first order."""
-    inner = f".{CHILDREN_KEY}" if TYPE_KEY in root else ""
-    rows: list[list] = []
-    stack = [(root, None, None, None, None, None, "$")]
-    while stack:
-        node, parent, slot, ordinal, size, index, path = stack.pop()
-        pre = len(rows)
-        depth = rows[parent][3] + 1 if parent is not None else 0
-        children, empty, attrs = _children(node)
-        rows.append([
-            pre, pre, parent, depth, slot, ordinal, size, index, path, node.get(TYPE_KEY, node.get("node_type")),
-            node.get(POSITION_KEY), json.dumps(attrs, separators=(",", ":"), ensure_ascii=False), empty,
-        ])
-        for i, (name, place, length, child) in reversed(list(enumerate(children))):
-            suffix = f"{inner}.{name}" + (f"[{place}]" if place is not None else "")
-            stack.append((child, pre, name, place, length, i, path + suffix))
-    for row in reversed(rows):
-        if row[2] is not None:
-            rows[row[2]][1] = max(rows[row[2]][1], row[1])
-    return rows
-
-
-def _parsed(text: str) -> dict | None:
-    try:
-        tree = json.loads(text)
-    except RecursionError:
-        try:
-            tree = _decoded(text)
-        except ValueError:
-            return None
-    except (ValueError, TypeError):
-        return None
-    return tree if isinstance(tree, dict) else None
 
+# A backslash and the character after it stand as one of two characters that no text may hold, so that a string ends at the next quote.
+_BACKSLASH, _QUOTE = "\ufdd0", "\ufdd1"
+_PIECE = r'[{}\[\]](?:[^{}\[\]"]++|"[^"]*+")*+'
+_LAST_KEY = r'"([^"]*+)"\s*+:\s*+$'
+_STRING = r'"[^"]*+"'
 
-def _exploded(trees: DataFrame, keys: list[str], ast: str) -> DataFrame:
-    """Node rows; a tree that cannot be decoded gives one row with a negative ``pre``."""
-    names = [c.split()[0] for c in NODE_COLUMNS.split(", ")]
-    key_types = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in trees.select(*keys).schema)
-    whole = {"pre", "last", "parent", "depth", "ordinal", "list_size", "child_index", "token_pos"}
 
-    def explode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for start in range(0, len(batch), 256):
-                out = []
-                for row in batch.iloc[start:start + 256].itertuples(index=False):
-                    tree = _parsed(row[-1])
-                    found = _walk(tree) if tree is not None else [[-1, *[None] * (len(names) - 1)]]
-                    out += [[*row[:-1], *node] for node in found]
-                frame = pd.DataFrame(out, columns=[*keys, *names])
-                yield frame.astype({c: "Int64" for c in whole})
+def _escaped(text: Column) -> Column:
+    return F.replace(F.replace(text, F.lit("\\\\"), F.lit(_BACKSLASH)), F.lit('\\"'), F.lit(_QUOTE))
+
 
-    return trees.select(*keys, ast).mapInPandas(explode, f"{key_types}, {NODE_COLUMNS}")
+def _plain(text: Column) -> Column:
+    return F.replace(F.replace(text, F.lit(_QUOTE), F.lit('\\"')), F.lit(_BACKSLASH), F.lit("\\\\"))
+
+
+def _without(text: Column, key: str, value: str) -> Column:
+    return F.regexp_replace(text, rf'"{key}"\s*+:\s*+{value}\s*+,?', "")
+
+
+def _pieces(trees: DataFrame, keys: list[str], ast: str) -> DataFrame:
+    """The pieces of each tree with what running sums tell of them; (keys, at, mark, rest, key, listed, owned ...)."""
+    text = F.trim(F.regexp_replace(_escaped(F.col(ast)), r"^\s+|\s+$", ""))
+    cut = with_once(trees.select(*keys, text.alias("_text")), _all=F.regexp_extract_all("_text", F.lit(_PIECE), F.lit(0)))
+    listed = F.coalesce(F.get("_all", F.lit(0)).rlike(rf'"(?:{TYPE_KEY}|{CHILDREN_KEY})"\s*+:'), F.lit(False))
+    # the pieces make up the whole text, or it is no tree
+    whole = F.when(F.length(F.array_join("_all", "")) == F.length("_text"), F.col("_all"))
+    cut = with_once(cut, _pieces=whole, _n=F.size("_all"), _listed=listed)
+    rows = cut.select(*keys, "_n", "_listed", F.posexplode_outer("_pieces").alias("at", "piece"))
+    mark = F.substring("piece", 1, 1)
+    rows = rows.select(*keys, "_n", "at", "_listed", mark.alias("mark"), F.expr("substring(piece, 2)").alias("rest"))
+    rows = rows.repartition(*keys)  # everything below happens within the tree, on one sort after the other
+    tree = Window.partitionBy(*keys).orderBy("at")
+    upto = tree.rowsBetween(Window.unboundedPreceding, 0)
+    opens, lists = F.when(F.col("mark").isin("{", "["), 1).otherwise(-1), F.when(F.col("mark") == "[", 1).when(F.col("mark") == "]", -1).otherwise(0)
+    rows = rows.select(
+        "*", F.regexp_extract(F.coalesce(F.lag("rest").over(tree), F.lit("")), _LAST_KEY, 1).alias("key"), F.lag("mark").over(tree).alias("before"),
+        F.sum(opens).over(upto).alias("level"), F.sum(lists).over(upto).alias("lists"),
+    )
+    # between a node and its children lies one object of slots in the first format, none in the second
+    step = F.when(F.col("_listed"), 2).otherwise(1)
+    inside = (F.col("level") - F.col("lists")).cast("int")
+    rows = rows.withColumn("depth", F.floor((inside - 1) / step).cast("int"))
+    opens_slots = F.col("_listed") & (F.pmod(inside, F.lit(2)) == 0)  # what stands here is in the object of slots
+    rows = rows.withColumn("in_slots", opens_slots)
+    is_node = (F.col("mark") == "{") & ~F.col("in_slots")
+    rows = rows.withColumn("is_node", is_node).withColumn("_seen", F.sum(F.col("is_node").cast("int")).over(upto))
+    wrong = F.col("mark").isNull() | ((F.col("at") == 0) & (F.col("mark") != "{")) | ((F.col("at") < F.col("_n") - 1) != (F.col("level") > 0)) | (
+        (F.col("mark") == "{") & F.col("in_slots") & (F.col("key") != CHILDREN_KEY)
+    )
+    # a node is the last one that was opened at its depth; its parent owns the piece before it
+    at_depth = Window.partitionBy(*keys, "depth").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumn("wrong", wrong).withColumn("owner", F.max(F.when(F.col("is_node"), F.col("_seen") - 1)).over(at_depth))
+    return rows.withColumn("parent", F.lag("owner").over(tree)).withColumn("list_key", F.lag("key").over(tree))
+
+
+def _exploded(trees: DataFrame, keys: list[str], ast: str) -> DataFrame:
+    """Node rows and ``bad``, which tells of any row whether its tree cannot be decoded."""
+    rows = _pieces(trees, keys, ast)
+    # a child ends with a brace that leads back to slots, or in the second format with any
+    ends_child = (F.col("mark") == "}") & (~F.col("_listed") | F.col("in_slots"))
+    own = F.when(F.col("is_node"), F.struct(
+        "parent", "depth", "at", "_listed", F.when(F.col("before") == "[", F.col("list_key")).when(F.col("key") != "", F.col("key")).alias("named"),
+        ((F.col("before") == "[") | (F.col("key") == "")).alias("in_list"),
+    ))
+    piece = F.struct(
+        "at", F.concat(F.when(ends_child, "{}").otherwise(F.col("mark")), "rest").alias("shallow"),
+        F.when(~F.col("in_slots"), F.concat(F.when(F.col("mark").isin("[", "]"), F.col("mark")).when(ends_child, "{}").otherwise(""), "rest")).otherwise("").alias("attrs"),
+        F.when(F.col("in_slots"), F.col("rest")).otherwise("").alias("slots"),
+    )
+    nodes_ = rows.groupBy(*keys, "owner").agg(
+        F.max(own).alias("own"), (F.max("_seen") - 1).cast("int").alias("last"), F.max("wrong").alias("wrong"), F.sort_array(F.collect_list(piece)).alias("pieces"),
+    )
+    joined = lambda name: F.array_join(F.col("pieces")[name], "")
+    nodes_ = nodes_.select(*keys, F.col("owner").cast("int").alias("pre"), "last", "own.*", "wrong", joined("shallow").alias("shallow"), joined("attrs").alias("a"), joined("slots").alias("s"))
+    listed = F.col("_listed")
+    odd_slot = ~listed & ~F.coalesce(F.col("named").isin(CHILD_SLOTS), F.lit(True))
+    no_json = F.col("pre").isNotNull() & F.try_parse_json(F.concat(_plain(F.col("shallow")), F.lit("}"))).isNull()
+    tree = Window.partitionBy(*keys)
+    bad = F.max(F.coalesce(F.col("wrong") | odd_slot, F.lit(True)) | no_json).over(tree)
+    # a name holds for the elements of a list up to the next name
+    siblings = Window.partitionBy(*keys, "parent").orderBy("pre")
+    upto = siblings.rowsBetween(Window.unboundedPreceding, 0)
+    rows = nodes_.withColumn("bad", bad).withColumn("child_index", F.when(F.col("parent").isNotNull(), F.row_number().over(siblings) - 1))
+    slot = F.last(F.when(F.col("named").isNotNull(), F.struct("named", "child_index")), ignorenulls=True).over(upto)
+    following = F.lead("named").over(siblings)
+    rows = rows.withColumn("_slot", slot).withColumn("_more", F.lead("in_list").over(siblings) & following.isNull())
+    node_type = lambda key: F.regexp_extract("a", rf'"{key}"\s*+:\s*+"([^"]*+)"', 1)
+    own_attrs = _without(_without(_without(F.col("a"), TYPE_KEY, _STRING), POSITION_KEY, r"(?:-?[0-9]+|null)"), CHILDREN_KEY, "")
+    other_attrs = _without(_without(F.col("a"), "node_type", _STRING), f"(?:{'|'.join(CHILD_SLOTS)})", r"(?:\{\}|null|\[[{},\s]*+\])")
+    attrs = F.regexp_replace(F.when(listed, own_attrs).otherwise(other_attrs), r"^\s+|\s*,?\s*$", "")
+    nulls = lambda text, names: F.regexp_extract_all(text, F.lit(rf'"({names})"\s*+:\s*+null'), F.lit(1))
+    return rows.select(
+        *keys, "bad", "pre", "last", F.col("parent").cast("int").alias("parent"), "depth", _plain(F.col("_slot.named")).alias("slot"),
+        F.when(F.col("in_list") & F.col("parent").isNotNull(), F.col("child_index") - F.col("_slot.child_index")).cast("int").alias("ordinal"),
+        F.when(F.col("in_list") & F.col("parent").isNotNull(), ~F.coalesce(F.col("_more"), F.lit(False))).alias("ends_list"), F.col("child_index").cast("int").alias("child_index"),
+        F.nullif(_plain(F.when(listed, node_type(TYPE_KEY)).otherwise(node_type("node_type"))), F.lit("")).alias("node_type"),
+        F.when(listed, F.nullif(F.regexp_extract("a", rf'"{POSITION_KEY}"\s*+:\s*+(-?[0-9]+)', 1), F.lit(""))).cast("bigint").alias("token_pos"),
+        _plain(F.concat(F.lit("{"), attrs, F.lit("}"))).alias("attrs"),
+        F.when(listed, nulls("s", '[^"]*+')).otherwise(nulls("a", "|".join(CHILD_SLOTS))).alias("null_slots"), "_listed",
+    )
 
 
 def nodes(trees: DataFrame, keys: list[str], ast: str) -> DataFrame:
     """One row per node of each tree; trees that are not valid JSON give none."""
-    return _exploded(trees, keys, ast).filter("pre >= 0")
+    return _exploded(trees, keys, ast).filter("not bad and pre is not null").drop("bad")
 
 
 def undecodable(trees: DataFrame, keys: list[str], ast: str) -> DataFrame:
     """Keys of the trees that are not valid JSON."""
-    return _exploded(trees, keys, ast).filter("pre < 0").select(*keys)
+    return _exploded(trees, keys, ast).filter("bad").select(*keys).distinct()
+
 
+def with_paths(node_rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Add the path of each node from the root, made in one pass over the nodes of a tree; its text grows with the depth."""
+    place = F.when(F.col("ordinal").isNotNull(), F.concat(F.lit("["), F.col("ordinal").cast("string"), F.lit("]"))).otherwise("")
+    inner = F.when(F.col("_listed"), f".{CHILDREN_KEY}.").otherwise(".")
+    step = F.struct("pre", "parent", F.concat(inner, F.coalesce("slot", F.lit("")), place).alias("step"))
+    gathered = node_rows.groupBy(*keys).agg(F.sort_array(F.collect_list(step)).alias("steps"), F.collect_list(F.struct(*[c for c in node_rows.columns if c not in keys])).alias("rows"))
+    path = lambda done, x: F.concat(done, F.array(F.when(x["parent"].isNull(), "$").otherwise(F.concat(F.get(done, x["parent"]), x["step"]))))
+    paths = F.aggregate("steps", F.array().cast("array<string>"), path)
+    out = gathered.select(*keys, paths.alias("paths"), "rows").select(*keys, "paths", F.inline("rows"))
+    return out.withColumn("path", F.get("paths", F.col("pre"))).drop("paths")
 
-def fold(node_rows: DataFrame, keys: list[str], results: dict[str, tuple[str, Column]]) -> DataFrame:
-    """Fold each subtree with sums, minima or maxima of values of its nodes: (keys, root, path, results by name).
 
-    ``results`` gives ("sum", "min" or "max", value of a node). A subtree is a range of depth-first numbers. Values are first
+#: How to fold two neighbouring results into one.
+KINDS = {"sum": F.sum, "min": F.min, "max": F.max}
+
+
+def fold(node_rows: DataFrame, keys: list[str], results: dict[str, tuple[str | Callable[[Column, Column], Column], Column]], keep: tuple[str, ...] = ()) -> DataFrame:
+    """Fold each subtree in depth-first order: (keys, root, ``keep``, results by name).
+
+    ``results`` gives how to fold and the value of a node: "sum", "min", "max", or any associative function of two values, such as
+    structs, the first of which stands before the second in the tree. A subtree is a range of depth-first numbers. Values are first
     gathered in blocks of 1, 2, 4 ... numbers; a range is made up of at most two blocks of each size, so the rows grow with
-    n log n, also on a tree that is one long chain.
+    n log n, also on a tree that is one long chain. Blocks and the ranges that ask for them meet in one grouping, so node rows are read once.
     """
-    kinds = {"sum": F.sum, "min": F.min, "max": F.max}
     values = {f"_value{i}": value for i, (_, value) in enumerate(results.values())}
-    merged = [kinds[kind](v).alias(v) for v, (kind, _) in zip(values, results.values(), strict=True)]
-    sizes = range((node_rows.agg(F.max("pre")).first()[0] or 0).bit_length() + 1)
-    block = lambda size, at: F.struct(F.lit(size).alias("size"), at.alias("at"))
-
-    def pieces(size: int) -> list[Column]:
-        low = F.shiftright(F.col("pre") + ((1 << size) - 1), size)
-        high = F.shiftright(F.col("last") + 1, size)
-        odd = lambda x: x.bitwiseAND(F.lit(1)) == 1
-        return [F.when((low < high) & odd(low), block(size, low)), F.when((low < high) & odd(high), block(size, high - 1))]
-
-    within = F.explode(F.array(*[block(size, F.shiftright("pre", size)) for size in sizes])).alias("block")
-    sums = node_rows.withColumns(values).select(*keys, *values, within).groupBy(*keys, "block").agg(*merged)
-    ranges = F.array_compact(F.array(*[p for size in sizes for p in pieces(size)]))
-    roots = node_rows.select(*keys, F.col("pre").alias("root"), "path", F.explode(ranges).alias("block"))
-    done = roots.join(sums, [*keys, "block"]).groupBy(*keys, "root", "path").agg(*merged)
-    return done.select(*keys, "root", "path", *[F.col(v).alias(n) for v, n in zip(values, results, strict=True)])
+    how = dict(zip(values, (kind for kind, _ in results.values()), strict=True))
+    ordered = [v for v in values if not isinstance(how[v], str)]
+
+    def merged(place: str, source: Callable[[str], Column]) -> list[Column]:
+        """The values of a group folded; those that need an order are sorted by their place first."""
+        out = [KINDS[how[v]](source(v)).alias(v) for v in values if v not in ordered]
+        if ordered:
+            out.append(F.sort_array(F.collect_list(F.when(F.col(place).isNotNull(), F.struct(place, *[source(v).alias(v) for v in ordered])))).alias("_sorted"))
+        return out
+
+    def reduced(df: DataFrame) -> DataFrame:
+        if not ordered:
+            return df
+        of = lambda v: F.transform("_sorted", lambda x: x[v])
+        folded = [F.aggregate(F.slice(of(v), 2, F.greatest(F.size("_sorted"), F.lit(1))), of(v)[0], how[v]).alias(v) for v in ordered]
+        return df.filter(F.size("_sorted") > 0).select("*", *folded).drop("_sorted")
+
+    last = F.max("last").over(Window.partitionBy(*keys))
+    bits = F.length(F.bin(last + 1)).cast("int") - 1  # no range is longer than the tree
+    rows = node_rows.select(*keys, "pre", F.col("last").alias("_last"), *keep, *[v.alias(n) for n, v in values.items()], bits.alias("_bits"))
+    sizes = F.sequence(F.lit(0), F.col("_bits"))
+    block = lambda size, at, asks: F.struct(size.alias("size"), at.cast("bigint").alias("at"), F.lit(asks).alias("asks"))
+
+    def pieces(size: Column) -> Column:
+        width = F.call_function("shiftleft", F.lit(1).cast("bigint"), size)
+        low = F.call_function("shiftright", F.col("pre") + width - 1, size)
+        high = F.call_function("shiftright", (F.col("_last") + 1).cast("bigint"), size)
+        odd = lambda x: x.bitwiseAND(F.lit(1).cast("bigint")) == 1
+        return F.array_compact(F.array(F.when((low < high) & odd(low), block(size, low, True)), F.when((low < high) & odd(high), block(size, high - 1, True))))
+
+    gives = F.transform(sizes, lambda size: block(size, F.call_function("shiftright", F.col("pre").cast("bigint"), size), False))
+    rows = rows.select("*", F.explode(F.concat(gives, F.flatten(F.transform(sizes, pieces)))).alias("_block"))
+    rows = rows.select(*keys, "_block.size", "_block.at", "_block.asks", "pre", *keep, *values)
+    rows = rows.withColumn("_place", F.when(~F.col("asks"), F.col("pre")))
+    given = lambda v: F.when(~F.col("asks"), F.col(v))
+    root = F.struct(F.col("pre").alias("root"), *keep)
+    met = rows.groupBy(*keys, "size", "at").agg(*merged("_place", given), F.collect_list(F.when(F.col("asks"), root)).alias("_roots"))
+    asked = reduced(met.filter(F.size("_roots") > 0)).select(*keys, "size", "at", *values, F.inline("_roots"))
+    asked = asked.withColumn("_place", F.call_function("shiftleft", F.col("at"), F.col("size")))
+    done = reduced(asked.groupBy(*keys, "root", *keep).agg(*merged("_place", F.col)))
+    return done.select(*keys, "root", *keep, *[F.col(v).alias(n) for v, n in zip(values, results, strict=True)])
 
 
 def rebased(node_rows: DataFrame, left: Column) -> DataFrame:
@@ -211,7 +221,7 @@ def to_json(node_rows: DataFrame, keys: list[str]) -> DataFrame:
     has_children = F.col("last") > F.col("pre")
     closing = F.concat(
         F.when(has_children & (F.size("null_slots") > 0), ",").otherwise(""), nulls, F.lit("}}"),
-        F.when(F.col("ordinal") == F.col("list_size") - 1, "]").otherwise(""),
+        F.when(F.col("ends_list"), "]").otherwise(""),
     )
 
     def event(at: Column, closes: int, inner: Column, text: Column) -> Column:

@@ -197,24 +197,58 @@ def test_trees_deeper_than_any_decoder_recurses(spark):
     depth = 20_000
     text = '{"_t":"L","_p":1,"_c":{"x":' * depth + '{"_t":"E","_p":7,"_c":{}}' + "}}" * depth
     frame = spark.createDataFrame([(1, text), (2, text[:-1]), (3, text + "]")], "k bigint, ast string")
-    rows = trees.nodes(frame, ["k"], "ast").select("k", "pre", "last", "depth", "token_pos", F.lit("$").alias("path"))
+    rows = trees.nodes(frame, ["k"], "ast")
     assert {r.k for r in trees.undecodable(frame, ["k"], "ast").collect()} == {2, 3}
     found = {r.root: (r.n, r.low) for r in trees.fold(rows, ["k"], {"n": ("sum", F.lit(1)), "low": ("min", F.col("token_pos"))}).collect()}
     assert found == {i: (depth + 1 - i, 1 if i < depth else 7) for i in range(depth + 1)}
 
 
-@pytest.mark.parametrize("text", [
-    "[]", '{"a":[1,-2.5e3,"x\\\"]}",null,true,{}],"b":{"c":{}}}', ' [ 1 , { "k" : [ ] } ] ', '"s"', "[1,]", "[1 2]", '{"a"}', '{"a":}', '{"a":1,}',
-    '{"a" 1}', "[", "]", "[1}", "", "1 2", '{1:2}', "[,1]", "{,}", "nul", '{"a"::1}',
-])
-def test_decoding_on_a_stack(text):
-    try:
-        expected = json.loads(text)
-    except ValueError:
-        with pytest.raises(ValueError):
-            trees._decoded(text)
-    else:
-        assert trees._decoded(text) == expected
+def test_texts_that_are_no_tree(spark):
+    texts = [
+        "[]", '{"a":[1,-2.5e3,"x\\\"]}",null,true,{}],"b":{"c":{}}}', ' [ 1 , { "k" : [ ] } ] ', '"s"', "[1,]", "[1 2]", '{"a"}', '{"a":}', '{"a":1,}',
+        '{"a" 1}', "[", "]", "[1}", "", "1 2", '{1:2}', "[,1]", "{,}", "nul", '{"a"::1}', None, '{"_t":"A","_c":{"x":[{"_t":"B","_c":{}}}]}', '{"_t":"A","_c":{"x":{"_t":"B","_c":{]}}}',
+        '{"_t":"A","_c":{}}}', '{"_t":"A","_c":{}} {"_t":"A","_c":{}}', '{"_t":"A","_c":{"x":{"_t":"B","_c":{}},}}',
+    ]
+    good = ['{"_t":"A","_c":{}}', ' {"_t" : "A" , "names" : [ "in}t" , "[" ] , "_c" : { "x" : [ { "_t":"B","_c":{}} , {"_t":"C\\\\","_c":{}} ] } , "q" : "\\"{" } ', '{"a":[1,"x\\"]}"],"node_type":"n","children":[{"x":null},{}]}']
+    frame = spark.createDataFrame(list(enumerate(texts + good)), "k bigint, ast string")
+    bad = {r.k for r in trees.undecodable(frame, ["k"], "ast").collect()}
+    assert bad == set(range(len(texts)))
+    rows = trees.with_paths(trees.nodes(frame, ["k"], "ast"), ["k"]).orderBy("k", "pre").collect()
+    found = {}
+    for r in rows:
+        found.setdefault(r.k - len(texts), []).append((r.path, r.node_type, json.loads(r.attrs), r.parent, r.ordinal, r.null_slots))
+    assert found == {
+        0: [("$", "A", {}, None, None, [])],
+        1: [("$", "A", {"names": ["in}t", "["], "q": '"{'}, None, None, []), ("$._c.x[0]", "B", {}, 0, 0, []), ("$._c.x[1]", "C\\\\", {}, 0, 1, [])],
+        2: [("$", "n", {"a": [1, 'x"]}']}, None, None, []), ("$.children[0]", None, {}, 0, 0, ["x"]), ("$.children[1]", None, {}, 0, 1, [])],
+    }
+
+
+def test_any_associative_fold(spark):
+    """Ordered and struct-valued folds on a chain, a comb and a wide tree, against a plain walk."""
+    leaf = lambda i: {"_t": f"t{i}", "_p": i, "_c": {}}
+    chain = leaf(0)
+    for i in range(1, 70):
+        chain = {"_t": f"t{i}", "_p": None if i % 3 else i, "_c": {"x": chain} if i % 2 else {"a": [leaf(100 + i), chain], "b": leaf(200 + i)}}
+    trees_ = [leaf(1), chain, {"_t": "w", "_p": 1, "_c": {"items": [leaf(i) for i in range(50)], "none": None}}]
+    frame = spark.createDataFrame([(k, json.dumps(t)) for k, t in enumerate(trees_)], "k bigint, ast string")
+    expected = {}
+
+    def walk(k, node, rows):
+        at = len(rows)
+        rows.append((node["_t"], node["_p"]))
+        for child in node["_c"].values():
+            for c in child if isinstance(child, list) else [child] if child else []:
+                walk(k, c, rows)
+        positions = [p for _, p in rows[at:] if p is not None]
+        expected[k, at] = (" ".join(t for t, _ in rows[at:]), (positions[0], positions[-1]) if positions else (None, None))
+
+    for k, t in enumerate(trees_):
+        walk(k, t, [])
+    span = lambda a, b: F.struct(F.coalesce(a["l"], b["l"]).alias("l"), F.coalesce(b["r"], a["r"]).alias("r"))
+    own = F.struct(F.col("token_pos").alias("l"), F.col("token_pos").alias("r"))
+    rows = trees.fold(trees.nodes(frame, ["k"], "ast"), ["k"], {"types": (lambda a, b: F.concat_ws(" ", a, b), F.col("node_type")), "span": (span, own)})
+    assert {(r.k, r.root): (r.types, tuple(r.span)) for r in rows.collect()} == expected
 
 
 def test_lines_may_nest_as_deep_as_they_like(spark):

@@ -72,3 +72,11 @@ def test_trees_are_folded_without_pairs_of_ancestors(spark):
     rows = trees.nodes(view(spark, SF_DIR, "c_ast"), ["func_id"], "ast")
     folded = plan(trees.fold(rows, ["func_id"], {"n": ("sum", F.lit(1))}))
     assert "CartesianProduct" not in folded and "NestedLoop" not in folded
+
+
+def test_trees_stay_in_the_jvm_and_are_shuffled_once(spark):
+    from corpusflow.catalog import QUERIES
+
+    for name in ["js02_c_nodes", "js02_decompiler_nodes", "js03_subtree_folds", "js03_ordered_folds", "js04_rebuilt_trees", "udf02_custom_fold", "udf02_struct_fold"]:
+        text = plan(QUERIES[name](spark, SF_DIR)).split("== Initial Plan ==")[-1]
+        assert not any(node in text for node in ("Python", "Pandas", "Arrow", "Join")) and text.count("Exchange") == 1 and text.count("FileScan") == 1, name
