@@ -95,7 +95,7 @@ def _(v):
 @query("txt08_full_names", """
 select sha, line_pos, replace(raw_code, 'int ' || substr(func_name, 2) || '(', 'int ' || func_name || '(') as code from $decompiled""")
 def _(v):
-    return _decompiled(v).select("sha", "line_pos", ccode.with_full_name(F.col("raw_code"), F.col("func_name")).alias("code"))
+    return matching.full_names(_decompiled(v)).select("sha", "line_pos", "code")
 
 
 @query("txt09_without_line_controls", r"""
@@ -121,6 +121,19 @@ def _(v):
     return v("part").select("p_partkey", ccode.normalised(F.expr(_DIALECT)).alias("code"))
 
 
+_VARIED = """concat(elt(p_partkey % 4 + 1, '__int64 ', 'unsigned __int8 *', '_QWORD ', '__const char *'), elt(p_size % 3 + 1, '__fastcall ', '', '__cdecl '), 'f', p_size,
+    '(__int32 a', p_partkey, ', const __int16 *b) ', repeat('__attribute__ ((section(', p_size % 3), repeat('x)) ) ', p_size % 3), '{ ', case when p_partkey % 5 = 0
+    then concat('__asm__ volatile ( "int ) $', p_size, '" ', repeat('(', p_size + 40), repeat(')', p_size + 40), ') ; ') else '' end, 'a', p_partkey, '__int64 = "', p_name, ' __int64"; }')"""
+
+
+@query("txt11_varied_dialect", """
+select p_partkey, case p_partkey % 4 when 0 then 'long long ' when 1 then 'unsigned char *' when 2 then '_QWORD ' else 'const char *' end
+    || case when p_size % 3 = 1 then '' else ' ' end || 'f' || cast(p_size as string) || '(int a' || cast(p_partkey as string) || ', const short *b) ' || case when p_size % 3 > 0 then ' ' else '' end
+    || '{ ' || case when p_partkey % 5 = 0 then '__asm__  ; ' else '' end || 'a' || cast(p_partkey as string) || '__int64 = "' || p_name || ' __int64"; }' as code from part""")
+def _(v):
+    return v("part").select("p_partkey", ccode.normalised(F.expr(_VARIED)).alias("code"))
+
+
 def _files(v):
     return v("c_source").select("file_id", ccode.without_line_controls(F.col("code")).alias("code"))
 
@@ -335,3 +348,14 @@ select coalesce(s.repo_owner, t.repo_owner) as repo_owner, coalesce(s.repo_name,
 from $match_func_before s full join tot t on s.repo_owner = t.repo_owner and s.repo_name = t.repo_name""")
 def _(v):
     return state.add_match_results(v("match_func_before"), match_run_of(v)[1].withColumn("seq", F.lit(0)))
+
+
+_TYPED = """concat('typedef struct s', p_size, ' { int a; } t', p_size, ';\n', elt(p_partkey % 3 + 1, concat('t', p_size), '_DWORD', 'int'), ' (f', p_partkey,
+    ')(int x) { return g(x); }\n', elt(p_size % 2 + 1, concat('t', p_size), '_QWORD'), ' (h', p_partkey, ')(', elt(p_size % 2 + 1, '_BYTE', 'char'), ' *p) { return 0; }\n')"""
+
+
+@query("txt11_known_types", """
+select p_partkey as file_id, unnest(['f' || cast(p_partkey as string), 'h' || cast(p_partkey as string)]) as func_name from part""")
+def _(v):
+    files = v("part").select(F.col("p_partkey").alias("file_id"), F.expr(_TYPED).alias("code"))
+    return tokens.functions(tokens.top_level_items(files, "file_id"), "file_id").select("file_id", "func_name")

@@ -25,6 +25,24 @@ def _(v):
     return uses.select("node_id", "ea")
 
 
+# The tree with a second predecessor for some nodes, and with nodes whose only predecessor is their own child, which makes cycles.
+_EDGES = """(select case when node_id % 50 = 49 then node_id * 2 + 1 else parent_id end as src, node_id as dst from $tree where parent_id is not null
+    union all select node_id + 1 as src, node_id as dst from $tree where node_id % 7 = 3)"""
+
+
+@query("jn14_nearest_in_graph", f"""
+with recursive p as (select dst, min(src) as src from {_EDGES} group by dst having count(*) = 1),
+w as (select t.node_id, p.src as ptr from $tree t join p on p.dst = t.node_id
+    union select w.node_id, p.src from w join $tree t on t.node_id = w.ptr join p on p.dst = w.ptr where t.ea is null),
+f as (select w.node_id, t.ea from w join $tree t on t.node_id = w.ptr where t.ea is not null)
+select t.node_id, f.ea as pred_ea from $tree t left join f using (node_id)""")
+def _(v):
+    tree = v("tree")
+    own = tree.filter("parent_id is not null").select(F.expr("case when node_id % 50 = 49 then node_id * 2 + 1 else parent_id end").alias("src"), F.col("node_id").alias("dst"))
+    joins = tree.filter("node_id % 7 = 3").select((F.col("node_id") + 1).alias("src"), F.col("node_id").alias("dst"))
+    return graph.nearest_in_graph(tree.select("node_id", "ea"), own.unionByName(joins), [])
+
+
 @query("agg21_degrees", """
 select t.node_id, coalesce(s.n, 0) as nsucc, case when t.parent_id is null then cast(0 as bigint) else 1 end as npred
 from $tree t left join (select parent_id, count(*) as n from $tree group by parent_id) s on s.parent_id = t.node_id""")

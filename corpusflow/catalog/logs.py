@@ -105,13 +105,20 @@ def _(v):
     return logs.sample_failing(logs.failing_repos(v("compile_log_plain")), 100, 19)
 
 
-@query("jn09_makefile_report", """
-with d as (select distinct l_orderkey as repo_id, 'd' || cast(l_linenumber as string) as dir from lineitem),
-r as (select distinct l_orderkey as repo_id, 'd' || cast(l_linenumber as string) as dir from lineitem where l_returnflag = 'A')
-select d.repo_id, d.dir, case when r.dir is null then 'Failed' else '' end as status from d left join r using (repo_id, dir)""")
+# Clones have the directories of the recorded Makefiles and one without any record; a directory is the root of the repository at times.
+_PLACE = "case when l_linenumber = 1 then '' else '/d' || cast(l_linenumber as string) end"
+
+
+@query("jn09_makefile_report", f"""
+with sample as (select repo from (select * from {_FAILING} order by md5('19:' || repo), repo limit 100) where n_total <= 50),
+l as (select 'u' || cast(l_orderkey % 500 as string) || '/r_' || cast(l_orderkey % 500 % 7 as string) as repo, {_PLACE} as place, l_returnflag from lineitem),
+d as (select distinct repo, repo || place as dir from l), r as (select distinct repo, repo || place as dir from l where l_returnflag <> 'N')
+select d.repo, d.dir, case when r.dir is null then 'Failed' else '' end as status from d left join r using (repo, dir) where d.repo in (from sample)""")
 def _(v):
-    keys = ["repo_id", "dir"]
-    rows = v("lineitem").select(
-        F.col("l_orderkey").alias("repo_id"), F.concat(F.lit("d"), F.col("l_linenumber").cast("string")).alias("dir"), "l_returnflag"
-    )
-    return logs.makefile_report(rows.select(*keys).distinct(), rows.filter("l_returnflag = 'A'"), keys)
+    sampled = logs.sample_failing(logs.failing_repos(v("compile_log_plain")), 100, 19)
+    owner, name = F.expr("'u' || cast(l_orderkey % 500 as string)"), F.expr("'r_' || cast(l_orderkey % 500 % 7 as string)")
+    rows = v("lineitem").select(owner.alias("repo_owner"), name.alias("repo_name"), F.expr(_PLACE).alias("place"), "l_returnflag")
+    repo = F.concat_ws("/", "repo_owner", "repo_name")
+    found = rows.select(repo.alias("repo"), F.concat(F.lit("test_compile/"), repo, "place").alias("path")).distinct()
+    states = rows.filter("l_returnflag <> 'N'").select("repo_owner", "repo_name", F.concat(F.lit("/usr/src/repo"), "place").alias("directory"))
+    return logs.sampled_report(sampled, found, states)

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from corpusflow.catalog.registry import query
 from corpusflow.catalog.state import _MAPPING, nested_state, two_runs
+from corpusflow.sources import readers
 from corpusflow.operators import rollups
 from corpusflow.operators.state import REPO_KEY, binaries_in
 
@@ -49,6 +50,11 @@ def _(v):
     return v("repos").agg(F.count("*").alias("n"))
 
 
+@query("agg04_estimated_count", "select count(*) as n from documents")
+def _(v):
+    return readers.estimated_count(v.spark, f"{v.sf_dir}/documents.parquet")
+
+
 @query("agg05_nested_counts", """
 select repo_owner, repo_name, cast(len(string_split(text, chr(10))) as bigint) as num_makefiles,
     cast(list_sum(list_transform(string_split(text, chr(10)), lambda x: len(string_split(x, ' ')))) as bigint) as num_binaries

@@ -42,6 +42,7 @@ REPLACED_WORDS = {
     "__const__": "const", "__const": "const", "__inline__": "inline", "__inline": "inline",
     "__restrict__": "restrict", "__restrict": "restrict", "__volatile__": "volatile", "__volatile": "volatile",
 }
+PSEUDO_TYPES = ["_QWORD", "_DWORD", "_WORD", "_BYTE", "_BOOL8", "_BOOL4", "WCHAR", "gcc_va_list", "__compar_fn_t"]
 DROPPED_CALLS = ["__asm__", "__asm", "volatile", "__volatile__", "__volatile", "__attribute__", "__attribute"]
 
 def token_pattern(own: str = "+") -> str:
@@ -63,10 +64,20 @@ def token_pattern(own: str = "+") -> str:
 
 
 TOKEN = token_pattern()
-_PARENS = r"[^()]*+"
-for _ in range(63):  # the language need not support expressions nested deeper than 63
-    _PARENS = rf"(?:[^()]++|\({_PARENS}\))*+"
-CALL = "(?:" + "|".join(DROPPED_CALLS) + rf")\s*+\({_PARENS}\)"
+
+# A backslash and the character after it stand as one of two characters that no text may hold, so that a JSON string ends at the next quote.
+_BACKSLASH, _QUOTE = "\ufdd0", "\ufdd1"
+_BRACKET_PIECE = r'[{}\[\]](?:[^{}\[\]"]++|"[^"]*+")*+'
+
+
+def bracket_pieces(json_text: Column) -> Column:
+    """JSON cut at the brackets outside strings: each piece begins with one. Escapes are kept by ``unescaped`` only."""
+    escaped = F.replace(F.replace(json_text, F.lit("\\\\"), F.lit(_BACKSLASH)), F.lit('\\"'), F.lit(_QUOTE))
+    return F.regexp_extract_all(escaped, F.lit(_BRACKET_PIECE), F.lit(0))
+
+
+def unescaped(text: Column) -> Column:
+    return F.replace(F.replace(text, F.lit(_QUOTE), F.lit('\\"')), F.lit(_BACKSLASH), F.lit("\\\\"))
 
 
 def function_name(json_line: Column) -> Column:
@@ -80,14 +91,35 @@ def decoded(json_line: Column) -> Column:
 
 
 def tree_of(json_line: Column) -> Column:
-    """JSON text of the tree of a line that can be decoded.
+    """JSON text of the tree of a line that can be decoded, without white space between its parts; null when there is none.
 
-    The writer behind ``from_json`` stops at 1000 levels; a deeper tree is cut out of the line, where quotes inside of strings are
-    escaped, so that the names of the fields around it mark its ends.
+    The line is cut at the brackets outside strings, and one pass counts the levels: the tree is what stands between the bracket after the
+    name at the first level and the one that leads back to that level. It may be of any depth.
     """
-    read = F.from_json(json_line, "ast string", JSON_OPTIONS)["ast"]
-    cut = F.regexp_extract(json_line, r'(?s)"ast":\s*(\{.*\})\s*(?:,\s*"(?:function|raw_code)":|\}\s*$)', 1)
-    return F.coalesce(read, F.nullif(cut, F.lit("")))
+    none = F.lit(None).cast("int")
+
+    def found(pieces_: Column) -> Column:
+        def step(state: Column, piece: Column) -> Column:
+            level = state["level"] + F.when(F.substring(piece, 1, 1).isin("{", "["), 1).otherwise(-1)
+            at = state["at"] + 1
+            begin = F.coalesce(state["begin"], F.when((level == 1) & piece.rlike(r'"ast"\s*+:\s*+$'), at + 1))
+            return F.struct(
+                level.alias("level"), at.alias("at"), begin.alias("begin"),
+                F.coalesce(state["end"], F.when((level == 1) & (state["begin"] <= at), at)).alias("end"),
+            )
+
+        start = F.struct(F.lit(0).alias("level"), F.lit(0).alias("at"), none.alias("begin"), none.alias("end"))
+        return F.aggregate(pieces_, start, step)
+
+    def cut(pieces_: Column) -> Column:
+        def text(range_: Column) -> Column:
+            inner = F.array_join(F.slice(pieces_, range_["begin"], range_["end"] - range_["begin"]), "")
+            return F.when(range_["end"].isNotNull(), F.concat(inner, F.substring(F.element_at(pieces_, range_["end"]), 1, 1)))
+
+        return F.transform(F.array(found(pieces_)), text)[0]
+
+    text = F.transform(F.array(bracket_pieces(json_line)), cut)[0]
+    return unescaped(F.regexp_replace(text, r'("[^"]*+")|\s++', "$1"))
 
 
 def variables(code: Column) -> Column:
@@ -182,15 +214,34 @@ def token_type(value: Column) -> Column:
 
 
 def normalised(code: Column) -> Column:
-    """Decompiler dialect in plain C, word by word; strings stay as they are."""
-    found = F.regexp_extract_all(code, F.lit(TOKEN.replace("|[A-Za-z_$]", "|" + CALL + "|[A-Za-z_$]", 1)), F.lit(0))
+    """Decompiler dialect in plain C, word by word; strings stay as they are. Macros go with their arguments, however deep these nest."""
     replacement = F.create_map(*[F.lit(x) for pair in REPLACED_WORDS.items() for x in pair])
 
     def word(piece: Column) -> Column:
-        dropped = piece.isin(DROPPED_WORDS) | (is_word(piece) & F.endswith(piece, F.lit(")")))
-        return F.when(dropped, "").otherwise(F.coalesce(F.try_element_at(replacement, piece), piece))
+        return F.when(piece.isin(DROPPED_WORDS), "").otherwise(F.coalesce(F.try_element_at(replacement, piece), piece))
+
+    def end_of_call(found: Column, at: Column) -> Column:
+        """Place of the parenthesis that closes the one after the word at a place; null when none follows or it stays open."""
+        def step(state: Column, piece: Column) -> Column:
+            level = state["level"] + F.when(piece == "(", 1).when(piece == ")", -1).otherwise(0)
+            i = state["at"] + 1
+            open_ = state["open"] & (is_space(piece) | (level > 0))
+            return F.struct(i.alias("at"), level.alias("level"), open_.alias("open"), F.coalesce(state["end"], F.when(state["open"] & (piece == ")") & (level == 0), i)).alias("end"))
+
+        start = F.struct(at.alias("at"), F.lit(0).alias("level"), F.lit(True).alias("open"), F.lit(None).cast("int").alias("end"))
+        return F.aggregate(F.slice(found, at + 2, F.size(found)), start, step)["end"]
+
+    def without_calls(found: Column) -> Column:
+        names = F.filter(F.transform(found, lambda p, i: F.when(p.isin(DROPPED_CALLS), i)), lambda i: i.isNotNull())
+        ranges = F.filter(F.transform(names, lambda i: F.struct(i.alias("first"), end_of_call(found, i).alias("last"))), lambda r: r["last"].isNotNull())
+
+        def kept(calls: Column) -> Column:
+            return F.filter(found, lambda p, i: ~F.exists(calls, lambda r: i.between(r["first"], r["last"])))
+
+        return F.when(F.size(names) == 0, found).otherwise(F.transform(F.array(ranges), kept)[0])
 
-    return F.array_join(F.transform(found, word), "")
+    left = F.transform(F.array(pieces(code)), without_calls)[0]
+    return F.array_join(F.transform(left, word), "")
 
 
 def error_type(message: Column, line: Column) -> Column:

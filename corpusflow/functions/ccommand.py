@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusflow.functions.rows import with_once
+from corpusflow.operators.ordered import spread_where_few
 
 # Flags that are dropped, flags dropped with their value, and flags that are appended.
 DROPPED = ["-c", "-Wall", "-Werror", "-Wextra", "-flto", "-mlittle-endian", "-mapcs", "-mno-sched-prolog"]
@@ -42,7 +43,7 @@ def libraries(command: Column) -> Column:
 
 def parsed(commands: DataFrame, command: str = "cmd", override_flags: str = "") -> DataFrame:
     """Libraries, source files, object file and effective argument list of each compiler call."""
-    staged = with_once(commands, _args=arguments(F.col(command)))
+    staged = with_once(spread_where_few(commands, command), _args=arguments(F.col(command)))
     kept = F.ltrim(F.regexp_replace(F.regexp_replace("_args", _DROP, ""), r"\s+", " "))
     staged = with_once(
         staged, libs=_values(F.col("_args"), "-l"), _kept=kept, _objects=_values(F.col("_args"), "-o"),
@@ -61,7 +62,7 @@ def parsed(commands: DataFrame, command: str = "cmd", override_flags: str = "")
 
 def failed_libraries(commands: DataFrame, keys: list[str], command: str = "cmd") -> DataFrame:
     """Libraries named by compiler calls that failed, one row per mention."""
-    failed = commands.filter("rc <> 0")
+    failed = spread_where_few(commands.filter("rc <> 0"), *keys)
     return failed.select(*keys, F.explode(libraries(F.col(command))).alias("library"))
 
 

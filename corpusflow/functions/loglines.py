@@ -18,7 +18,7 @@ NO_MAKEFILES = STAMP + WORKER + r"No Makefiles found in (\S+?)/(\S+?), repositor
 SUMMARY_FIELDS = ["ts", "n_success", "n_partial", "n_total", "owner", "name", "n_binaries"]
 NO_MAKEFILES_FIELDS = ["ts", "owner", "name"]
 
-_MARK = "\x01"
+_MARK = "\n"  # no line holds it
 
 
 def groups(line: Column, pattern: str, count: int) -> Column:

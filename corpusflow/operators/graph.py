@@ -95,6 +95,15 @@ def nearest_addresses(nodes: DataFrame, keys: list[str]) -> DataFrame:
     return state.select(*keys, "node_id", "pred_ea")
 
 
+def nearest_in_graph(nodes: DataFrame, edges: DataFrame, keys: list[str]) -> DataFrame:
+    """Nearest address up a control graph of nodes (node_id, ea) and edges (src, dst).
+
+    The walk goes on as long as a node has exactly one predecessor: it ends where paths join, at an entry, and on a cycle without an address.
+    """
+    parents = single_parents(edges, keys)
+    return nearest_addresses(nodes.select(*keys, "node_id", "ea").join(parents, [*keys, "node_id"], "left"), keys)
+
+
 def with_inherited_addresses(uses: DataFrame, nearest: DataFrame, keys: list[str]) -> DataFrame:
     """Uses without an address take the nearest one above them; those without any are dropped."""
     joined = uses.join(nearest, [*keys, "node_id"], "left")

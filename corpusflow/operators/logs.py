@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusflow.functions import loglines
+from corpusflow.functions import loglines, names
 from corpusflow.functions.rows import with_once
-from corpusflow.operators.ordered import latest, position_in_key
+from corpusflow.operators.ordered import latest, position_in_key, spread_where_few
 
 SNAPSHOT_TAGS = ["n_success", "n_total"]
 SERIES_TAGS = ["n_partial", "n_binaries", "n_total"]
@@ -18,7 +18,7 @@ def snapshot(log: DataFrame) -> DataFrame:
     """Counts of each repository by its last line; a line without Makefiles sets them to zero."""
     summary = loglines.groups(F.col("line"), loglines.SUMMARY, len(loglines.SUMMARY_FIELDS))
     nothing = loglines.groups(F.col("line"), loglines.NO_MAKEFILES, len(loglines.NO_MAKEFILES_FIELDS))
-    parsed = with_once(log.select("line_no", "line"), s=summary, n=nothing).filter("s is not null or n is not null")
+    parsed = with_once(spread_where_few(log.select("line_no", "line"), "line_no"), s=summary, n=nothing).filter("s is not null or n is not null")
 
     def field(name: str):
         return F.get("s", F.lit(loglines.SUMMARY_FIELDS.index(name)))
@@ -66,7 +66,7 @@ def decreases(compared: DataFrame) -> DataFrame:
 
 
 def plain_values(log: DataFrame) -> DataFrame:
-    parsed = loglines.plain_summaries(log)
+    parsed = loglines.plain_summaries(spread_where_few(log, "line_no"))
     return parsed.select("line_no", F.concat_ws("/", "owner", "name").alias("repo"), "ts", *SERIES_TAGS)
 
 
@@ -104,3 +104,18 @@ def makefile_report(dirs: DataFrame, recorded: DataFrame, keys: list[str]) -> Da
     known = recorded.select(*keys).distinct().withColumn("_recorded", F.lit(True))
     status = F.when(F.col("_recorded").isNull(), "Failed").otherwise("")
     return dirs.join(known, keys, "left").select(*keys, status.alias("status"))
+
+
+def sampled_report(sampled: DataFrame, found: DataFrame, states: DataFrame) -> DataFrame:
+    """Status of each Makefile directory of the sampled repositories: (repo, dir, status).
+
+    ``found`` (repo, path) are the Makefile directories of the clones, below one folder of their own; ``states`` has the recorded Makefiles
+    (repo_owner, repo_name, directory), below the four segments of the container. Both are re-rooted at owner and name, so that they meet.
+    """
+    chosen = sampled.select("repo").distinct()
+    recorded = states.select(
+        F.concat_ws("/", "repo_owner", "repo_name").alias("repo"),
+        F.concat_ws("/", "repo_owner", "repo_name", F.nullif(names.drop_segments(F.col("directory"), 4), F.lit(""))).alias("dir"),
+    )
+    dirs = found.join(chosen, "repo", "left_semi").select("repo", names.drop_segments(F.col("path"), 1).alias("dir"))
+    return makefile_report(dirs, recorded.join(chosen, "repo", "left_semi"), ["repo", "dir"])

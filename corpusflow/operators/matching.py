@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from corpusflow.functions import ccode
 from corpusflow.functions.rows import with_once
-from corpusflow.operators.ordered import latest
+from corpusflow.operators.ordered import latest, spread_where_few
 
 
 def named_lines(lines: DataFrame) -> DataFrame:
@@ -29,7 +29,7 @@ def lines_of_known_functions(lines: DataFrame, known: DataFrame, spread: int = 8
 
 def decoded_lines(lines: DataFrame, with_ast: bool = True) -> tuple[DataFrame, DataFrame]:
     """(decoded rows, rejected lines). The tree stays JSON text, of any depth, and is left out if it is not wanted."""
-    parsed = lines.select("*", F.inline(F.array(ccode.decoded(F.col("line")))))
+    parsed = spread_where_few(lines, "line").select("*", F.inline(F.array(ccode.decoded(F.col("line")))))
     kept = [c for c in lines.columns if c != "line"]
     good = parsed.filter("_corrupt is null and raw_code is not null")
     bad = parsed.filter("_corrupt is not null or raw_code is null")
@@ -38,10 +38,16 @@ def decoded_lines(lines: DataFrame, with_ast: bool = True) -> tuple[DataFrame, D
 
 def variable_rows(rows: DataFrame) -> DataFrame:
     """One row per variable of each function; functions in which one id has different names are left out."""
-    found = with_once(rows, triples=ccode.variables(F.col("raw_code"))).filter(~ccode.conflicting(F.col("triples")))
+    found = with_once(spread_where_few(rows, "raw_code"), triples=ccode.variables(F.col("raw_code"))).filter(~ccode.conflicting(F.col("triples")))
     return found.select(*[c for c in rows.columns if c != "raw_code"], F.inline("triples"))
 
 
+def full_names(rows: DataFrame) -> DataFrame:
+    """Code of each function with its whole name."""
+    code = ccode.with_full_name(F.col("raw_code"), F.col("func_name")).alias("code")
+    return spread_where_few(rows, "raw_code").select(*[c for c in rows.columns if c != "raw_code"], code)
+
+
 def cleaned_functions(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(cleaned functions, quarantined ones). A function is put aside when one variable id has
     different names."""

@@ -23,6 +23,18 @@ def spread_by(df: DataFrame, key: str) -> DataFrame:
     return df.repartition(2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
 
 
+def spread_where_few(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows spread by keys over the configured number of partitions if the source lists fewer files than tasks can run at once, else as they are.
+
+    For operators that run costly patterns on each row: a table of one file would keep a single task busy. The listing decides, never
+    the rows, and no file is opened for it.
+    """
+    spark = df.sparkSession
+    if not 0 < len(df.inputFiles()) < spark.sparkContext.defaultParallelism:
+        return df
+    return df.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def running_totals(
     df: DataFrame, keys: list[str], order: str, sums: dict[str, Column], inclusive: bool = False, parts: int | None = None
 ) -> DataFrame:

@@ -88,12 +88,29 @@ def spans(token_rows: DataFrame, key: str) -> DataFrame:
     zero = F.lit(0).cast("bigint")
     deep = token_rows.select(
         key, "piece", "pos", "value", "offset", F.coalesce(F.sum(change).over(before), zero).alias("depth"),
-        F.lead("value").over(order).alias("after1"), F.lead("value", 2).over(order).alias("after2"),
+        F.lead("value").over(order).alias("after1"), F.lead("value", 2).over(order).alias("after2"), F.lag("value").over(order).alias("before1"),
     )
     ends = ((F.col("depth") <= 0) & (F.col("value") == ";")) | ((F.col("depth") == 1) & (F.col("value") == "}"))
     return deep.withColumn("item", F.coalesce(F.sum(F.when(ends, 1).otherwise(0)).over(before), zero))
 
 
+def with_known_types(token_rows: DataFrame, key: str) -> DataFrame:
+    """Add ``is_type``: the pseudo-types of the decompiler, and the names that a typedef of the file has given before.
+
+    The name of a typedef is the word before its semicolon or array size, or the starred one in parentheses.
+    """
+    value = F.col("value")
+    outside = F.col("depth") <= 0
+    # a typedef goes on to the next semicolon outside braces, past those of a structure
+    order = Window.partitionBy(key).orderBy("piece").rowsBetween(Window.unboundedPreceding, 0)
+    in_typedef = F.last(F.when(outside, F.when(value == "typedef", True).when(value == ";", False)), ignorenulls=True).over(order)
+    ends = F.col("after1").isin(";", "[") | ((F.col("before1") == "*") & (F.col("after1") == ")") & (F.col("after2") == "("))
+    named = token_rows.withColumn("_names", F.coalesce(in_typedef, F.lit(False)) & outside & ccode.is_identifier(value) & F.coalesce(ends, F.lit(False)))
+    same = Window.partitionBy(key, "value").orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
+    known = value.isin(ccode.PSEUDO_TYPES) | F.coalesce(F.max("_names").over(same), F.lit(False))
+    return named.withColumn("is_type", known).drop("_names")
+
+
 def top_level_items(files: DataFrame, key: str, code: str = "code") -> DataFrame:
     """Top-level items that hold a brace, with their tokens and the positions that describe them.
 
@@ -102,13 +119,14 @@ def top_level_items(files: DataFrame, key: str, code: str = "code") -> DataFrame
     """
     value, pos = F.col("value"), F.col("pos")
     outside = F.col("depth") == 0
-    named = (
-        ccode.is_identifier(value) & ~value.isin(ccode.NOT_A_NAME) & (F.col("after1") == "(")
-        & (F.coalesce("after2", F.lit("")) != "*")
+    # a name stands before its parameters, by itself or in parentheses; a type that is known may stand before a parenthesis and is none
+    in_parens = (F.col("before1") == "(") & (F.col("after1") == ")") & (F.col("after2") == "(")
+    named = ccode.is_identifier(value) & ~value.isin(ccode.NOT_A_NAME) & ~F.col("is_type") & (
+        ((F.col("after1") == "(") & (F.coalesce("after2", F.lit("")) != "*")) | F.coalesce(in_parens, F.lit(False))
     )
     typed = ~value.isin(ccode.SPECIFIERS)
     declared = ((value == "*") | named) & (pos > 0)
-    items = spans(tokens(files, key, code), key).groupBy(key, "item").agg(
+    items = with_known_types(spans(tokens(files, key, code), key), key).groupBy(key, "item").agg(
         F.sort_array(F.collect_list(F.struct("pos", "value")))["value"].alias("values"),
         F.min(pos).alias("first"), F.max(pos).alias("last"), F.min("offset").alias("begin_at"),
         (F.max("offset") + 1).alias("end_at"), F.min(F.when(outside & (value == "{"), pos)).alias("body"),

@@ -12,38 +12,28 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from corpusflow.functions.ccode import bracket_pieces, unescaped
 from corpusflow.functions.rows import with_once
 
 # Keys of the two formats.
 TYPE_KEY, CHILDREN_KEY, POSITION_KEY = "_t", "_c", "_p"
 CHILD_SLOTS = ["children", "x", "y", "z"]
 
-# A backslash and the character after it stand as one of two characters that no text may hold, so that a string ends at the next quote.
-_BACKSLASH, _QUOTE = "\ufdd0", "\ufdd1"
-_PIECE = r'[{}\[\]](?:[^{}\[\]"]++|"[^"]*+")*+'
 _LAST_KEY = r'"([^"]*+)"\s*+:\s*+$'
 _STRING = r'"[^"]*+"'
 
 
-def _escaped(text: Column) -> Column:
-    return F.replace(F.replace(text, F.lit("\\\\"), F.lit(_BACKSLASH)), F.lit('\\"'), F.lit(_QUOTE))
-
-
-def _plain(text: Column) -> Column:
-    return F.replace(F.replace(text, F.lit(_QUOTE), F.lit('\\"')), F.lit(_BACKSLASH), F.lit("\\\\"))
-
-
 def _without(text: Column, key: str, value: str) -> Column:
     return F.regexp_replace(text, rf'"{key}"\s*+:\s*+{value}\s*+,?', "")
 
 
 def _pieces(trees: DataFrame, keys: list[str], ast: str) -> DataFrame:
     """The pieces of each tree with what running sums tell of them; (keys, at, mark, rest, key, listed, owned ...)."""
-    text = F.trim(F.regexp_replace(_escaped(F.col(ast)), r"^\s+|\s+$", ""))
-    cut = with_once(trees.select(*keys, text.alias("_text")), _all=F.regexp_extract_all("_text", F.lit(_PIECE), F.lit(0)))
+    text = F.regexp_replace(F.col(ast), r"^\s+|\s+$", "")
+    cut = with_once(trees.select(*keys, text.alias("_text")), _all=bracket_pieces(F.col("_text")))
     listed = F.coalesce(F.get("_all", F.lit(0)).rlike(rf'"(?:{TYPE_KEY}|{CHILDREN_KEY})"\s*+:'), F.lit(False))
     # the pieces make up the whole text, or it is no tree
-    whole = F.when(F.length(F.array_join("_all", "")) == F.length("_text"), F.col("_all"))
+    whole = F.when(unescaped(F.array_join("_all", "")) == F.col("_text"), F.col("_all"))
     cut = with_once(cut, _pieces=whole, _n=F.size("_all"), _listed=listed)
     rows = cut.select(*keys, "_n", "_listed", F.posexplode_outer("_pieces").alias("at", "piece"))
     mark = F.substring("piece", 1, 1)
@@ -94,7 +84,7 @@ def _exploded(trees: DataFrame, keys: list[str], ast: str) -> DataFrame:
     nodes_ = nodes_.select(*keys, F.col("owner").cast("int").alias("pre"), "last", "own.*", "wrong", joined("shallow").alias("shallow"), joined("attrs").alias("a"), joined("slots").alias("s"))
     listed = F.col("_listed")
     odd_slot = ~listed & ~F.coalesce(F.col("named").isin(CHILD_SLOTS), F.lit(True))
-    no_json = F.col("pre").isNotNull() & F.try_parse_json(F.concat(_plain(F.col("shallow")), F.lit("}"))).isNull()
+    no_json = F.col("pre").isNotNull() & F.try_parse_json(F.concat(unescaped(F.col("shallow")), F.lit("}"))).isNull()
     tree = Window.partitionBy(*keys)
     bad = F.max(F.coalesce(F.col("wrong") | odd_slot, F.lit(True)) | no_json).over(tree)
     # a name holds for the elements of a list up to the next name
@@ -110,12 +100,12 @@ def _exploded(trees: DataFrame, keys: list[str], ast: str) -> DataFrame:
     attrs = F.regexp_replace(F.when(listed, own_attrs).otherwise(other_attrs), r"^\s+|\s*,?\s*$", "")
     nulls = lambda text, names: F.regexp_extract_all(text, F.lit(rf'"({names})"\s*+:\s*+null'), F.lit(1))
     return rows.select(
-        *keys, "bad", "pre", "last", F.col("parent").cast("int").alias("parent"), "depth", _plain(F.col("_slot.named")).alias("slot"),
+        *keys, "bad", "pre", "last", F.col("parent").cast("int").alias("parent"), "depth", unescaped(F.col("_slot.named")).alias("slot"),
         F.when(F.col("in_list") & F.col("parent").isNotNull(), F.col("child_index") - F.col("_slot.child_index")).cast("int").alias("ordinal"),
         F.when(F.col("in_list") & F.col("parent").isNotNull(), ~F.coalesce(F.col("_more"), F.lit(False))).alias("ends_list"), F.col("child_index").cast("int").alias("child_index"),
-        F.nullif(_plain(F.when(listed, node_type(TYPE_KEY)).otherwise(node_type("node_type"))), F.lit("")).alias("node_type"),
+        F.nullif(unescaped(F.when(listed, node_type(TYPE_KEY)).otherwise(node_type("node_type"))), F.lit("")).alias("node_type"),
         F.when(listed, F.nullif(F.regexp_extract("a", rf'"{POSITION_KEY}"\s*+:\s*+(-?[0-9]+)', 1), F.lit(""))).cast("bigint").alias("token_pos"),
-        _plain(F.concat(F.lit("{"), attrs, F.lit("}"))).alias("attrs"),
+        unescaped(F.concat(F.lit("{"), attrs, F.lit("}"))).alias("attrs"),
         F.when(listed, nulls("s", '[^"]*+')).otherwise(nulls("a", "|".join(CHILD_SLOTS))).alias("null_slots"), "_listed",
     )
 

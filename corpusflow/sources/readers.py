@@ -7,26 +7,29 @@ from pyspark.sql import functions as F
 
 from corpusflow import schemas
 from corpusflow.operators import rollups
+from corpusflow.session import settle
 
+#: Up to so many file splits, their line counts are sent to all tasks; beyond it, lines and counts are joined by a shuffle.
+BROADCAST_SPLITS = 100_000
 _HASH_IN_PATH = r"(?:/|sha=)([0-9a-zA-Z]+)(?:\.jsonl|/[^/]*)$"
 
 
 def lines(spark: SparkSession, path: str) -> DataFrame:
     """Text lines with a dense zero-based index in the order of the files and their content.
 
-    Row numbers inside a file split come from the scan itself; only the small table of splits is
-    sorted, and no line is shuffled.
+    Row numbers inside a file split come from the one scan, which writes them down with the lines: a second scan could be split
+    otherwise. Only the small table of splits is sorted, and no line is shuffled.
     """
-    raw = spark.read.text(path).select(
+    raw = settle(spark.read.text(path).select(
         "value", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_start"),
         F.monotonically_increasing_id().alias("_row"),
-    )
+    ))
     splits = raw.groupBy("_file", "_start").agg(F.min("_row").alias("_first"), F.count("*").alias("_lines"))
     # One row per file split.
     before = Window.orderBy("_file", "_start").rowsBetween(Window.unboundedPreceding, -1)
     offsets = splits.select("_file", "_start", "_first", F.coalesce(F.sum("_lines").over(before), F.lit(0)).alias("_before"))
     index = F.col("_row") - F.col("_first") + F.col("_before")
-    return raw.join(offsets, ["_file", "_start"]).select(index.alias("idx"), "value")
+    return raw.join(F.broadcast(offsets) if offsets.count() <= BROADCAST_SPLITS else offsets, ["_file", "_start"]).select(index.alias("idx"), "value")
 
 
 def repo_list(spark: SparkSession, path: str) -> DataFrame:
@@ -106,3 +109,14 @@ def untracked(listings: DataFrame, keys: list[str], output: Column) -> DataFrame
     from corpusflow.functions.names import untracked_names
 
     return listings.select(*keys, F.explode(untracked_names(output)).alias("file"))
+
+
+def estimated_count(spark: SparkSession, path: str) -> DataFrame:
+    """Number of rows as the file footers state it; no column is read.
+
+    The aggregate goes down to the files, which the file source of the second version does; the settings hold for a session of its own.
+    """
+    session = spark.newSession()
+    session.conf.set("spark.sql.sources.useV1SourceList", "")
+    session.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    return session.read.parquet(path).agg(F.count("*").alias("n"))

@@ -251,6 +251,33 @@ def test_any_associative_fold(spark):
     assert {(r.k, r.root): (r.types, tuple(r.span)) for r in rows.collect()} == expected
 
 
+def test_trees_of_lines_are_cut_alike_at_any_depth(spark):
+    deep = '{"a": [' * 1500 + '"s, ]}"' + "]}" * 1500
+    lines = [
+        '{"function":"f","raw_code":"c","ast":' + deep + ',"other":{"z":1}}', '{"other":{"ast":{"no":1}},"raw_code":"\\"ast\\":{","ast" : {"x" : [ ] }}', '{"ast":null}', '{"raw_code":"c"}',
+    ]
+    frame = spark.createDataFrame(list(enumerate(lines)), "n bigint, line string")
+    got = {r.n: r.t for r in frame.select("n", ccode.tree_of(F.col("line")).alias("t")).collect()}
+    assert got == {0: deep.replace('": [', '":['), 1: '{"x":[]}', 2: None, 3: None}
+
+
+def test_macros_with_arguments_of_any_depth(spark):
+    nest = lambda n: "(" * n + "x" + ")" * n
+    cases = {
+        f"int f {nest(2)} __attribute__ {nest(70)} {{ }}": f"int f {nest(2)}  {{ }}", f"__attribute__{nest(1)}{nest(3)}": nest(3),
+        '__attribute__((a(")")))b': "b", "__attribute__ ((open": "__attribute__ ((open", "volatile int x": "volatile int x", "__attribute__ y (z)": "__attribute__ y (z)",
+    }
+    frame = spark.createDataFrame([(c,) for c in cases], "c string")
+    assert {r.c: r.n for r in frame.select("c", ccode.normalised(F.col("c")).alias("n")).collect()} == cases
+
+
+def test_names_that_hold_control_characters_stay(spark):
+    from corpusflow.functions import loglines
+
+    assert value(spark, loglines.groups(F.col("l"), r"(\S+)-(\S+)", 2), l="x a\x01b-c y") == ["a\x01b", "c"]
+    assert value(spark, loglines.groups(F.col("l"), r"(\S+)-(\S+)", 2), l="a\x01b\x01c") is None
+
+
 def test_lines_may_nest_as_deep_as_they_like(spark):
     deep = lambda n: '{"a":' * n + "1" + "}" * n
     lines = [(n, '{"function": "_f", "raw_code": "c", "ast": ' + deep(n) + "}") for n in (10, 1500, 5000)]

@@ -80,3 +80,17 @@ def test_trees_stay_in_the_jvm_and_are_shuffled_once(spark):
     for name in ["js02_c_nodes", "js02_decompiler_nodes", "js03_subtree_folds", "js03_ordered_folds", "js04_rebuilt_trees", "udf02_custom_fold", "udf02_struct_fold"]:
         text = plan(QUERIES[name](spark, SF_DIR)).split("== Initial Plan ==")[-1]
         assert not any(node in text for node in ("Python", "Pandas", "Arrow", "Join")) and text.count("Exchange") == 1 and text.count("FileScan") == 1, name
+
+
+def test_estimated_count_reads_no_column(spark):
+    from corpusflow.catalog import QUERIES
+
+    frame = QUERIES["agg04_estimated_count"](spark, SF_DIR)
+    assert "PushedAggregation: [COUNT(*)]" in plan(frame)
+
+
+def test_costly_patterns_do_not_run_in_one_task(spark):
+    from corpusflow.catalog import QUERIES
+
+    for name in ["txt05_variables", "txt08_full_names", "txt19_compile_commands", "js01_decoded_lines", "agg07_libraries_per_repo", "agg15_changed_repos", "agg16_log_snapshot"]:
+        assert "REPARTITION_BY_NUM" in plan(QUERIES[name](spark, SF_DIR)), name

@@ -260,8 +260,21 @@ def test_lines_keep_file_order(spark):
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
-def test_corrupt_result_files_count_as_empty(spark):
-    path = working_path(spark, "results")
+def test_line_numbers_hold_when_splits_change(spark):
+    path = working_path(spark, "numbers")
+    spark.range(5000).select(F.col("id").cast("string").alias("value")).repartitionByRange(3, F.col("value").cast("long")).sortWithinPartitions(F.col("value").cast("long")).write.text(path)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "2048")
+        numbered = readers.lines(spark, path)
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "777")  # as when executors come or go between two reads
+        assert numbered.filter("idx = cast(value as bigint)").count() == numbered.count() == 5000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_corrupt_result_files_count_as_empty(spark, tmp_path):
+    path = f"{tmp_path}/results"
     repos = spark.createDataFrame([("o", "a"), ("o", "b")], "repo_owner string, repo_name string")
     rows = spark.createDataFrame([("o", "a", [("d", True, ["x"], ["h"])])], schemas.REPO_RESULT)
     rows.write.parquet(path)
@@ -271,11 +284,8 @@ def test_corrupt_result_files_count_as_empty(spark):
     assert found == {"a": 1, "b": 0}
 
 
-def test_decompiled_lines_of_named_files(spark):
-    import os
-
-    path = working_path(spark, "jsonl")
-    os.makedirs(path)
+def test_decompiled_lines_of_named_files(spark, tmp_path):
+    path = str(tmp_path)
     with open(f"{path}/abc123.jsonl", "w") as f:
         f.write('{"function": "f"}\n\n{"function": "g"}\n')
     rows = readers.decompiled_lines(spark, path).orderBy("line_pos").collect()
