@@ -6,7 +6,7 @@ and taken until the total budget is reached. A source that must give more than i
 document is taken up to ``max_repeats`` times.
 
 Defined results: a null text has no words; a null source is a source of its own, last in order; rows that repeat (doc_id, source,
-size) are one unit and are taken together; documents without words are taken for nothing; an empty table gives an empty table.
+size) queue one behind the other, each by itself; documents without words are taken for nothing; an empty table gives an empty table.
 Only doc_id, source and text are read, so other columns may have any name.
 """
 
@@ -33,7 +33,7 @@ def source_targets(units: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_rep
     ``max_repeats`` times the size of its source; what is over is shared again by weight, until no target is above its limit.
     Sources are sorted by limit per weight: those at their limit then come first, and one pass of running sums finds them.
     """
-    sizes = settle(units.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size")))
+    sizes = settle(units.groupBy("source").agg(F.sum("size").alias("source_size")))
     total = sizes.agg(F.sum("source_size")).first()[0] or 0
     ranked = running_sums(sizes, [], [F.col("source").isNull(), "source"], {"rank": F.lit(1)})
     weight = F.element_at(F.array(*[F.lit(w) for w in weights]), (F.col("rank") % len(weights) + 1).cast("int")).cast("long")
@@ -53,16 +53,17 @@ def source_targets(units: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_rep
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_repeats: int = MAX_REPEATS) -> DataFrame:
-    """Units (doc_id, source, size, n) with source_size, target and ``copies``, the times each of the n rows is taken."""
+    """(doc_id, source, size, source_size, target, copies) of each row of ``docs``; ``copies`` is how often it is taken."""
     sized = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"))
-    units = settle(sized.groupBy("doc_id", "source", "size").agg(F.count("*").alias("n")))
+    # rows that are equal are told apart by their place in the table that is written here, and only there
+    units = settle(sized.withColumn("tie", F.monotonically_increasing_id()))
     goals = source_targets(units, weights, max_repeats)
     total = goals.agg(F.sum("source_size")).first()[0] or 0
     goals = goals.withColumnRenamed("source", "_source")
     placed = units.join(goals, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
     shuffled = placed.withColumn("mark", F.substring(F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), 1, 16))
-    amount = F.col("size") * F.col("n")
-    queued = settle(running_sums(shuffled, ["source"], ["mark", "doc_id", "size"], {"begin": amount}))
+    amount = F.col("size")
+    queued = settle(running_sums(shuffled, ["source"], ["mark", "doc_id", "size", "tie"], {"begin": amount}))
 
     passes = F.sequence(F.lit(0), F.lit(max_repeats - 1))
     start = lambda p: p.cast("long") * F.col("source_size") + F.col("begin")
@@ -75,7 +76,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_repeats: int =
         finish = (start(p) + amount).cast("double") / F.col("target")
         return F.struct(
             finish.alias("finish"), F.col("source").isNull().alias("last"), F.col("source").alias("source"), p.alias("round"),
-            F.col("mark").alias("mark"), F.col("doc_id").alias("doc_id"), F.col("size").alias("size"),
+            F.col("begin").alias("begin"),
         )
 
     copies = queued.select(amount.alias("amount"), F.explode(F.filter(passes, wanted)).alias("p"), "*")
@@ -84,7 +85,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_repeats: int =
     edge = _first_beyond(settle(ranged), total)
     taken = wanted if edge is None else (lambda p: wanted(p) & (place(p) < _literal(edge, copies)))
     return queued.select(
-        "doc_id", "source", "size", "n", "source_size", "target", F.size(F.filter(passes, taken)).alias("copies")
+        "doc_id", "source", "size", "source_size", "target", F.size(F.filter(passes, taken)).alias("copies")
     )
 
 
@@ -110,11 +111,24 @@ def _literal(place, copies: DataFrame) -> Column:
 
 def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_repeats: int = MAX_REPEATS) -> DataFrame:
     """The documents that the mix takes, with all their columns and ``copies``; documents taken zero times are left out."""
-    decided = mix(docs, weights, max_repeats).filter("copies > 0").select(
-        F.col("doc_id").alias("_doc_id"), F.col("source").alias("_source"), F.col("size").alias("_size"), F.col("copies").alias("_copies")
+    taken = mix(docs, weights, max_repeats).filter("copies > 0").groupBy("doc_id", "source", "size").agg(
+        *[F.count_if(F.col("copies") > p).alias(f"_taken{p}") for p in range(max_repeats)]
     )
+    decided = settle(taken.select(
+        F.col("doc_id").alias("_doc_id"), F.col("source").alias("_source"), F.col("size").alias("_size"),
+        F.array(*[f"_taken{p}" for p in range(max_repeats)]).alias("_taken"),
+    ))
     rows = packed(docs, id=F.col("doc_id"), from_=F.col("source"), words=word_count(F.col("text")))
     same = F.col("id").eqNullSafe(F.col("_doc_id")) & F.col("from_").eqNullSafe(F.col("_source")) & (F.col("words") == F.col("_size"))
     columns = [c for c in docs.columns if c != "copies"]
     # Decisions are small and unique on the key: they are hashed, and the texts are not sorted.
-    return rows.join(decided.hint("shuffle_hash"), same).select(*unpacked(columns), F.col("_copies").alias("copies"))
+    met = rows.join(decided.hint("shuffle_hash"), same)
+    many = F.element_at("_taken", 1) > 1
+    copies = lambda at: F.size(F.filter("_taken", lambda k: k > at)).alias("copies")
+    out = met.filter(~many).select(*unpacked(columns), copies(F.lit(0)))
+    if decided.filter(many).isEmpty():
+        return out
+    # of rows that share id, source and size, the first so many are taken in each pass, in the order of their texts
+    order = [F.xxhash64("_row.text"), F.monotonically_increasing_id()]
+    shared = running_sums(met.filter(many), ["id", "from_", "words"], order, {"_at": F.lit(1).cast("long")})
+    return out.unionByName(shared.filter(F.col("_at") < F.element_at("_taken", 1)).select(*unpacked(columns), copies(F.col("_at"))))

@@ -28,10 +28,9 @@ def query(name: str, sql: str | None = None):
 
 
 MIX_SQL = r"""
-with sized as (
-  select doc_id, source, cast(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as bigint) as size from documents),
-units as (select doc_id, source, size, cast(count(*) as bigint) as n from sized group by all),
-sizes as (select source, cast(sum(size * n) as bigint) as source_size from units group by source),
+with units as (
+  select row_number() over () as tie, doc_id, source, cast(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as bigint) as size from documents),
+sizes as (select source, cast(sum(size) as bigint) as source_size from units group by source),
 ranked as (
   select source, source_size, 3 * source_size as most, cast((row_number() over (order by source nulls last) - 1) % 3 + 1 as bigint) as weight,
     row_number() over (order by source nulls last) as rank from sizes),
@@ -48,21 +47,18 @@ goals as (
   select source, source_size, t, case when "full" then cast(most as double)
     else cast(weight * (t - rest.used) as double) / left_w end as target from flagged, rest),
 queued as (
-  select u.doc_id, u.source, u.size, u.n, g.source_size, g.target, g.t, substr(md5(coalesce(cast(u.doc_id as varchar), '')), 1, 16) as mark
+  select u.tie, u.doc_id, u.source, u.size, g.source_size, g.target, g.t, substr(md5(coalesce(cast(u.doc_id as varchar), '')), 1, 16) as mark
   from units u join goals g on u.source is not distinct from g.source),
 placed as (
-  select *, cast(coalesce(sum(size * n) over (partition by source order by mark, doc_id nulls first, size
+  select *, cast(coalesce(sum(size) over (partition by source order by mark, doc_id nulls first, size, tie
     rows between unbounded preceding and 1 preceding), 0) as bigint) as begin from queued),
 copies as (
-  select p.*, r.round, cast(round * source_size + begin + size * n as double) / target as finish
+  select p.*, r.round, cast(round * source_size + begin + size as double) / target as finish
   from placed p, (values (0), (1), (2)) r(round) where size > 0 and round * source_size + begin < target),
 reached as (
-  select *, sum(size * n) over (order by finish, source is null, source nulls first, round, mark, doc_id nulls first, size rows unbounded preceding) as upto
-  from copies),
-taken as (select doc_id, source, size, count(*) as copies from reached where upto <= t group by all)
-select p.doc_id, p.size, p.source_size, p.target, cast(p.size * coalesce(k.copies, 0) as bigint) as taken
-from placed p join range(1000000) m(i) on m.i < p.n
-left join taken k on p.doc_id is not distinct from k.doc_id and p.source is not distinct from k.source and p.size = k.size
+  select *, sum(size) over (order by finish, source is null, source nulls first, round, begin rows unbounded preceding) as upto from copies),
+taken as (select tie, count(*) as copies from reached where upto <= t group by all)
+select p.doc_id, p.size, p.source_size, p.target, cast(p.size * coalesce(k.copies, 0) as bigint) as taken from placed p left join taken k using (tie)
 """
 
 
@@ -70,8 +66,7 @@ left join taken k on p.doc_id is not distinct from k.doc_id and p.source is not
 def mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that a mix of all documents takes of each; one row per row of ``documents``."""
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
-    rows = mixed.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))))
-    return rows.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+    return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
 @query("op2_url_filter")

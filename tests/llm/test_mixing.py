@@ -26,7 +26,7 @@ def filled(sizes, weights=(1, 2, 3), most=3):
 
 def test_targets_stop_at_their_limit(spark):
     sizes = {"a": 10, "b": 10_000, "c": 7, "d": 300, "": 50, None: 900}
-    units = spark.createDataFrame([(i, s, n, 1) for i, (s, n) in enumerate(sizes.items())], "doc_id long, source string, size long, n long")
+    units = spark.createDataFrame([(i, s, n) for i, (s, n) in enumerate(sizes.items())], "doc_id long, source string, size long")
     found = {r["source"]: r["target"] for r in mixing.source_targets(units).collect()}
     assert found == pytest.approx(filled(sizes)) and sum(found.values()) == pytest.approx(sum(sizes.values()))
 
@@ -36,7 +36,7 @@ def test_sources_come_near_their_targets(spark):
     mixed = mixing.mix(documents(spark, rows)).collect()
     taken, target = defaultdict(int), {}
     for r in mixed:
-        taken[r["source"]] += r["size"] * r["copies"] * r["n"]
+        taken[r["source"]] += r["size"] * r["copies"]
         target[r["source"]] = r["target"]
         assert 0 <= r["copies"] <= 3
     assert all(abs(taken[s] - target[s]) <= 24 for s in target)
@@ -47,14 +47,28 @@ def test_sources_come_near_their_targets(spark):
 def test_odd_rows_and_columns(spark):
     docs = documents(spark, odd_rows())
     rows = mixing.mix(docs).collect()
-    assert sum(r["n"] for r in rows) == len(odd_rows())
-    assert {r["n"] for r in rows if r["doc_id"] == 7} == {1, 2}
+    assert len(rows) == len(odd_rows()) and sum(r["doc_id"] == 7 for r in rows) == 3
     assert all(r["copies"] == 0 for r in rows if r["size"] == 0)
     out = mixing.mixed_documents(docs)
     assert out.columns == [c for c in docs.columns if c != "copies"] + ["copies"]
     assert {tuple(r) for r in out.select("doc_id", "copies").collect() if r["doc_id"] == 10} <= {(10, 1), (10, 2), (10, 3)}
 
 
+def test_repeated_rows_are_taken_one_by_one(spark):
+    same = [(1, "w " * 50, None, "a")] * 40
+    rows = same + [(2 + i, "w " * (40 + i), None, "b") for i in range(40)] + [(None, "x " * 9, None, "c")] * 30
+    docs = documents(spark, rows)
+    taken, target = defaultdict(int), {}
+    for r in mixing.mix(docs).collect():
+        taken[r["source"]] += r["size"] * r["copies"]
+        target[r["source"]] = r["target"]
+    assert all(abs(taken[s] - target[s]) <= 80 for s in target) and taken["a"] > 1000
+    out = defaultdict(int)
+    for r in mixing.mixed_documents(docs).collect():
+        out[r["source"]] += len(r["text"].split()) * r["copies"]
+    assert out == taken
+
+
 def test_no_rows_and_no_words(spark):
     assert mixing.mix(spark.createDataFrame([], SCHEMA)).count() == 0
     empty = mixing.mix(documents(spark, [(1, "", "en", "a"), (2, None, "en", None)])).collect()
