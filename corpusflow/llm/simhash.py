@@ -343,9 +343,8 @@ def grouped(
     return fps.join(labels, F.col("fp") == F.col("_fp")).select("doc_id", "tie", "fp", "rep")
 
 
-#: The stage of a pipeline: five words, similarity 0.8. In 1024 bits that similarity differs in 155 bits on average (12 is the standard deviation),
-#: 0.85 in 132 and 0.75 in 176; texts with nothing in common differ in 512 (16). In the first 256 bits it differs in 39 (6).
-STAGE = {"radius": 166, "shingle": 5, "words": 16, "ratio": 0.8, "coarse": (4, 64)}
+#: The stage of a pipeline: shingles of four words, and four of 64 bits may differ.
+STAGE = {"radius": 4, "shingle": 4}
 
 
 def one_of_each(docs: DataFrame, **settings) -> DataFrame:

@@ -98,7 +98,8 @@ def test_one_of_each_keeps_the_first(spark, tmp_path):
     rows += [(100 + i, mutated(rows[i][1], 0.005, rnd), None, None) for i in range(20)] + [(i, rows[i][1], None, None) for i in range(5)]
     documents(spark, rows).write.parquet(f"{tmp_path}/docs")
     docs = spark.read.parquet(f"{tmp_path}/docs")
-    kept = simhash.one_of_each(docs)
+    # with fingerprints long enough for a similarity of words
+    kept = simhash.one_of_each(docs, radius=166, shingle=5, words=16, ratio=0.8, coarse=(4, 64))
     assert kept.columns == docs.columns and sorted(r["doc_id"] for r in kept.collect()) == list(range(40))
     documents(spark, odd_rows()).write.parquet(f"{tmp_path}/odd")
     assert simhash.one_of_each(spark.read.parquet(f"{tmp_path}/odd")).count() == 9  # five empty ones and three equal ones become two
@@ -124,3 +125,19 @@ def test_one_of_each_holds_when_splits_change(spark, tmp_path, monkeypatch):
     finally:
         spark.conf.set(size, before)
     assert sorted(kept) == list(range(0, 200, 2))
+
+
+def test_one_of_each_against_brute_force(spark, tmp_path):
+    rnd = random.Random(9)
+    rows = [(i, prose(i, 150), None, None) for i in range(60)]
+    rows += [(100 + i, mutated(rows[i % 60][1], 0.01, rnd), None, None) for i in range(90)]
+    documents(spark, rows).write.parquet(f"{tmp_path}/docs")
+    fps = {i: int.from_bytes(simhash.fingerprint(simhash.shingle_hashes(t, 4)), "big") for i, t, _, _ in rows}
+    group = {i: i for i in fps}
+    for i in sorted(fps):
+        for j in fps:
+            if (fps[i] ^ fps[j]).bit_count() <= 4 and group[i] != group[j]:
+                low, high = sorted((group[i], group[j]))
+                group = {k: low if g == high else g for k, g in group.items()}
+    kept = sorted(r["doc_id"] for r in simhash.one_of_each(spark.read.parquet(f"{tmp_path}/docs")).collect())
+    assert kept == sorted(set(group.values())) and 60 <= len(kept) < 150
