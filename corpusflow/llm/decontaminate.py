@@ -7,13 +7,17 @@ distance of the item to any part of the text, and the document is contaminated i
 Texts and items are compared lower-cased, without ASCII punctuation, with each run of white space as one space. Items are looked for in blocks of
 at most ``block_chars`` characters (or one item); each block is collected and broadcast on its own and all documents are read once for it.
 
-Defined results: null and empty texts hold nothing; items that are null or shorter than ``least_chars`` after this are not looked for, as they
+An item of fewer than ``LEAST_CHARS`` characters after this may not differ at all and is found where it stands word for word, punctuation
+included: letters and digits may not go on at its ends, but for scripts that are written without spaces.
+
+Defined results: null and empty texts hold nothing; items that are null or shorter than ``least_chars`` in that form are not looked for, as they
 would match anywhere; equal items all get the hit; repeated rows each get a result; an empty table of documents or items gives no hit. Only
 doc_id and text, and item_id and text, are read.
 """
 
 from __future__ import annotations
 
+import re
 import string
 from collections.abc import Iterator
 
@@ -23,19 +27,31 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
+from corpusflow.llm import word_model
 from corpusflow.llm.common import encoded, map_texts, packed, running_sums, texts_of, unpacked
 from corpusflow.session import settle
 
 ERROR_RATE = 0.05
-LEAST_CHARS = 20
+LEAST_CHARS, FEWEST_CHARS = 20, 5
 BLOCK_CHARS = 1 << 20
 _PUNCTUATION = string.punctuation.encode()
+_UNSPACED = re.compile(rf"[{word_model.ALONE}]")
 
 
 def normal(text: str | None) -> str:
     return " ".join(encoded((text or "").lower()).translate(None, _PUNCTUATION).decode().split())
 
 
+def verbatim(text: str | None) -> str:
+    """The form in which short items are looked for."""
+    return " ".join((text or "").lower().split())
+
+
+def _goes_on(a: str, b: str) -> bool:
+    """Whether a word goes on from one character to the next."""
+    return a.isalnum() and b.isalnum() and not (_UNSPACED.match(a) or _UNSPACED.match(b))
+
+
 def pieces(item: str, error_rate: float = ERROR_RATE) -> tuple[int, list[tuple[int, str]]]:
     """Error budget of an item, and its pieces with their places."""
     budget = int(len(item) * error_rate)
@@ -76,23 +92,43 @@ def least_distance(peq: dict[str, int], m: int, text: str) -> int:
 
 
 class Matcher:
-    """All items of a block: (ids, text, budget, masks) and the automaton over their pieces."""
+    """All items of a block: (ids, text, budget, masks) and the automaton over their pieces; short items have an automaton of their own."""
 
     def __init__(self, rows: list[tuple], error_rate: float) -> None:
         by_text: dict[str, list] = {}
-        for item_id, text in rows:
-            by_text.setdefault(text, []).append(item_id)
+        by_words: dict[str, list] = {}
+        for item_id, text, words in rows:
+            if len(text) >= LEAST_CHARS:
+                by_text.setdefault(text, []).append(item_id)
+            else:
+                by_words.setdefault(words, []).append(item_id)
         self.items, places = [], {}
         for text, ids in by_text.items():
             budget, parts = pieces(text, error_rate)
             for at, piece in parts:
                 places.setdefault(piece, []).append((len(self.items), at))
             self.items.append((ids, text, budget, masks(text)))
-        self.automaton = ahocorasick.Automaton()
+        self.automaton, self.short = (ahocorasick.Automaton() for _ in range(2))
         for piece, where in places.items():
             self.automaton.add_word(piece, (len(piece), where))
-        if places:
-            self.automaton.make_automaton()
+        for words, ids in by_words.items():
+            self.short.add_word(words, (words, ids))
+        self.any_short = bool(by_words)
+        for made in (self.automaton, self.short):
+            if len(made):
+                made.make_automaton()
+
+    def found(self, text: str | None) -> Iterator[tuple[object, int]]:
+        """(item id, least distance) of the items that a text holds."""
+        yield from self.hits(normal(text))
+        if self.any_short and text:
+            seen: set[str] = set()
+            line = f" {verbatim(text)} "
+            for end, (words, ids) in self.short.iter(line):
+                begin = end + 1 - len(words)
+                if words not in seen and not _goes_on(line[begin - 1], words[0]) and not _goes_on(words[-1], line[end + 1]):
+                    seen.add(words)
+                    yield from ((i, 0) for i in ids)
 
     def hits(self, text: str) -> Iterator[tuple[object, int]]:
         """(item id, least distance) of the items that the normal form of a text holds."""
@@ -119,13 +155,13 @@ class Matcher:
 
 
 def find_items(
-    docs: DataFrame, items: DataFrame, error_rate: float = ERROR_RATE, least_chars: int = LEAST_CHARS, block_chars: int = BLOCK_CHARS
+    docs: DataFrame, items: DataFrame, error_rate: float = ERROR_RATE, least_chars: int = FEWEST_CHARS, block_chars: int = BLOCK_CHARS
 ) -> DataFrame:
     """(doc_id, text_hash, item_id, distance) of each item found in a text; rows of the same doc_id and text come once."""
     spark = docs.sparkSession
-    wanted = map_texts(items, ["item_id"], "text", lambda t: (normal(t),), {"normal": "string"}).withColumnRenamed("normal", "text")
-    wanted = settle(wanted.filter(F.length("text") >= least_chars))
-    placed = settle(running_sums(wanted, [], ["text", "item_id"], {"before": F.length("text")}).withColumn(
+    wanted = map_texts(items, ["item_id"], "text", lambda t: (normal(t), verbatim(t)), {"normal": "string", "words": "string"})
+    wanted = settle(wanted.withColumnRenamed("normal", "text").filter(F.length("words") >= least_chars))
+    placed = settle(running_sums(wanted, [], ["words", "item_id"], {"before": F.length("words")}).withColumn(
         "block", F.floor(F.col("before") / F.lit(block_chars))
     ))
     id_kind, item_kind = docs.schema["doc_id"].dataType, items.schema["item_id"].dataType
@@ -134,7 +170,7 @@ def find_items(
     found = []
     texts = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
     for (block,) in placed.select("block").distinct().orderBy("block").collect():  # a few numbers
-        rows = [tuple(r) for r in placed.filter(F.col("block") == block).select("item_id", "text").collect()]
+        rows = [tuple(r) for r in placed.filter(F.col("block") == block).select("item_id", "text", "words").collect()]
         sent = spark.sparkContext.broadcast(rows)  # at most block_chars characters, or one item
 
         def search(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
@@ -143,7 +179,7 @@ def find_items(
                 hits = [
                     (i, item_id, distance)
                     for i, text in enumerate(texts_of(batch.column("text")))
-                    for item_id, distance in matcher.hits(normal(text))
+                    for item_id, distance in matcher.found(text)
                 ]
                 at = pa.array([h[0] for h in hits], type=pa.int64())
                 yield pa.RecordBatch.from_arrays(

@@ -36,8 +36,8 @@ RUN = 1 << 18
 HOT = 1 << 17
 SHARD = 1 << 20
 LEAST_SHARDS = 16
-_ALONE = "฀-໿က-႟ក-៿぀-ヿ㐀-鿿豈-﫿\U00020000-\U0003ffff"
-_WORD = re.compile(rf"[{_ALONE}]|[^\W{_ALONE}]+|\s{{2,}}|[^\w ]")
+ALONE = "฀-໿က-႟ក-៿぀-ヿ㐀-鿿豈-﫿\U00020000-\U0003ffff"
+_WORD = re.compile(rf"[{ALONE}]|[^\W{ALONE}]+|\s{{2,}}|[^\w ]")
 _START, _END = 1, 2  # hashes that stand for the places before and after a text
 _KEYS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
 

@@ -63,6 +63,16 @@ def test_odd_rows_and_columns(spark):
     assert kept.columns == docs.columns and kept.count() == len(rows) - 3
 
 
+def test_short_items_are_found_word_for_word(spark):
+    items = [(1, "What is 2+2? Four!"), (2, "你好吗今天天气怎么样"), (3, "a+b=c"), (4, "cat"), (5, "x  Y z?")]
+    rows = [
+        (1, "so what  is\n2+2? four! yes", None, None), (2, "what is 22 four", None, None), (3, "他说你好吗今天天气怎么样呢", None, None), (4, "abc a+b=cd xa+b=c", None, None),
+        (5, "(A+B=C)", None, None), (6, "the cat", None, None), (7, "x y z? z", None, None), (8, "ax y z?", None, None), (9, "", None, None), (10, None, None, None),
+    ]
+    found = decontaminate.find_items(documents(spark, rows), spark.createDataFrame(items, ITEMS)).collect()
+    assert sorted((r["doc_id"], r["item_id"], r["distance"]) for r in found) == [(1, 1, 0), (3, 2, 0), (5, 3, 0), (7, 5, 0)]
+
+
 def test_no_rows(spark):
     docs, none = documents(spark, [(1, "a text of some words", None, None)]), spark.createDataFrame([], ITEMS)
     assert [tuple(r) for r in decontaminate.contamination(docs, none).collect()] == [(1, False, 0, [], None)]
