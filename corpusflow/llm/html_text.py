@@ -30,7 +30,7 @@ BLOCK = frozenset(
 )
 SECTIONS = frozenset("article main section div body td".split())
 SKIPPED = frozenset(
-    "head nav aside footer form script style noscript template menu button select textarea input iframe object svg canvas math dialog "
+    "head nav aside footer form script style noscript template menu button select textarea input iframe object svg canvas dialog "
     "audio video map datalist search title".split()
 )
 SKIPPED_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alertdialog alert menu menubar toolbar status".split())
@@ -38,13 +38,19 @@ SKIPPED_ROLES = frozenset("navigation banner contentinfo complementary search fo
 _PARTS = (
     r"(?:ads?|adverts?|advertisements?|advertising|adsense|sponsor(?:ed)?|promo(?:tion)?s?|banner|cookies?|consent|gdpr|notices?|"
     r"alerts?|popup|modal|overlay|sidebar|side-bar|widgets?|menus?|nav|navbar|navigation|breadcrumbs?|footer|masthead|topbar|toolbar|"
-    r"comments?|comment-?list|respond|disqus|replies|share|sharing|social|related|recommended|newsletter|subscribe|signup|login|skip|pagination|pager)"
+    r"share|sharing|social|related|recommended|newsletter|subscribe|signup|login|skip|pagination|pager)"
 )
 _BESIDE = (
     r"(?:site|page|global|main|top|bottom|left|right|primary|secondary|mobile|sticky|post|posts|article|articles|entry|user|news|list|items?|links?|buttons?|icons?|"
     r"media|box|bar|area|block|section|container|wrapper|wrap|inner|form|unit|slot|message|policy|text|link|google|the|\d+)"
 )
 _BOILERPLATE = re.compile(rf"(?:{_BESIDE}[-_])*{_PARTS}\d*(?:[-_](?:{_PARTS}|{_BESIDE})\d*)*", re.IGNORECASE)
+#: Whole classes and ids of reader comments, with what is inside, articles included.
+_COMMENTS = re.compile(
+    r"comments?|comments?[-_]?(?:list|section|area|thread|form|container|wrapper|block|body|content|meta|author|title|template|reply|respond)|"
+    r"(?:li-|div-)?comment-\d+|respond|disqus(?:[-_]thread)?|replies", re.IGNORECASE
+)
+_OPTIONS = frozenset("option optgroup hr script template".split())  # what may stand in a list of choices
 _HEADER = re.compile(r"(?:site|page|global|top|main)?[-_]?header(?:[-_]?\d+)?", re.IGNORECASE)
 #: How an element is skipped: a form only if the page has more besides, a class not where an article or main is inside, and all else always.
 _FORM, _CLASS, _ALWAYS = 1, 2, 3
@@ -89,6 +95,9 @@ class Lines(HTMLParser):
             self.parts.append(" ")
         if tag in VOID:
             return
+        if tag not in _OPTIONS:  # anything else ends a list of choices that was left open
+            at = next((i for i, o in enumerate(self.open) if o[0] == "select"), len(self.open))
+            del self.open[at:]
         while self.open and tag in _ENDS.get(self.open[-1][0], ()):
             self.open.pop()
         _, skipped, region = self._top()
@@ -102,13 +111,17 @@ class Lines(HTMLParser):
         self.open.append((tag, skipped, region))
 
     def _boilerplate(self, tag: str, attrs: dict) -> int:
-        if tag in ("html", "body", "main", "article"):
-            return _ALWAYS * bool(tag == "article" and re.search(r"comment", f"{attrs.get('class')} {attrs.get('id')}", re.IGNORECASE))
+        names = f"{attrs.get('class') or ''} {attrs.get('id') or ''}".split()
+        if tag in ("html", "body", "main"):
+            return 0
+        if any(map(_COMMENTS.fullmatch, names)):
+            return _ALWAYS
+        if tag == "article":
+            return 0
         if tag == "header":
             return _ALWAYS * (not any(t in ("article", "main") for t, _, _ in self.open))
         if (attrs.get("role") or "").lower() in SKIPPED_ROLES or "hidden" in attrs or attrs.get("aria-hidden") == "true":
             return _ALWAYS
-        names = f"{attrs.get('class') or ''} {attrs.get('id') or ''}".split()
         if any(map(_BOILERPLATE.fullmatch, names)):
             return _CLASS
         return _CLASS * (any(map(_HEADER.fullmatch, names)) and not any(t == "article" for t, _, _ in self.open))

@@ -61,3 +61,55 @@ def test_layout_classes_and_forms_skip_no_article():
             assert html_text.extract(page(f"<div class='{name}'>{paragraphs}</div>")) == TEXT, name
     for inner in (f"<article>{paragraphs}</article>", f"<div>{paragraphs}</div>"):
         assert html_text.extract(f"<body><form action=/><nav>Menu</nav>{inner}<div class=sidebar>Other</div></form></body>") == TEXT
+
+
+def test_only_whole_names_tell_reader_comments():
+    paragraphs = "".join(f"<p>{p}</p>" for p in PARAGRAPHS)
+    for attrs in ("class='post has-comments'", "class=commentary", "id=post-comment-7", "class='post comment-policy'"):
+        assert html_text.extract(page(f"<article {attrs}>{paragraphs}</article>")) == TEXT, attrs
+    assert html_text.extract(page(f"<div id=comment-policy>{paragraphs}</div>")) == TEXT
+    said = f"<p>{'A reader says much about it. ' * 30}</p>"
+    for comments in (
+        f"<div class=comments><article>{said}</article></div>", f"<article class=comment>{said}</article>", f"<section id=comments><article id=c7>{said}</article></section>",
+        f"<ol class=comment-list><li id=comment-12>{said}</ol>", f"<article class='comment-body' id=div-comment-3>{said}</article>",
+    ):
+        assert html_text.extract(page(f"<article>{paragraphs}</article>{comments}")) == TEXT, comments
+
+
+def test_formulas_stay_and_open_choices_swallow_nothing():
+    first, rest = PARAGRAPHS[0], "".join(f"<p>{p}</p>" for p in PARAGRAPHS[1:])
+    assert html_text.extract(page(f"<article><p>{first}<math><mi>x</mi><mo>=</mo><mn>1</mn></math></p>{rest}</article>")) == TEXT.replace("\n", "x=1\n", 1)
+    assert html_text.extract(page(f"<select><option>One<option>Two<article><p>{first}</p>{rest}</article>")) == TEXT
+    assert html_text.extract(page(f"<article><p>{first}<select><optgroup><option>One</select></p>{rest}</article>")) == TEXT
+
+
+def brute_force(lines, sigma=1.0):
+    """Regions of the lines (text, tags, region) by the formulas, number by number."""
+    ratios = [len(t) / max(1, n) for t, n, _ in lines]
+    weight = lambda d: np.exp(-0.5 * (d / sigma) ** 2) if d <= 3 * sigma else 0
+    smooth = [sum(r * weight(abs(i - j)) for j, r in enumerate(ratios)) / sum(weight(abs(i - j)) for j in range(len(ratios))) for i in range(len(ratios))]
+    cut = sum(smooth) / len(smooth)
+    while True:
+        low, high = [s for s in smooth if s < cut], [s for s in smooth if s >= cut]
+        if not low or not high:
+            cut = min(smooth)
+            break
+        nearer = (sum(low) / len(low) + sum(high) / len(high)) / 2
+        if abs(nearer - cut) < 1e-9:
+            break
+        cut = nearer
+    kept = {r for (_, _, r), s in zip(lines, smooth, strict=True) if s >= cut - 1e-12}
+    return "\n".join(t for t, _, r in lines if r in kept)
+
+
+def test_regions_against_brute_force():
+    rnd = np.random.default_rng(4)
+    for _ in range(100):
+        html = "".join(
+            f"<div>{''.join('<p>' + '<b>' * int(rnd.integers(0, 4)) + 'word ' * int(rnd.integers(1, 60)) + '</p>' for _ in range(rnd.integers(1, 5)))}</div>"
+            for _ in range(rnd.integers(1, 8))
+        )
+        lines = html_text.Lines()
+        lines.feed(html)
+        lines.close()
+        assert html_text.extract(html) == brute_force(lines.without_forms())
