@@ -23,16 +23,24 @@ def staged_parquet(v, name, df):
     return path
 
 
+FOLDERS, PAGES_PER_FILE = 64, 16
+
+
 def _page_files(v):
-    """One file per page, in a folder of its number."""
+    """Files of some pages each, one line for a page, in a fixed number of folders by page number."""
     path = working_path(v.spark, "pages")
-    pages = v("pages").select("page_id", "html").repartition("page_id")
-    pages.write.partitionBy("page_id").text(path)
+    pages = v("pages").select("page_id", "html", (F.col("page_id") % FOLDERS).alias("bucket"))
+    placed = pages.repartition(FOLDERS, "bucket").sortWithinPartitions("bucket", "page_id").select("bucket", "html")
+    placed.write.option("maxRecordsPerFile", PAGES_PER_FILE).partitionBy("bucket").text(path)
     return path
 
 
-def _page():
-    return F.regexp_extract("path", "page_id=([0-9]+)/", 1).cast("bigint").alias("page_id")
+def _bucket(of):
+    return F.regexp_extract(of, "bucket=([0-9]+)", 1).cast("bigint").alias("bucket")
+
+
+_PAGE_FILES = f"""(select bucket, string_agg(html || chr(10), '' order by page_id) as text from (select page_id % {FOLDERS} as bucket, page_id, html,
+    (row_number() over (partition by page_id % {FOLDERS} order by page_id) - 1) // {PAGES_PER_FILE} as file from pages) group by bucket, file)"""
 
 
 @query("src01_repo_list", "select idx, line from $repo_list")
@@ -82,29 +90,31 @@ _SUPPLIER_LINE = """'{"function":"f' || cast(l_orderkey as string) || '","raw_co
 select md5(cast(l_suppkey as string)) as sha, {_SUPPLIER_LINE} as line, count(*) as n from lineitem group by all""")
 def _(v):
     path = working_path(v.spark, "decompiled")
-    rows = v("lineitem").select(F.md5(F.col("l_suppkey").cast("string")).alias("sha"), F.expr(_SUPPLIER_LINE).alias("value"))
-    blank = rows.select("sha").distinct().withColumn("value", F.lit(""))
-    rows.unionByName(blank).repartition("sha", F.pmod(F.xxhash64("value"), F.lit(8))).write.partitionBy("sha").text(path)
-    return readers.decompiled_lines(v.spark, path).groupBy("sha", "line").agg(F.count("*").alias("n"))
+    rows = v("lineitem").select(
+        F.md5(F.col("l_suppkey").cast("string")).alias("sha"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("line_pos"), F.expr(_SUPPLIER_LINE).alias("line"),
+    )
+    blank = rows.select("sha").distinct().select("sha", F.lit(-1).cast("bigint").alias("line_pos"), F.lit("").alias("line"))
+    writers.decompiled_lines(rows.unionByName(blank), path)
+    return readers.stored_lines(v.spark, path).groupBy("sha", "line").agg(F.count("*").alias("n"))
 
 
-@query("src08_file_inventory", "select page_id, strlen(html) + 1 as length from pages")
+@query("src08_file_inventory", f"select bucket, strlen(text) as length from {_PAGE_FILES}")
 def _(v):
     found = readers.file_inventory(v.spark, _page_files(v)).filter("file like '%.txt'")
-    return found.select(F.regexp_extract("dir", "page_id=([0-9]+)$", 1).cast("bigint").alias("page_id"), "length")
+    return found.select(_bucket("dir"), "length")
 
 
-@query("src09_file_hashes", "select page_id, sha256(html || chr(10)) as sha, false as is_elf from pages")
+@query("src09_file_hashes", f"select bucket, sha256(text) as sha, false as is_elf from {_PAGE_FILES}")
 def _(v):
     files = readers.binary_files(v.spark, _page_files(v)).filter("path like '%.txt'")
     content = F.col("content")
-    return files.select(_page(), names.content_hash(content).alias("sha"), names.is_elf(content).alias("is_elf"))
+    return files.select(_bucket("path"), names.content_hash(content).alias("sha"), names.is_elf(content).alias("is_elf"))
 
 
-@query("src10_source_texts", "select page_id, md5(html || chr(10)) as digest, length(html) + 1 as n_chars from pages")
+@query("src10_source_texts", f"select bucket, md5(text) as digest, length(text) as n_chars from {_PAGE_FILES}")
 def _(v):
     files = readers.source_files(v.spark, _page_files(v)).filter("path like '%.txt'")
-    return files.select(_page(), F.md5("code").alias("digest"), F.length("code").cast("bigint").alias("n_chars"))
+    return files.select(_bucket("path"), F.md5("code").alias("digest"), F.length("code").cast("bigint").alias("n_chars"))
 
 
 @query("src11_tolerant_results", """
@@ -129,7 +139,7 @@ def _(v):
     path = working_path(v.spark, "matched")
     rows = match_run_of(v)[0]
     writers.matched_functions(rows.select("repo_owner", "repo_name", F.from_json("record", RECORD_FIELDS).alias("r")).select("repo_owner", "repo_name", "r.*"), path)
-    back = v.spark.read.schema(f"repo_owner string, repo_name string, {RECORD_FIELDS}").json(path)
+    back = readers.stored_matches(v.spark, path, RECORD_FIELDS)
     return back.select("repo_owner", "repo_name", *record_columns(F.struct(*[c for c in back.columns if c not in ("repo_owner", "repo_name")])))
 
 
@@ -165,16 +175,12 @@ def _(v):
 
 
 @query("snk05_decompiled_functions", """
-select md5(cast(l_suppkey as string)) as sha, count(*) as n, count(distinct l_partkey) as n_functions from lineitem group by all""")
+select sha, func_name as function, raw_code, '{"node_id":' || cast(line_pos as string) || '}' as ast from $decompiled""")
 def _(v):
     path = working_path(v.spark, "functions")
-    rows = v("lineitem").select(
-        F.md5(F.col("l_suppkey").cast("string")).alias("sha"), F.concat(F.lit("f"), F.col("l_partkey").cast("string")).alias("function"),
-        F.lit(None).cast("string").alias("ast"), F.col("l_orderkey").cast("string").alias("raw_code"),
-    )
-    writers.decompiled_functions(rows, path)
-    lines = readers.decompiled_lines(v.spark, path).select("sha", ccode.function_name(F.col("line")).alias("f"))
-    return lines.groupBy("sha").agg(F.count("*").alias("n"), F.countDistinct("f").alias("n_functions"))
+    tree = F.concat(F.lit('{"node_id":'), F.col("line_pos").cast("string"), F.lit("}")).alias("ast")
+    writers.decompiled_functions(v("decompiled").select("sha", F.col("func_name").alias("function"), tree, "raw_code"), path)
+    return readers.stored_functions(v.spark, path).select("sha", "function", "raw_code", "ast")
 
 
 @query("stm01_streamed_state", """

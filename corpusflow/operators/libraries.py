@@ -20,6 +20,8 @@ from corpusflow.operators.ordered import spread_by
 VERSION = r"(?:-?[0-9.]+)?"
 DEV = "-dev"
 MAX_NEW_INSTALLS = 50
+#: Up to so many names, the texts asked for are sent to all tasks; beyond it every text of a package is summed up before the join.
+BROADCAST_NAMES = 1_000_000
 
 
 def _fold(text: Column) -> Column:
@@ -64,7 +66,7 @@ def _found(wanted: DataFrame, parts: DataFrame) -> DataFrame:
     """Places (lib, pkg, start, end) of packages that a library name matches.
 
     A name without dots equals the folded text there. Of a name with dots the longest run of letters is looked up, and the text around it
-    is compared. A name of dots alone matches any text of its length; of those there are as many as a package name is long.
+    is compared.
     """
     has_dot = F.contains("lib", F.lit("."))
     plain = wanted.filter(~has_dot).withColumn("key", _fold(F.col("lib")))
@@ -78,24 +80,19 @@ def _found(wanted: DataFrame, parts: DataFrame) -> DataFrame:
     mask = F.regexp_replace("lib", r"[^.]", "x")
     around = around.filter(_blot(_fold(F.expr("substring(pkg, start, end - start + 1)")), mask) == _fold(F.col("lib")))
 
-    dots = dotted.filter("r.run = ''").select("lib", "len")
-    anything = parts.withColumn("len", F.col("end") - F.col("start") + 1).join(dots, "len").select("lib", "pkg", "start", "end")
-    found = direct.unionByName(around).unionByName(anything)
+    found = direct.unionByName(around)
     return found.filter(_holds(F.col("lib"), F.expr("substring(pkg, start, end - start + 1)")))
 
 
-def candidates(libs: DataFrame, packages: DataFrame) -> DataFrame:
-    """Best package per library and pattern: (lib, priority, outside, pkg)."""
-    wanted = libs.select("lib").distinct()
-    found = _found(wanted, _substrings(spread_by(packages.select("pkg").distinct(), "pkg")))
+def _hits(found: DataFrame, by: list[str]) -> DataFrame:
+    """(by, pkg, priority, size) of each pattern that holds around a place, the leftmost of each package."""
     rest = F.expr("substring(pkg, end + 1)")
     found = found.select(
-        "*", (F.col("end") - F.col("start") + 1).alias("len"), F.startswith(rest, F.lit(DEV)).alias("dev"),
+        *by, "pkg", "start", (F.col("end") - F.col("start") + 1).alias("len"), F.startswith(rest, F.lit(DEV)).alias("dev"),
         F.length(F.regexp_extract(rest, "^" + VERSION + DEV, 0)).alias("tail_dev"),
         F.length(F.regexp_extract(rest, "^" + VERSION, 0)).alias("tail"),
         F.expr("start > 3 and substring(pkg, start - 3, 3) = 'lib'").alias("lib_before"),
     )
-
     before, name = F.col("lib_before"), F.col("len")
 
     def pattern(priority: int, holds: Column, prefix: int, tail: Column) -> Column:
@@ -111,10 +108,44 @@ def candidates(libs: DataFrame, packages: DataFrame) -> DataFrame:
         pattern(4, F.col("tail_dev") > 0, 0, F.col("tail_dev")),
         pattern(5, F.lit(True), 0, F.lit(0)),
     ))
-    hits = found.select("lib", "pkg", F.inline(patterns))
-    leftmost = hits.groupBy("lib", "priority", "pkg").agg(F.min_by("size", "at").alias("size"))
+    return found.select(*by, "pkg", F.inline(patterns)).groupBy(*by, "priority", "pkg").agg(F.min_by("size", "at").alias("size"))
+
+
+def _best(hits: DataFrame, by: list[str]) -> DataFrame:
+    """The package of each pattern with the least text outside of it."""
     outside = F.length("pkg") - F.col("size")
-    best = leftmost.groupBy("lib", "priority").agg(F.min(F.struct(outside.alias("outside"), F.col("pkg").alias("pkg"))).alias("b"))
+    return hits.groupBy(*by, "priority").agg(F.min(F.struct(outside.alias("outside"), F.col("pkg").alias("pkg"))).alias("b"))
+
+
+def candidates(libs: DataFrame, packages: DataFrame) -> DataFrame:
+    """Best package per library and pattern: (lib, priority, outside, pkg).
+
+    A name without dots asks for a text, folded or, with dashes, as it is; a name of dots alone asks for a length. For each text or length
+    asked for, only the best package of each pattern is kept, inside the partitions of the packages first, and libraries are joined
+    to these. So a name of one letter costs one row for each task, however many packages have the letter. Other names with dots, and
+    names with both dashes and underscores, are compared place by place.
+    """
+    lib = F.col("lib")
+    has = lambda c: F.contains(lib, F.lit(c))
+    wanted = libs.select("lib").distinct().select(
+        "lib", F.when(lib.rlike(r"^\.+$"), "length").when(has("."), None).when(~has("-"), "folded").when(~has("_"), "text").alias("kind"),
+    ).withColumn("value", F.when(F.col("kind") == "length", F.length("lib").cast("string")).when(F.col("kind") == "folded", _fold(lib)).otherwise(lib))
+    indexed = wanted.filter("kind is not null")
+    parts = _substrings(spread_by(packages.select("pkg").distinct(), "pkg"))
+    text = F.expr("substring(pkg, start, end - start + 1)")
+    ways = F.explode(F.array(*[
+        F.struct(F.lit(k).alias("kind"), v.alias("value"))
+        for k, v in (("folded", F.col("key")), ("text", text), ("length", (F.col("end") - F.col("start") + 1).cast("string")))
+    ])).alias("way")
+    keyed = parts.select("pkg", "start", "end", ways).select("pkg", "start", "end", "way.*")
+    asked = indexed.select("kind", "value").distinct()
+    if asked.count() <= BROADCAST_NAMES:
+        keyed = keyed.join(F.broadcast(asked), ["kind", "value"], "left_semi")
+    by = ["kind", "value"]
+    best = indexed.join(_best(_hits(keyed, by), by), by).select("lib", "priority", "b")
+    compared = wanted.filter("kind is null").select("lib")
+    if not compared.isEmpty():
+        best = best.unionByName(_best(_hits(_found(compared, parts), ["lib"]), ["lib"]))
     return best.select("lib", "priority", "b.outside", "b.pkg")
 
 

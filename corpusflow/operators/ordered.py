@@ -62,6 +62,21 @@ def running_totals(
     return local.join(carry, same).select(*df.columns, *added)
 
 
+def last_values(df: DataFrame, keys: list[str], order: list[str], value: str, name: str) -> DataFrame:
+    """Add the last value that is not null at or before each row of the same keys, in the given order.
+
+    Rows are dealt by ranges of keys and order as for running sums; of each range and key the last value is carried on to the later ranges.
+    """
+    ranged = settle(df.repartitionByRange(*keys, *order).withColumn("_part", F.spark_partition_id()))
+    ends = ranged.filter(F.col(value).isNotNull()).groupBy(*keys, "_part").agg(F.max_by(value, F.struct(*order)).alias("_end"))
+    parts = ranged.select(*keys, "_part").distinct().join(ends, [*keys, "_part"], "left")  # keys are never null here
+    before = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    carry = parts.select(*keys, "_part", F.last("_end", ignorenulls=True).over(before).alias("_carry"))
+    inside = Window.partitionBy(*keys, "_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    local = ranged.withColumn("_local", F.last(value, ignorenulls=True).over(inside))
+    return local.join(carry, [*keys, "_part"]).select(*df.columns, F.coalesce("_local", "_carry").alias(name))
+
+
 def running_total(
     df: DataFrame, keys: list[str], order: str, value: Column, name: str, inclusive: bool = False, parts: int | None = None
 ) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusflow.functions import ccode
-from corpusflow.operators.ordered import latest, spread_by
+from corpusflow.operators.ordered import last_values, latest, spread_by
 
 
 def tokens(files: DataFrame, key: str, code: str = "code") -> DataFrame:
@@ -50,8 +50,8 @@ def token_at(token_rows: DataFrame, probes: DataFrame, key: str, probe_id: str)
         key, F.col("line").cast("bigint").alias("line"), F.col("col").cast("bigint").alias("col"), F.lit(1).alias("is_probe"),
         F.col(probe_id).cast("bigint").alias(probe_id), F.lit(None).cast("bigint").alias("pos"),
     )
-    order = Window.partitionBy(key).orderBy("line", "col", "is_probe").rowsBetween(Window.unboundedPreceding, 0)
-    found = places.unionByName(asked).withColumn("token_pos", F.last("pos", ignorenulls=True).over(order))
+    # probes of one file may be a large share of all, so files are not kept in one piece
+    found = last_values(places.unionByName(asked).filter(F.col(key).isNotNull()), [key], ["line", "col", "is_probe"], "pos", "token_pos")
     valid = F.when(F.col("line") > 0, F.col("token_pos"))
     return found.filter("is_probe = 1").select(key, probe_id, "line", "col", valid.alias("token_pos"))
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from corpusflow import schemas
 from corpusflow.operators import rollups
 from corpusflow.session import settle
+from corpusflow.sources import writers
 
 #: Up to so many file splits, their line counts are sent to all tasks; beyond it, lines and counts are joined by a shuffle.
 BROADCAST_SPLITS = 100_000
@@ -70,6 +71,35 @@ def decompiled_lines(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def _of_keys(rows: DataFrame, buckets: int, keys: dict[str, str] | None) -> DataFrame:
+    """Rows of a bucketed table, of one key only the folder of its bucket."""
+    if keys:
+        here = writers.bucket_of([F.lit(v) for v in keys.values()], buckets)
+        number = rows.sparkSession.range(1).select(here).first()[0]
+        rows = rows.filter(F.col(writers.BUCKET) == number)
+        for name, wanted in keys.items():
+            rows = rows.filter(F.col(name) == wanted)
+    return rows.drop(writers.BUCKET)
+
+
+def stored_lines(spark: SparkSession, path: str, sha: str | None = None, buckets: int = writers.BUCKETS) -> DataFrame:
+    """Raw lines (sha, line_pos, line) that ``writers.decompiled_lines`` wrote, of all binaries or of one; empty lines are left out."""
+    rows = spark.read.schema(f"sha string, line_pos {schemas.LINE_POS}, line string, {writers.BUCKET} int").parquet(path)
+    return _of_keys(rows, buckets, sha and {"sha": sha}).filter("line <> ''")
+
+
+def stored_functions(spark: SparkSession, path: str, sha: str | None = None, buckets: int = writers.BUCKETS) -> DataFrame:
+    """Functions that ``writers.decompiled_functions`` wrote, of all binaries or of one."""
+    rows = spark.read.schema(f"sha string, function string, ast string, raw_code string, {writers.BUCKET} int").json(path)
+    return _of_keys(rows, buckets, sha and {"sha": sha})
+
+
+def stored_matches(spark: SparkSession, path: str, fields: str, repo: tuple[str, str] | None = None, buckets: int = writers.BUCKETS) -> DataFrame:
+    """Records that ``writers.matched_functions`` wrote, of all repositories or of one (owner, name)."""
+    rows = spark.read.schema(f"repo_owner string, repo_name string, {fields}, {writers.BUCKET} int").json(path)
+    return _of_keys(rows, buckets, repo and dict(zip(("repo_owner", "repo_name"), repo, strict=True)))
+
+
 def library_log(spark: SparkSession, path: str) -> DataFrame:
     return rollups.library_words(spark.read.text(path))
 

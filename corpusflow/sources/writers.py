@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: Folders of a bucketed table, whatever the number of its keys, and their column.
+BUCKETS, BUCKET = 64, "bucket"
+
+# The columns of the report.
 REPORT_HEADER = ["Repo", "Makefile", "Status", "Failed Reason?"]
 
 
@@ -14,10 +18,20 @@ def _spread_out(df: DataFrame, keys: list[str], within: list[str], spread: int)
     return df.repartition(*keys, F.pmod(F.xxhash64(*within), F.lit(spread)))
 
 
-def matched_functions(matched: DataFrame, path: str, spread: int = 8) -> None:
-    """Matched functions as JSON lines below owner and name."""
-    keys = ["repo_owner", "repo_name"]
-    _spread_out(matched, keys, ["binary_hash", "func_name"], spread).write.mode("overwrite").partitionBy(*keys).json(path)
+def bucket_of(keys: list[str], buckets: int = BUCKETS) -> Column:
+    """Folder number of a key; readers find the folder of a key with it."""
+    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+
+
+def _bucketed(df: DataFrame, keys: list[str], within: list[str], buckets: int, spread: int):
+    """A writer of rows in a fixed number of folders by the hash of their keys, which stay columns of the rows."""
+    rows = df.withColumn(BUCKET, bucket_of(keys, buckets))
+    return _spread_out(rows, [BUCKET], within, spread).write.mode("overwrite").partitionBy(BUCKET)
+
+
+def matched_functions(matched: DataFrame, path: str, buckets: int = BUCKETS, spread: int = 8) -> None:
+    """Matched functions as JSON lines, in buckets by owner and name."""
+    _bucketed(matched, ["repo_owner", "repo_name"], ["binary_hash", "func_name"], buckets, spread).json(path)
 
 
 def source_corpus(sources: DataFrame, path: str, spread: int = 8) -> None:
@@ -38,7 +52,12 @@ def libraries(names: DataFrame, path: str) -> None:
     names.select(F.col("library").alias("value")).distinct().write.mode("overwrite").text(path)
 
 
-def decompiled_functions(functions: DataFrame, path: str, spread: int = 8) -> None:
-    """JSON lines of each binary below a folder of its hash."""
+def decompiled_functions(functions: DataFrame, path: str, buckets: int = BUCKETS, spread: int = 8) -> None:
+    """Functions of binaries as JSON lines, in buckets by the hash of the binary."""
     kept = functions.select("sha", "function", "ast", "raw_code")
-    _spread_out(kept, ["sha"], ["function", "raw_code"], spread).write.mode("overwrite").partitionBy("sha").json(path)
+    _bucketed(kept, ["sha"], ["function", "raw_code"], buckets, spread).json(path)
+
+
+def decompiled_lines(lines: DataFrame, path: str, buckets: int = BUCKETS, spread: int = 8) -> None:
+    """Raw lines (sha, line_pos, line) as they are, in buckets by the hash of the binary."""
+    _bucketed(lines.select("sha", "line_pos", "line"), ["sha"], ["line_pos"], buckets, spread).parquet(path)

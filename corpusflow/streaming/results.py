@@ -7,19 +7,28 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from corpusflow.operators.ordered import latest
 from corpusflow.operators.state import MATCH_COUNTERS, REPO_KEY, add_binaries, add_match_results, write_snapshot
 from corpusflow.plans.build_run import apply_results
 
 TOTALS = ["results", "funcs_matched", "without_ast"]
 REPOS, BINARIES, MATCHES = "state", "binaries", "matches"
+KEYS = {REPOS: REPO_KEY, BINARIES: ["sha"], MATCHES: REPO_KEY}
 KEPT_VERSIONS = 3
+WHOLE_EVERY = 32  # versions in between hold only the rows that their batch has touched
+
+
+def _whole(version: int) -> int:
+    """The last version up to this one that holds the whole state."""
+    return version - version % WHOLE_EVERY
 
 
 class ResultFold:
     """Folds batches of results into versions of the states below ``base``: repositories and, if given, binaries and matches.
 
-    Version n+1 is made from version n and batch n. A batch that runs again after a failure reads the
-    same version and replaces the same folder, so the fold is idempotent. The last few versions stay.
+    Version n+1 is made from version n and batch n. A folder holds the rows whose keys its batch has touched, so what is written grows with the batch;
+    every ``WHOLE_EVERY`` versions a folder holds the whole state. A version is the last row of each key since the whole one before it. A batch
+    that runs again after a failure reads the same version and replaces the same folder, so the fold is idempotent. The last few versions stay.
     """
 
     def __init__(self, spark: SparkSession, base: str, initial: DataFrame, binaries: DataFrame | None = None, matches: DataFrame | None = None) -> None:
@@ -50,7 +59,23 @@ class ResultFold:
         return self._versions(kind)[-1]
 
     def state(self, version: int, kind: str = REPOS) -> DataFrame:
-        return self.spark.read.parquet(f"{self.base}/{kind}/v={version:012d}")
+        paths = [f"{self.base}/{kind}/v={v:012d}" for v in range(_whole(version), version + 1)]
+        if len(paths) == 1:
+            return self.spark.read.parquet(*paths)
+        rows = self.spark.read.option("basePath", f"{self.base}/{kind}").parquet(*paths)
+        keys = KEYS[kind]
+        rest = [c for c in rows.columns if c not in (*keys, "v")]
+        return latest(rows, keys, F.col("v"), rest).select(*[c for c in rows.columns if c != "v"])
+
+    def _next(self, kind: str, batch: DataFrame, version: int) -> DataFrame:
+        """What the next version writes: the touched rows, or the whole state when its turn has come."""
+        keys = KEYS[kind]
+        touched = batch.select(*keys).dropna().distinct()
+        state = self.state(version, kind)
+        updated = self._updated(kind, state.join(touched, keys, "left_semi"), batch)
+        if _whole(version + 1) != version + 1:
+            return updated
+        return state.join(touched, keys, "left_anti").unionByName(updated)
 
     def latest(self, kind: str = REPOS) -> DataFrame:
         return self.state(self.latest_version(kind), kind)
@@ -75,8 +100,8 @@ class ResultFold:
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             for kind in self.kinds:
-                write_snapshot(self._updated(kind, batch, batch_id), f"{self.base}/{kind}", batch_id + 1)
-                self._forget(kind, batch_id + 2 - KEPT_VERSIONS)
+                write_snapshot(self._next(kind, batch, batch_id), f"{self.base}/{kind}", batch_id + 1)
+                self._forget(kind, _whole(max(0, batch_id + 2 - KEPT_VERSIONS)))
             sums = [F.coalesce(F.sum(c), F.lit(0)).cast("bigint").alias(c) for c in TOTALS[1:]]
             write_snapshot(batch.agg(F.count("*").alias("results"), *sums), f"{self.base}/totals", batch_id)
             if "library" in batch.columns:
@@ -85,8 +110,7 @@ class ResultFold:
         finally:
             batch.unpersist()
 
-    def _updated(self, kind: str, batch: DataFrame, version: int) -> DataFrame:
-        state = self.state(version, kind)
+    def _updated(self, kind: str, state: DataFrame, batch: DataFrame) -> DataFrame:
         if kind == BINARIES:
             return add_binaries(state, batch.filter("sha is not null").select(*REPO_KEY, "sha", "success", "seq"))
         if kind == MATCHES:

@@ -94,3 +94,25 @@ def test_costly_patterns_do_not_run_in_one_task(spark):
 
     for name in ["txt05_variables", "txt08_full_names", "txt19_compile_commands", "js01_decoded_lines", "agg07_libraries_per_repo", "agg15_changed_repos", "agg16_log_snapshot"]:
         assert "REPARTITION_BY_NUM" in plan(QUERIES[name](spark, SF_DIR)), name
+
+
+def test_best_packages_are_found_before_libraries_join(spark):
+    """A name of one letter or of dots reads one row for each task and pattern, not one for each package."""
+    from corpusflow.operators import libraries
+
+    packages = spark.range(20_000).selectExpr("concat('lib', 'm', id % 7, 'x', id, '-dev') as pkg")
+    libs = spark.createDataFrame([("m",), ("..",), ("nothing",)], "lib string")
+    found = {(r.lib, r.priority): r.pkg for r in libraries.candidates(libs, packages).collect()}
+    assert found["m", 5] == "libm0x0-dev" and found["..", 4] == "libm0x0-dev" and not any(k[0] == "nothing" for k in found)
+    text = plan(libraries.candidates(libs, packages)).split("== Initial Plan ==")[-1]
+    shuffled = [line for line in text.split("\n") if "Exchange hashpartitioning" in line and "pkg" in line]
+    assert len(shuffled) <= 2 and all("kind" not in line.split("pkg")[0] for line in shuffled), text  # packages move once, by their name
+
+
+def test_probes_of_one_file_spread(spark):
+    rows = spark.range(20_000).selectExpr("1 as file", "id as line", "1 as col", "id as pos", "'x' as value")
+    probes = spark.range(20_000).selectExpr("1 as file", "id as line", "5 as col", "id as probe")
+    found = tokens.token_at(rows, probes, "file", "probe")
+    assert found.filter("line > 0 and token_pos = line").count() == 19_999
+    windows = [line for line in plan(found).split("\n") if "Window [last(pos" in line]
+    assert windows and all("_part" in line.split("windowspecdefinition(")[1].split("ASC")[0] for line in windows)  # by range, not by file

@@ -318,6 +318,59 @@ def test_stream_restarts_without_counting_twice(spark):
     assert {r.library for r in fold.libraries().collect()} == {"m", "z"}
 
 
+def test_stream_writes_what_a_batch_touches(spark, monkeypatch):
+    from corpusflow.streaming import results
+
+    monkeypatch.setattr(results, "WHOLE_EVERY", 3)
+    base = working_path(spark, "stream")
+    initial = spark.createDataFrame([("o", f"r{i}", 5, True, True, 1, 1) for i in range(1000)], REPO)
+    schema = RESULT + ", funcs_matched bigint, without_ast bigint, library string"
+    fold = results.ResultFold(spark, base, initial)
+    for n in range(5):
+        fold.apply(spark.createDataFrame([("o", f"r{n}", 1, True, 10 + n, True, 2, 2, 3, 1, "m"), ("o", f"new{n}", 2, True, 1, False, None, None, 0, 0, None)], schema), n)
+    fold.apply(spark.createDataFrame([("o", "r4", 1, True, 77, True, 2, 2, 3, 1, "m")], schema), 4)  # the last batch once more
+    written = {v: spark.read.parquet(f"{base}/state/v={v:012d}").count() for v in fold._versions("state")}
+    assert written == {3: 1003, 4: 2, 5: 1}
+    sizes = {r.repo_name: r.repo_size for r in fold.latest().collect()}
+    assert len(sizes) == 1004 and [sizes[f"r{n}"] for n in range(6)] == [10, 11, 12, 13, 77, 5]
+
+
+def test_bucketed_tables_read_one_folder_for_a_key(spark):
+    import re
+
+    from corpusflow.sources import writers
+
+    path = working_path(spark, "lines")
+    rows = spark.range(3000).selectExpr("md5(cast(id % 500 as string)) as sha", "id as line_pos", "if(id < 500, '', concat('{', id, '}')) as line")
+    writers.decompiled_lines(rows, path, buckets=16)
+    whole = readers.stored_lines(spark, path, buckets=16)
+    assert whole.count() == 2500 and len({re.search("bucket=[0-9]+", f)[0] for f in whole.inputFiles()}) == 16
+    sha = rows.first().sha
+    one = readers.stored_lines(spark, path, sha, buckets=16)
+    assert sorted(r.line for r in one.collect()) == sorted(r.line for r in whole.filter(F.col("sha") == sha).collect()) and one.count() == 5
+    assert re.search(r"PartitionFilters: \[[^\]]*bucket#\d+ = \d+", one._jdf.queryExecution().executedPlan().toString())
+    path = working_path(spark, "functions")
+    writers.decompiled_functions(rows.selectExpr("sha", "concat('f', line_pos) as function", "'{\"a\": 1}' as ast", "line as raw_code"), path, buckets=4)
+    assert readers.stored_functions(spark, path, buckets=4).count() == 3000
+    assert {tuple(r)[:1] + (r.ast,) for r in readers.stored_functions(spark, path, sha, buckets=4).collect()} == {(sha, '{"a": 1}')}
+
+
+def test_last_values_are_carried_across_ranges(spark):
+    from corpusflow.operators.ordered import last_values
+
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "7")
+    try:
+        rows = [("hot" if i % 3 else f"k{i % 5}", i * 7 % 1009, None if i % 11 else i) for i in range(1000)]
+        got = last_values(spark.createDataFrame(rows, "k string, at long, x long"), ["k"], ["at"], "x", "last").collect()
+        expected = {}
+        for k, at, x in sorted(rows, key=lambda r: r[:2]):
+            expected[k, at] = x if x is not None else max(((a, v) for (kk, a), v in expected.items() if kk == k and v is not None), default=(0, None))[1]
+        assert {(r.k, r.at): r["last"] for r in got} == expected
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def test_written_tables_can_be_released(spark):
     from corpusflow.session import release, settle
 
