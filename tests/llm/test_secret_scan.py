@@ -61,10 +61,40 @@ def test_fixed_patterns_and_models(spark):
     assert caught >= 28 and extra == 0  # of 30 random tokens that no fixed pattern finds; no ordinary word
 
 
+def test_each_token_is_judged_by_the_models(spark):
+    """Random strings of one case, and short ones, among words; ordinary words of each kind stay."""
+    rnd = random.Random(8)
+    kinds = {"lower": string.ascii_lowercase, "upper": string.ascii_uppercase, "mixed": string.ascii_letters + string.digits}
+    docs = documents(spark, corpus())
+    model = secret_scan.train(docs)
+    for name, alphabet in kinds.items():
+        for n in (14, 32):
+            found = sum(bool(secret_scan.model_spans(f"the {secret(rnd, alphabet, n)} of", [], model, secret_scan.LIMIT, secret_scan.PER_CHAR)) for _ in range(200))
+            assert found >= (190 if n == 32 or name == "mixed" else 100), (name, n, found)
+    words = prose(77, 3000, "etaoinshrdlu").split()
+    ordinary = [*words, *["".join(rnd.sample(words, 5)) for _ in range(500)], "getUserAccountByIdentifier", "version2019release", "2019.03.01"]
+    assert not secret_scan.model_spans(" ".join(ordinary), [], model, secret_scan.LIMIT, secret_scan.PER_CHAR)
+
+
+def test_spans_of_tokens_against_a_loop(monkeypatch):
+    rnd = random.Random(5)
+    model = np.random.default_rng(0).normal(size=(128, 128)).astype(np.float32)
+    for size in (1 << 20, 40):
+        monkeypatch.setattr(secret_scan, "_SLICE", size)
+        for _ in range(100):
+            text = "".join(rnd.choice(["a", "B7", "=", ".", "é", " ", "\n", "漢", "xY-", "~", "\x7f"]) for _ in range(rnd.randint(0, 60)))
+            base = [("assign", a, a + 3) for a in range(0, len(text), 25)]
+            want = [
+                ("model", m.start(), m.end()) for m in re.finditer(r"[A-Za-z0-9+/_.=-]+", text)
+                if not any(a < m.end() and b > m.start() for _, a, b in base) and (r := secret_scan.ratio(model, m.group())) > 1 and r > 0.2 * len(m.group())
+            ]
+            assert secret_scan.model_spans(text, base, model, 1, 0.2) == want
+
+
 def test_ratio_is_the_sum_over_pairs():
     model = np.random.default_rng(0).normal(size=(128, 128)).astype(np.float32)
     token = "Ab1é"
-    codes = [0, *[min(b, 127) for b in token.encode()]]
+    codes = [0, *[min(b, 127) for b in token.encode()], 0]
     assert abs(secret_scan.ratio(model, token) - sum(model[a, b] for a, b in zip(codes, codes[1:], strict=False))) < 1e-5
 
 
