@@ -4,9 +4,9 @@ from pyspark.sql import functions as F
 
 from corpusflow.catalog.registry import query
 from corpusflow.catalog.state import _MAPPING, nested_state, two_runs
-from corpusflow.sources import readers
-from corpusflow.operators import rollups
+from corpusflow.operators import joins, rollups
 from corpusflow.operators.state import REPO_KEY, binaries_in
+from corpusflow.sources import readers
 
 
 @query("agg01_binary_mapping", _MAPPING + """
@@ -131,6 +131,18 @@ def _(v):
     return v("makefile_binary").groupBy(*REPO_KEY).agg(F.count("*").alias("total_files"))
 
 
+@query("agg17_claimed_files_per_repo", """
+with c as (select repo_owner, repo_name, sha, min(makefile_pos * 100000000000 + binary_pos) as place, min_by(directory, makefile_pos * 100000000000 + binary_pos) as directory,
+    min_by(path, makefile_pos * 100000000000 + binary_pos) as path
+    from $makefile_binary m where exists (select 1 from $binaries b where b.repo_owner = m.repo_owner and b.repo_name = m.repo_name and b.sha = m.sha and b.success) group by all),
+d as (select *, floor(place / 100000000000) as makefile_pos from c),
+l as (select repo_owner, repo_name, directory, max(makefile_pos) as makefile_pos from d group by all),
+w as (select distinct repo_owner, repo_name, directory, path from d semi join l using (repo_owner, repo_name, directory, makefile_pos))
+select repo_owner, repo_name, count(*) as total_files from w group by all""")
+def _(v):
+    return joins.work_items(v("makefile_binary"), v("binaries")).groupBy(*REPO_KEY).agg(F.count("*").alias("total_files"))
+
+
 @query("agg18_makefile_dirs", "select distinct repo_id, dir from $files where lower(file) = 'makefile'")
 def _(v):
     return rollups.makefile_dirs(v("files"), ["repo_id"])
@@ -162,3 +174,18 @@ def _(v):
     )
     nothing = v("binaries").filter(F.lit(False))
     return rollups.status_counts(classify_attempts(attempts, nothing), "status")
+
+
+@query("agg20_all_outcomes", """
+with s as (select sha, case when sha < '4' then 'Success' when sha < '8' then 'TimedOut' when repo_owner is null then 'NoVariables' when not success then 'UnknownError'
+    else 'Success' end as status from $binaries)
+select status, status = 'Success' as success, count(*) as n from s group by all""")
+def _(v):
+    from corpusflow.plans.decompile_run import classify_attempts
+
+    binaries = v("binaries")
+    attempts = binaries.select(
+        "sha", (F.col("sha") < "8").alias("timed_out"), F.when(F.col("repo_owner").isNull(), 0).otherwise(3).alias("variables"), (~F.col("success")).alias("failed"),
+    )
+    found = classify_attempts(attempts, binaries.filter("sha < '4'").select("sha"))
+    return found.withColumn("success", F.col("status") == "Success").groupBy("status", "success").agg(F.count("*").alias("n"))
