@@ -77,3 +77,53 @@ def test_rows_that_share_an_id_take_one_place_for_each_text(spark, monkeypatch):
     monkeypatch.setattr(li, "fit", seen)
     li.train(documents(spark, rows))
     assert len(fitted) == 40 and len({(at.tobytes(), x.tobytes()) for at, x, _ in fitted}) == 40
+
+
+def test_training_against_a_plain_loop():
+    """Follow-the-regularised-leader with an elastic net, number by number, on TF-IDF values from plain counts of n-grams."""
+    texts = [(prose(10 * y + i, 12, letters), y) for y, letters in enumerate(("etaoin", "schrub", "lemzwy")) for i in range(6)]
+    count = li.gram_counts
+
+    def place(gram):
+        """What a gram adds to the counts of its parts."""
+        own = count(gram) - (count(gram[:-1]) + count(gram[1:]) - (count(gram[1:-1]) if len(gram) == 3 else 0) if len(gram) > 1 else 0)
+        return int(np.flatnonzero(own)[0])
+
+    places = {text[i : i + size]: None for text, _ in texts for size in (1, 2, 3) for i in range(len(text) - size + 1)}
+    places = {gram: place(gram) for gram in places}
+    examples = []
+    for text, y in texts:
+        counts = {}
+        for size in (1, 2, 3):
+            for i in range(len(text) - size + 1):
+                at = places[text[i : i + size]]
+                counts[at] = counts.get(at, 0) + 1
+        values = {at: 1 + math.log(n) for at, n in counts.items()}
+        norm = math.sqrt(sum(v * v for v in values.values()))
+        examples.append(({at: v / norm for at, v in values.items()} | {li.BUCKETS: 1.0}, y))
+    z, n = {}, {}
+
+    def weight(at, c):
+        zz, nn = z.get((at, c), 0.0), n.get((at, c), 0.0)
+        return 0.0 if abs(zz) <= li.L1 else -(zz - math.copysign(li.L1, zz)) / ((li.BETA + math.sqrt(nn)) / li.ALPHA + li.L2)
+
+    order = np.random.default_rng(42)
+    for _ in range(li.EPOCHS):
+        for k in order.permutation(len(examples)):
+            x, y = examples[k]
+            w = {(at, c): weight(at, c) for at in x for c in range(3)}
+            scores = [sum(v * w[at, c] for at, v in x.items()) for c in range(3)]
+            total = sum(math.exp(s) for s in scores)
+            for c in range(3):
+                error = math.exp(scores[c]) / total - (c == y)
+                for at, v in x.items():
+                    g = v * error
+                    step = (math.sqrt(n.get((at, c), 0.0) + g * g) - math.sqrt(n.get((at, c), 0.0))) / li.ALPHA
+                    z[at, c] = z.get((at, c), 0.0) + g - step * w[at, c]
+                    n[at, c] = n.get((at, c), 0.0) + g * g
+    rows = [(*li.weighed(li.gram_counts(t), np.ones(li.BUCKETS)), y) for t, y in texts]
+    got = li.fit(rows, 3)
+    want = np.zeros_like(got)
+    for at, c in z:
+        want[at, c] = weight(at, c)
+    assert np.allclose(got, want, atol=1e-5) and (want != 0).any()
