@@ -1,10 +1,14 @@
 """The corpus pipeline: stages over ``documents``, each written as Parquet and read again by the next.
 
 1. The quality classifier is trained on documents labelled good; documents that it rejects go.
-2. Of each group of near duplicates (five-word shingles, similarity 0.8) the document with the smallest id stays.
+2. Of each group of near duplicates (fingerprints over four-word shingles, linked at four or fewer differing bits) the document with the smallest id stays.
 3. Documents that hold a passage of ``benchmark`` go.
 4. Secrets are replaced by a mask in the text.
 5. Sources are mixed to their target weights; the result has the documents taken and how often each is taken, as ``copies``.
+
+Defined results: null and empty texts go in the first stage, which cannot judge them; a null id comes last when one of a group is kept, and a null
+language or source is one of its own; of equal rows the near-duplicate stage keeps one; long texts are read whole by every stage; ties follow the stages; empty tables
+give an empty table; columns beside those of documents stay as they are, but a column ``copies`` gives way to that of the last stage.
 """
 
 from __future__ import annotations
