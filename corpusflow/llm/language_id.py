@@ -109,7 +109,7 @@ def train(docs: DataFrame) -> dict | None:
     # each text once in its language, then the least chances in two bounded steps: at most FIT + CALIBRATE rows ever come to the driver
     known = [F.xxhash64("text").alias("_hash"), F.xxhash64("doc_id", F.col("doc_id").isNull(), "text").alias("_chance")]
     distinct = settle(learn.select("lang", *known).groupBy("lang", "_hash").agg(F.min("_chance").alias("_chance")))
-    langs = settle(distinct.groupBy("lang").agg(F.count("*").alias("n")).orderBy("n", "lang").limit(FIT).select("lang"))
+    langs = settle(distinct.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(FIT).select("lang"))
     per_lang = max(1, (FIT + CALIBRATE) // max(1, langs.count()))
     least = distinct.join(F.broadcast(langs), "lang").withColumn("_part", F.pmod("_hash", F.lit(64)))
     for keys in (["lang", "_part"], ["lang"]):
