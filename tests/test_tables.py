@@ -371,6 +371,29 @@ def test_last_values_are_carried_across_ranges(spark):
         spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
+def test_callers_predicate_and_hash_may_be_vectorised(spark):
+    import hashlib
+
+    import pandas as pd
+    from pyspark.sql.functions import pandas_udf
+
+    from corpusflow.operators import joins
+
+    @pandas_udf("boolean")
+    def wanted(directory: pd.Series, path: pd.Series) -> pd.Series:
+        return path.str.endswith(".o") & (directory != "skip")
+
+    @pandas_udf("string")
+    def digest(directory: pd.Series, path: pd.Series) -> pd.Series:
+        return (directory + "/" + path).map(lambda x: hashlib.md5(x.encode()).hexdigest())
+
+    files = spark.createDataFrame([("d", "a.o"), ("d", "b.c"), ("skip", "c.o")], "directory string, path string")
+    rows = joins.keep_files(files, wanted, digest).collect()
+    assert [(r.directory, r.path, r.sha) for r in rows] == [("d", "a.o", hashlib.md5(b"d/a.o").hexdigest())]
+    plain = joins.keep_files(files, lambda d, p: p.endswith(".o"), lambda d, p: F.md5(F.concat(d, p))).collect()
+    assert {r.sha for r in plain} == {hashlib.md5(x).hexdigest() for x in (b"da.o", b"skipc.o")}
+
+
 def test_written_tables_can_be_released(spark):
     from corpusflow.session import release, settle
 
