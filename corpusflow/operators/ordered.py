@@ -14,13 +14,13 @@ from corpusflow.session import settle
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row number in the low 33 bits
 
 
-def spread_by(df: DataFrame, key: str) -> DataFrame:
-    """Rows spread by a key over twice the configured number of partitions, before they are exploded.
+def spread_by(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows spread by keys over twice the configured number of partitions, before they are exploded.
 
     The number is given, as adaptive execution would size partitions by the compact rows, of which the
     exploded ones are a large multiple.
     """
-    return df.repartition(2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
+    return df.repartition(2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
 
 
 def spread_where_few(df: DataFrame, *keys: str) -> DataFrame:
@@ -67,11 +67,12 @@ def last_values(df: DataFrame, keys: list[str], order: list[str], value: str, na
 
     Rows are dealt by ranges of keys and order as for running sums; of each range and key the last value is carried on to the later ranges.
     """
-    ranged = settle(df.repartitionByRange(*keys, *order).withColumn("_part", F.spark_partition_id()))
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = settle(df.repartitionByRange(parts, *keys, *order).withColumn("_part", F.spark_partition_id()))
     ends = ranged.filter(F.col(value).isNotNull()).groupBy(*keys, "_part").agg(F.max_by(value, F.struct(*order)).alias("_end"))
-    parts = ranged.select(*keys, "_part").distinct().join(ends, [*keys, "_part"], "left")  # keys are never null here
+    present = ranged.select(*keys, "_part").distinct().join(ends, [*keys, "_part"], "left")  # keys are never null here
     before = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    carry = parts.select(*keys, "_part", F.last("_end", ignorenulls=True).over(before).alias("_carry"))
+    carry = present.select(*keys, "_part", F.last("_end", ignorenulls=True).over(before).alias("_carry"))
     inside = Window.partitionBy(*keys, "_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     local = ranged.withColumn("_local", F.last(value, ignorenulls=True).over(inside))
     return local.join(carry, [*keys, "_part"]).select(*df.columns, F.coalesce("_local", "_carry").alias(name))

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from corpusflow.functions.ccode import bracket_pieces, unescaped
 from corpusflow.functions.rows import with_once
+from corpusflow.operators.ordered import spread_by
 
 # Keys of the two formats.
 TYPE_KEY, CHILDREN_KEY, POSITION_KEY = "_t", "_c", "_p"
@@ -30,7 +31,9 @@ def _without(text: Column, key: str, value: str) -> Column:
 def _pieces(trees: DataFrame, keys: list[str], ast: str) -> DataFrame:
     """The pieces of each tree with what running sums tell of them; (keys, at, mark, rest, key, listed, owned ...)."""
     text = F.regexp_replace(F.col(ast), r"^\s+|\s+$", "")
-    cut = with_once(trees.select(*keys, text.alias("_text")), _all=bracket_pieces(F.col("_text")))
+    # the compact texts are moved once; everything below happens within the tree, on one sort after the other
+    placed = spread_by(trees.select(*keys, ast), *keys)
+    cut = with_once(placed.select(*keys, text.alias("_text")), _all=bracket_pieces(F.col("_text")))
     listed = F.coalesce(F.get("_all", F.lit(0)).rlike(rf'"(?:{TYPE_KEY}|{CHILDREN_KEY})"\s*+:'), F.lit(False))
     # the pieces make up the whole text, or it is no tree
     whole = F.when(unescaped(F.array_join("_all", "")) == F.col("_text"), F.col("_all"))
@@ -38,7 +41,6 @@ def _pieces(trees: DataFrame, keys: list[str], ast: str) -> DataFrame:
     rows = cut.select(*keys, "_n", "_listed", F.posexplode_outer("_pieces").alias("at", "piece"))
     mark = F.substring("piece", 1, 1)
     rows = rows.select(*keys, "_n", "at", "_listed", mark.alias("mark"), F.expr("substring(piece, 2)").alias("rest"))
-    rows = rows.repartition(*keys)  # everything below happens within the tree, on one sort after the other
     tree = Window.partitionBy(*keys).orderBy("at")
     upto = tree.rowsBetween(Window.unboundedPreceding, 0)
     opens, lists = F.when(F.col("mark").isin("{", "["), 1).otherwise(-1), F.when(F.col("mark") == "[", 1).when(F.col("mark") == "]", -1).otherwise(0)

@@ -58,24 +58,26 @@ class ResultFold:
     def latest_version(self, kind: str = REPOS) -> int:
         return self._versions(kind)[-1]
 
-    def state(self, version: int, kind: str = REPOS) -> DataFrame:
+    def state(self, version: int, kind: str = REPOS, touched: DataFrame | None = None) -> DataFrame:
+        """The state of a version, or only its rows whose keys are touched."""
         paths = [f"{self.base}/{kind}/v={v:012d}" for v in range(_whole(version), version + 1)]
-        if len(paths) == 1:
-            return self.spark.read.parquet(*paths)
-        rows = self.spark.read.option("basePath", f"{self.base}/{kind}").parquet(*paths)
         keys = KEYS[kind]
-        rest = [c for c in rows.columns if c not in (*keys, "v")]
-        return latest(rows, keys, F.col("v"), rest).select(*[c for c in rows.columns if c != "v"])
+        rows = self.spark.read.option("basePath", f"{self.base}/{kind}").parquet(*paths)
+        columns = [c for c in rows.columns if c != "v"]
+        if touched is not None:
+            rows = rows.join(touched, keys, "left_semi")
+        if len(paths) > 1:
+            rows = latest(rows, keys, F.col("v"), [c for c in columns if c not in keys])
+        return rows.select(*columns)
 
     def _next(self, kind: str, batch: DataFrame, version: int) -> DataFrame:
         """What the next version writes: the touched rows, or the whole state when its turn has come."""
         keys = KEYS[kind]
         touched = batch.select(*keys).dropna().distinct()
-        state = self.state(version, kind)
-        updated = self._updated(kind, state.join(touched, keys, "left_semi"), batch)
+        updated = self._updated(kind, self.state(version, kind, touched), batch)
         if _whole(version + 1) != version + 1:
             return updated
-        return state.join(touched, keys, "left_anti").unionByName(updated)
+        return self.state(version, kind).join(touched, keys, "left_anti").unionByName(updated)
 
     def latest(self, kind: str = REPOS) -> DataFrame:
         return self.state(self.latest_version(kind), kind)
