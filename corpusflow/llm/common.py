@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from corpusflow.session import settle
+from corpusflow.session import settle, working_path
 
 #: A word is a run of characters other than space, tab, line feed, vertical tab, form feed and carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -20,6 +22,38 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+@dataclass
+class Brief:
+    """A table written to the shared folder, to be deleted as soon as what is made of it is written."""
+
+    table: DataFrame
+    path: str
+
+    def delete(self) -> None:
+        spark = self.table.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def brief(df: DataFrame) -> Brief:
+    """As ``settle``, for a table that is deleted by its maker."""
+    path = working_path(df.sparkSession, "brief")
+    df.write.parquet(path)
+    return Brief(df.sparkSession.read.schema(df.schema).parquet(path), path)
+
+
+@contextmanager
+def thrifty(spark: SparkSession) -> Iterator[None]:
+    """Queries inside leave no shuffle files behind when they end."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 def words_of(text: Column) -> Column:
     """The words of a text as an array; none for null."""
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(f"({WORD})"), F.lit(1))

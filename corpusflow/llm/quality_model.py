@@ -220,10 +220,13 @@ def judged(docs: DataFrame, labels: DataFrame, quantile: float) -> tuple[float,
     def coder() -> word_model.Coder:
         return word_model.Coder(lambda text: score(text)[1])
 
-    marked = docs.select("doc_id", _stratum().alias("stratum"), "text", word_model.half(F.col("doc_id")).alias("half"), *identity())
-    counts = settle(word_model.count_grams(trusted_texts(marked, trusted), coder))
-    model, left = word_model.table(counts, _discounts_of)
-    scores = settle(word_model.scored(marked, model, left, coder, ["doc_id", "stratum", "who", "more"]))
+    ids = trusted.select(F.col("doc_id").alias("_id"))
+    side = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+    flag = F.col("_id").isNotNull().alias("trusted")
+    marked = docs.select("doc_id", "text", word_model.half(F.col("doc_id")).alias("half"), *identity()).join(side, F.col("doc_id") == F.col("_id"), "left")
+    found = word_model.scored(marked.select("who", "more", "half", flag, "text"), coder, _discounts_of)
+    rows = docs.select("doc_id", _stratum().alias("stratum"), F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n"), *identity())
+    scores = settle(rows.join(found, ["who", "more"]))
     mean, limits = thresholds(scores, trusted, quantile)
     return mean, scores.join(limits, F.col("stratum") == F.col("_stratum"), "left")
 

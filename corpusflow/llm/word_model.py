@@ -1,17 +1,18 @@
-"""Interpolated modified Kneser-Ney model of word trigrams, joined by shards with the n-grams of the documents.
+"""Interpolated modified Kneser-Ney model of word trigrams, joined in shards with the trigrams of the documents.
 
 Words are runs of letters, digits and marks; a character of a script written without spaces, a sign and a run of spaces beside the single ones are
 words of their own, and so is the end of a text. Below the unigrams lies the spelling of a word by the symbol model of ``quality_model``, so words never seen
-have a probability as well. The tables of n-grams grow with the trusted text and are never gathered in one place.
+have a probability as well. All n-grams of the trusted text count; none is pruned.
 
-The negative logarithm of an interpolated probability is a sum of values that each belong to one n-gram:
+Trigrams ``a b c`` are dealt to shards by their middle word. So a shard holds by itself the counts of its trigrams, those of the contexts ``a b`` and ``b``, and how many
+words precede ``b c``; no table of n-grams is ever written. Only these sums over shards remain, the *facts*: how many words precede ``c``, and, for middle words so frequent that they fill a good part of a
+shard and are cut by (a, c) into several, the pairs and contexts of that word. Each shard asks for the facts it needs and gets those. Documents go by in two phases:
 
-    cost(u v w) = gain(u v w) + left(u v) + gain(v w) + left(v) + gain(w) + left() + spelling(w)
+1. Trusted trigrams are shuffled to the shards, which give counts of counts and facts. Other documents send only trigrams that ask for a fact.
+2. All trigrams go to the shards in ``PASSES`` parts, one after the other; a shard counts the trusted ones, gives every trigram its cost, and sends each run of documents the sums.
 
-where left is the cost of going to the order below after a context and gain, of an n-gram seen, what its own probability saves against that. So the cost of a text is
-the sum over its distinct n-grams of occurrences times one value, which a join finds; n-grams that are not in the table add nothing. The
-documents' n-grams are gathered in runs of ``RUN`` words and sent once, packed, to the shards of the table; the ``HOT`` most frequent are looked
-up in the task. Keys are 64-bit hashes.
+Trigrams travel packed by runs of ``RUN`` words: of the most frequent words (a sample of ``SAMPLE`` documents chooses them, which changes no result) two bytes, of all others 64-bit hashes,
+column by column and compressed. Costs are summed in whole steps of 2 ** -30, in any order alike. Equal rows, told by a 128-bit hash of their contents, get equal costs.
 
 A text would be known by heart to a model trained on it. Ids are therefore dealt to two halves, each with its model; a document is judged by
 that of the other half, whether it is trusted or not.
@@ -20,7 +21,9 @@ that of the other half, whether it is trusted or not.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Callable, Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -29,19 +32,28 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusflow.llm.common import texts_of
+from corpusflow.llm.common import brief, map_parts, texts_of, thrifty
 from corpusflow.session import settle
 
 RUN = 1 << 18
-HOT = 1 << 17
-SHARD = 1 << 20
-LEAST_SHARDS = 16
+SHARD = 3 << 19  # words, at about CHARS characters each
+CHARS = 4
+LEAST_SHARDS = 12
+PASSES = 2
+#: Words sent as numbers of two bytes, chosen in a sample of about so many documents.
+FREQUENT, SAMPLE = (1 << 16) - 1, 10_000
+_STEPS = 1 << 30
 ALONE = "฀-໿က-႟ក-៿぀-ヿ㐀-鿿豈-﫿\U00020000-\U0003ffff"
 _WORD = re.compile(rf"[{ALONE}]|[^\W{ALONE}]+|\s{{2,}}|[^\w ]")
 _START, _END = 1, 2  # hashes that stand for the places before and after a text
 _KEYS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
 
 
+#: What a row of facts tells: counts of counts of trigrams and of pairs, words before a word (frequent or not), hot pairs, hot contexts.
+_THIRD, _SECOND, _NUMBERED, _WORD_BEFORE, _PAIR, _CONTEXT = range(6)
+_X = [f"x{i}" for i in range(8)]
+
+
 def half(doc_id: Column) -> Column:
     return F.pmod(F.xxhash64(doc_id), F.lit(2)).cast("int")
 
@@ -58,7 +70,7 @@ def _mixed(h: np.ndarray) -> np.ndarray:
 
 def keys(model: np.ndarray | int, *grams: np.ndarray) -> np.ndarray:
     """The key of n-grams of word hashes in a model; it depends on the order too."""
-    out = _mixed(np.asarray(model).astype(np.uint64) * np.uint64(_KEYS[0]) + np.uint64(len(grams)))
+    out = _mixed(np.atleast_1d(model).astype(np.uint64) * np.uint64(_KEYS[0]) + np.uint64(len(grams)))
     for g in grams:
         out = _mixed(out * np.uint64(_KEYS[1]) + _mixed(g + np.uint64(_KEYS[2])))
     return out
@@ -68,240 +80,517 @@ class Coder:
     """Hashes and spelling costs of words; ``spell`` gives the cost of the bytes of a text. A space ends a spelling."""
 
     def __init__(self, spell: Callable[[str], float]) -> None:
-        self.spell, self.known, self.end = (lambda word: spell(word + " ")), {}, spell(" ")
-
-    def coded(self, text: str) -> tuple[list[int], float]:
-        """Word hashes with the end, and the sum of the spelling costs."""
-        known, out, cost = self.known, [], self.end
-        for word in words(text):
-            at = known.get(word)
-            if at is None:
-                if len(known) >= RUN:
-                    known.clear()
-                at = known[word] = (xxhash.xxh64_intdigest(word.encode("utf-8", "replace"), 42) | 4, self.spell(word))
-            out.append(at[0])
-            cost += at[1]
-        out.append(_END)
-        return out, cost
-
-    def each(self, text: str) -> tuple[list[int], list[float]]:
-        hashes, _ = self.coded(text)
-        return hashes, [*(self.known[w][1] if w in self.known else self.spell(w) for w in words(text)), self.end]
-
-
-def _trigrams(texts: list[list[int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    flat = np.array([h for t in texts for h in (_START, _START, *t)], np.uint64)
-    ends = np.ones(len(flat), bool)
-    starts = np.cumsum([0, *(len(t) + 2 for t in texts)])[:-1].astype(np.int64)
-    ends[starts] = ends[starts + 1] = False
-    at = np.flatnonzero(ends)
-    return flat[at - 2], flat[at - 1], flat[at]
-
-
-def count_grams(texts: DataFrame, coder: Callable[[], Coder]) -> DataFrame:
-    """(half, a, b, c, n, base): the trigrams of all texts (half, text) and the spelling cost of their last words."""
-
-    def summed(rows: list[tuple[int, list[int], list[float]]]) -> pa.RecordBatch:
-        side = np.repeat([h for h, _, _ in rows], [len(t) for _, t, _ in rows])
-        a, b, c = _trigrams([t for _, t, _ in rows])
-        base = np.array([x for _, _, costs in rows for x in costs])
-        _, at, n = np.unique(keys(side, a, b, c), return_index=True, return_counts=True)
-        made = [side[at].astype(np.int32), a[at].view(np.int64), b[at].view(np.int64), c[at].view(np.int64), n, base[at]]
-        return pa.RecordBatch.from_arrays([pa.array(v) for v in made], ["half", "a", "b", "c", "n", "base"])
-
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        code, held, size = coder(), [], 0
-        for batch in batches:
-            for side, text in zip(batch.column("half").to_pylist(), texts_of(batch.column("text")), strict=True):
-                if text:
-                    held.append((side, *code.each(text)))
-                    size += len(held[-1][1])
-                if size >= RUN:
-                    yield summed(held)
-                    held, size = [], 0
-        if held:
-            yield summed(held)
-
-    rows = texts.select("half", "text").mapInArrow(counted, "half int, a long, b long, c long, n long, base double")
-    return rows.groupBy("half", "a", "b", "c").agg(F.sum("n").alias("n"), F.min("base").alias("base"))
-
-
-def _discounts(rows: DataFrame, of: Callable) -> Column:
-    """The discount of a row by its count and half."""
-    found = rows.groupBy("half").agg(*[F.count_if(F.col("n") == i).alias(f"n{i}") for i in (1, 2, 3, 4)]).collect()
-    cut = F.lit(None).cast("double")
-    for r in found:
-        d1, d2, d3 = of(r["n1"], r["n2"], r["n3"], r["n4"])
-        own = F.when(F.col("n") == 1, d1).when(F.col("n") == 2, d2).otherwise(d3)
-        cut = F.when(F.col("half") == r["half"], own).otherwise(cut)
-    return cut
-
-
-def table(counts: DataFrame, discounts: Callable) -> tuple[DataFrame, dict[int, float]]:
-    """(key, s, n): the value of each n-gram and how often it was seen; and for each half the cost of leaving the unigrams."""
-    third = counts
-    second = settle(third.groupBy("half", "b", "c").agg(F.count("*").alias("n"), F.min("base").alias("base")))
-    first = settle(second.groupBy("half", "c").agg(F.count("*").alias("n"), F.min("base").alias("base")))
-    parts, left, below = [], {}, None
-    for order, (rows, names) in enumerate([(first, ["c"]), (second, ["b", "c"]), (third, ["a", "b", "c"])], 1):
-        context = ["half", *names[:-1]]
-        cut = rows.withColumn("cut", _discounts(rows, discounts))
-        # what the discounts of a context leave is the weight of the order below
-        contexts = settle(cut.groupBy(*context).agg(F.sum("n").alias("total"), (F.sum("cut") / F.sum("n")).alias("w")))
-        own = cut.join(contexts, context)
-        if order == 1:
-            left = {r["half"]: -float(np.log(r["w"])) for r in contexts.collect()}  # one row per half
-            lower = F.exp(-F.col("base"))
-        else:
-            own = own.join(below, ["half", *names[1:]])
-            lower = F.col("p_below")
-            spread = [F.col(x) for x in names[:-1]]
-            parts.append(contexts.select("half", F.array(*spread).alias("gram"), (-F.log("w")).alias("s"), F.lit(0).cast("long").alias("n")))
-        rest = F.col("w") * lower
-        p = (F.col("n") - F.col("cut")) / F.col("total") + rest
-        # spelling costs of long words leave the range of a double, but their sum with them does not
-        saved = -F.log(p) + F.log(F.col("w")) + (-F.col("base") if order == 1 else F.log("p_below"))
-        done = settle(own.select("half", *names, p.alias("p"), saved.alias("s"), "n"))
-        parts.append(done.select("half", F.array(*names).alias("gram"), "s", "n"))
-        below = done.select("half", *names, F.col("p").alias("p_below"))
-
-    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        self.spell = spell
+
+    def coded(self, word: str) -> tuple[int, float]:
+        return xxhash.xxh64_intdigest(word.encode("utf-8", "replace"), 42) | 4, float(np.float32(self.spell(word + " ")))
+
+
+class Frequent:
+    """The most frequent words by number: places before and after a text first, then others; ``parts`` says over how many shards one is cut."""
+
+    def __init__(self, found: list[tuple[str, int, float]], end: float, parts: list[int]) -> None:
+        self.number = {word: i for i, (word, _, _) in enumerate(found, 2)}
+        self.hashes = np.array([_START, _END, *(h for _, h, _ in found)], np.uint64)
+        self.base = np.array([0.0, end, *(b for _, _, b in found)])
+        self.parts = np.array(parts, np.int64)
+        hot = np.flatnonzero(self.parts > 1)
+        self.hot = np.sort(self.hashes[hot])
+
+
+def frequent(docs: DataFrame, coder: Callable[[], Coder], shards: int) -> Frequent:
+    """Chosen by a sample of texts (by hash); it decides how trigrams are packed and dealt, never what they cost."""
+
+    def counted(texts: Iterator[str | None]) -> Iterator[dict]:
+        counts: Counter = Counter()
+        for text in texts:
+            if text:
+                counts[None] += 1
+                found = _WORD.finditer(text)
+                while some := [m.group() for m in islice(found, RUN)]:
+                    counts.update(some)
+                if len(counts) > 4 * RUN:
+                    yield {"word": list(counts), "n": list(counts.values())}
+                    counts.clear()
+        if counts:
+            yield {"word": list(counts), "n": list(counts.values())}
+
+    rows = docs.count()
+    some = docs.filter(F.pmod(F.xxhash64("text", F.lit(7)), F.lit(1 << 20)) < int((1 << 20) * min(1.0, SAMPLE / max(rows, 1))))
+    counts = brief(map_parts(some, "text", counted, {"word": "string", "n": "long"}).groupBy("word").agg(F.sum("n").alias("n")))
+    total, texts = counts.table.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum(F.when(F.col("word").isNull(), F.col("n"))), F.lit(0))).first()
+
+    def spelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        code = coder()
         for batch in batches:
-            grams = batch.column("gram")
-            sizes = np.diff(grams.offsets.to_numpy())
-            begins, flat = grams.offsets.to_numpy()[:-1], grams.values.to_numpy().view(np.uint64)
-            side, out = batch.column("half").to_numpy(), np.zeros(len(batch), np.uint64)
-            for k in np.unique(sizes):
-                at = np.flatnonzero(sizes == k)
-                out[at] = keys(side[at], *[flat[begins[at] + i] for i in range(k)])
-            yield pa.RecordBatch.from_arrays([pa.array(out.view(np.int64)), batch.column("s"), batch.column("n")], ["key", "s", "n"])
-
-    both = parts[0]
-    for part in parts[1:]:
-        both = both.union(part)
-    rows = both.mapInArrow(keyed, "key long, s double, n long")
-    return settle(rows.groupBy("key").agg(F.sum("s").alias("s"), F.max("n").alias("n"))), left
-
-
-def _looked_up(wanted: np.ndarray, known: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    if not len(known):
-        return np.zeros(len(wanted)), np.zeros(len(wanted), bool)
-    at = np.minimum(np.searchsorted(known, wanted), len(known) - 1)
-    there = known[at] == wanted
-    return np.where(there, values[at], 0.0), there
-
-
-def asked(docs: DataFrame, model: DataFrame, left: dict[int, float], coder: Callable[[], Coder], shards: int, keep: list[str]) -> DataFrame:
-    """Of each document (half, text, ``keep``) a row (place, keep, n, nll) and the n-grams still to be looked up, packed by runs and shards.
-
-    ``place`` numbers the rows in the order in which they are written here; it is read from this table only.
-    """
-    hot = sorted((r["key"] & (1 << 64) - 1, r["s"]) for r in model.orderBy(F.desc("n"), "key").limit(HOT).collect())
-    sent = docs.sparkSession.sparkContext.broadcast((np.array([k for k, _ in hot], np.uint64), np.array([s for _, s in hot])))
-    kinds = {k: docs.schema[k].dataType.simpleString() for k in keep}
-    schema = ["shard", "place", *keep, "n", "nll", "keys", "times", "docs"]
-
-    def run(first: int, held: list[tuple], kept: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        texts = [t for _, t, _, _ in held]
-        sizes = [len(t) for t in texts]
-        side = np.repeat(np.array([1 - h for h, _, _, _ in held]), sizes)
-        doc = np.repeat(np.arange(len(held), dtype=np.int64), sizes)
-        nll = np.array([c for _, _, c, _ in held]) + np.array([left.get(1 - h, 0.0) for h, _, _, _ in held]) * np.array(sizes)
-        found, of = [], []
-        if sum(sizes):
-            a, b, c = _trigrams(texts)
-            begin = np.flatnonzero(np.diff(doc, prepend=-1))  # contexts before the first word
-            for grams in ((a, b, c), (b, c), (c,)):
-                found.append(keys(side, *grams)), of.append(doc)
-            found.append(keys(side[begin], a[begin], b[begin])), of.append(doc[begin])
-            found.append(keys(side[begin], b[begin])), of.append(doc[begin])
-            found, of = np.concatenate(found), np.concatenate(of)
-            s, there = _looked_up(found, *sent.value)
-            nll += np.bincount(of[there], s[there], minlength=len(held))
-            found, of = found[~there], of[~there]
-            order = np.argsort(found, kind="stable")
-            found, of = found[order], of[order].astype(np.int32)
-        n = len(held)
-        empty = pa.nulls(n, pa.binary())
-        columns = [pa.nulls(n, pa.int64()), pa.array(np.arange(first, first + n)), *[kept.column(k) for k in keep]]
-        yield pa.RecordBatch.from_arrays([*columns, pa.array([m for _, _, _, m in held], pa.int64()), pa.array(nll), empty, empty, empty], schema)
-        if not len(found):
-            return
-        shard = ((found >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)).astype(np.int64)
-        edges = [0, *(np.flatnonzero(np.diff(shard)) + 1), len(shard)]
-        rows = []
+            made = [(0, float(np.float32(code.spell(" ")))) if w is None else code.coded(w) for w in batch.column("word").to_pylist()]
+            columns = [pa.array(np.array([h for h, _ in made], np.uint64).view(np.int64)), pa.array([b for _, b in made], pa.float64())]
+            yield pa.RecordBatch.from_arrays([batch.column("word"), batch.column("n"), *columns], ["word", "n", "hash", "base"])
+
+    top = counts.table.filter("word is not null").orderBy(F.desc("n"), "word").limit(FREQUENT - 2)
+    top = top.union(docs.sparkSession.range(1).select(F.lit(None).cast("string"), F.lit(0).cast("long"))).coalesce(1)
+    found = top.mapInArrow(spelled, "word string, n long, hash long, base double").collect()
+    counts.delete()
+    end = next(r["base"] for r in found if r["word"] is None)
+    found = [r for r in found if r["word"] is not None]
+    # a word that fills a quarter of a shard or more is cut into parts of about a quarter
+    parts = [min(shards, max(1, int(4 * shards * n / max(total, 1)))) for n in (texts, texts, *(r["n"] for r in found))]
+    return Frequent([(r["word"], r["hash"] & (1 << 64) - 1, r["base"]) for r in found], end, parts)
+
+
+def _packed(*columns: np.ndarray) -> bytes:
+    """Columns of numbers, byte by byte of their values, compressed."""
+    data = b"".join(np.ascontiguousarray(v.view(np.uint8).reshape(len(v), v.itemsize).T).tobytes() for v in columns)
+    sizes = np.array([len(data), *(len(v) for v in columns)], np.int64).tobytes()
+    return sizes + pa.Codec("zstd", compression_level=3).compress(data, asbytes=True)
+
+
+def _unpacked(blob: bytes, *kinds: type) -> list[np.ndarray]:
+    sizes = np.frombuffer(blob, np.int64, len(kinds) + 1)
+    data = np.frombuffer(pa.Codec("zstd").decompress(blob[sizes.nbytes :], int(sizes[0])), np.uint8)
+    out, at = [], 0
+    for n, kind in zip(sizes[1:], kinds, strict=True):
+        width = np.dtype(kind).itemsize
+        out.append(np.ascontiguousarray(data[at : at + n * width].reshape(width, n).T).view(kind).reshape(n))
+        at += n * width
+    return out
+
+
+_GRAMS = (np.int32, np.uint8, np.int32, np.uint16, np.uint16, np.uint16, np.uint64, np.float32)
+
+
+class _Run:
+    """Words of some documents, up to ``RUN`` and a text's last slice, on their way to the shards."""
+
+    def __init__(self, known: Frequent, code: Coder, shards: int) -> None:
+        self.known, self.code, self.shards = known, code, shards
+        self.clear()
+
+    def clear(self) -> None:
+        self.local: dict[str, int] = {"": 0, "\n\n\0": 1}
+        self.numbers, self.hashes, self.base = [0, 1], [_START, _END], [0.0, self.known.base[1]]
+        self.words: list[int] = []
+        self.sizes: list[int] = []
+        self.docs: list[int] = []
+        self.ids: list[tuple] = []
+        self.kinds: list[int] = []
+
+    def add(self, who: tuple, kind: int, text: str | None) -> Iterator[list[tuple]]:
+        """Takes in a text; when the run is full, its rows."""
+        self.ids.append(who), self.kinds.append(kind)
+        before, found, done = ["", ""], _WORD.finditer(text) if text else iter(()), not text
+        while not done:
+            some = [m.group() for m in islice(found, RUN)]
+            done = len(some) < RUN
+            row = [*before, *some, *(["\n\n\0"] if done else [])]
+            before = row[-2:]
+            local = self.local
+            for word in set(row):
+                if word not in local:
+                    local[word] = len(local)
+                    number = self.known.number.get(word, FREQUENT)
+                    self.numbers.append(number)
+                    h, b = self.code.coded(word) if number == FREQUENT else (0, 0.0)
+                    self.hashes.append(h), self.base.append(b)
+            self.words.extend([local[w] for w in row])
+            self.sizes.append(len(row)), self.docs.append(len(self.ids) - 1)
+            if len(self.words) >= RUN:
+                yield self.rows()
+                if not done:  # the rest of the text begins the next run
+                    self.ids.append(who), self.kinds.append(kind | 4)
+
+    def rows(self) -> list[tuple]:
+        """(shard, blob) of the trigrams and, with shard -1, of the documents; then the run is empty."""
+        out = [(-1, _packed(np.array([w for w, _ in self.ids], np.int64), np.array([m for _, m in self.ids], np.int64), np.array(self.kinds, np.uint8)))] if self.ids else []
+        flat, sizes = np.array(self.words, np.int32), np.array(self.sizes, np.int64)
+        if len(flat):
+            last = np.ones(len(flat), bool)
+            starts = np.cumsum([0, *sizes[:-1]])
+            last[starts] = last[starts + 1] = False
+            at = np.flatnonzero(last)
+            doc = np.repeat(np.array(self.docs, np.int32), sizes - 2)
+            a, b, c = flat[at - 2], flat[at - 1], flat[at]
+            if len(at):
+                _, first, times = np.unique(keys(doc.astype(np.uint64), *(x.astype(np.uint64) for x in (a, b, c))), return_index=True, return_counts=True)
+                order = np.argsort(first)
+                first, times = first[order], times[order].astype(np.int32)
+                out += self._dealt(doc[first], a[first], b[first], c[first], times)
+        self.clear()
+        return out
+
+    def _dealt(self, doc: np.ndarray, a: np.ndarray, b: np.ndarray, c: np.ndarray, times: np.ndarray) -> Iterator[tuple]:
+        numbers, base = np.array(self.numbers, np.int64), np.array(self.base, np.float32)
+        common = numbers < FREQUENT
+        hashes = np.array(self.hashes, np.uint64)
+        hashes[common] = self.known.hashes[numbers[common]]
+        parts = np.ones(len(numbers), np.int64)
+        parts[common] = self.known.parts[numbers[common]]
+        shard = _scaled(_mixed(hashes), self.shards)[b]
+        cut = np.flatnonzero(parts[b] > 1)
+        shard[cut] = (shard[cut] + _scaled(keys(3, hashes[a[cut]], hashes[c[cut]]), parts[b[cut]])) % self.shards
+        kind = np.array(self.kinds, np.uint8)[doc]
+        numbers = numbers.astype(np.uint16)
+        order = np.argsort(shard, kind="stable")
+        edges = np.flatnonzero(np.diff(shard[order], prepend=-1, append=-1))
         for x, y in zip(edges, edges[1:], strict=False):
-            new = np.flatnonzero(np.diff(found[x:y], prepend=~found[x : x + 1]))
-            times = np.diff(new, append=y - x)
-            rows.append((int(shard[x]), found[x:y][new].tobytes(), times.astype(np.int32).tobytes(), of[x:y].tobytes()))
-        m = len(rows)
-        yield pa.RecordBatch.from_arrays([
-            pa.array([r[0] for r in rows], pa.int64()), pa.array([first] * m, pa.int64()), *[pa.nulls(m, kept.schema.field(k).type) for k in keep],
-            pa.nulls(m, pa.int64()), pa.nulls(m, pa.float64()), *[pa.array([r[i] for r in rows], pa.binary()) for i in (1, 2, 3)],
-        ], schema)
+            i = order[x:y]
+            yield int(shard[i[0]]), _Part(doc[i], kind[i], times[i], a[i], b[i], c[i], numbers, hashes, base, parts)
+
+
+class _Part:
+    def __init__(self, doc, kind, times, a, b, c, numbers, hashes, base, parts) -> None:
+        self.all = doc, kind, times, a, b, c
+        self.numbers, self.hashes, self.base, self.parts = numbers, hashes, base, parts
+
+    def blob(self, training: bool) -> bytes | None:
+        """For training only what is trusted or asks for a fact, and no document."""
+        doc, kind, times, a, b, c = self.all
+        if training:
+            wanted = np.flatnonzero((kind & 2 > 0) | (self.numbers[c] == FREQUENT) | (self.parts[b] > 1))
+            if not len(wanted):
+                return None
+            kind, times, a, b, c = (x[wanted] for x in (kind, times, a, b, c))
+            doc = np.zeros(len(a), np.int32)
+        na, nb, nc = (self.numbers[x] for x in (a, b, c))
+        rare = np.concatenate([self.hashes[x[n == FREQUENT]] for x, n in ((a, na), (b, nb), (c, nc))])
+        return _packed(np.diff(doc, prepend=np.int32(0)).astype(np.int32), kind, times, na, nb, nc, rare, self.base[c[nc == FREQUENT]])
+
+
+def _scaled(h: np.ndarray, n: np.ndarray | int) -> np.ndarray:
+    return ((h >> np.uint64(32)) * np.asarray(n).astype(np.uint64) >> np.uint64(32)).astype(np.int64)
+
+
+def sent(docs: DataFrame, known, coder: Callable[[], Coder], shards: int, training: bool, now: int = 0) -> DataFrame:
+    """(shard, first, blob) of documents (who, more, kind, text): their trigrams, all for training, else those of the shards of pass ``now``."""
 
     def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        code, place = coder(), TaskContext.get().partitionId() << 33
+        run, place = _Run(known.value, coder(), shards), TaskContext.get().partitionId() << 33
+
+        def out(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
+            nonlocal place
+            made = []
+            for shard, part in rows:
+                if shard < 0:
+                    if not training:
+                        made.append((-1, part))
+                elif training or shard % PASSES == now:
+                    if blob := part.blob(training):
+                        made.append((shard, blob))
+            if made:
+                columns = [pa.array([s for s, _ in made], pa.int64()), pa.array([place] * len(made), pa.int64()), pa.array([b for _, b in made], pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["shard", "first", "blob"])
+            place += 1
+
         for batch in batches:
-            held, size, begin = [], 0, 0
-            for i, (side, text) in enumerate(zip(batch.column("half").to_pylist(), texts_of(batch.column("text")), strict=True)):
-                held.append((side, *(code.coded(text) if text else ([], 0.0)), len(text.encode("utf-8", "replace")) if text else 0))
-                size += len(held[-1][1])
-                if size >= RUN or i == len(batch) - 1:
-                    yield from run(place, held, batch.slice(begin, i + 1 - begin))
-                    place, begin, held, size = place + len(held), i + 1, [], 0
+            ids = zip(*(batch.column(n).to_pylist() for n in ("who", "more", "kind")), strict=True)
+            for (who, more, kind), text in zip(ids, texts_of(batch.column("text")), strict=True):
+                for rows in run.add((who, more), kind, text):
+                    yield from out(rows)
+        yield from out(run.rows())
         pa.default_memory_pool().release_unused()
 
-    fields = ", ".join(f"`{k}` {t}" for k, t in kinds.items())
-    return docs.select("half", "text", *keep).mapInArrow(
-        mapped, f"shard long, place long, {fields}, n long, nll double, `keys` binary, times binary, docs binary"
-    )
+    return docs.select("who", "more", "kind", "text").mapInArrow(mapped, "shard long, first long, blob binary")
+
+
+class _Shard:
+    """The trigrams of one shard and the counts of the trusted ones of a half."""
+
+    def __init__(self, blobs: list[bytes], known: Frequent) -> None:
+        parts, lengths = [], []
+        for blob in blobs:
+            doc, kind, times, na, nb, nc, rare, cost = _unpacked(blob, *_GRAMS)
+            words, at = [], 0
+            for n in (na, nb, nc):
+                other = n == FREQUENT
+                h = known.hashes[np.where(other, 0, n)]
+                more = int(other.sum())
+                h[other] = rare[at : at + more]
+                at += more
+                words.append(h)
+            base = known.base[np.where(other, 0, nc)]
+            base[other] = cost
+            parts.append((np.cumsum(doc, dtype=np.int64), kind, times, *words, base, nc))
+            lengths.append(len(doc))
+        self.doc, self.kind, self.times, self.a, self.b, self.c, self.base, self.number = (np.concatenate(v) for v in zip(*parts, strict=True))
+        self.run = np.repeat(np.arange(len(blobs)), lengths)
+        self.cut = np.isin(self.b, known.hot)
+        self.abc, self.ab, self.bc = keys(3, self.a, self.b, self.c), keys(2, self.a, self.b), keys(1, self.b, self.c)
+
+    def counted(self, side: int) -> tuple:
+        """Of a half: trigrams (key, n, place of one), contexts (key, total, ones, twos, more, place), pairs (key, n, place)."""
+        at = np.flatnonzero(self.kind & 3 == side + 2)
+        third, one, of = np.unique(self.abc[at], return_index=True, return_inverse=True)
+        n3 = np.bincount(of, self.times[at], len(third)).astype(np.int64)
+        at = at[one]
+        left = _contexts(self.ab[at], n3, at)
+        pairs, one, n2 = np.unique(self.bc[at], return_index=True, return_counts=True)
+        return (third, n3), left, (pairs, n2, at[one])
+
+
+def _contexts(key: np.ndarray, n: np.ndarray, at: np.ndarray) -> tuple:
+    own, one, of = np.unique(key, return_index=True, return_inverse=True)
+    kinds = [np.bincount(of, w, len(own)).astype(np.int64) for w in (n, n == 1, n == 2, n > 2)]
+    return own, np.array(kinds).reshape(4, -1), at[one]
+
+
+def _found(wanted: np.ndarray, known: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Values of the sorted keys ``known`` for the wanted ones, 0 for others; ``values`` may have several rows."""
+    if not len(known):
+        return np.zeros((*values.shape[:-1], len(wanted)), values.dtype)
+    at = np.minimum(np.searchsorted(known, wanted), len(known) - 1)
+    return np.where(known[at] == wanted, values[..., at], 0)
 
 
-def answered(requests: DataFrame, model: DataFrame, shards: int) -> DataFrame:
-    """(place, nll): what the shards of the table add to the documents. In each shard the table comes first and the requests after it go by."""
-    shard = F.shiftright(F.shiftrightunsigned("key", 32) * F.lit(shards), 32)
-    none = [F.lit(None).cast(t).alias(n) for n, t in (("place", "long"), ("keys", "binary"), ("times", "binary"), ("docs", "binary"))]
-    rows = model.select(shard.alias("shard"), F.lit(0).alias("kind"), "key", "s", *none).union(
-        requests.select("shard", F.lit(1), F.lit(None).cast("long"), F.lit(None).cast("double"), "place", "keys", "times", "docs")
-    )
+def _shards(rows: DataFrame, made: Callable, schema: str, parts: int) -> DataFrame:
+    """What ``made`` gives for the rows (as one table) of each shard; rows of a shard come together, and those below 0 go by."""
 
     def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, parts, known, values = None, [], np.empty(0, np.uint64), np.empty(0)
+        now, held = None, []
         for batch in batches:
-            own, kind = batch.column("shard").to_numpy(), batch.column("kind").to_numpy()
-            edges = [0, *(np.flatnonzero((np.diff(own) != 0) | (np.diff(kind) != 0)) + 1), len(own)]
+            own = batch.column("shard").to_numpy()
+            edges = np.flatnonzero(np.diff(own, prepend=own[:1] - 1, append=own[-1:] + 1)) if len(own) else []
             for x, y in zip(edges, edges[1:], strict=False):
-                if x == y:
-                    continue
-                if own[x] != now:
-                    now, parts, known, values = own[x], [], np.empty(0, np.uint64), np.empty(0)
-                if not kind[x]:
-                    parts.append((batch.column("key").slice(x, y - x).to_numpy().view(np.uint64), batch.column("s").slice(x, y - x).to_numpy()))
-                    continue
-                if parts:
-                    known, values = (np.concatenate(v) for v in zip(*parts, strict=True))
-                    order = np.argsort(known)
-                    known, values, parts = known[order], values[order], []
-                for i in range(x, y):
-                    wanted, times, of = (np.frombuffer(batch.column(n)[i].as_py(), t) for n, t in (("keys", np.uint64), ("times", np.int32), ("docs", np.int32)))
-                    sums = np.bincount(of, np.repeat(_looked_up(wanted, known, values)[0], times))
-                    at = np.flatnonzero(sums)
-                    yield pa.RecordBatch.from_arrays([pa.array(batch.column("place")[i].as_py() + at), pa.array(sums[at])], ["place", "nll"])
+                if own[x] != now and held:
+                    yield from made(now, pa.Table.from_batches(held))
+                    held = []
+                now = int(own[x])
+                held.append(batch.slice(x, y - x))
+        if held:
+            yield from made(now, pa.Table.from_batches(held))
         pa.default_memory_pool().release_unused()
 
-    found = rows.repartition("shard").sortWithinPartitions("shard", "kind").mapInArrow(mapped, "place long, nll double")
-    return found.groupBy("place").agg(F.sum("nll").alias("nll"))
+    return rows.repartition(parts, "shard", F.when(F.col("shard") < 0, F.col("first"))).sortWithinPartitions("shard").mapInArrow(mapped, schema)
+
+
+_FACTS = "what int, key1 long, key2 long, shard long, " + ", ".join(f"{x} long" for x in _X)
+
+
+def facts(grams: DataFrame, known, shards: int) -> DataFrame:
+    """What shards tell and ask of others: rows (what, key1, key2, shard, x0 to x7)."""
+
+    def rows(what: int, shard: int | None, key1: np.ndarray, key2: np.ndarray | None, *x: np.ndarray) -> pa.RecordBatch:
+        n = len(key1)
+        second = pa.nulls(n, pa.int64()) if key2 is None else pa.array(key2.view(np.int64))
+        columns = [pa.array(np.full(n, what, np.int32)), pa.array(key1.view(np.int64)), second, pa.array([shard] * n, pa.int64())]
+        columns += [pa.array(np.asarray(v, np.int64)) for v in x] + [pa.nulls(n, pa.int64())] * (8 - len(x))
+        return pa.RecordBatch.from_arrays(columns, ["what", "key1", "key2", "shard", *_X])
+
+    def made(shard: int, table: pa.Table) -> Iterator[pa.RecordBatch]:
+        s = _Shard(table.column("blob").to_pylist(), known.value)
+        halves = [s.counted(side) for side in (0, 1)]
+        for side, ((_, n3), _, (_, n2, at)) in enumerate(halves):
+            own = n2[~s.cut[at]]
+            for what, n in ((_THIRD, n3), (_SECOND, own)):
+                yield rows(what, None, np.array([side], np.int64), None, *[[int((n == i).sum())] for i in (1, 2, 3, 4)])
+        before = [np.unique(s.c[at[~s.cut[at]]], return_counts=True) for _, _, (_, _, at) in halves]
+        numbers = np.unique(s.number[s.number < FREQUENT]).astype(np.int64)
+        yield rows(_NUMBERED, None, numbers, None, *[_found(known.value.hashes[numbers], *b) for b in before])
+        rare = np.unique(s.c[s.number == FREQUENT])
+        yield rows(_WORD_BEFORE, shard, rare, None, *[_found(rare, *b) for b in before])
+        if s.cut.any():
+            hot = np.flatnonzero(s.cut)
+            pairs, one = np.unique(s.bc[hot], return_index=True)
+            at = hot[one]
+            yield rows(_PAIR, shard, s.b[at], s.c[at], *[_found(pairs, p, n) for _, _, (p, n, _) in halves])
+            left, one = np.unique(s.ab[hot], return_index=True)
+            at = hot[one]
+            yield rows(_CONTEXT, shard, s.a[at], s.b[at], *[x for _, (k, v, _), _ in halves for x in _found(left, k, v)])
+
+    return _shards(grams, made, _FACTS, shards)
+
+
+class Sums:
+    """What all shards need: discounts and totals of both halves, words before the frequent ones, contexts of hot middle words."""
+
+    def __init__(self) -> None:
+        self.cuts = np.full((2, 4, 4), 0.5)  # half, order, count (up to 3)
+        self.before, self.total, self.rest = np.zeros((2, FREQUENT), np.int64), np.zeros(2), np.ones(2)
+        self.hot, self.middle = np.empty(0, np.uint64), np.zeros((2, 4, 0), np.int64)
+
+
+def _ones(x: str) -> list[Column]:
+    return [F.count_if(F.col(x) == i) for i in (1, 2, 3, 4)]
+
+
+def summed(told: DataFrame, known: Frequent, discounts: Callable) -> tuple[Sums, DataFrame, list]:
+    """The sums, the answers (shard, what, key1, key2, x0 to x7) and what is to be deleted after their use."""
+    out = Sums()
+    pairs = brief(told.filter(F.col("what") == _PAIR).groupBy("key1", "key2").agg(F.sum("x0").alias("x0"), F.sum("x1").alias("x1")))
+    words = told.filter(F.col("what").isin(_NUMBERED, _WORD_BEFORE)).select("what", "key1", "x0", "x1")
+    numbered = F.broadcast(told.sparkSession.createDataFrame(
+        [(int(h), i) for i, h in enumerate(known.hashes.view(np.int64))], "hash long, number long"
+    ))  # at most FREQUENT rows
+    ahead = pairs.table.join(numbered, F.col("key2") == F.col("hash"), "left")
+    words = words.union(ahead.select(
+        F.when(F.col("number").isNull(), F.lit(_WORD_BEFORE)).otherwise(F.lit(_NUMBERED)), F.coalesce("number", "key2"),
+        (F.col("x0") > 0).cast("long"), (F.col("x1") > 0).cast("long"),
+    ))
+    words = brief(words.groupBy("what", "key1").agg(F.sum("x0").alias("x0"), F.sum("x1").alias("x1")))
+    for r in words.table.filter(F.col("what") == _NUMBERED).collect():  # at most FREQUENT rows
+        out.before[:, r["key1"]] = r["x0"], r["x1"]
+    counts = told.filter(F.col("what") <= _SECOND).groupBy("what", "key1").agg(*[F.sum(x).alias(x) for x in _X[:4]]).collect()
+    seconds = np.zeros((2, 4), np.int64)
+    for r in counts:
+        if r["what"] == _THIRD:
+            out.cuts[r["key1"], 3, 1:] = discounts(*[r[x] for x in _X[:4]])
+        else:
+            seconds[r["key1"]] += [r[x] for x in _X[:4]]
+    for side, x in enumerate(("x0", "x1")):
+        seconds[side] += list(pairs.table.agg(*_ones(x)).first())
+        out.cuts[side, 2, 1:] = discounts(*seconds[side].tolist())
+        *ones, total, more = words.table.agg(*_ones(x), F.coalesce(F.sum(x), F.lit(0)), F.count_if(F.col(x) > 2)).first()
+        cut = out.cuts[side, 1, 1:] = discounts(*ones)
+        out.total[side] = total
+        out.rest[side] = (cut[0] * ones[0] + cut[1] * ones[1] + cut[2] * more) / total if total else 1.0
+    kinds = [f(x) for x in ("x0", "x1") for f in (F.sum, lambda x: F.count_if(F.col(x) == 1), lambda x: F.count_if(F.col(x) == 2), lambda x: F.count_if(F.col(x) > 2))]
+    middle = sorted((r[0] & (1 << 64) - 1, list(r)[1:]) for r in pairs.table.groupBy("key1").agg(*kinds).collect())  # hot words only
+    out.hot = np.array([k for k, _ in middle], np.uint64)
+    out.middle = np.array([v for _, v in middle], np.int64).reshape(-1, 2, 4).transpose(1, 2, 0)
+
+    asked = told.select("what", "shard", "key1", "key2")
+    keys_of = {_WORD_BEFORE: ["key1"], _PAIR: ["key1", "key2"], _CONTEXT: ["key1", "key2"]}
+    contexts = told.filter(F.col("what") == _CONTEXT).groupBy("key1", "key2").agg(*[F.sum(x).alias(x) for x in _X])
+    answers = None
+    for what, totals in ((_WORD_BEFORE, words.table.filter(F.col("what") == _WORD_BEFORE).drop("what")), (_PAIR, pairs.table), (_CONTEXT, contexts)):
+        more = [F.col(x) if x in totals.columns else F.lit(0).cast("long").alias(x) for x in _X]
+        own = asked.filter(F.col("what") == what).join(totals, keys_of[what]) if what != _WORD_BEFORE else asked.filter(F.col("what") == what).join(totals, "key1")
+        own = own.select("shard", "what", "key1", "key2", *more)
+        answers = own if answers is None else answers.union(own)
+    answers = brief(answers)
+    pairs.delete(), words.delete()
+    return out, answers.table, [answers]
+
+
+def _spread(cuts: np.ndarray, kinds: np.ndarray) -> np.ndarray:
+    """What the discounts of a context leave, by its ones, twos and more."""
+    return cuts[1] * kinds[1] + cuts[2] * kinds[2] + cuts[3] * kinds[3]
+
+
+def _costs(s: _Shard, side: int, at: np.ndarray, sums: Sums, told: dict[int, tuple], known: Frequent) -> np.ndarray:
+    """Negative logarithms of the probabilities of the trigrams ``at`` in the model of a half."""
+    (third, n3), (left, kinds3, _), (pairs, n2, place) = s.counted(side)
+    cuts, cut = sums.cuts[side], s.cut[at]
+    own = ~s.cut[place]
+    middles, kinds2, _ = _contexts(s.b[place[own]], n2[own], place[own])
+    number = s.number[at]
+    common = number < FREQUENT
+    n = np.where(common, sums.before[side][np.where(common, number, 0)], _found(s.c[at], told[_WORD_BEFORE][0], told[_WORD_BEFORE][1][side]))
+    with np.errstate(divide="ignore", invalid="ignore"):
+
+        def mixed(n: np.ndarray, cuts: np.ndarray, total: np.ndarray, rest: np.ndarray, lower: np.ndarray) -> np.ndarray:
+            p = np.log((n - cuts[np.minimum(n, 3)] * (n > 0)) / total)
+            return np.where(total > 0, np.logaddexp(p, np.log(rest / total) + lower), lower)
+
+        total = np.full(len(at), sums.total[side])
+        logs = mixed(n, cuts[1], total, sums.rest[side] * total, -s.base[at])
+        n = np.where(cut, _found(s.bc[at], told[_PAIR][0], told[_PAIR][1][side]), _found(s.bc[at], pairs, n2))
+        kinds = np.where(cut, _found(s.b[at], sums.hot, sums.middle[side]), _found(s.b[at], middles, kinds2))
+        logs = mixed(n, cuts[2], kinds[0], _spread(cuts[2], kinds), logs)
+        kinds = np.where(cut, _found(s.ab[at], told[_CONTEXT][0], told[_CONTEXT][1][4 * side : 4 * side + 4]), _found(s.ab[at], left, kinds3))
+        logs = mixed(_found(s.abc[at], third, n3), cuts[3], kinds[0], _spread(cuts[3], kinds), logs)
+    return -logs
+
+
+def _answers(table: pa.Table) -> dict[int, tuple]:
+    """For each kind of fact the sorted keys and the eight values."""
+    what = table.column("what").to_numpy()
+    key1, key2 = (np.asarray(table.column(k).fill_null(0)).astype(np.int64).view(np.uint64) for k in ("key1", "key2"))
+    values = np.array([np.asarray(table.column(x).fill_null(0)).astype(np.int64) for x in _X])
+    out = {}
+    for kind, model in ((_WORD_BEFORE, None), (_PAIR, 1), (_CONTEXT, 2)):
+        i = np.flatnonzero(what == kind)
+        key = key1[i] if model is None else keys(model, key1[i], key2[i])
+        order = np.argsort(key)
+        out[kind] = key[order], values[:, i[order]]
+    return out
 
 
-def n_shards(model: DataFrame) -> int:
-    return max(LEAST_SHARDS, -(-model.count() // SHARD))
+def costs(grams: DataFrame, answers: DataFrame, sums, known, shards: int) -> DataFrame:
+    """(first, blob): for each run the documents, and the costs of its trigrams in one shard by document."""
+    none = F.lit(None).cast("long")
+    rows = grams.select("shard", "first", "blob", F.lit(None).cast("int").alias("what"), *[none.alias(x) for x in ("key1", "key2", *_X)])
+    rows = rows.union(answers.select("shard", none, F.lit(None).cast("binary"), "what", "key1", "key2", *_X))
 
+    def made(shard: int, table: pa.Table) -> Iterator[pa.RecordBatch]:
+        asked = table.column("what").is_null()
+        blobs = table.filter(asked)
+        if not len(blobs):
+            return
+        firsts = blobs.column("first").to_pylist()
+        if shard < 0:
+            yield pa.RecordBatch.from_arrays([pa.array(firsts, pa.int64()), pa.array([0] * len(firsts), pa.int32()), blobs.column("blob").combine_chunks()], ["first", "kind", "blob"])
+            return
+        told = _answers(table.filter(table.column("what").is_valid()))
+        s = _Shard(blobs.column("blob").to_pylist(), known.value)
+        cost = np.zeros(len(s.doc))
+        for side in (0, 1):
+            at = np.flatnonzero(s.kind & 1 == 1 - side)
+            if len(at):
+                cost[at] = _costs(s, side, at, sums.value, told, known.value)
+        cost = np.rint(cost * _STEPS).astype(np.int64) * s.times
+        new = np.flatnonzero((np.diff(s.doc, prepend=-1) != 0) | (np.diff(s.run, prepend=-1) != 0))
+        cost, doc, run = np.add.reduceat(cost, new), s.doc[new], s.run[new]
+        edges = np.flatnonzero(np.diff(run, prepend=-1, append=-1))
+        out = [_packed(np.diff(doc[x:y], prepend=0), cost[x:y]) for x, y in zip(edges, edges[1:], strict=False)]
+        yield pa.RecordBatch.from_arrays([pa.array(firsts, pa.int64()), pa.array([1] * len(out), pa.int32()), pa.array(out, pa.binary())], ["first", "kind", "blob"])
+
+    return _shards(rows, made, "first long, kind int, blob binary", max(shards // PASSES, 2))
+
+
+def gathered(parts: DataFrame, shards: int) -> DataFrame:
+    """(who, more, copies, steps): the costs of each run summed by document."""
+
+    def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, ids, total = None, None, None
 
-def scored(docs: DataFrame, model: DataFrame, left: dict[int, float], coder: Callable[[], Coder], keep: list[str]) -> DataFrame:
-    """(``keep``, n, nll) of each row of ``docs`` (half, text, ``keep``): bytes and sum of negative logarithms."""
-    shards = n_shards(model)
-    rows = settle(asked(docs, model, left, coder, shards, keep))
-    more = answered(rows.filter("shard is not null"), model, shards).select(F.col("place").alias("_at"), F.col("nll").alias("_more"))
-    own = rows.filter("shard is null").select("place", *keep, "n", "nll").join(more, F.col("place") == F.col("_at"), "left")
-    return own.select(*keep, "n", (F.col("nll") + F.coalesce("_more", F.lit(0.0))).alias("nll"))
+        def out() -> pa.RecordBatch:
+            who, more, kinds = ids
+            return pa.RecordBatch.from_arrays([pa.array(who), pa.array(more), pa.array((kinds < 4).astype(np.int64)), pa.array(total)], ["who", "more", "copies", "steps"])
+
+        for batch in batches:
+            for first, kind, blob in zip(*(batch.column(n).to_pylist() for n in ("first", "kind", "blob")), strict=True):
+                if first != now and ids is not None:
+                    yield out()
+                if not kind:  # the documents of a run come first
+                    now, ids = first, _unpacked(blob, np.int64, np.int64, np.uint8)
+                    total = np.zeros(len(ids[0]), np.int64)
+                else:
+                    doc, cost = _unpacked(blob, np.int64, np.int64)
+                    total[np.cumsum(doc)] += cost
+        if ids is not None:
+            yield out()
+
+    rows = parts.repartition(max(shards // PASSES, 2), "first").sortWithinPartitions("first", "kind")
+    return rows.mapInArrow(mapped, "who long, more long, copies long, steps long").groupBy("who", "more").agg(F.sum("copies").alias("copies"), F.sum("steps").alias("steps"))
+
+
+def n_shards(docs: DataFrame) -> int:
+    chars = docs.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
+    return max(LEAST_SHARDS, -(-chars // (CHARS * SHARD)))
+
+
+def scored(docs: DataFrame, coder: Callable[[], Coder], discounts: Callable) -> DataFrame:
+    """(who, more, nll) of the different documents (who, more, half, trusted, text): the sum of negative logarithms."""
+    spark = docs.sparkSession
+    marked = docs.select("who", "more", (F.col("half") + F.when(F.col("trusted"), 2).otherwise(0)).alias("kind"), "text")
+    shards = n_shards(docs)
+    with thrifty(spark):
+        words = frequent(marked, coder, shards)
+        known = spark.sparkContext.broadcast(words)
+        told = brief(facts(sent(marked, known, coder, shards, True), known, shards))
+        sums, answers, used = summed(told.table, words, discounts)
+        told.delete()
+        model = spark.sparkContext.broadcast(sums)
+        passes = []
+        for now in range(PASSES):
+            grams = sent(marked, known, coder, shards, False, now)
+            own = answers.filter(F.pmod(F.col("shard"), F.lit(PASSES)) == now)
+            passes.append(brief(gathered(costs(grams, own, model, known, shards), shards)))
+        every = passes[0].table
+        for more in passes[1:]:
+            every = every.union(more.table)
+        nll = F.sum("steps") / F.lit(float(_STEPS)) / (F.sum("copies") / F.lit(float(PASSES)))
+        out = settle(every.groupBy("who", "more").agg(nll.alias("nll")))
+        for done in (*passes, *used):
+            done.delete()
+    return out

@@ -44,23 +44,25 @@ def plain_cost(texts, spell):
     return cost
 
 
-@pytest.mark.parametrize("hot", [0, 50])
-def test_costs_are_those_of_the_definition(spark, monkeypatch, hot):
-    monkeypatch.setattr(wm, "HOT", hot)
-    monkeypatch.setattr(wm, "RUN", 500)
+@pytest.mark.parametrize(("run", "frequent", "sample"), [(500, 10, 1000), (500, 300, 1000), (20, 300, 0)])
+def test_costs_are_those_of_the_definition(spark, monkeypatch, run, frequent, sample):
+    monkeypatch.setattr(wm, "RUN", run)
+    monkeypatch.setattr(wm, "FREQUENT", frequent)
+    monkeypatch.setattr(wm, "SAMPLE", sample)
     rows = [(i, prose(i % 90, 25, "eta") + ("  \n漢字の文。" if i % 3 else ", x y x y x"), "en", None) for i in range(120)] + [(500, "", "en", None), (501, None, "en", None)]
+    rows += [rows[7], rows[7], rows[110]]  # copies get the cost of one, and count in training
     spell = lambda text: 1.5 * len(text.encode())
     coder = lambda: wm.Coder(spell)
     from pyspark.sql import functions as F
 
-    docs = documents(spark, rows).select("doc_id", "text", wm.half(F.col("doc_id")).alias("half"))
+    docs = documents(spark, rows).select(
+        "doc_id", "text", wm.half(F.col("doc_id")).alias("half"), (F.col("doc_id") < 100).alias("trusted"), F.col("doc_id").alias("who"), F.lit(1).cast("long").alias("more")
+    )
     halves = {r["doc_id"]: r["half"] for r in docs.collect()}
-    model, left = wm.table(wm.count_grams(docs.filter("doc_id < 100"), coder), qm._discounts_of)
     plain = [plain_cost([t for i, t, _, _ in rows if i < 100 and halves[i] == h], spell) for h in (0, 1)]
-    got = {r["doc_id"]: r for r in wm.scored(docs, model, left, coder, ["doc_id"]).collect()}
-    assert len(got) == len(rows)
+    got = {r["who"]: r for r in wm.scored(docs, coder, qm._discounts_of).collect()}
+    assert set(got) == {r[0] for r in rows}
     for i, text, _, _ in rows:
-        assert got[i]["n"] == len((text or "").encode())
         assert got[i]["nll"] == pytest.approx(plain[1 - halves[i]](text) if text else 0, rel=1e-9)
 
 
