@@ -82,8 +82,11 @@ class Coder:
     def __init__(self, spell: Callable[[str], float]) -> None:
         self.spell = spell
 
-    def coded(self, word: str) -> tuple[int, float]:
-        return xxhash.xxh64_intdigest(word.encode("utf-8", "replace"), 42) | 4, float(np.float32(self.spell(word + " ")))
+    def hashed(self, word: str) -> int:
+        return xxhash.xxh64_intdigest(word.encode("utf-8", "replace"), 42) | 4
+
+    def cost(self, word: str) -> float:
+        return float(np.float32(self.spell(word + " ")))
 
 
 class Frequent:
@@ -123,7 +126,7 @@ def frequent(docs: DataFrame, coder: Callable[[], Coder], shards: int) -> Freque
     def spelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code = coder()
         for batch in batches:
-            made = [(0, float(np.float32(code.spell(" ")))) if w is None else code.coded(w) for w in batch.column("word").to_pylist()]
+            made = [(0, float(np.float32(code.spell(" ")))) if w is None else (code.hashed(w), code.cost(w)) for w in batch.column("word").to_pylist()]
             columns = [pa.array(np.array([h for h, _ in made], np.uint64).view(np.int64)), pa.array([b for _, b in made], pa.float64())]
             yield pa.RecordBatch.from_arrays([batch.column("word"), batch.column("n"), *columns], ["word", "n", "hash", "base"])
 
@@ -162,8 +165,8 @@ _GRAMS = (np.int32, np.uint8, np.int32, np.uint16, np.uint16, np.uint16, np.uint
 class _Run:
     """Words of some documents, up to ``RUN`` and a text's last slice, on their way to the shards."""
 
-    def __init__(self, known: Frequent, code: Coder, shards: int) -> None:
-        self.known, self.code, self.shards = known, code, shards
+    def __init__(self, known: Frequent, code: Coder, shards: int, spelt: bool) -> None:
+        self.known, self.code, self.shards, self.spelt = known, code, shards, spelt  # only costs need the spelling
         self.clear()
 
     def clear(self) -> None:
@@ -178,10 +181,12 @@ class _Run:
     def add(self, who: tuple, kind: int, text: str | None) -> Iterator[list[tuple]]:
         """Takes in a text; when the run is full, its rows."""
         self.ids.append(who), self.kinds.append(kind)
-        before, found, done = ["", ""], _WORD.finditer(text) if text else iter(()), not text
+        before, done = ["", ""], not text
+        whole = len(text or "") < 4 * RUN  # longer ones are cut into slices of words
+        found = iter(()) if whole or not text else _WORD.finditer(text)
         while not done:
-            some = [m.group() for m in islice(found, RUN)]
-            done = len(some) < RUN
+            some = _WORD.findall(text) if whole else [m.group() for m in islice(found, RUN)]
+            done = whole or len(some) < RUN
             row = [*before, *some, *(["\n\n\0"] if done else [])]
             before = row[-2:]
             local = self.local
@@ -190,9 +195,10 @@ class _Run:
                     local[word] = len(local)
                     number = self.known.number.get(word, FREQUENT)
                     self.numbers.append(number)
-                    h, b = self.code.coded(word) if number == FREQUENT else (0, 0.0)
-                    self.hashes.append(h), self.base.append(b)
-            self.words.extend([local[w] for w in row])
+                    rare = number == FREQUENT
+                    self.hashes.append(self.code.hashed(word) if rare else 0)
+                    self.base.append(self.code.cost(word) if rare and self.spelt else 0.0)
+            self.words.extend(map(local.__getitem__, row))
             self.sizes.append(len(row)), self.docs.append(len(self.ids) - 1)
             if len(self.words) >= RUN:
                 yield self.rows()
@@ -264,7 +270,7 @@ def sent(docs: DataFrame, known, coder: Callable[[], Coder], shards: int, traini
     """(shard, first, blob) of documents (who, more, kind, text): their trigrams, all for training, else those of the shards of pass ``now``."""
 
     def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        run, place = _Run(known.value, coder(), shards), TaskContext.get().partitionId() << 33
+        run, place = _Run(known.value, coder(), shards, not training), TaskContext.get().partitionId() << 33
 
         def out(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
             nonlocal place

@@ -49,6 +49,7 @@ def test_costs_are_those_of_the_definition(spark, monkeypatch, run, frequent, sa
     monkeypatch.setattr(wm, "RUN", run)
     monkeypatch.setattr(wm, "FREQUENT", frequent)
     monkeypatch.setattr(wm, "SAMPLE", sample)
+    monkeypatch.setattr(wm, "LEAST_SHARDS", 5)
     rows = [(i, prose(i % 90, 25, "eta") + ("  \n漢字の文。" if i % 3 else ", x y x y x"), "en", None) for i in range(120)] + [(500, "", "en", None), (501, None, "en", None)]
     rows += [rows[7], rows[7], rows[110]]  # copies get the cost of one, and count in training
     spell = lambda text: 1.5 * len(text.encode())
