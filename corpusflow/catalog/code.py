@@ -262,7 +262,7 @@ with {FUNCTIONS}
 select d.sha, d.func_name, d.line_pos from $decompiled d where (d.sha, d.func_name) in (select s.sha, fn.func_name from fn join $c_source s using (file_id))""")
 def _(v):
     sources = v("c_source")
-    known = match_run.original_functions(match_run.distinct_sources(sources))
+    known = settle(match_run.original_functions(match_run.distinct_sources(sources)).select("sha", "func_name"))
     lines = matching.lines_of_known_functions(matching.named_lines(v("decompiled_line")), known)
     return lines.select("sha", "func_name", "line_pos")
 

@@ -2,29 +2,58 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusflow.functions import ccode
 from corpusflow.functions.rows import with_once
 from corpusflow.operators.ordered import latest, spread_where_few
 
+#: Most words of 64 bits in a filter of keys: 16 MB.
+FILTER_WORDS = 1 << 21
+
 
 def named_lines(lines: DataFrame) -> DataFrame:
     """Raw lines with the function name peeked from the text; null names are data errors."""
     return lines.withColumn("func_name", ccode.function_name(F.col("line")))
 
 
+def _bits(keys: list[str], size: int) -> list[Column]:
+    """The two bits that stand for a key in a filter of ``size`` words of 64 bits, as (word, bit)."""
+    hashes = [F.xxhash64(F.lit(seed), *keys) for seed in (0, 1)]
+    return [
+        F.struct(F.pmod(F.shiftright(h, 6), F.lit(size)).cast("int").alias("word"), h.bitwiseAND(F.lit(63)).cast("int").alias("bit")) for h in hashes
+    ]
+
+
+def possibly_known(rows: DataFrame, known: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows but most of those whose keys ``known`` does not hold, without a shuffle of the rows.
+
+    The keys mark two bits each in a filter of sixteen bits a key and at most ``FILTER_WORDS`` words, one row that goes to all tasks. No row with a known
+    key is lost; ``known`` is read twice.
+    """
+    size = 1 << max(6, min(FILTER_WORDS.bit_length() - 1, (known.count() // 4).bit_length()))
+    one = F.lit(1).cast("bigint")
+    marks = known.select(F.explode(F.array(*_bits(keys, size))).alias("m")).select("m.word", F.call_function("shiftleft", one, F.col("m.bit")).alias("bits"))
+    empty = rows.sparkSession.range(size).select(F.col("id").cast("int").alias("word"), F.lit(0).cast("bigint").alias("bits"))
+    words = marks.unionByName(empty).groupBy("word").agg(F.bit_or("bits").alias("bits"))
+    held = words.agg(F.sort_array(F.collect_list(F.struct("word", "bits")))["bits"].alias("_filter"))  # one row
+    first, second = [F.getbit(F.get("_filter", b["word"]), b["bit"]) == 1 for b in _bits(keys, size)]
+    return rows.join(F.broadcast(held), first & second).drop("_filter")
+
+
 def lines_of_known_functions(lines: DataFrame, known: DataFrame, spread: int = 8) -> DataFrame:
     """Lines whose function the original file defines, found before any JSON is decoded.
 
-    Lines are salted and the short table of known names is repeated per salt, so a function that fills
-    much of the input does not end up in one task; it is also reduced before its next shuffle.
+    Most other lines go before the shuffle. Lines are salted and the table of known names is repeated per salt, so a function that fills
+    much of the input does not end up in one task; it is also reduced before its next shuffle. The repeated table grows with the
+    sources and its size is not known before it is made, so it is never sent whole to the tasks. ``known`` is read three times and should be settled.
     """
     keys = ["sha", "func_name", "_salt"]
-    salted = lines.withColumn("_salt", F.pmod(F.xxhash64("line_pos"), F.lit(spread)).cast("int"))
+    near = possibly_known(lines, known, keys[:2])
+    salted = near.withColumn("_salt", F.pmod(F.xxhash64("line_pos"), F.lit(spread)).cast("int"))
     repeated = known.select("sha", "func_name", F.explode(F.sequence(F.lit(0), F.lit(spread - 1))).alias("_salt"))
-    return salted.join(repeated, keys, "left_semi").drop("_salt")
+    return salted.join(repeated.hint("merge"), keys, "left_semi").drop("_salt")
 
 
 def decoded_lines(lines: DataFrame, with_ast: bool = True) -> tuple[DataFrame, DataFrame]:

@@ -116,3 +116,17 @@ def test_probes_of_one_file_spread(spark):
     assert found.filter("line > 0 and token_pos = line").count() == 19_999
     windows = [line for line in plan(found).split("\n") if "Window [last(pos" in line]
     assert windows and all("_part" in line.split("windowspecdefinition(")[1].split("ASC")[0] for line in windows)  # by range, not by file
+
+
+def test_known_functions_are_not_sent_whole_to_the_tasks(spark):
+    from corpusflow.operators import matching
+
+    known = settle(spark.range(40).selectExpr("cast(id % 20 as string) as sha", "concat('f', id) as func_name"))
+    lines = spark.range(4000).selectExpr("cast(id % 25 as string) as sha", "concat('f', id % 100) as func_name", "id as line_pos", "id")
+    found = matching.lines_of_known_functions(lines, known)
+    text = plan(found)
+    assert "SortMergeJoin" in text and "BroadcastHashJoin" not in text
+    assert {r.id for r in found.collect()} == {i for i in range(4000) if i % 100 < 40 and i % 25 == i % 100 % 20}
+    near = matching.possibly_known(lines, known, ["sha", "func_name"])
+    assert found.count() == 800 <= near.count() < 900  # nearly all others go before the shuffle
+    assert matching.lines_of_known_functions(lines, known.filter("false")).isEmpty()
