@@ -23,24 +23,16 @@ def staged_parquet(v, name, df):
     return path
 
 
-FOLDERS, PAGES_PER_FILE = 64, 16
-
-
 def _page_files(v):
-    """Files of some pages each, one line for a page, in a fixed number of folders by page number."""
+    """One file per page, in a folder of its number. Tasks move their own files into place, so that the driver does not move them one by one."""
     path = working_path(v.spark, "pages")
-    pages = v("pages").select("page_id", "html", (F.col("page_id") % FOLDERS).alias("bucket"))
-    placed = pages.repartition(FOLDERS, "bucket").sortWithinPartitions("bucket", "page_id").select("bucket", "html")
-    placed.write.option("maxRecordsPerFile", PAGES_PER_FILE).partitionBy("bucket").text(path)
+    pages = v("pages").select("page_id", "html").repartition("page_id")
+    pages.write.option("maxRecordsPerFile", 1).option("mapreduce.fileoutputcommitter.algorithm.version", "2").partitionBy("page_id").text(path)
     return path
 
 
-def _bucket(of):
-    return F.regexp_extract(of, "bucket=([0-9]+)", 1).cast("bigint").alias("bucket")
-
-
-_PAGE_FILES = f"""(select bucket, string_agg(html || chr(10), '' order by page_id) as text from (select page_id % {FOLDERS} as bucket, page_id, html,
-    (row_number() over (partition by page_id % {FOLDERS} order by page_id) - 1) // {PAGES_PER_FILE} as file from pages) group by bucket, file)"""
+def _page(of):
+    return F.nullif(F.regexp_extract(of, "page_id=([0-9]+)(?:/|$)", 1), F.lit("")).cast("bigint").alias("page_id")
 
 
 @query("src01_repo_list", "select idx, line from $repo_list")
@@ -98,23 +90,23 @@ def _(v):
     return readers.stored_lines(v.spark, path).groupBy("sha", "line").agg(F.count("*").alias("n"))
 
 
-@query("src08_file_inventory", f"select bucket, strlen(text) as length from {_PAGE_FILES}")
+@query("src08_file_inventory", "select page_id, strlen(html) + 1 as length from pages")
 def _(v):
     found = readers.file_inventory(v.spark, _page_files(v)).filter("file like '%.txt'")
-    return found.select(_bucket("dir"), "length")
+    return found.select(_page("dir"), "length")
 
 
-@query("src09_file_hashes", f"select bucket, sha256(text) as sha, false as is_elf from {_PAGE_FILES}")
+@query("src09_file_hashes", "select page_id, sha256(html || chr(10)) as sha, false as is_elf from pages")
 def _(v):
     files = readers.binary_files(v.spark, _page_files(v)).filter("path like '%.txt'")
     content = F.col("content")
-    return files.select(_bucket("path"), names.content_hash(content).alias("sha"), names.is_elf(content).alias("is_elf"))
+    return files.select(_page("path"), names.content_hash(content).alias("sha"), names.is_elf(content).alias("is_elf"))
 
 
-@query("src10_source_texts", f"select bucket, md5(text) as digest, length(text) as n_chars from {_PAGE_FILES}")
+@query("src10_source_texts", "select page_id, md5(html || chr(10)) as digest, length(html) + 1 as n_chars from pages")
 def _(v):
     files = readers.source_files(v.spark, _page_files(v)).filter("path like '%.txt'")
-    return files.select(_bucket("path"), F.md5("code").alias("digest"), F.length("code").cast("bigint").alias("n_chars"))
+    return files.select(_page("path"), F.md5("code").alias("digest"), F.length("code").cast("bigint").alias("n_chars"))
 
 
 @query("src11_tolerant_results", """

@@ -401,3 +401,14 @@ def test_written_tables_can_be_released(spark):
     assert kept.count() == 5 and release(spark) >= 1 and release(spark) == 0
     with pytest.raises(Exception, match="(?i)exist|missing|not find"):
         kept.collect()
+
+
+def test_each_page_has_a_file_of_its_own(spark, tmp_path):
+    from corpusflow.catalog import QUERIES
+
+    rows = [(1, "a\nb"), (1, "c"), (65, "d"), (129, ""), (2, "e"), (None, "f")]
+    spark.createDataFrame(rows, "page_id bigint, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    found = sorted((r.page_id or 0, r.length) for r in QUERIES["src08_file_inventory"](spark, str(tmp_path)).collect())
+    assert found == sorted((i or 0, len(html) + 1) for i, html in rows)
+    assert len({r.sha for r in QUERIES["src09_file_hashes"](spark, str(tmp_path)).collect()}) == len(rows)
+    assert sorted(r.n_chars for r in QUERIES["src10_source_texts"](spark, str(tmp_path)).collect()) == sorted(len(html) + 1 for _, html in rows)
