@@ -76,9 +76,7 @@ select repo_owner, repo_name, old_len in (0, new_len) as compiled, case when old
 from j""")
 def _(v):
     new, _report = _makefile_update(v)
-    return new.select(
-        "repo_owner", "repo_name", "compiled", "num_makefiles", "num_binaries", F.size("makefiles").cast("bigint").alias("stored")
-    )
+    return new.select("repo_owner", "repo_name", "compiled", "num_makefiles", "num_binaries", "stored")
 
 
 @query("ups02_update_report", _UPS02 + """

@@ -56,37 +56,42 @@ def storable(makefiles: Column) -> Column:
 def update_makefiles(
     state: DataFrame, updates: DataFrame, seq: str = "seq", ignore_length_mismatch: bool = False
 ) -> tuple[DataFrame, DataFrame]:
-    """(new state, report). Sets ``compiled``, the nested Makefiles and the counts derived from them.
+    """(new state, report). Sets ``compiled``, the nested Makefiles and the counts derived from them; ``stored`` is the length of the new list.
 
     The report has one row per updated repository: ``stored``, ``not_encodable`` (counts kept, list
     left empty), or the rejects ``unknown_repo`` and ``length_mismatch``.
     """
-    new = latest(updates, REPO_KEY, F.col(seq), ["makefiles"]).withColumn("_new", F.lit(True))
-    joined = state.alias("s").join(new.alias("u"), REPO_KEY, "full_outer")
-    old_length, new_length = F.size("s.makefiles"), F.size("u.makefiles")
+    # What is told of a list is told before it is moved, in columns of their own: a reader of counts or of the report moves no list.
+    told = updates.select(*REPO_KEY, seq, "makefiles", F.size("makefiles").alias("_length"), storable(F.col("makefiles")).alias("_storable"), binaries_in(F.col("makefiles")).alias("_binaries"))
+    picked = [F.max_by(c, seq).alias(c) for c in ("makefiles", "_length", "_storable", "_binaries")]
+    new = told.groupBy(*REPO_KEY).agg(*picked).withColumn("_new", F.lit(True))
+    joined = state.withColumn("_old_length", F.size("makefiles")).alias("s").join(new.alias("u"), REPO_KEY, "full_outer")
+    old_length, new_length = F.col("s._old_length"), F.col("u._length")
     known = F.col("s.compiled").isNotNull()
     mismatch = F.lit(not ignore_length_mismatch) & (old_length != 0) & (old_length != new_length)
     outcome = (
         F.when(~known, "unknown_repo")
         .when(mismatch, "length_mismatch")
-        .when(~storable(F.col("u.makefiles")), "not_encodable")
+        .when(~F.col("u._storable"), "not_encodable")
         .otherwise("stored")
     )
     marked = joined.select(
         *REPO_KEY, known.alias("_known"), F.when(F.col("_new"), outcome).alias("outcome"),
         F.col("s.repo_size").alias("repo_size"), F.col("s.clone_successful").alias("clone_successful"),
         F.col("s.compiled").alias("_compiled"), F.col("s.num_makefiles").alias("_m"), F.col("s.num_binaries").alias("_b"),
-        F.col("s.makefiles").alias("_old"), F.col("u.makefiles").alias("_list"),
+        F.col("s.makefiles").alias("_old"), F.col("u.makefiles").alias("_list"), old_length.alias("_old_length"), new_length.alias("_length"), F.col("u._binaries").alias("_binaries"),
     )
     written = F.col("outcome").isin("stored", "not_encodable")
     empty = F.array().cast(state.schema["makefiles"].dataType)
     new_state = marked.filter("_known").select(
         *REPO_KEY, "repo_size", "clone_successful",
         F.when(written, True).otherwise(F.col("_compiled")).alias("compiled"),
-        F.when(written, F.size("_list").cast("bigint")).otherwise(F.col("_m")).alias("num_makefiles"),
-        F.when(written, binaries_in(F.col("_list"))).otherwise(F.col("_b")).alias("num_binaries"),
+        F.when(written, F.col("_length").cast("bigint")).otherwise(F.col("_m")).alias("num_makefiles"),
+        F.when(written, F.col("_binaries")).otherwise(F.col("_b")).alias("num_binaries"),
         F.when(F.col("outcome") == "stored", F.col("_list")).when(F.col("outcome") == "not_encodable", empty)
         .otherwise(F.col("_old")).alias("makefiles"),
+        F.when(F.col("outcome") == "stored", F.col("_length")).when(F.col("outcome") == "not_encodable", 0)
+        .otherwise(F.col("_old_length")).cast("bigint").alias("stored"),
     )
     return new_state, marked.filter("outcome is not null").select(*REPO_KEY, "outcome")
 
