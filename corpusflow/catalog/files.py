@@ -20,6 +20,7 @@ def staged_text(v, name, df):
 
 
 def staged_parquet(v, name, df):
+    """Rows as Parquet; nested lists repeat many long hashes, which the stronger compression and larger dictionaries keep small."""
     path = working_path(v.spark, name)
     df.write.option("compression", "zstd").option("parquet.dictionary.page.size", str(DICTIONARY_BYTES)).parquet(path)
     return path
@@ -117,7 +118,7 @@ def _(v):
     nested = nested_state(v)
     written = nested.filter("lang <> 'de'").select("repo_owner", "repo_name", "makefiles")
     results = readers.repo_results(v.spark, staged_parquet(v, "results", written), nested.select("repo_owner", "repo_name"))
-    return results.select("repo_owner", "repo_name", F.size("makefiles").cast("bigint").alias("num_makefiles"))
+    return results.select("repo_owner", "repo_name", "num_makefiles")
 
 
 @query("src12_untracked_files", """

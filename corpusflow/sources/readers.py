@@ -125,13 +125,18 @@ def source_files(spark: SparkSession, path: str) -> DataFrame:
 
 
 def repo_results(spark: SparkSession, path: str, repos: DataFrame) -> DataFrame:
-    """Result of each repository; a missing or unreadable result file counts as an empty list."""
+    """Result of each repository and its number of Makefiles; a missing or unreadable result file counts as an empty list.
+
+    Lists are counted before the join, so that a reader of the number moves no list.
+    """
     stored = (
         spark.read.schema(schemas.REPO_RESULT).option("ignoreMissingFiles", "true").option("ignoreCorruptFiles", "true")
         .option("recursiveFileLookup", "true").parquet(path)
     )
     empty = F.array().cast(f"array<{schemas.MAKEFILE}>")
-    return repos.join(stored, ["repo_owner", "repo_name"], "left").withColumn("makefiles", F.coalesce("makefiles", empty))
+    counted = stored.withColumn("num_makefiles", F.size("makefiles").cast("bigint"))
+    joined = repos.join(counted, ["repo_owner", "repo_name"], "left")
+    return joined.withColumns({"makefiles": F.coalesce("makefiles", empty), "num_makefiles": F.coalesce("num_makefiles", F.lit(0).cast("bigint"))})
 
 
 def untracked(listings: DataFrame, keys: list[str], output: Column) -> DataFrame:
