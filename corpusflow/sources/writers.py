@@ -24,14 +24,15 @@ def bucket_of(keys: list[str], buckets: int = BUCKETS) -> Column:
 
 
 def _bucketed(df: DataFrame, keys: list[str], within: list[str], buckets: int, spread: int):
-    """A writer of rows in a fixed number of folders by the hash of their keys, which stay columns of the rows."""
+    """A writer of rows in a fixed number of folders by the hash of their keys, which stay columns of the rows; each file has a task of its own."""
     rows = df.withColumn(BUCKET, bucket_of(keys, buckets))
-    return _spread_out(rows, [BUCKET], within, spread).write.mode("overwrite").partitionBy(BUCKET)
+    file = (F.col(BUCKET) * spread + F.pmod(F.xxhash64(*within), F.lit(spread))).cast("int")
+    return rows.repartitionById(buckets * spread, file).write.mode("overwrite").partitionBy(BUCKET)
 
 
 def matched_functions(matched: DataFrame, path: str, buckets: int = BUCKETS, spread: int = 8) -> None:
-    """Matched functions as JSON lines, in buckets by owner and name."""
-    _bucketed(matched, ["repo_owner", "repo_name"], ["binary_hash", "func_name"], buckets, spread).json(path)
+    """Matched functions as compressed JSON lines, in buckets by owner and name."""
+    _bucketed(matched, ["repo_owner", "repo_name"], ["binary_hash", "func_name"], buckets, spread).json(path, compression="gzip")
 
 
 def source_corpus(sources: DataFrame, path: str, spread: int = 8) -> None:
@@ -53,9 +54,9 @@ def libraries(names: DataFrame, path: str) -> None:
 
 
 def decompiled_functions(functions: DataFrame, path: str, buckets: int = BUCKETS, spread: int = 8) -> None:
-    """Functions of binaries as JSON lines, in buckets by the hash of the binary."""
+    """Functions of binaries as compressed JSON lines, in buckets by the hash of the binary."""
     kept = functions.select("sha", "function", "ast", "raw_code")
-    _bucketed(kept, ["sha"], ["function", "raw_code"], buckets, spread).json(path)
+    _bucketed(kept, ["sha"], ["function", "raw_code"], buckets, spread).json(path, compression="gzip")
 
 
 def decompiled_lines(lines: DataFrame, path: str, buckets: int = BUCKETS, spread: int = 8) -> None:
