@@ -18,9 +18,13 @@ PAGE = 1 << 16  # addresses per partial set
 
 
 def _sets(rows: DataFrame, visit: str | None = None) -> DataFrame:
-    """Address set per variable; ``visit`` also gives its earliest visit. Without addresses the key is null."""
+    """Address set per variable; ``visit`` also gives its earliest visit. Without addresses the key is null.
+
+    The uses, which are narrow, are dealt by variable once; sets and digests, which are wide, are made where they lie and not moved.
+    """
     first = [] if visit is None else [F.min(visit).alias("first_visit")]
-    pages = rows.groupBy(*VARIABLE, F.floor(F.col("ea") / PAGE).alias("page")).agg(
+    used = [*VARIABLE, "ea", *[visit for _ in first]]
+    pages = rows.select(*used).repartition(*VARIABLE).groupBy(*VARIABLE, F.floor(F.col("ea") / PAGE).alias("page")).agg(
         F.sort_array(F.collect_set("ea")).alias("addresses"), *first
     )
     digests = pages.select(

@@ -130,3 +130,51 @@ def test_known_functions_are_not_sent_whole_to_the_tasks(spark):
     near = matching.possibly_known(lines, known, ["sha", "func_name"])
     assert found.count() == 800 <= near.count() < 900  # nearly all others go before the shuffle
     assert matching.lines_of_known_functions(lines, known.filter("false")).isEmpty()
+
+
+def test_makefile_lists_are_not_moved_for_their_counts(spark):
+    from corpusflow.catalog import QUERIES
+
+    for name in ["ups02_update_report", "ups02_update_makefiles"]:
+        text = plan(QUERIES[name](spark, SF_DIR))
+        assert "max_by(" in text and not re.search(r"max_by\([^)]*makefiles", text), name
+
+
+def test_result_lists_are_counted_before_the_join(spark):
+    from corpusflow.catalog import QUERIES
+
+    text = plan(QUERIES["src11_tolerant_results"](spark, SF_DIR))
+    assert text.index("size(makefiles") > text.index("Join")  # below it in the tree
+
+
+def test_staged_and_stored_lists_are_compressed(spark, tmp_path):
+    import os
+
+    from corpusflow.catalog.files import staged_parquet
+    from corpusflow.catalog.registry import Views
+    from corpusflow.sources import writers
+
+    hashes = spark.range(60000, numPartitions=1).selectExpr("transform(sequence(1, 4), i -> sha2(cast(pmod(hash(id, i), 5000) as string), 256)) as sha256")
+    staged = spark.read.parquet(staged_parquet(Views(spark, SF_DIR), "hashes", hashes))
+    assert all(".zstd." in f for f in staged.inputFiles())
+    assert sum(os.path.getsize(f.removeprefix("file:")) if not f.startswith("file://") else os.path.getsize(f[7:]) for f in staged.inputFiles()) < 240000 * 8
+    rows = spark.range(3000).selectExpr("md5(cast(id as string)) as sha", "concat('f', id) as function", "'{}' as ast", "'' as raw_code")
+    writers.decompiled_functions(rows, f"{tmp_path}/f", buckets=4, spread=3)
+    files = [n for _, _, found in os.walk(f"{tmp_path}/f") for n in found if n.startswith("part-")]
+    assert len(files) == 12 and all(n.endswith(".json.gz") for n in files)
+
+
+def test_uses_are_dealt_by_variable_once(spark):
+    from corpusflow.catalog import QUERIES
+
+    text = plan(QUERIES["jn12_renamed_variables"](spark, SF_DIR))
+    assert len(re.findall(r"Exchange hashpartitioning\(binary_id#\d+L?, func_id", text)) == 2  # of both sides
+
+
+def test_last_values_of_fixed_width_need_no_sort(spark):
+    from corpusflow.operators.ordered import latest
+
+    rows = spark.createDataFrame([(1, 5, 2, True), (1, 7, None, None), (2, 1, 3, False), (2, None, 4, True), (3, None, 9, True)], "k long, at long, n long, ok boolean")
+    found = latest(rows, ["k"], F.col("at"), ["n", "ok"])
+    assert "SortAggregate" not in plan(found)
+    assert sorted(map(tuple, found.collect())) == [(1, None, None), (2, 3, False), (3, None, None)]
