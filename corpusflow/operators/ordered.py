@@ -8,9 +8,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corpusflow.session import settle
 
+#: Types of fixed width, whose values a hash aggregate can replace in place.
+FIXED = (T.BooleanType, T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DateType, T.TimestampType)
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row number in the low 33 bits
 
 
@@ -108,7 +111,12 @@ def global_index(df: DataFrame, order_by: list[str], name: str) -> DataFrame:
 
 
 def latest(df: DataFrame, keys: list[str], order: Column, columns: list[str]) -> DataFrame:
-    """The row with the greatest ``order`` per key, reduced before the shuffle."""
+    """The row with the greatest ``order`` per key, reduced before the shuffle.
+
+    Columns of fixed width are picked one by one, all by the same row: these are reduced in a hash table, without a sort of the rows.
+    """
+    if all(isinstance(f.dataType, FIXED) for f in df.select(order, *columns).schema):
+        return df.groupBy(*keys).agg(*[F.max_by(c, order).alias(c) for c in columns])
     picked = F.max_by(F.struct(*columns), order).alias("_row")
     return df.groupBy(*keys).agg(picked).select(*keys, *[F.col(f"_row.{c}").alias(c) for c in columns])
 

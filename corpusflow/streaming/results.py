@@ -14,6 +14,7 @@ from corpusflow.plans.build_run import apply_results
 TOTALS = ["results", "funcs_matched", "without_ast"]
 REPOS, BINARIES, MATCHES = "state", "binaries", "matches"
 KEYS = {REPOS: REPO_KEY, BINARIES: ["sha"], MATCHES: REPO_KEY}
+GIVEN = {BINARIES: "sha", MATCHES: "files_found"}  # a result without it does not touch that state
 KEPT_VERSIONS = 3
 WHOLE_EVERY = 32  # versions in between hold only the rows that their batch has touched
 
@@ -73,6 +74,7 @@ class ResultFold:
     def _next(self, kind: str, batch: DataFrame, version: int) -> DataFrame:
         """What the next version writes: the touched rows, or the whole state when its turn has come."""
         keys = KEYS[kind]
+        batch = batch.filter(F.col(GIVEN[kind]).isNotNull()) if kind in GIVEN else batch
         touched = batch.select(*keys).dropna().distinct()
         updated = self._updated(kind, self.state(version, kind, touched), batch)
         if _whole(version + 1) != version + 1:
@@ -114,9 +116,9 @@ class ResultFold:
 
     def _updated(self, kind: str, state: DataFrame, batch: DataFrame) -> DataFrame:
         if kind == BINARIES:
-            return add_binaries(state, batch.filter("sha is not null").select(*REPO_KEY, "sha", "success", "seq"))
+            return add_binaries(state, batch.select(*REPO_KEY, "sha", "success", "seq"))
         if kind == MATCHES:
-            return add_match_results(state, batch.filter("files_found is not null").select(*REPO_KEY, *MATCH_COUNTERS, "seq"))
+            return add_match_results(state, batch.select(*REPO_KEY, *MATCH_COUNTERS, "seq"))
         return apply_results(state, batch)
 
 
