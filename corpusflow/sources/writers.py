@@ -24,10 +24,11 @@ def bucket_of(keys: list[str], buckets: int = BUCKETS) -> Column:
 
 
 def _bucketed(df: DataFrame, keys: list[str], within: list[str], buckets: int, spread: int):
-    """A writer of rows in a fixed number of folders by the hash of their keys, which stay columns of the rows; each file has a task of its own."""
+    """A writer of rows in a fixed number of folders by the hash of their keys, which stay columns of the rows; files are dealt evenly to tasks by number."""
     rows = df.withColumn(BUCKET, bucket_of(keys, buckets))
     file = (F.col(BUCKET) * spread + F.pmod(F.xxhash64(*within), F.lit(spread))).cast("int")
-    return rows.repartitionById(buckets * spread, file).write.mode("overwrite").partitionBy(BUCKET)
+    tasks = min(buckets * spread, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return rows.repartitionById(tasks, file % tasks).write.mode("overwrite").partitionBy(BUCKET)
 
 
 def matched_functions(matched: DataFrame, path: str, buckets: int = BUCKETS, spread: int = 8) -> None:
