@@ -134,60 +134,74 @@ def with_paths(node_rows: DataFrame, keys: list[str]) -> DataFrame:
     return out.withColumn("path", F.get("paths", F.col("pre"))).drop("paths")
 
 
-#: How to fold two neighbouring results into one.
-KINDS = {"sum": F.sum, "min": F.min, "max": F.max}
+#: How to fold two neighbouring results into one: over rows, for the type of the result, and of two values, either of which may be null.
+KINDS = {
+    "sum": (F.sum, lambda a, b: F.when(a.isNull(), b).when(b.isNull(), a).otherwise(a + b)),
+    "min": (F.min, F.least),
+    "max": (F.max, F.greatest),
+}
 
 
 def fold(node_rows: DataFrame, keys: list[str], results: dict[str, tuple[str | Callable[[Column, Column], Column], Column]], keep: tuple[str, ...] = ()) -> DataFrame:
     """Fold each subtree in depth-first order: (keys, root, ``keep``, results by name).
 
     ``results`` gives how to fold and the value of a node: "sum", "min", "max", or any associative function of two values, such as
-    structs, the first of which stands before the second in the tree. A subtree is a range of depth-first numbers. Values are first
-    gathered in blocks of 1, 2, 4 ... numbers; a range is made up of at most two blocks of each size, so the rows grow with
-    n log n, also on a tree that is one long chain. Blocks and the ranges that ask for them meet in one grouping, so node rows are read once.
+    structs, the first of which stands before the second in the tree. A subtree is a range of depth-first numbers. A tree, which is one input row,
+    is gathered once; its values are folded to blocks of 1, 2, 4 ... numbers, and a range is made up of at most two blocks of each size,
+    so the work grows with n log n, also on a tree that is one long chain.
     """
-    values = {f"_value{i}": value for i, (_, value) in enumerate(results.values())}
-    how = dict(zip(values, (kind for kind, _ in results.values()), strict=True))
-    ordered = [v for v in values if not isinstance(how[v], str)]
-
-    def merged(place: str, source: Callable[[str], Column]) -> list[Column]:
-        """The values of a group folded; those that need an order are sorted by their place first."""
-        out = [KINDS[how[v]](source(v)).alias(v) for v in values if v not in ordered]
-        if ordered:
-            out.append(F.sort_array(F.collect_list(F.when(F.col(place).isNotNull(), F.struct(place, *[source(v).alias(v) for v in ordered])))).alias("_sorted"))
-        return out
-
-    def reduced(df: DataFrame) -> DataFrame:
-        if not ordered:
-            return df
-        of = lambda v: F.transform("_sorted", lambda x: x[v])
-        folded = [F.aggregate(F.slice(of(v), 2, F.greatest(F.size("_sorted"), F.lit(1))), of(v)[0], how[v]).alias(v) for v in ordered]
-        return df.filter(F.size("_sorted") > 0).select("*", *folded).drop("_sorted")
-
-    last = F.max("last").over(Window.partitionBy(*keys))
-    bits = F.length(F.bin(last + 1)).cast("int") - 1  # no range is longer than the tree
-    rows = node_rows.select(*keys, "pre", F.col("last").alias("_last"), *keep, *[v.alias(n) for n, v in values.items()], bits.alias("_bits"))
-    sizes = F.sequence(F.lit(0), F.col("_bits"))
-    block = lambda size, at, asks: F.struct(size.alias("size"), at.cast("bigint").alias("at"), F.lit(asks).alias("asks"))
-
-    def pieces(size: Column) -> Column:
-        width = F.call_function("shiftleft", F.lit(1).cast("bigint"), size)
-        low = F.call_function("shiftright", F.col("pre") + width - 1, size)
-        high = F.call_function("shiftright", (F.col("_last") + 1).cast("bigint"), size)
-        odd = lambda x: x.bitwiseAND(F.lit(1).cast("bigint")) == 1
-        return F.array_compact(F.array(F.when((low < high) & odd(low), block(size, low, True)), F.when((low < high) & odd(high), block(size, high - 1, True))))
-
-    gives = F.transform(sizes, lambda size: block(size, F.call_function("shiftright", F.col("pre").cast("bigint"), size), False))
-    rows = rows.select("*", F.explode(F.concat(gives, F.flatten(F.transform(sizes, pieces)))).alias("_block"))
-    rows = rows.select(*keys, "_block.size", "_block.at", "_block.asks", "pre", *keep, *values)
-    rows = rows.withColumn("_place", F.when(~F.col("asks"), F.col("pre")))
-    given = lambda v: F.when(~F.col("asks"), F.col(v))
+    values, how = [], {}
+    for i, (kind, value) in enumerate(results.values()):
+        if isinstance(kind, str):
+            over, of_two = KINDS[kind]
+            held = node_rows.agg(over(value)).schema[0].dataType
+            value, how[f"_value{i}"] = value.cast(held), lambda a, b, f=of_two, t=held: f(a, b).cast(t)
+        else:
+            how[f"_value{i}"] = kind
+        values.append(value.alias(f"_value{i}"))
     root = F.struct(F.col("pre").alias("root"), *keep)
-    met = rows.groupBy(*keys, "size", "at").agg(*merged("_place", given), F.collect_list(F.when(F.col("asks"), root)).alias("_roots"))
-    asked = reduced(met.filter(F.size("_roots") > 0)).select(*keys, "size", "at", *values, F.inline("_roots"))
-    asked = asked.withColumn("_place", F.call_function("shiftleft", F.col("at"), F.col("size")))
-    done = reduced(asked.groupBy(*keys, "root", *keep).agg(*merged("_place", F.col)))
-    return done.select(*keys, "root", *keep, *[F.col(v).alias(n) for v, n in zip(values, results, strict=True)])
+    nodes_ = node_rows.select(*keys, F.struct("pre", F.col("last").alias("end"), root.alias("root"), F.struct(*values).alias("own")).alias("_node"))
+    gathered = nodes_.groupBy(*keys).agg(F.sort_array(F.collect_list("_node")).alias("_nodes"))
+    none = F.lit(None).cast(nodes_.schema["_node"].dataType["own"].dataType)
+
+    def both(a: Column, b: Column) -> Column:
+        return F.when(a.isNull(), b).when(b.isNull(), a).otherwise(F.struct(*[f(a[v], b[v]).alias(v) for v, f in how.items()]))
+
+    def folded(pieces: Column) -> Column:
+        return F.aggregate(pieces, none, both)
+
+    # a value for each number; where some have no node, or several, they are looked for
+    n = (F.array_max(F.transform("_nodes", lambda x: F.greatest(x["pre"], x["end"]))) + 1).cast("int")
+    dense = (F.size("_nodes") == n) & F.forall(F.sequence(F.lit(0), F.size("_nodes") - 1), lambda i: F.get("_nodes", i)["pre"] == i)
+    at = lambda i: folded(F.transform(F.filter("_nodes", lambda x: x["pre"] == i), lambda x: x["own"]))
+    single = F.when(dense, F.transform("_nodes", lambda x: x["own"])).otherwise(F.transform(F.sequence(F.lit(0), n - 1), at))
+    trees_ = with_once(with_once(gathered, _single=single), _bits=F.length(F.bin(F.size("_single"))).cast("int") - 1)
+
+    def doubled(levels: Column, _size: Column) -> Column:
+        of = lambda i: F.get(F.element_at(levels, -1), i)
+        pairs = F.floor(F.size(F.element_at(levels, -1)) / 2).cast("int")
+        return F.concat(levels, F.array(F.transform(F.sequence(F.lit(0), pairs - 1), lambda i: both(of(2 * i), of(2 * i + 1)))))
+
+    levels = F.aggregate(F.slice(F.sequence(F.lit(0), F.col("_bits")), F.lit(2), F.col("_bits")), F.array("_single"), doubled)
+    trees_ = with_once(trees_, _levels=levels).drop("_single")
+    sizes = F.sequence(F.lit(0), F.col("_bits"))
+
+    def subtree(node: Column) -> Column:
+        def blocks(first: bool) -> Column:
+            def block(size: Column) -> Column:
+                low = F.call_function("shiftright", node["pre"] + F.call_function("shiftleft", F.lit(1), size) - 1, size)
+                high = F.call_function("shiftright", node["end"] + 1, size)
+                number = low if first else high
+                asked = (low < high) & (number.bitwiseAND(F.lit(1)) == 1)
+                return F.when(asked, F.get(F.get("_levels", size), low if first else high - 1))
+
+            return F.array_compact(F.transform(sizes, block))
+
+        return folded(F.concat(blocks(True), F.reverse(blocks(False))))
+
+    done = trees_.select(*keys, F.explode(F.transform("_nodes", lambda x: F.struct(x["root"].alias("root"), subtree(x).alias("own")))).alias("_done"))
+    done = done.select(*keys, "_done.root.*", "_done.own.*")
+    return done.select(*keys, "root", *keep, *[F.col(v).alias(n) for v, n in zip(how, results, strict=True)])
 
 
 def rebased(node_rows: DataFrame, left: Column) -> DataFrame:

@@ -224,6 +224,14 @@ def test_texts_that_are_no_tree(spark):
     }
 
 
+def test_fold_of_some_nodes_only(spark):
+    text = '{"_t":"A","_p":4,"_c":{"x":[{"_t":"B","_p":1,"_c":{}},{"_t":"C","_p":2,"_c":{"y":{"_t":"D","_p":9,"_c":{}}}}]}}'
+    rows = trees.nodes(spark.createDataFrame([(1, text)], "k bigint, ast string"), ["k"], "ast").filter("node_type <> 'B'")
+    types = (lambda a, b: F.concat_ws(" ", a, b), F.col("node_type"))
+    found = trees.fold(rows, ["k"], {"types": types, "n": ("sum", F.lit(1)), "low": ("min", F.col("token_pos"))}).collect()
+    assert {r.root: (r.types, r.n, r.low) for r in found} == {0: ("A C D", 3, 2), 2: ("C D", 2, 2), 3: ("D", 1, 9)}
+
+
 def test_any_associative_fold(spark):
     """Ordered and struct-valued folds on a chain, a comb and a wide tree, against a plain walk."""
     leaf = lambda i: {"_t": f"t{i}", "_p": i, "_c": {}}

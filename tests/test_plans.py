@@ -82,6 +82,15 @@ def test_trees_stay_in_the_jvm_and_are_shuffled_once(spark):
         assert not any(node in text for node in ("Python", "Pandas", "Arrow", "Join")) and text.count("Exchange") == 1 and text.count("FileScan") == 1, name
 
 
+def test_trees_are_gathered_once_for_a_fold(spark):
+    """Pieces to nodes, nodes to paths and nodes to folds: three groupings, each in two steps."""
+    from corpusflow.catalog import QUERIES
+
+    for name in ["js03_ordered_folds", "udf02_struct_fold"]:
+        text = plan(QUERIES[name](spark, SF_DIR)).split("== Initial Plan ==")[-1]
+        assert text.count("ObjectHashAggregate") == 6 and "SortAggregate" not in text, name
+
+
 def test_estimated_count_reads_no_column(spark):
     from corpusflow.catalog import QUERIES
 
