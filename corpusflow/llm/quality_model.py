@@ -60,6 +60,30 @@ def grams(text: str | None, of: np.ndarray) -> np.ndarray:
     return out
 
 
+def gram_sums(texts: list[str], of: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """For each text (none is empty) the sum of the values of its n-grams, as ``grams`` gives them; many short texts at once."""
+    out, at = np.empty(len(texts), np.int64), 0
+    before = bytes(ORDER - 1)
+    while at < len(texts):
+        some, size = [], 0
+        while at + len(some) < len(texts) and size < _FLUSH:
+            some.append(before + encoded(texts[at + len(some)]))
+            size += len(some[-1])
+        ends = np.cumsum([len(t) for t in some])
+        starts = np.concatenate([[0], ends[:-1]])
+        outside = (starts[:, None] + np.arange(ORDER - 1)).ravel()
+        symbols = of[np.frombuffer(b"".join(some), np.uint8)].astype(np.int32)
+        symbols[outside] = 0
+        ids = np.zeros(size, np.int32)
+        for i in range(ORDER):
+            ids[ORDER - 1 :] = (ids[ORDER - 1 :] << _BITS) | symbols[i : size - ORDER + 1 + i]
+        found = values[ids].astype(np.int64)
+        found[outside] = 0
+        out[at : at + len(some)] = np.add.reduceat(found, starts)
+        at += len(some)
+    return out
+
+
 def count_grams(texts: DataFrame) -> DataFrame:
     """(g, n): the n-grams of all texts, counted in each task and then summed in shards."""
     of = _symbols()
@@ -168,20 +192,29 @@ def train(docs: DataFrame, trusted: DataFrame) -> list[tuple] | None:
     return model
 
 
+def _table(held: dict) -> np.ndarray:
+    """The costs of a model that was sent; they are filled once in each process that reads them."""
+    if "costs" not in held:
+        held["costs"] = costs(held["model"])
+    return held["costs"]
+
+
 def _scorer(spark, model: list[tuple] | None):
-    """A function of a text that gives (symbols, sum of negative logarithms); the table is filled once in each task."""
-    sent, of = spark.sparkContext.broadcast(model), _symbols()
-    made: list[np.ndarray] = []
+    """A function of a text that gives (symbols, sum of negative logarithms), and one that gives the sums of many texts, none of them empty."""
+    sent, of = spark.sparkContext.broadcast({"model": model}), _symbols()
 
     def score(text: str | None) -> tuple[int, float]:
-        if not text or sent.value is None:
+        if not text or sent.value["model"] is None:
             return len(encoded(text)), 0.0
-        if not made:
-            made.append(costs(sent.value))
         ids = grams(text, of)
-        return len(ids), int(made[0][ids].sum(dtype=np.int64)) / _SCALE
+        return len(ids), int(_table(sent.value)[ids].sum(dtype=np.int64)) / _SCALE
+
+    def several(texts: list[str]) -> np.ndarray:
+        if not texts or sent.value["model"] is None:
+            return np.zeros(len(texts))
+        return gram_sums(texts, of, _table(sent.value)) / _SCALE
 
-    return score
+    return score, several
 
 
 def _stratum() -> Column:
@@ -203,7 +236,7 @@ def thresholds(scores: DataFrame, trusted: DataFrame, quantile: float = QUANTILE
 
 def scored(docs: DataFrame, model) -> DataFrame:
     marked = docs.select("doc_id", _stratum().alias("stratum"), "text")
-    return settle(map_texts(marked, ["doc_id", "stratum"], "text", _scorer(docs.sparkSession, model), {"n": "long", "nll": "double"}))
+    return settle(map_texts(marked, ["doc_id", "stratum"], "text", _scorer(docs.sparkSession, model)[0], {"n": "long", "nll": "double"}))
 
 
 def trusted_ids(labels: DataFrame) -> DataFrame:
@@ -215,10 +248,10 @@ def judged(docs: DataFrame, labels: DataFrame, quantile: float) -> tuple[float,
     """Mean of trusted text, and the scores (doc_id, stratum, who, more, n, nll) of each row with the threshold of its stratum."""
     trusted = settle(trusted_ids(labels))
     symbols = train(docs, trusted)
-    score = _scorer(docs.sparkSession, symbols)
+    score, several = _scorer(docs.sparkSession, symbols)
 
     def coder() -> word_model.Coder:
-        return word_model.Coder(lambda text: score(text)[1])
+        return word_model.Coder(lambda text: score(text)[1], several)
 
     ids = trusted.select(F.col("doc_id").alias("_id"))
     side = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids

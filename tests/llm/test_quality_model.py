@@ -98,3 +98,11 @@ def test_odd_rows_and_no_rows(spark):
     assert {r["kept"] for r in qm.classify(documents(spark, odd_rows()), nothing).collect() if r["n_symbols"]} == {True}
     assert qm.good_documents(documents(spark, odd_rows()), nothing).count() == sum(bool(r[1]) for r in odd_rows())
     assert qm.classify(documents(spark, []), labels).count() == 0
+
+
+def test_many_texts_are_spelt_at_once(monkeypatch):
+    monkeypatch.setattr(qm, "_FLUSH", 40)
+    of, values = qm._symbols(), np.random.default_rng(2).integers(0, 1 << 16, 1 << 24).astype(np.uint16)
+    texts = ["a ", "b", "漢字 ", "x" * 100, "\0\0 ", "été ", " "]
+    assert list(qm.gram_sums(texts, of, values)) == [int(values[qm.grams(t, of)].sum(dtype=np.int64)) for t in texts]
+    assert len(qm.gram_sums([], of, values)) == 0

@@ -67,6 +67,26 @@ def test_costs_are_those_of_the_definition(spark, monkeypatch, run, frequent, sa
         assert got[i]["nll"] == pytest.approx(plain[1 - halves[i]](text) if text else 0, rel=1e-9)
 
 
+def test_frequent_words_fill_shards_evenly():
+    """The memory of a task is that of its fullest shard."""
+    sizes = [n for n in (90_000, 60_000) for _ in range(2)] + [40_000 // i for i in range(1, 2000)]
+    shards, parts = 10, [3, 3, 1, 1] + [1] * 1999
+    filled = [0.0] * shards
+    for n, k, at in zip(sizes, parts, wm._placed(sizes, parts, shards), strict=True):
+        for j in range(k):
+            filled[(at + j) % shards] += n / k
+    assert max(filled) <= 1.05 * sum(sizes) / shards
+
+
+def test_equal_trigrams_are_counted_once():
+    import numpy as np
+
+    rnd = random.Random(5)
+    rows = [tuple(rnd.randrange(3) for _ in range(4)) for _ in range(500)]
+    one, times = wm._distinct(*(np.array(v, np.int32) for v in zip(*rows, strict=True)))
+    assert list(one) == sorted(one) and {rows[i]: times[i] for i in one} == Counter(rows) and len(one) == len(set(rows))
+
+
 def test_words_in_wrong_order_are_rejected(spark):
     rnd = random.Random(3)
     # all words begin and end alike, so that letters at their borders do not tell the order
