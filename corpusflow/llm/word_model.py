@@ -30,6 +30,7 @@ from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
@@ -43,8 +44,12 @@ SHARD = 1 << 20  # words, at about CHARS characters each
 CHARS = 4
 LEAST_SHARDS = 12
 PASSES = 5
+#: Trigrams whose costs are computed at once, so that what is held in between stays small.
+SLICE = 1 << 17
 #: Bytes of encoded texts that one task reads.
 ENCODED = 16 << 20
+#: Bytes of a batch that is handed to Python: blobs and texts are large, and buffers outside the heap hold whole batches.
+BATCH = 2 << 20
 #: Facts repeat the hashes of words, in no order: dictionaries hold them.
 _FACT_FILES = {"compression": "zstd", "parquet.dictionary.page.size": 16 << 20}
 #: Words sent as numbers of two bytes, chosen in a sample of about so many documents.
@@ -176,7 +181,7 @@ def _packed(*columns: np.ndarray) -> bytes:
     return sizes + pa.Codec("zstd", compression_level=3).compress(data, asbytes=True)
 
 
-def _unpacked(blob: bytes, *kinds: type) -> list[np.ndarray]:
+def _unpacked(blob: bytes | pa.Buffer, *kinds: type) -> list[np.ndarray]:
     sizes = np.frombuffer(blob, np.int64, len(kinds) + 1)
     data = np.frombuffer(pa.Codec("zstd").decompress(blob[sizes.nbytes :], int(sizes[0])), np.uint8)
     out, at = [], 0
@@ -361,45 +366,75 @@ def sent(runs: DataFrame, known, shards: int, now: int, training: bool) -> DataF
     return runs.mapInArrow(mapped, "shard long, first long, blob binary")
 
 
-class _Shard:
-    """The trigrams of one shard and the counts of the trusted ones of a half."""
-
-    def __init__(self, blobs: list[bytes], known: Frequent) -> None:
-        parts, lengths = [], []
-        for blob in blobs:
-            doc, kind, times, na, nb, nc, rare, cost = _unpacked(blob, *_GRAMS)
-            words, at = [], 0
-            for n in (na, nb, nc):
-                other = n == FREQUENT
-                h = known.hashes[np.where(other, 0, n)]
-                more = int(other.sum())
-                h[other] = rare[at : at + more]
-                at += more
-                words.append(h)
-            base = known.base[np.where(other, 0, nc)]
-            base[other] = cost
-            parts.append((np.cumsum(doc, dtype=np.int64), kind, times, *words, base, nc))
-            lengths.append(len(doc))
-        self.doc, self.kind, self.times, self.a, self.b, self.c, self.base, self.number = (np.concatenate(v) for v in zip(*parts, strict=True))
-        self.run = np.repeat(np.arange(len(blobs)), lengths)
-        self.cut = np.isin(self.b, known.hot)
-        self.abc, self.ab, self.bc = keys(3, self.a, self.b, self.c), keys(2, self.a, self.b), keys(1, self.b, self.c)
-
-    def counted(self, side: int) -> tuple:
-        """Of a half: trigrams (key, n, place of one), contexts (key, total, ones, twos, more, place), pairs (key, n, place)."""
-        at = np.flatnonzero(self.kind & 3 == side + 2)
-        third, one, of = np.unique(self.abc[at], return_index=True, return_inverse=True)
-        n3 = np.bincount(of, self.times[at], len(third)).astype(np.int64)
-        at = at[one]
-        left = _contexts(self.ab[at], n3, at)
-        pairs, one, n2 = np.unique(self.bc[at], return_index=True, return_counts=True)
-        return (third, n3), left, (pairs, n2, at[one])
+def _groups(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each place the number of the group of its key, and for each group one of its places."""
+    order = np.argsort(key)
+    ordered = key[order]
+    new = np.ones(len(key), bool)
+    new[1:] = ordered[1:] != ordered[:-1]
+    of = np.empty(len(key), np.int32)
+    of[order] = np.cumsum(new, dtype=np.int32) - 1
+    return of, order[new]
+
 
+def _kinds(of: np.ndarray, n: np.ndarray, size: int) -> np.ndarray:
+    """For each of ``size`` contexts the total of the counts ``n`` of its n-grams, and how many are one, two and more."""
+    return np.array([np.bincount(of, w, size).astype(np.int64) for w in (n, n == 1, n == 2, n > 2)])
 
-def _contexts(key: np.ndarray, n: np.ndarray, at: np.ndarray) -> tuple:
-    own, one, of = np.unique(key, return_index=True, return_inverse=True)
-    kinds = [np.bincount(of, w, len(own)).astype(np.int64) for w in (n, n == 1, n == 2, n > 2)]
-    return own, np.array(kinds).reshape(4, -1), at[one]
+
+class _Shard:
+    """The trigrams of one shard, and the counts of the trusted ones of a half.
+
+    ``doc``, ``run``, ``kind``, ``times`` and ``third`` (the number of its trigram) tell of each row. Trigrams ``a b`` and their ``pair``, pairs (``b c``) and
+    contexts are numbered; all that does not depend on a row is held once for each of these.
+    """
+
+    def __init__(self, blobs: list[pa.Buffer], known: Frequent) -> None:
+        lengths = [int(np.frombuffer(blob, np.int64, 2)[1]) for blob in blobs]
+        n, at = sum(lengths), 0
+        self.doc, self.kind, self.times = np.empty(n, np.int32), np.empty(n, np.uint8), np.empty(n, np.int32)
+        grams, base, number = [np.empty(n, np.uint64) for _ in range(3)], np.empty(n), np.empty(n, np.uint16)
+        for blob, length in zip(blobs, lengths, strict=True):
+            doc, kind, times, *numbers, rare, cost = _unpacked(blob, *_GRAMS)
+            i = slice(at, at + length)
+            at, used = at + length, 0
+            self.doc[i], self.kind[i], self.times[i], number[i] = np.cumsum(doc), kind, times, numbers[2]
+            for own, of in zip(grams, numbers, strict=True):
+                other = np.flatnonzero(of == FREQUENT)
+                of[other] = 0
+                h = known.hashes[of]
+                h[other] = rare[used : used + len(other)]
+                used += len(other)
+                own[i] = h
+            h = known.base[numbers[2]]
+            h[other] = cost
+            base[i] = h
+        self.run = np.repeat(np.arange(len(blobs), dtype=np.int32), lengths)
+        key = np.empty(n, np.uint64)
+        for x in range(0, n, SLICE):
+            key[x : x + SLICE] = keys(3, *(g[x : x + SLICE] for g in grams))
+        self.third, one = _groups(key)
+        del key
+        self.a, self.b, c = (g[one] for g in grams)
+        base, number = base[one], number[one]
+        del grams
+        self.left, self.left_one = _groups(keys(2, self.a, self.b))
+        self.pair, one = _groups(keys(1, self.b, c))
+        self.second, self.c, self.base, self.number = self.b[one], c[one], base[one], number[one]
+        self.middle, one = _groups(self.second)
+        self.middles = self.second[one]
+        place = np.minimum(np.searchsorted(known.hot, self.middles), max(len(known.hot) - 1, 0))
+        cut = known.hot[place] == self.middles if len(known.hot) else np.zeros(len(self.middles), bool)
+        self.pair_cut = cut[self.middle]
+        self.cut = self.pair_cut[self.pair]
+        self.left_cut = self.cut[self.left_one]
+
+    def counted(self, side: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of a half: n of each trigram; total, ones, twos and more of each context; n of each pair."""
+        at = np.flatnonzero(self.kind & 3 == side + 2)
+        n3 = np.bincount(self.third[at], self.times[at], len(self.pair)).astype(np.int64)
+        seen = np.flatnonzero(n3)
+        return n3, _kinds(self.left[seen], n3[seen], len(self.left_one)), np.bincount(self.pair[seen], minlength=len(self.c))
 
 
 def _found(wanted: np.ndarray, known: np.ndarray, values: np.ndarray) -> np.ndarray:
@@ -445,21 +480,19 @@ def facts(grams: DataFrame, known, shards: int) -> DataFrame:
         return pa.RecordBatch.from_arrays(columns, ["what", "key1", "key2", "shard", *_X])
 
     def made(shard: int, table: pa.Table) -> Iterator[pa.RecordBatch]:
-        s = _Shard(table.column("blob").to_pylist(), known.value)
+        s = _Shard([blob.as_buffer() for blob in table.column("blob")], known.value)
         halves = [s.counted(side) for side in (0, 1)]
-        for side, ((_, n3), _, (_, n2, at)) in enumerate(halves):
-            own = n2[~s.cut[at]]
-            for what, n in ((_THIRD, n3), (_SECOND, own)):
+        own = ~s.pair_cut
+        for side, (n3, _, n2) in enumerate(halves):
+            for what, n in ((_THIRD, n3), (_SECOND, n2[own])):
                 yield rows(what, None, np.array([side], np.int64), None, *[[int((n == i).sum())] for i in (1, 2, 3, 4)])
-        before = [np.unique(s.c[at[~s.cut[at]]], return_counts=True) for _, _, (_, _, at) in halves]
-        if s.cut.any():
-            hot = np.flatnonzero(s.cut)
-            pairs, one = np.unique(s.bc[hot], return_index=True)
-            at = hot[one]
-            yield rows(_PAIR, shard, s.b[at], s.c[at], *[_found(pairs, p, n) for _, _, (p, n, _) in halves])
-            left, one = np.unique(s.ab[hot], return_index=True)
-            at = hot[one]
-            yield rows(_CONTEXT, shard, s.a[at], s.b[at], *[x for _, (k, v, _), _ in halves for x in _found(left, k, v)])
+        before = [np.unique(s.c[own & (n2 > 0)], return_counts=True) for _, _, n2 in halves]
+        if s.pair_cut.any():
+            at = np.flatnonzero(s.pair_cut)
+            yield rows(_PAIR, shard, s.second[at], s.c[at], *[n2[at] for _, _, n2 in halves])
+            at = np.flatnonzero(s.left_cut)
+            one = s.left_one[at]
+            yield rows(_CONTEXT, shard, s.a[one], s.b[one], *[x for _, left, _ in halves for x in left[:, at]])
         numbers = np.unique(s.number[s.number < FREQUENT]).astype(np.int64)
         yield rows(_NUMBERED, None, numbers, None, *[_found(known.value.hashes[numbers], *b) for b in before])
         rare = np.unique(s.c[s.number == FREQUENT])
@@ -486,9 +519,8 @@ def summed(told: DataFrame, known: Frequent, discounts: Callable) -> tuple[Sums,
     out = Sums()
     pairs = brief(told.filter(F.col("what") == _PAIR).groupBy("key1", "key2").agg(F.sum("x0").alias("x0"), F.sum("x1").alias("x1")))
     words = told.filter(F.col("what").isin(_NUMBERED, _WORD_BEFORE)).select("what", "key1", "x0", "x1")
-    numbered = F.broadcast(told.sparkSession.createDataFrame(
-        [(int(h), i) for i, h in enumerate(known.hashes.view(np.int64))], "hash long, number long"
-    ))  # at most FREQUENT rows
+    numbers = pa.table({"hash": known.hashes.view(np.int64), "number": np.arange(len(known.hashes))})
+    numbered = F.broadcast(told.sparkSession.createDataFrame(numbers))  # at most FREQUENT rows
     ahead = pairs.table.join(numbered, F.col("key2") == F.col("hash"), "left")
     words = words.union(ahead.select(
         F.when(F.col("number").isNull(), F.lit(_WORD_BEFORE)).otherwise(F.lit(_NUMBERED)), F.coalesce("number", "key2"),
@@ -535,42 +567,52 @@ def _spread(cuts: np.ndarray, kinds: np.ndarray) -> np.ndarray:
     return cuts[1] * kinds[1] + cuts[2] * kinds[2] + cuts[3] * kinds[3]
 
 
-def _costs(s: _Shard, side: int, at: np.ndarray, sums: Sums, told: dict[int, tuple], known: Frequent) -> np.ndarray:
-    """Negative logarithms of the probabilities of the trigrams ``at`` in the model of a half."""
-    (third, n3), (left, kinds3, _), (pairs, n2, place) = s.counted(side)
-    cuts, cut = sums.cuts[side], s.cut[at]
-    own = ~s.cut[place]
-    middles, kinds2, _ = _contexts(s.b[place[own]], n2[own], place[own])
-    number = s.number[at]
-    common = number < FREQUENT
-    n = np.where(common, sums.before[side][np.where(common, number, 0)], _found(s.c[at], told[_WORD_BEFORE][0], told[_WORD_BEFORE][1][side]))
-    with np.errstate(divide="ignore", invalid="ignore"):
+def _costs(s: _Shard, side: int, at: np.ndarray, sums: Sums, told: dict[int, tuple]) -> np.ndarray:
+    """Steps of negative logarithms of the probabilities of the trigrams ``at`` in the model of a half."""
+    n3, left, n2 = s.counted(side)
+    cuts = sums.cuts[side]
 
-        def mixed(n: np.ndarray, cuts: np.ndarray, total: np.ndarray, rest: np.ndarray, lower: np.ndarray) -> np.ndarray:
+    def mixed(n: np.ndarray, cuts: np.ndarray, total: np.ndarray, rest: np.ndarray, lower: np.ndarray) -> np.ndarray:
+        with np.errstate(divide="ignore", invalid="ignore"):
             p = np.log((n - cuts[np.minimum(n, 3)] * (n > 0)) / total)
             return np.where(total > 0, np.logaddexp(p, np.log(rest / total) + lower), lower)
 
-        total = np.full(len(at), sums.total[side])
-        logs = mixed(n, cuts[1], total, sums.rest[side] * total, -s.base[at])
-        n = np.where(cut, _found(s.bc[at], told[_PAIR][0], told[_PAIR][1][side]), _found(s.bc[at], pairs, n2))
-        kinds = np.where(cut, _found(s.b[at], sums.hot, sums.middle[side]), _found(s.b[at], middles, kinds2))
-        logs = mixed(n, cuts[2], kinds[0], _spread(cuts[2], kinds), logs)
-        kinds = np.where(cut, _found(s.ab[at], told[_CONTEXT][0], told[_CONTEXT][1][4 * side : 4 * side + 4]), _found(s.ab[at], left, kinds3))
-        logs = mixed(_found(s.abc[at], third, n3), cuts[3], kinds[0], _spread(cuts[3], kinds), logs)
-    return -logs
+    def some(of: np.ndarray, size: int) -> Iterator[np.ndarray]:
+        found = np.flatnonzero(np.bincount(of, minlength=size))
+        return (found[x : x + SLICE] for x in range(0, len(found), SLICE))
+
+    own = ~s.pair_cut
+    middles = _kinds(s.middle[own], n2[own], len(s.middles))
+    second, out = np.empty(len(s.c)), np.empty(len(s.pair), np.int64)
+    for i in some(s.pair[s.third[at]], len(s.c)):
+        number, total = s.number[i], np.full(len(i), sums.total[side])
+        common = number < FREQUENT
+        n = np.where(common, sums.before[side][np.where(common, number, 0)], _found(s.c[i], told[_WORD_BEFORE][0], told[_WORD_BEFORE][1][side]))
+        logs = mixed(n, cuts[1], total, sums.rest[side] * total, -s.base[i])
+        n, kinds, cut = n2[i], middles[:, s.middle[i]], np.flatnonzero(s.pair_cut[i])
+        hot = i[cut]
+        n[cut] = _found(keys(1, s.second[hot], s.c[hot]), told[_PAIR][0], told[_PAIR][1][side])
+        kinds[:, cut] = _found(s.second[hot], sums.hot, sums.middle[side])
+        second[i] = mixed(n, cuts[2], kinds[0], _spread(cuts[2], kinds), logs)
+    for i in some(s.third[at], len(s.pair)):
+        kinds, cut = left[:, s.left[i]], np.flatnonzero(s.cut[i])
+        hot = i[cut]
+        kinds[:, cut] = _found(keys(2, s.a[hot], s.b[hot]), told[_CONTEXT][0], told[_CONTEXT][1][4 * side : 4 * side + 4])
+        logs = mixed(n3[i], cuts[3], kinds[0], _spread(cuts[3], kinds), second[s.pair[i]])
+        out[i] = np.rint(-logs * _STEPS).astype(np.int64)
+    return out[s.third[at]]
 
 
 def _answers(table: pa.Table) -> dict[int, tuple]:
-    """For each kind of fact the sorted keys and the eight values."""
-    what = table.column("what").to_numpy()
-    key1, key2 = (np.asarray(table.column(k).fill_null(0)).astype(np.int64).view(np.uint64) for k in ("key1", "key2"))
-    values = np.array([np.asarray(table.column(x).fill_null(0)).astype(np.int64) for x in _X])
+    """For each kind of fact the sorted keys and the values: two, or eight of contexts."""
     out = {}
-    for kind, model in ((_WORD_BEFORE, None), (_PAIR, 1), (_CONTEXT, 2)):
-        i = np.flatnonzero(what == kind)
-        key = key1[i] if model is None else keys(model, key1[i], key2[i])
+    for kind, model, n in ((_WORD_BEFORE, None, 2), (_PAIR, 1, 2), (_CONTEXT, 2, 8)):
+        own = table.filter(pc.equal(table.column("what"), kind))
+        key1, key2, *values = (np.asarray(own.column(x).fill_null(0)).astype(np.int64) for x in ("key1", "key2", *_X[:n]))
+        key1, key2 = key1.view(np.uint64), key2.view(np.uint64)
+        key = key1 if model is None else keys(model, key1, key2)
         order = np.argsort(key)
-        out[kind] = key[order], values[:, i[order]]
+        out[kind] = key[order], np.array([v[order] for v in values])
     return out
 
 
@@ -590,17 +632,16 @@ def costs(grams: DataFrame, answers: DataFrame, sums, known, shards: int) -> Dat
             yield pa.RecordBatch.from_arrays([pa.array(firsts, pa.int64()), pa.array([0] * len(firsts), pa.int32()), blobs.column("blob").combine_chunks()], ["first", "kind", "blob"])
             return
         told = _answers(table.filter(table.column("what").is_valid()))
-        s = _Shard(blobs.column("blob").to_pylist(), known.value)
-        cost = np.zeros(len(s.doc))
+        s = _Shard([blob.as_buffer() for blob in blobs.column("blob")], known.value)
+        cost = np.zeros(len(s.doc), np.int64)
         for side in (0, 1):
             at = np.flatnonzero(s.kind & 1 == 1 - side)
             if len(at):
-                cost[at] = _costs(s, side, at, sums.value, told, known.value)
-        cost = np.rint(cost * _STEPS).astype(np.int64) * s.times
+                cost[at] = _costs(s, side, at, sums.value, told) * s.times[at]
         new = np.flatnonzero((np.diff(s.doc, prepend=-1) != 0) | (np.diff(s.run, prepend=-1) != 0))
         cost, doc, run = np.add.reduceat(cost, new), s.doc[new], s.run[new]
         edges = np.flatnonzero(np.diff(run, prepend=-1, append=-1))
-        out = [_packed(np.diff(doc[x:y], prepend=0), cost[x:y]) for x, y in zip(edges, edges[1:], strict=False)]
+        out = [_packed(np.diff(doc[x:y], prepend=0).astype(np.int64), cost[x:y]) for x, y in zip(edges, edges[1:], strict=False)]
         yield pa.RecordBatch.from_arrays([pa.array(firsts, pa.int64()), pa.array([1] * len(out), pa.int32()), pa.array(out, pa.binary())], ["first", "kind", "blob"])
 
     return _shards(rows, made, "first long, kind int, blob binary", max(shards // PASSES, 2))
@@ -643,7 +684,7 @@ def scored(docs: DataFrame, coder: Callable[[], Coder], discounts: Callable) ->
     spark = docs.sparkSession
     marked = docs.select("who", "more", (F.col("half") + F.when(F.col("trusted"), 2).otherwise(0)).alias("kind"), "text")
     shards = n_shards(docs)
-    with thrifty(spark, {"spark.sql.files.maxPartitionBytes": str(ENCODED)}):
+    with thrifty(spark, {"spark.sql.files.maxPartitionBytes": str(ENCODED), "spark.sql.execution.arrow.maxBytesPerBatch": str(BATCH)}):
         words = frequent(marked, coder, shards)
         known = spark.sparkContext.broadcast(words)
         runs = encoded_runs(marked, known, coder)

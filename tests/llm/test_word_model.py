@@ -100,3 +100,22 @@ def test_words_in_wrong_order_are_rejected(spark):
     labels = spark.createDataFrame([(r[0], 1) for r in rows if r[0] % 2], "doc_id long, good int")
     kept = {r["doc_id"] for r in qm.good_documents(documents(spark, rows + bad), labels).collect()}
     assert not kept & {r[0] for r in bad} and len(kept) >= 0.97 * len(rows)
+
+
+def test_a_shard_takes_little_memory_for_each_trigram():
+    """The peak of a task's memory while it numbers the trigrams of a shard; gathering all columns twice took 151 bytes of each."""
+    import tracemalloc
+
+    import numpy as np
+
+    known = wm.Frequent([(f"w{i}", 8 * i + 4, 1.0) for i in range(1000)], 1.0, [1] * 1002, [0] * 1002)
+    rnd, n, blobs = np.random.default_rng(3), 0, []
+    for _ in range(8):
+        words = [rnd.integers(2, 1002, 40_000).astype(np.uint16) for _ in range(3)]
+        blobs.append(wm._packed(np.zeros(40_000, np.int32), np.full(40_000, 2, np.uint8), np.ones(40_000, np.int32), *words, np.empty(0, np.uint64), np.empty(0, np.float32)))
+        n += 40_000
+    tracemalloc.start()
+    shard = wm._Shard(blobs, known)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(shard.doc) == n and peak < 140 * n
