@@ -30,7 +30,6 @@ from itertools import islice
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
@@ -43,15 +42,13 @@ RUN = 1 << 18
 SHARD = 1 << 20  # words, at about CHARS characters each
 CHARS = 4
 LEAST_SHARDS = 12
-PASSES = 5
+PASSES = 4
 #: Trigrams whose costs are computed at once, so that what is held in between stays small.
 SLICE = 1 << 17
 #: Bytes of encoded texts that one task reads.
 ENCODED = 16 << 20
 #: Bytes of a batch that is handed to Python: blobs and texts are large, and buffers outside the heap hold whole batches.
 BATCH = 2 << 20
-#: Facts repeat the hashes of words, in no order: dictionaries hold them.
-_FACT_FILES = {"compression": "zstd", "parquet.dictionary.page.size": 16 << 20}
 #: Words sent as numbers of two bytes, chosen in a sample of about so many documents.
 FREQUENT, SAMPLE = (1 << 16) - 1, 10_000
 _STEPS = 1 << 30
@@ -62,9 +59,11 @@ _START, _END = 1, 2  # hashes that stand for the places before and after a text
 _KEYS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
 
 
-#: What a row of facts tells: counts of counts of trigrams and of pairs, words before a word (frequent or not), hot pairs, hot contexts.
-_THIRD, _SECOND, _NUMBERED, _WORD_BEFORE, _PAIR, _CONTEXT = range(6)
+#: What a row of facts tells: counts of counts of trigrams, of pairs and of words, words before a frequent word, pairs of a hot middle word, and packed facts.
+_THIRD, _SECOND, _FIRST, _NUMBERED, _MIDDLE, _ASKED = range(6)
 _X = [f"x{i}" for i in range(8)]
+#: Packed facts of a shard: frequent words (number, words before in both halves), others by hash, hot pairs (hash of the last word, hot word) and hot contexts (hash of the first word, hot word).
+_TOLD = (np.uint16, np.int32, np.int32, np.uint64, np.int32, np.int32, np.uint64, np.int32, np.int32, np.int32, np.uint64, np.int32, *[np.int32] * 8)
 
 
 def half(doc_id: Column) -> Column:
@@ -176,7 +175,7 @@ def _placed(sizes: list[int], parts: list[int], shards: int) -> list[int]:
 
 def _packed(*columns: np.ndarray) -> bytes:
     """Columns of numbers, byte by byte of their values, compressed."""
-    data = b"".join(np.ascontiguousarray(v.view(np.uint8).reshape(len(v), v.itemsize).T).tobytes() for v in columns)
+    data = b"".join(np.ascontiguousarray(np.ascontiguousarray(v).view(np.uint8).reshape(len(v), v.itemsize).T).tobytes() for v in columns)
     sizes = np.array([len(data), *(len(v) for v in columns)], np.int64).tobytes()
     return sizes + pa.Codec("zstd", compression_level=3).compress(data, asbytes=True)
 
@@ -429,6 +428,13 @@ class _Shard:
         self.cut = self.pair_cut[self.pair]
         self.left_cut = self.cut[self.left_one]
 
+    def asked(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """What other shards know too, by the hash of a word in ascending order: words that are not frequent, places of hot pairs, and of hot contexts."""
+        pairs, contexts = np.flatnonzero(self.pair_cut), np.flatnonzero(self.left_cut)
+        one = self.left_one[contexts]
+        pairs = pairs[np.lexsort((self.second[pairs], self.c[pairs]))]
+        return np.unique(self.c[self.number == FREQUENT]), pairs, contexts[np.lexsort((self.b[one], self.a[one]))]
+
     def counted(self, side: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Of a half: n of each trigram; total, ones, twos and more of each context; n of each pair."""
         at = np.flatnonzero(self.kind & 3 == side + 2)
@@ -445,13 +451,13 @@ def _found(wanted: np.ndarray, known: np.ndarray, values: np.ndarray) -> np.ndar
     return np.where(known[at] == wanted, values[..., at], 0)
 
 
-def _shards(rows: DataFrame, made: Callable, schema: str, parts: int) -> DataFrame:
+def _shards(rows: DataFrame, made: Callable, schema: str, parts: int, by: str = "shard") -> DataFrame:
     """What ``made`` gives for the rows (as one table) of each shard; rows of a shard come together, and those below 0 go by."""
 
     def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, held = None, []
         for batch in batches:
-            own = batch.column("shard").to_numpy()
+            own = batch.column(by).to_numpy()
             edges = np.flatnonzero(np.diff(own, prepend=own[:1] - 1, append=own[-1:] + 1)) if len(own) else []
             for x, y in zip(edges, edges[1:], strict=False):
                 if own[x] != now and held:
@@ -463,21 +469,39 @@ def _shards(rows: DataFrame, made: Callable, schema: str, parts: int) -> DataFra
             yield from made(now, pa.Table.from_batches(held))
         pa.default_memory_pool().release_unused()
 
-    return rows.repartition(parts, "shard", F.when(F.col("shard") < 0, F.col("first"))).sortWithinPartitions("shard").mapInArrow(mapped, schema)
+    places = [F.when(F.col("shard") < 0, F.col("first"))] if by == "shard" else []
+    return rows.repartition(parts, by, *places).sortWithinPartitions(by).mapInArrow(mapped, schema)
 
 
-_FACTS = "what int, key1 long, key2 long, shard long, " + ", ".join(f"{x} long" for x in _X)
+_FACTS = "what int, key long, shard int, part int, blob binary, " + ", ".join(f"{x} long" for x in _X)
 
 
-def facts(grams: DataFrame, known, shards: int) -> DataFrame:
-    """What shards tell and ask of others: rows (what, key1, key2, shard, x0 to x7)."""
+def _told(what: int, key: list[int] | np.ndarray, *x: list[int] | np.ndarray) -> pa.RecordBatch:
+    """Rows of facts that are summed by (what, key)."""
+    n = len(key)
+    columns = [pa.array(np.full(n, what, np.int32)), pa.array(np.asarray(key, np.int64)), pa.nulls(n, pa.int32()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())]
+    columns += [pa.array(np.asarray(v, np.int64)) for v in x] + [pa.nulls(n, pa.int64())] * (8 - len(x))
+    return pa.RecordBatch.from_arrays(columns, ["what", "key", "shard", "part", "blob", *_X])
+
+
+def _asked(shard: list[int], part: list[int], blob: list[bytes]) -> pa.RecordBatch:
+    n = len(blob)
+    columns = [pa.array(np.full(n, _ASKED, np.int32)), pa.nulls(n, pa.int64()), pa.array(shard, pa.int32()), pa.array(part, pa.int32()), pa.array(blob, pa.binary())]
+    return pa.RecordBatch.from_arrays([*columns, *[pa.nulls(n, pa.int64())] * 8], ["what", "key", "shard", "part", "blob", *_X])
+
+
+def _ones(n: np.ndarray) -> list[list[int]]:
+    return [[int((n == i).sum())] for i in (1, 2, 3, 4)]
+
+
+def n_parts(shards: int) -> int:
+    """Facts are summed in so many parts by the hash of a word."""
+    return max(LEAST_SHARDS, shards // 4)
 
-    def rows(what: int, shard: int | None, key1: np.ndarray, key2: np.ndarray | None, *x: np.ndarray) -> pa.RecordBatch:
-        n = len(key1)
-        second = pa.nulls(n, pa.int64()) if key2 is None else pa.array(key2.view(np.int64))
-        columns = [pa.array(np.full(n, what, np.int32)), pa.array(key1.view(np.int64)), second, pa.array([shard] * n, pa.int64())]
-        columns += [pa.array(np.asarray(v, np.int64)) for v in x] + [pa.nulls(n, pa.int64())] * (8 - len(x))
-        return pa.RecordBatch.from_arrays(columns, ["what", "key1", "key2", "shard", *_X])
+
+def facts(grams: DataFrame, known, shards: int) -> DataFrame:
+    """What shards tell and ask: rows to be summed (what, key, x0 to x7), and for each part packed facts (shard, part, blob)."""
+    parts = n_parts(shards)
 
     def made(shard: int, table: pa.Table) -> Iterator[pa.RecordBatch]:
         s = _Shard([blob.as_buffer() for blob in table.column("blob")], known.value)
@@ -485,18 +509,30 @@ def facts(grams: DataFrame, known, shards: int) -> DataFrame:
         own = ~s.pair_cut
         for side, (n3, _, n2) in enumerate(halves):
             for what, n in ((_THIRD, n3), (_SECOND, n2[own])):
-                yield rows(what, None, np.array([side], np.int64), None, *[[int((n == i).sum())] for i in (1, 2, 3, 4)])
+                yield _told(what, [side], *_ones(n))
         before = [np.unique(s.c[own & (n2 > 0)], return_counts=True) for _, _, n2 in halves]
-        if s.pair_cut.any():
-            at = np.flatnonzero(s.pair_cut)
-            yield rows(_PAIR, shard, s.second[at], s.c[at], *[n2[at] for _, _, n2 in halves])
-            at = np.flatnonzero(s.left_cut)
-            one = s.left_one[at]
-            yield rows(_CONTEXT, shard, s.a[one], s.b[one], *[x for _, left, _ in halves for x in left[:, at]])
-        numbers = np.unique(s.number[s.number < FREQUENT]).astype(np.int64)
-        yield rows(_NUMBERED, None, numbers, None, *[_found(known.value.hashes[numbers], *b) for b in before])
-        rare = np.unique(s.c[s.number == FREQUENT])
-        yield rows(_WORD_BEFORE, shard, rare, None, *[_found(rare, *b) for b in before])
+        numbers = np.unique(s.number[s.number < FREQUENT])
+        numbered = [_found(known.value.hashes[numbers], *b) for b in before]
+        some = np.flatnonzero(numbered[0] + numbered[1])
+        some = some[np.argsort(known.value.hashes[numbers[some]])]
+        numbers, numbered = numbers[some], [n[some] for n in numbered]
+        rare, pairs, contexts = s.asked()
+        one = s.left_one[contexts]
+        hot = [np.searchsorted(known.value.hot, v) for v in (s.second[pairs], s.b[one])]
+        tables = [  # each by the hash of a word, in ascending order
+            (known.value.hashes[numbers], [numbers, *numbered]),
+            (rare, [rare, *[_found(rare, *b) for b in before]]),
+            (s.c[pairs], [s.c[pairs], hot[0], *[n2[pairs] for _, _, n2 in halves]]),
+            (s.a[one], [s.a[one], hot[1], *[x for _, left, _ in halves for x in left[:, contexts]]]),
+        ]
+        cuts = [np.searchsorted(_scaled(key, parts), np.arange(parts + 1)) for key, _ in tables]
+        blobs, places = [], []
+        for part in range(parts):
+            columns = [v[at[part] : at[part + 1]] for at, (_, values) in zip(cuts, tables, strict=True) for v in values]
+            if any(len(v) for v in columns):
+                columns = [np.diff(v, prepend=np.uint64(0)) if kind is np.uint64 else v.astype(kind) for v, kind in zip(columns, _TOLD, strict=True)]
+                blobs.append(_packed(*columns)), places.append(part)
+        yield _asked([shard] * len(blobs), places, blobs)
 
     return _shards(grams, made, _FACTS, max(shards // PASSES, 2))
 
@@ -504,62 +540,70 @@ def facts(grams: DataFrame, known, shards: int) -> DataFrame:
 class Sums:
     """What all shards need: discounts and totals of both halves, words before the frequent ones, contexts of hot middle words."""
 
-    def __init__(self) -> None:
+    def __init__(self, known: Frequent) -> None:
         self.cuts = np.full((2, 4, 4), 0.5)  # half, order, count (up to 3)
         self.before, self.total, self.rest = np.zeros((2, FREQUENT), np.int64), np.zeros(2), np.ones(2)
-        self.hot, self.middle = np.empty(0, np.uint64), np.zeros((2, 4, 0), np.int64)
-
-
-def _ones(x: str) -> list[Column]:
-    return [F.count_if(F.col(x) == i) for i in (1, 2, 3, 4)]
-
-
-def summed(told: DataFrame, known: Frequent, discounts: Callable) -> tuple[Sums, DataFrame, list]:
-    """The sums, the answers (shard, what, key1, key2, x0 to x7) and what is to be deleted after their use."""
-    out = Sums()
-    pairs = brief(told.filter(F.col("what") == _PAIR).groupBy("key1", "key2").agg(F.sum("x0").alias("x0"), F.sum("x1").alias("x1")))
-    words = told.filter(F.col("what").isin(_NUMBERED, _WORD_BEFORE)).select("what", "key1", "x0", "x1")
-    numbers = pa.table({"hash": known.hashes.view(np.int64), "number": np.arange(len(known.hashes))})
-    numbered = F.broadcast(told.sparkSession.createDataFrame(numbers))  # at most FREQUENT rows
-    ahead = pairs.table.join(numbered, F.col("key2") == F.col("hash"), "left")
-    words = words.union(ahead.select(
-        F.when(F.col("number").isNull(), F.lit(_WORD_BEFORE)).otherwise(F.lit(_NUMBERED)), F.coalesce("number", "key2"),
-        (F.col("x0") > 0).cast("long"), (F.col("x1") > 0).cast("long"),
-    ))
-    words = brief(words.groupBy("what", "key1").agg(F.sum("x0").alias("x0"), F.sum("x1").alias("x1")))
-    for r in words.table.filter(F.col("what") == _NUMBERED).collect():  # at most FREQUENT rows
-        out.before[:, r["key1"]] = r["x0"], r["x1"]
-    counts = told.filter(F.col("what") <= _SECOND).groupBy("what", "key1").agg(*[F.sum(x).alias(x) for x in _X[:4]]).collect()
-    seconds = np.zeros((2, 4), np.int64)
-    for r in counts:
-        if r["what"] == _THIRD:
-            out.cuts[r["key1"], 3, 1:] = discounts(*[r[x] for x in _X[:4]])
+        self.middle = np.zeros((2, 4, len(known.hot)), np.int64)
+
+
+def _totals(of: np.ndarray, size: int, values: np.ndarray) -> np.ndarray:
+    return np.array([np.bincount(of, v, size).astype(np.int64) for v in values])
+
+
+def added(told: DataFrame, known, parts: int) -> DataFrame:
+    """Facts summed by word, hot pair and hot context in parts: rows to be summed, and for each shard the sums in the order of its questions (shard, part, blob)."""
+
+    def made(part: int, table: pa.Table) -> Iterator[pa.RecordBatch]:
+        asking, rows = table.column("shard").to_pylist(), [_unpacked(blob.as_buffer(), *_TOLD) for blob in table.column("blob")]
+        sizes = [[len(r[i]) for r in rows] for i in (3, 6, 10)]
+        for r in rows:
+            for i in (3, 6, 10):
+                r[i] = np.cumsum(r[i], dtype=np.uint64)
+        numbers, n0, n1, rare, r0, r1, last, hot, p0, p1, first, middle, *c = (np.concatenate(v) for v in zip(*rows, strict=True))
+        del rows
+        hots = known.value.hot if len(known.value.hot) else np.zeros(1, np.uint64)
+        pair, one = _groups(keys(1, hots[hot], last))
+        pairs = _totals(pair, len(one), np.array([p0, p1]))
+        word = np.concatenate([rare, known.value.hashes[numbers], last[one]])
+        of, places = _groups(word)
+        words = _totals(of, len(places), np.concatenate([[r0, r1], [n0, n1], pairs > 0], axis=1))
+        for side in (0, 1):
+            yield _told(_SECOND, [side], *_ones(pairs[side]))
+            yield _told(_FIRST, [side], *_ones(words[side]), [int(words[side].sum())], [int((words[side] > 2).sum())])
+        kinds = np.concatenate([_kinds(hot[one], n, len(hots)) for n in pairs])
+        some = np.flatnonzero(kinds.any(axis=0))
+        yield _told(_MIDDLE, some, *kinds[:, some])
+        order = np.argsort(known.value.hashes)
+        ordered = known.value.hashes[order]
+        at = np.minimum(np.searchsorted(ordered, word[places]), len(ordered) - 1)
+        frequent = np.flatnonzero(ordered[at] == word[places])
+        yield _told(_NUMBERED, order[at[frequent]], *words[:, frequent])
+        context, one = _groups(keys(2, first, hots[middle]))
+        contexts = _totals(context, len(one), np.array(c))
+        ends = [np.cumsum([0, *n]) for n in sizes]
+        found = [(of[: len(rare)], words), (pair, pairs), (context, contexts)]
+        blobs = [_packed(*[v for end, (g, values) in zip(ends, found, strict=True) for v in values[:, g[end[i] : end[i + 1]]]]) for i in range(len(asking))]
+        yield _asked(asking, [part] * len(blobs), blobs)
+
+    return _shards(told.filter(F.col("what") == _ASKED).select("shard", "part", "blob"), made, _FACTS, parts, "part")
+
+
+def summed(told: DataFrame, more: DataFrame, known: Frequent, discounts: Callable) -> Sums:
+    """The sums of what shards and parts tell: some numbers, at most FREQUENT rows and those of hot words."""
+    out = Sums(known)
+    rows = told.union(more).filter(F.col("what") != _ASKED).groupBy("what", "key").agg(*[F.coalesce(F.sum(x), F.lit(0)).alias(x) for x in _X])
+    for what, key, *x in rows.collect():
+        if what == _NUMBERED:
+            out.before[:, key] = x[:2]
+        elif what == _MIDDLE:
+            out.middle[:, :, key] = np.reshape(x, (2, 4))
         else:
-            seconds[r["key1"]] += [r[x] for x in _X[:4]]
-    for side, x in enumerate(("x0", "x1")):
-        seconds[side] += list(pairs.table.agg(*_ones(x)).first())
-        out.cuts[side, 2, 1:] = discounts(*seconds[side].tolist())
-        *ones, total, more = words.table.agg(*_ones(x), F.coalesce(F.sum(x), F.lit(0)), F.count_if(F.col(x) > 2)).first()
-        cut = out.cuts[side, 1, 1:] = discounts(*ones)
-        out.total[side] = total
-        out.rest[side] = (cut[0] * ones[0] + cut[1] * ones[1] + cut[2] * more) / total if total else 1.0
-    kinds = [f(x) for x in ("x0", "x1") for f in (F.sum, lambda x: F.count_if(F.col(x) == 1), lambda x: F.count_if(F.col(x) == 2), lambda x: F.count_if(F.col(x) > 2))]
-    middle = sorted((r[0] & (1 << 64) - 1, list(r)[1:]) for r in pairs.table.groupBy("key1").agg(*kinds).collect())  # hot words only
-    out.hot = np.array([k for k, _ in middle], np.uint64)
-    out.middle = np.array([v for _, v in middle], np.int64).reshape(-1, 2, 4).transpose(1, 2, 0)
-
-    asked = told.select("what", "shard", "key1", "key2")
-    keys_of = {_WORD_BEFORE: ["key1"], _PAIR: ["key1", "key2"], _CONTEXT: ["key1", "key2"]}
-    contexts = told.filter(F.col("what") == _CONTEXT).groupBy("key1", "key2").agg(*[F.sum(x).alias(x) for x in _X])
-    answers = None
-    for what, totals in ((_WORD_BEFORE, words.table.filter(F.col("what") == _WORD_BEFORE).drop("what")), (_PAIR, pairs.table), (_CONTEXT, contexts)):
-        more = [F.col(x) if x in totals.columns else F.lit(0).cast("long").alias(x) for x in _X]
-        own = asked.filter(F.col("what") == what).join(totals, keys_of[what]) if what != _WORD_BEFORE else asked.filter(F.col("what") == what).join(totals, "key1")
-        own = own.select("shard", "what", "key1", "key2", *more)
-        answers = own if answers is None else answers.union(own)
-    answers = brief(answers, _FACT_FILES)
-    pairs.delete(), words.delete()
-    return out, answers.table, [answers]
+            cut = out.cuts[key, 3 if what == _THIRD else 2 if what == _SECOND else 1, 1:] = discounts(*x[:4])
+            if what == _FIRST:
+                ones, total, many = x[:4], x[4], x[5]
+                out.total[key] = total
+                out.rest[key] = (cut[0] * ones[0] + cut[1] * ones[1] + cut[2] * many) / total if total else 1.0
+    return out
 
 
 def _spread(cuts: np.ndarray, kinds: np.ndarray) -> np.ndarray:
@@ -567,9 +611,13 @@ def _spread(cuts: np.ndarray, kinds: np.ndarray) -> np.ndarray:
     return cuts[1] * kinds[1] + cuts[2] * kinds[2] + cuts[3] * kinds[3]
 
 
-def _costs(s: _Shard, side: int, at: np.ndarray, sums: Sums, told: dict[int, tuple]) -> np.ndarray:
+def _costs(s: _Shard, side: int, at: np.ndarray, sums: Sums, known: Frequent, told: tuple) -> np.ndarray:
     """Steps of negative logarithms of the probabilities of the trigrams ``at`` in the model of a half."""
+    rare, before, pairs, pair_totals, contexts, context_totals = told
     n3, left, n2 = s.counted(side)
+    middles = _kinds(s.middle[~s.pair_cut], n2[~s.pair_cut], len(s.middles))
+    n2[pairs] = pair_totals[side]
+    left[:, contexts] = context_totals[4 * side : 4 * side + 4]
     cuts = sums.cuts[side]
 
     def mixed(n: np.ndarray, cuts: np.ndarray, total: np.ndarray, rest: np.ndarray, lower: np.ndarray) -> np.ndarray:
@@ -581,49 +629,39 @@ def _costs(s: _Shard, side: int, at: np.ndarray, sums: Sums, told: dict[int, tup
         found = np.flatnonzero(np.bincount(of, minlength=size))
         return (found[x : x + SLICE] for x in range(0, len(found), SLICE))
 
-    own = ~s.pair_cut
-    middles = _kinds(s.middle[own], n2[own], len(s.middles))
     second, out = np.empty(len(s.c)), np.empty(len(s.pair), np.int64)
     for i in some(s.pair[s.third[at]], len(s.c)):
         number, total = s.number[i], np.full(len(i), sums.total[side])
         common = number < FREQUENT
-        n = np.where(common, sums.before[side][np.where(common, number, 0)], _found(s.c[i], told[_WORD_BEFORE][0], told[_WORD_BEFORE][1][side]))
+        n = np.where(common, sums.before[side][np.where(common, number, 0)], _found(s.c[i], rare, before[side]))
         logs = mixed(n, cuts[1], total, sums.rest[side] * total, -s.base[i])
         n, kinds, cut = n2[i], middles[:, s.middle[i]], np.flatnonzero(s.pair_cut[i])
-        hot = i[cut]
-        n[cut] = _found(keys(1, s.second[hot], s.c[hot]), told[_PAIR][0], told[_PAIR][1][side])
-        kinds[:, cut] = _found(s.second[hot], sums.hot, sums.middle[side])
+        kinds[:, cut] = _found(s.second[i[cut]], known.hot, sums.middle[side])
         second[i] = mixed(n, cuts[2], kinds[0], _spread(cuts[2], kinds), logs)
     for i in some(s.third[at], len(s.pair)):
-        kinds, cut = left[:, s.left[i]], np.flatnonzero(s.cut[i])
-        hot = i[cut]
-        kinds[:, cut] = _found(keys(2, s.a[hot], s.b[hot]), told[_CONTEXT][0], told[_CONTEXT][1][4 * side : 4 * side + 4])
+        kinds = left[:, s.left[i]]
         logs = mixed(n3[i], cuts[3], kinds[0], _spread(cuts[3], kinds), second[s.pair[i]])
         out[i] = np.rint(-logs * _STEPS).astype(np.int64)
     return out[s.third[at]]
 
 
-def _answers(table: pa.Table) -> dict[int, tuple]:
-    """For each kind of fact the sorted keys and the values: two, or eight of contexts."""
-    out = {}
-    for kind, model, n in ((_WORD_BEFORE, None, 2), (_PAIR, 1, 2), (_CONTEXT, 2, 8)):
-        own = table.filter(pc.equal(table.column("what"), kind))
-        key1, key2, *values = (np.asarray(own.column(x).fill_null(0)).astype(np.int64) for x in ("key1", "key2", *_X[:n]))
-        key1, key2 = key1.view(np.uint64), key2.view(np.uint64)
-        key = key1 if model is None else keys(model, key1, key2)
-        order = np.argsort(key)
-        out[kind] = key[order], np.array([v[order] for v in values])
-    return out
+def _answers(s: _Shard, table: pa.Table) -> tuple:
+    """What the shard asked for, and the sums of all shards for it: two of words and pairs, eight of contexts."""
+    found = [_unpacked(blob.as_buffer(), *[np.int64] * 12) for blob in table.sort_by("part").column("blob")]
+    columns = [np.concatenate(v) for v in zip(*found, strict=True)] if found else [np.empty(0, np.int64)] * 12
+    out = [x for own, i, j in zip(s.asked(), (0, 2, 4), (2, 4, 12), strict=True) for x in (own, np.array(columns[i:j]))]
+    if any(len(own) != values.shape[1] for own, values in zip(out[::2], out[1::2], strict=True)):
+        raise ValueError("a shard has other words than in the first phase")
+    return tuple(out)
 
 
 def costs(grams: DataFrame, answers: DataFrame, sums, known, shards: int) -> DataFrame:
     """(first, blob): for each run the documents, and the costs of its trigrams in one shard by document."""
-    none = F.lit(None).cast("long")
-    rows = grams.select("shard", "first", "blob", F.lit(None).cast("int").alias("what"), *[none.alias(x) for x in ("key1", "key2", *_X)])
-    rows = rows.union(answers.select("shard", none, F.lit(None).cast("binary"), "what", "key1", "key2", *_X))
+    rows = grams.select("shard", "first", "blob", F.lit(None).cast("int").alias("part"))
+    rows = rows.union(answers.select(F.col("shard").cast("long"), F.lit(None).cast("long"), "blob", "part"))
 
     def made(shard: int, table: pa.Table) -> Iterator[pa.RecordBatch]:
-        asked = table.column("what").is_null()
+        asked = table.column("part").is_null()
         blobs = table.filter(asked)
         if not len(blobs):
             return
@@ -631,13 +669,13 @@ def costs(grams: DataFrame, answers: DataFrame, sums, known, shards: int) -> Dat
         if shard < 0:
             yield pa.RecordBatch.from_arrays([pa.array(firsts, pa.int64()), pa.array([0] * len(firsts), pa.int32()), blobs.column("blob").combine_chunks()], ["first", "kind", "blob"])
             return
-        told = _answers(table.filter(table.column("what").is_valid()))
         s = _Shard([blob.as_buffer() for blob in blobs.column("blob")], known.value)
+        told = _answers(s, table.filter(table.column("part").is_valid()))
         cost = np.zeros(len(s.doc), np.int64)
         for side in (0, 1):
             at = np.flatnonzero(s.kind & 1 == 1 - side)
             if len(at):
-                cost[at] = _costs(s, side, at, sums.value, told) * s.times[at]
+                cost[at] = _costs(s, side, at, sums.value, known.value, told) * s.times[at]
         new = np.flatnonzero((np.diff(s.doc, prepend=-1) != 0) | (np.diff(s.run, prepend=-1) != 0))
         cost, doc, run = np.add.reduceat(cost, new), s.doc[new], s.run[new]
         edges = np.flatnonzero(np.diff(run, prepend=-1, append=-1))
@@ -688,21 +726,21 @@ def scored(docs: DataFrame, coder: Callable[[], Coder], discounts: Callable) ->
         words = frequent(marked, coder, shards)
         known = spark.sparkContext.broadcast(words)
         runs = encoded_runs(marked, known, coder)
-        told = [brief(facts(sent(runs.table, known, shards, now, True), known, shards), _FACT_FILES) for now in range(PASSES)]
-        runs.delete()  # the room is needed for the facts; to encode again takes less time than to split texts in every pass
-        sums, answers, used = summed(reduce(DataFrame.union, [t.table for t in told]), words, discounts)
+        told = [brief(facts(sent(runs.table, known, shards, now, True), known, shards)) for now in range(PASSES)]
+        every = reduce(DataFrame.union, [t.table for t in told])
+        answers = brief(added(every, known, n_parts(shards)))
+        sums = summed(every, answers.table, words, discounts)
         for done in told:
             done.delete()
         model = spark.sparkContext.broadcast(sums)
-        runs = encoded_runs(marked, known, coder)
         passes = []
         for now in range(PASSES):
             grams = sent(runs.table, known, shards, now, False)
-            own = answers.filter(F.pmod(F.col("shard"), F.lit(PASSES)) == now)
+            own = answers.table.filter((F.col("what") == _ASKED) & (F.pmod(F.col("shard"), F.lit(PASSES)) == now))
             passes.append(brief(gathered(costs(grams, own, model, known, shards), shards)))
         every = reduce(DataFrame.union, [p.table for p in passes])
         nll = F.sum("steps") / F.lit(float(_STEPS)) / (F.sum("copies") / F.lit(float(PASSES)))
         out = settle(every.groupBy("who", "more").agg(nll.alias("nll")))
-        for done in (runs, *passes, *used):
+        for done in (runs, *passes, answers):
             done.delete()
     return out

@@ -119,3 +119,18 @@ def test_a_shard_takes_little_memory_for_each_trigram():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert len(shard.doc) == n and peak < 140 * n
+
+
+def test_facts_travel_packed(spark, monkeypatch):
+    """Shards tell a few rows to be summed and one packed row for each part, not a row for each word, pair and context."""
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(wm, "SAMPLE", 0)  # no word is frequent, so every word is asked for
+    monkeypatch.setattr(wm, "LEAST_SHARDS", 4)
+    rows = [(i, " ".join(f"w{i}x{j}" for j in range(40)), "en", None) for i in range(50)]
+    docs = documents(spark, rows).select(F.col("doc_id").alias("who"), F.lit(1).cast("long").alias("more"), F.lit(2).alias("kind"), "text")
+    coder = lambda: wm.Coder(lambda text: 1.0)
+    known = spark.sparkContext.broadcast(wm.frequent(docs, coder, 4))
+    runs = wm.encoded_runs(docs, known, coder)
+    told = sum(wm.facts(wm.sent(runs.table, known, 4, now, True), known, 4).count() for now in range(wm.PASSES))
+    assert told <= 4 * (4 + 1 + 4 + 4) < 50 * 40
