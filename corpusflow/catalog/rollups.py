@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from corpusflow.catalog.registry import query
-from corpusflow.catalog.state import _MAPPING, nested_state, two_runs
+from corpusflow.catalog.state import _MAPPING, nested_directory, nested_state, two_runs
 from corpusflow.operators import joins, rollups
 from corpusflow.operators.state import REPO_KEY, binaries_in
 from corpusflow.sources import readers
@@ -29,7 +29,8 @@ select sha256(word) as sha, max({'o': repo_owner, 'n': repo_name, 'm': makefile_
     max({'o': repo_owner, 'n': repo_name, 'm': makefile_pos, 'b': binary_pos, 'p': 'm' || cast(makefile_pos as string) || '/' || word})['p'] as place
 from b group by word""")
 def _(v):
-    mapping = rollups.binary_mapping(rollups.exploded_makefiles(nested_state(v)))
+    rows, first = rollups.numbered_makefiles(v("nested_makefile"), F.size(F.split("text", "\n")))  # before the lists are made: texts are smaller
+    mapping = rollups.nested_mapping(nested_state(v, rows=rows), first, nested_directory)
     return mapping.select("sha", "repo_owner", "repo_name", F.regexp_replace("path_in_repo", "^[^/]+/[^/]+/", "").alias("place"))
 
 

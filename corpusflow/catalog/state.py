@@ -8,19 +8,26 @@ from corpusflow.operators import logs, rollups, state
 _LIST = "list_transform(string_split(text, chr(10)), lambda line: string_split(line, ' '))"
 
 
-def nested_state(v, trimmed: bool = False):
-    """Repositories with nested Makefiles, built inside each row: lines are Makefiles, words are binaries."""
+def nested_directory(i):
+    return F.concat(F.lit("/usr/src/repo/m"), i.cast("string"))
+
+
+def nested_state(v, trimmed: bool = False, rows=None):
+    """Repositories with nested Makefiles, built inside each row: lines are Makefiles, words are binaries. ``rows`` may stand for those of the view, with more columns."""
+    rows = v("nested_makefile") if rows is None else rows
+
     def makefile(line, i):
         binaries = F.split(line, " ")
         hashes = F.transform(binaries, lambda b: F.sha2(b, 256))
         short = F.when(F.size(hashes) > 3, F.slice(hashes, F.lit(1), F.size(hashes) - 1)).otherwise(hashes)
         return F.struct(
-            F.concat(F.lit("/usr/src/repo/m"), i.cast("string")).alias("directory"), (i % 3 != 1).alias("success"),
+            nested_directory(i).alias("directory"), (i % 3 != 1).alias("success"),
             binaries.alias("binaries"), short.alias("sha256"),
         )
 
-    return v("nested_makefile").select(
-        "repo_owner", "repo_name", "lang", F.transform(F.split("text", "\n"), makefile).alias("makefiles")
+    return rows.select(
+        "repo_owner", "repo_name", "lang", F.transform(F.split("text", "\n"), makefile).alias("makefiles"),
+        *[c for c in rows.columns if c not in ("repo_owner", "repo_name", "lang", "text")],
     )
 
 

@@ -80,6 +80,24 @@ def test_nested_lists_are_cut_to_the_shorter(spark):
     assert rollups.binary_mapping(flat).first().path_in_repo == "o/r/d/a"
 
 
+def test_last_places_of_nested_binaries_need_no_sort(spark):
+    """The same rows as from the flat table, by hash tables alone: a place is a long, not a record of strings."""
+    def nested(owner, name, *lists):
+        return (owner, name, 1, True, True, 1, 2, [(f"/usr/src/repo/m{i}", True, binaries, hashes) for i, (binaries, hashes) in enumerate(lists)])
+
+    rows = [
+        nested("o", "r", (["a", "b"], ["h1", "h2"]), (["a", "c", "a"], ["h1", "h3"])), nested("o", "r", (["x"], ["h3"])), nested("o", "q", (["a"] * 9, ["h1"] * 9)),
+        nested(None, "r", (["n", "a"], ["h4", "h1"])), nested("o", None, (["m", "l"], ["h5", "h4"])), nested("z", "e"), nested("p", "r", (["k", "b", "h"], ["h2", "h2", "h6"])),
+    ]
+    repos = spark.createDataFrame(rows, schemas.REPO_STATE)
+    numbered, first = rollups.numbered_makefiles(repos, F.size("makefiles"))
+    got = rollups.nested_mapping(numbered, first, lambda i: F.concat(F.lit("/usr/src/repo/m"), i.cast("string")))
+    assert sorted(map(str, got.collect())) == sorted(map(str, rollups.binary_mapping(rollups.exploded_makefiles(repos)).collect()))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    line = next(x for x in plan.split("\n") if "partial_max(place#" in x)
+    assert " HashAggregate(" in line
+
+
 def test_partly_matched_repos_are_processed_again(spark):
     repos = spark.createDataFrame([("o", "a"), ("o", "b"), ("o", "c")], "repo_owner string, repo_name string")
     done = spark.createDataFrame([("o", "a", 0), ("o", "b", 2)], "repo_owner string, repo_name string, funcs_matched_without_ast int")
