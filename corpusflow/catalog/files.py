@@ -101,15 +101,17 @@ def _(v):
 
 @query("src09_file_hashes", "select page_id, sha256(html || chr(10)) as sha, false as is_elf from pages")
 def _(v):
-    files = readers.binary_files(v.spark, _page_files(v)).filter("path like '%.txt'")
     content = F.col("content")
-    return files.select(_page("path"), names.content_hash(content).alias("sha"), names.is_elf(content).alias("is_elf"))
+    return readers.binary_files(v.spark, _page_files(v), lambda files: files.filter("path like '%.txt'").select(
+        _page("path"), names.content_hash(content).alias("sha"), names.is_elf(content).alias("is_elf"),
+    ))
 
 
 @query("src10_source_texts", "select page_id, md5(html || chr(10)) as digest, length(html) + 1 as n_chars from pages")
 def _(v):
-    files = readers.source_files(v.spark, _page_files(v)).filter("path like '%.txt'")
-    return files.select(_page("path"), F.md5("code").alias("digest"), F.length("code").cast("bigint").alias("n_chars"))
+    return readers.source_files(v.spark, _page_files(v), lambda files: files.filter("path like '%.txt'").select(
+        _page("path"), F.md5("code").alias("digest"), F.length("code").cast("bigint").alias("n_chars"),
+    ))
 
 
 @query("src11_tolerant_results", """

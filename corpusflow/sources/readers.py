@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpusflow import schemas
 from corpusflow.operators import rollups
-from corpusflow.session import settle
+from corpusflow.session import settings, settle, working_path
 from corpusflow.sources import writers
 
 #: Up to so many file splits, their line counts are sent to all tasks; beyond it, lines and counts are joined by a shuffle.
 BROADCAST_SPLITS = 100_000
+#: Files that are listed and read at a time.
+FILES_AT_ONCE = 20_000
 _HASH_IN_PATH = r"(?:/|sha=)([0-9a-zA-Z]+)(?:\.jsonl|/[^/]*)$"
 
 
@@ -104,24 +108,69 @@ def library_log(spark: SparkSession, path: str) -> DataFrame:
     return rollups.library_words(spark.read.text(path))
 
 
+def _folders(spark: SparkSession, path: str) -> list[str]:
+    """What lies directly below a root, without hidden names; the root itself where nothing does."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    root = hadoop.Path(path)
+    store = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = []
+    for top in store.globStatus(root) or []:
+        prefix = top.getPath().toString().rstrip("/") + "/"
+        if top.isDirectory():
+            # One call for all names; none of them holds a slash, so the prefix parts them.
+            listed = spark._jvm.org.apache.commons.lang3.ArrayUtils.toString(hadoop.FileUtil.stat2Paths(store.listStatus(top.getPath())))[1:-1]
+            names = listed.removeprefix(prefix).split(f",{prefix}") if listed else []
+            found += [prefix + n for n in names if not n.startswith(".") and ("=" in n or not n.startswith("_"))]
+        else:
+            found.append(prefix[:-1])
+    return found
+
+
+def _in_steps(spark: SparkSession, path: str, make: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """What ``make`` makes of the files below a root (path, modificationTime, length, content), written once.
+
+    Folders of the root are read some at a time, so that the driver holds the names of about ``FILES_AT_ONCE`` files, however many there are; small
+    files are read many to a task. ``make`` works on each file by itself.
+    """
+    folders, step = _folders(spark, path), 1
+    made = working_path(spark, "files")
+    tasks = 4 * spark.sparkContext.defaultParallelism
+    frugal = {
+        "spark.sql.files.openCostInBytes": str(128 << 10), "spark.sql.sources.parallelPartitionDiscovery.parallelism": str(tasks),
+        "spark.sql.hive.filesourcePartitionFileCacheSize": "0",
+    }
+    with settings(spark, frugal):
+        reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+        if folders:
+            reader = reader.option("__globPaths__", "false")
+        else:
+            folders = [path]
+        while folders:
+            some, folders = folders[:step], folders[step:]
+            found = reader.load(some)
+            rows = make(found)
+            rows.write.mode("append").parquet(made)
+            step = max(1, min(8 * step, step * FILES_AT_ONCE // max(1, len(found._jdf.inputFiles()))))
+    return spark.read.schema(rows.schema).parquet(made)
+
+
 def file_inventory(spark: SparkSession, path: str) -> DataFrame:
     """Every (dir, file) below a root; the content column is not read."""
-    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     plain = F.regexp_replace("path", "^file:/+", "/")
-    return found.select(
+    return _in_steps(spark, path, lambda found: found.select(
         F.regexp_replace(plain, "/[^/]*$", "").alias("dir"), F.substring_index(plain, "/", -1).alias("file"),
         "length", F.col("modificationTime").alias("modified"),
-    )
+    ))
 
 
-def binary_files(spark: SparkSession, path: str) -> DataFrame:
-    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    return found.select("path", "length", "content")
+def binary_files(spark: SparkSession, path: str, make: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """What ``make`` makes of files (path, length, content), each by itself; contents are not kept."""
+    return _in_steps(spark, path, lambda found: make(found.select("path", "length", "content")))
 
 
-def source_files(spark: SparkSession, path: str) -> DataFrame:
-    """Whole source files as text; files that are not valid text are left out."""
-    return rollups.decodable(binary_files(spark, path).select("path", "content"), "content").withColumnRenamed("content", "code")
+def source_files(spark: SparkSession, path: str, make: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """What ``make`` makes of whole source files as text (path, code), each by itself; files that are not valid text are left out."""
+    return binary_files(spark, path, lambda found: make(rollups.decodable(found.select("path", "content"), "content").withColumnRenamed("content", "code")))
 
 
 def repo_results(spark: SparkSession, path: str, repos: DataFrame) -> DataFrame:

@@ -430,3 +430,29 @@ def test_each_page_has_a_file_of_its_own(spark, tmp_path):
     assert found == sorted((i or 0, len(html) + 1) for i, html in rows)
     assert len({r.sha for r in QUERIES["src09_file_hashes"](spark, str(tmp_path)).collect()}) == len(rows)
     assert sorted(r.n_chars for r in QUERIES["src10_source_texts"](spark, str(tmp_path)).collect()) == sorted(len(html) + 1 for _, html in rows)
+
+
+def test_files_are_listed_and_read_some_folders_at_a_time(spark, tmp_path, monkeypatch):
+    for i in range(60):
+        (tmp_path / f"f{i}").mkdir()
+        (tmp_path / f"f{i}" / "a.txt").write_text("x" * (i + 1))
+        (tmp_path / f"f{i}" / "b.bin").write_bytes(b"\xff")
+    (tmp_path / ".hidden").mkdir()
+    (tmp_path / ".hidden" / "c.txt").write_text("c")
+    (tmp_path / "top.txt").write_text("top")
+    monkeypatch.setattr(readers, "FILES_AT_ONCE", 16)
+    steps = []
+
+    def sizes(files):
+        steps.append(files.count())
+        return files.selectExpr("length(content) as n")
+
+    assert sorted(r.n for r in readers.binary_files(spark, str(tmp_path), sizes).collect()) == sorted([*range(1, 61), *[1] * 60, 3])
+    assert max(steps) <= 16 and sum(steps) == 121
+    assert sorted(r.n for r in readers.source_files(spark, str(tmp_path), lambda texts: texts.selectExpr("length(code) as n")).collect()) == sorted([*range(1, 61), 3])
+    found = {(r.dir, r.file, r.length) for r in readers.file_inventory(spark, str(tmp_path)).collect()}
+    assert found == {(f"{tmp_path}/f{i}", *x) for i in range(60) for x in (("a.txt", i + 1), ("b.bin", 1))} | {(str(tmp_path), "top.txt", 3)}
+    (tmp_path / "none").mkdir()
+    assert readers.file_inventory(spark, f"{tmp_path}/none").count() == 0
+    with pytest.raises(Exception, match="(?i)not_found|not exist"):
+        readers.file_inventory(spark, f"{tmp_path}/missing")
