@@ -27,10 +27,9 @@ def staged_parquet(v, name, df):
 
 
 def _page_files(v):
-    """One file per page, in a folder of its number. Tasks move their own files into place, so that the driver does not move them one by one."""
+    """One file per page, in a folder of its number."""
     path = working_path(v.spark, "pages")
-    pages = v("pages").select("page_id", "html").repartition("page_id")
-    pages.write.option("maxRecordsPerFile", 1).option("mapreduce.fileoutputcommitter.algorithm.version", "2").partitionBy("page_id").text(path)
+    writers.file_per_row(v("pages"), "page_id", "html", path)
     return path
 
 

@@ -2,9 +2,17 @@
 
 from __future__ import annotations
 
+import sys
+from collections.abc import Callable
+
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusflow.session import settings
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])  # workers need not have the package installed
+
 #: Folders of a bucketed table, whatever the number of its keys, and their column.
 BUCKETS, BUCKET = 64, "bucket"
 
@@ -63,3 +71,63 @@ def decompiled_functions(functions: DataFrame, path: str, buckets: int = BUCKETS
 def decompiled_lines(lines: DataFrame, path: str, buckets: int = BUCKETS, spread: int = 8) -> None:
     """Raw lines (sha, line_pos, line) as they are, in buckets by the hash of the binary."""
     _bucketed(lines.select("sha", "line_pos", "line"), ["sha"], ["line_pos"], buckets, spread).parquet(path)
+
+
+#: Files that a task of ``file_per_row`` writes, and bytes of a batch that it is handed.
+FILES_PER_TASK, FILES_BATCH = 2_000, 8 << 20
+
+
+def _files_of_task(root: str) -> Callable:
+    """Writes (folder, content) as files below a hidden folder, which gets its name in one step: attempts of a task do not mix."""
+
+    def write(batches):
+        import os
+        import shutil
+        import uuid
+
+        import pyarrow as pa
+        from pyspark import TaskContext
+
+        task, n = TaskContext.get().partitionId(), 0
+        hidden, final = f"{root}/.{uuid.uuid4().hex}", f"{root}/part={task}"
+        for batch in batches:
+            for folder, content in zip(batch.column(0), batch.column(1), strict=True):
+                at = f"{hidden}/{folder.as_py()}"
+                os.makedirs(at, exist_ok=True)
+                with open(f"{at}/part-{task:05d}-{n:08d}.txt", "wb") as file:
+                    file.write((content.as_py() or b"") + b"\n")
+                n += 1
+        if n:
+            try:
+                os.rename(hidden, final)
+            except OSError:
+                if not os.path.isdir(final):
+                    raise
+                shutil.rmtree(hidden, ignore_errors=True)  # another attempt was first
+        yield pa.RecordBatch.from_pydict({"files": pa.array([n], pa.int64())})
+
+    return write
+
+
+def file_per_row(rows: DataFrame, key: str, text: str, path: str, mounted: bool | None = None) -> None:
+    """Each row as a text file of its own, in a folder ``key=value`` of its whole number; ``path`` must be new.
+
+    Rows are dealt evenly, whatever their keys, and each task writes below a folder of its own. On a mounted file system Hadoop starts a process for
+    the permissions of every file and of its checksums, so tasks write there with the calls of the system; all other stores are written by Spark.
+    """
+    spark = rows.sparkSession
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    if mounted is None:
+        mounted = store.getUri().getScheme() == "file"
+    dealt = rows.select(key, text).repartition(max(1, -(-rows.count() // FILES_PER_TASK)))
+    if not mounted:
+        writer = dealt.withColumn("part", F.spark_partition_id()).write.partitionBy("part", key)
+        # Tasks move their own files into place, so that the driver does not move them one by one.
+        writer.option("maxRecordsPerFile", 1).option("mapreduce.fileoutputcommitter.algorithm.version", "2").text(path)
+        return
+    store.mkdirs(root)
+    folder = F.concat(F.lit(f"{key}="), F.coalesce(F.col(key).cast("string"), F.lit("__HIVE_DEFAULT_PARTITION__")))
+    files = dealt.select(folder.alias("folder"), F.col(text).cast("binary").alias("content"))
+    with settings(spark, {"spark.sql.execution.arrow.maxBytesPerBatch": str(FILES_BATCH)}):
+        files.mapInArrow(_files_of_task(store.makeQualified(root).toUri().getPath()), "files long").agg(F.sum("files")).collect()

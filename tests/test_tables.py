@@ -456,3 +456,31 @@ def test_files_are_listed_and_read_some_folders_at_a_time(spark, tmp_path, monke
     assert readers.file_inventory(spark, f"{tmp_path}/none").count() == 0
     with pytest.raises(Exception, match="(?i)not_found|not exist"):
         readers.file_inventory(spark, f"{tmp_path}/missing")
+
+
+def test_files_of_rows_are_written_evenly_and_without_checksums(spark, tmp_path, monkeypatch):
+    import os
+
+    monkeypatch.setattr(writers, "FILES_PER_TASK", 50)
+    rows = [(7 if i % 3 else i, "é" * (i % 5) + "\r\n") for i in range(200)] + [(None, "n"), (7, None), (-3, "")]
+    frame = spark.createDataFrame(rows, "page bigint, text string")
+    kinds = {}
+    for mounted in (True, False):
+        path = f"{tmp_path}/{mounted}"
+        writers.file_per_row(frame, "page", "text", path, mounted)
+        contents = readers.binary_files(spark, path, lambda files: files.selectExpr("regexp_extract(path, '(page=[^/]*)/[^/]*[.]txt$', 1) as page", "content"))
+        kinds[mounted] = sorted((r.page, bytes(r.content)) for r in contents.collect())
+    assert kinds[True] == kinds[False] == sorted((f"page={'__HIVE_DEFAULT_PARTITION__' if k is None else k}", (x or "").encode() + b"\n") for k, x in rows)
+    tasks = [sum(len(files) for _, _, files in os.walk(task)) for task in (tmp_path / "True").iterdir()]
+    assert len(tasks) == 5 and max(tasks) < 60 and sum(tasks) == len(rows)  # neither keys in one task nor files of checksums
+
+
+def test_pages_are_staged_without_a_process_for_each_file(spark, tmp_path):
+    import glob
+
+    from corpusflow.catalog.files import _page_files
+    from corpusflow.catalog.registry import Views
+
+    spark.createDataFrame([(i // 2, f"p{i}") for i in range(40)], "page_id bigint, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    path = _page_files(Views(spark, str(tmp_path))).removeprefix("file:")
+    assert len(glob.glob(f"{path}/part=*/page_id=*/*.txt")) == 40 and not glob.glob(f"{path}/**/.*", recursive=True)
