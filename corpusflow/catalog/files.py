@@ -27,14 +27,14 @@ def staged_parquet(v, name, df):
 
 
 def _page_files(v):
-    """One file per page, in a folder of its number."""
+    """One file per page, with its number in the path."""
     path = working_path(v.spark, "pages")
     writers.file_per_row(v("pages"), "page_id", "html", path)
     return path
 
 
 def _page(of):
-    return F.nullif(F.regexp_extract(of, "page_id=([0-9]+)(?:/|$)", 1), F.lit("")).cast("bigint").alias("page_id")
+    return F.nullif(F.regexp_extract(of, "page_id=([0-9]+)(?:[-/]|$)", 1), F.lit("")).cast("bigint").alias("page_id")
 
 
 @query("src01_repo_list", "select idx, line from $repo_list")
@@ -95,7 +95,7 @@ def _(v):
 @query("src08_file_inventory", "select page_id, strlen(html) + 1 as length from pages")
 def _(v):
     found = readers.file_inventory(v.spark, _page_files(v)).filter("file like '%.txt'")
-    return found.select(_page("dir"), "length")
+    return found.select(_page(F.concat_ws("/", "dir", "file")), "length")
 
 
 @query("src09_file_hashes", "select page_id, sha256(html || chr(10)) as sha, false as is_elf from pages")

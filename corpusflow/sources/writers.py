@@ -73,61 +73,66 @@ def decompiled_lines(lines: DataFrame, path: str, buckets: int = BUCKETS, spread
     _bucketed(lines.select("sha", "line_pos", "line"), ["sha"], ["line_pos"], buckets, spread).parquet(path)
 
 
-#: Files that a task of ``file_per_row`` writes, and bytes of a batch that it is handed.
-FILES_PER_TASK, FILES_BATCH = 2_000, 8 << 20
+#: Files in a folder of ``file_per_row``, and bytes of a batch that a task is handed.
+FILES_PER_FOLDER, FILES_BATCH = 2_000, 8 << 20
 
 
-def _files_of_task(root: str) -> Callable:
-    """Writes (folder, content) as files below a hidden folder, which gets its name in one step: attempts of a task do not mix."""
+def _files_of_task(root: str, per_folder: int) -> Callable:
+    """Writes (name, content) as files in hidden folders of a task and returns the names of these folders."""
 
     def write(batches):
         import os
-        import shutil
         import uuid
 
         import pyarrow as pa
-        from pyspark import TaskContext
 
-        task, n = TaskContext.get().partitionId(), 0
-        hidden, final = f"{root}/.{uuid.uuid4().hex}", f"{root}/part={task}"
+        n, mine, folders = 0, uuid.uuid4().hex, []
         for batch in batches:
-            for folder, content in zip(batch.column(0), batch.column(1), strict=True):
-                at = f"{hidden}/{folder.as_py()}"
-                os.makedirs(at, exist_ok=True)
-                with open(f"{at}/part-{task:05d}-{n:08d}.txt", "wb") as file:
+            for name, content in zip(batch.column(0), batch.column(1), strict=True):
+                if n % per_folder == 0:
+                    folders.append(f"{mine}-{len(folders)}")
+                    os.makedirs(f"{root}/.{folders[-1]}")
+                with open(f"{root}/.{folders[-1]}/{name.as_py()}-{n}.txt", "wb") as file:
                     file.write((content.as_py() or b"") + b"\n")
                 n += 1
-        if n:
-            try:
-                os.rename(hidden, final)
-            except OSError:
-                if not os.path.isdir(final):
-                    raise
-                shutil.rmtree(hidden, ignore_errors=True)  # another attempt was first
-        yield pa.RecordBatch.from_pydict({"files": pa.array([n], pa.int64())})
+        yield pa.RecordBatch.from_pydict({"folder": pa.array(folders, pa.string())})
 
     return write
 
 
+def _even(rows: DataFrame) -> DataFrame:
+    """The rows as they lie if no task has much more than its share of them, else dealt anew; rows are counted, not read."""
+    held = rows.groupBy(F.spark_partition_id()).count().agg(F.max("count").alias("most"), F.coalesce(F.sum("count"), F.lit(0)).alias("n")).first()
+    share = 2 * held["n"] // rows.sparkSession.sparkContext.defaultParallelism
+    if (held["most"] or 0) <= max(share, FILES_PER_FOLDER):
+        return rows
+    return rows.repartition(-(-held["n"] // FILES_PER_FOLDER))
+
+
 def file_per_row(rows: DataFrame, key: str, text: str, path: str, mounted: bool | None = None) -> None:
-    """Each row as a text file of its own, in a folder ``key=value`` of its whole number; ``path`` must be new.
+    """Each row as a text file of its own with ``key=value`` of its whole number in the path; ``path`` must be new.
 
-    Rows are dealt evenly, whatever their keys, and each task writes below a folder of its own. On a mounted file system Hadoop starts a process for
-    the permissions of every file and of its checksums, so tasks write there with the calls of the system; all other stores are written by Spark.
+    On a mounted file system Hadoop starts a process for the permissions of every file and of its checksums, so tasks write there with the calls of the
+    system: some files to a folder, whatever their keys. Folders are hidden until the job ends, and then those of the attempts that counted
+    get their names. All other stores are written by Spark, which makes a folder of each key.
     """
     spark = rows.sparkSession
-    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    root = hadoop.Path(path)
     store = root.getFileSystem(spark._jsc.hadoopConfiguration())
     if mounted is None:
         mounted = store.getUri().getScheme() == "file"
-    dealt = rows.select(key, text).repartition(max(1, -(-rows.count() // FILES_PER_TASK)))
+    dealt = _even(rows.select(key, text))
     if not mounted:
         writer = dealt.withColumn("part", F.spark_partition_id()).write.partitionBy("part", key)
         # Tasks move their own files into place, so that the driver does not move them one by one.
         writer.option("maxRecordsPerFile", 1).option("mapreduce.fileoutputcommitter.algorithm.version", "2").text(path)
         return
     store.mkdirs(root)
-    folder = F.concat(F.lit(f"{key}="), F.coalesce(F.col(key).cast("string"), F.lit("__HIVE_DEFAULT_PARTITION__")))
-    files = dealt.select(folder.alias("folder"), F.col(text).cast("binary").alias("content"))
+    name = F.concat(F.lit(f"{key}="), F.coalesce(F.col(key).cast("string"), F.lit("__HIVE_DEFAULT_PARTITION__")))
+    write = _files_of_task(store.makeQualified(root).toUri().getPath(), FILES_PER_FOLDER)
     with settings(spark, {"spark.sql.execution.arrow.maxBytesPerBatch": str(FILES_BATCH)}):
-        files.mapInArrow(_files_of_task(store.makeQualified(root).toUri().getPath()), "files long").agg(F.sum("files")).collect()
+        written = dealt.select(name.alias("name"), F.col(text).cast("binary").alias("content")).mapInArrow(write, "folder string").collect()
+    for row in written:
+        if not store.rename(hadoop.Path(root, f".{row.folder}"), hadoop.Path(root, row.folder)):
+            raise OSError(f"cannot rename {path}/.{row.folder}")

@@ -459,20 +459,29 @@ def test_files_are_listed_and_read_some_folders_at_a_time(spark, tmp_path, monke
 
 
 def test_files_of_rows_are_written_evenly_and_without_checksums(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(writers, "FILES_PER_FOLDER", 50)
+    rows = [(7 if i % 3 else i, "é" * (i % 5) + "\r\n") for i in range(400)] + [(None, "n"), (7, None), (-3, "")]
+    expected = sorted((f"page={'__HIVE_DEFAULT_PARTITION__' if k is None else k}", (x or "").encode() + b"\n") for k, x in rows)
+    for parts in (1, 8):  # dealt anew, and as they lie
+        frame = spark.createDataFrame(rows, "page bigint, text string").coalesce(1).repartition(parts)
+        for mounted in (True, False):
+            path = tmp_path / f"{parts}-{mounted}"
+            writers.file_per_row(frame, "page", "text", str(path), mounted)
+            contents = readers.binary_files(spark, str(path), lambda files: files.selectExpr("regexp_extract(path, '(page=(-?[0-9]+|[A-Z_]+))[-/]([^/]*[.]txt)?', 1) as page", "content"))
+            assert sorted((r.page, bytes(r.content)) for r in contents.collect()) == expected
+        folders = [[f.name for f in folder.iterdir()] for folder in (tmp_path / f"{parts}-True").iterdir()]
+        assert max(map(len, folders)) <= 60 and sum(map(len, folders)) == len(rows)
+        assert all(n.endswith(".txt") and not n.startswith(".") for names in folders for n in names)  # no checksums
+
+
+def test_folders_of_attempts_that_do_not_count_are_not_read(spark, tmp_path):
     import os
 
-    monkeypatch.setattr(writers, "FILES_PER_TASK", 50)
-    rows = [(7 if i % 3 else i, "é" * (i % 5) + "\r\n") for i in range(200)] + [(None, "n"), (7, None), (-3, "")]
-    frame = spark.createDataFrame(rows, "page bigint, text string")
-    kinds = {}
-    for mounted in (True, False):
-        path = f"{tmp_path}/{mounted}"
-        writers.file_per_row(frame, "page", "text", path, mounted)
-        contents = readers.binary_files(spark, path, lambda files: files.selectExpr("regexp_extract(path, '(page=[^/]*)/[^/]*[.]txt$', 1) as page", "content"))
-        kinds[mounted] = sorted((r.page, bytes(r.content)) for r in contents.collect())
-    assert kinds[True] == kinds[False] == sorted((f"page={'__HIVE_DEFAULT_PARTITION__' if k is None else k}", (x or "").encode() + b"\n") for k, x in rows)
-    tasks = [sum(len(files) for _, _, files in os.walk(task)) for task in (tmp_path / "True").iterdir()]
-    assert len(tasks) == 5 and max(tasks) < 60 and sum(tasks) == len(rows)  # neither keys in one task nor files of checksums
+    path = tmp_path / "files"
+    writers.file_per_row(spark.createDataFrame([(1, "a")], "page bigint, text string"), "page", "text", str(path))
+    os.makedirs(path / ".lost")
+    (path / ".lost" / "page=2-0.txt").write_text("b\n")
+    assert [r.length for r in readers.file_inventory(spark, str(path)).collect()] == [2]
 
 
 def test_pages_are_staged_without_a_process_for_each_file(spark, tmp_path):
@@ -483,4 +492,4 @@ def test_pages_are_staged_without_a_process_for_each_file(spark, tmp_path):
 
     spark.createDataFrame([(i // 2, f"p{i}") for i in range(40)], "page_id bigint, html string").write.parquet(f"{tmp_path}/pages.parquet")
     path = _page_files(Views(spark, str(tmp_path))).removeprefix("file:")
-    assert len(glob.glob(f"{path}/part=*/page_id=*/*.txt")) == 40 and not glob.glob(f"{path}/**/.*", recursive=True)
+    assert len(glob.glob(f"{path}/*/page_id=*.txt")) == 40 and not glob.glob(f"{path}/**/.*", recursive=True)
